@@ -225,3 +225,224 @@ SQL["d05_holdout_group_safe"] = with_views(["variants"], """
 SELECT s.id, CAST(s.variant AS BIGINT) AS variant, CAST(s.label_id AS BIGINT) AS label_id,
   CASE WHEN s.part = 'train' AND s.id IN (SELECT id FROM split WHERE part = 'valid') THEN 'dropped' ELSE s.part END AS part
 FROM split s""", [_REANCHOR, _SPLIT])
+
+# --- M / I -------------------------------------------------------------------------
+
+
+def r6(expr: str, name: str) -> str:
+    return f"round(CAST({expr} AS DOUBLE), 6) AS {name}"
+
+
+_SC = """
+sc0 AS (SELECT id, label_id, z, list_max(z) AS mx FROM re_scored),
+sc1 AS (SELECT *, mx + ln(list_sum(list_transform(z, lambda x: exp(x - mx)))) AS lse FROM sc0),
+sc AS (SELECT *, list_transform(z, lambda x: x - lse) AS lsm, list_transform(z, lambda x: exp(x - lse)) AS p,
+              CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS pred FROM sc1)"""
+
+_F1 = ("coalesce(2.0::DOUBLE * sum(CASE WHEN pred = label_id AND label_id <> 0 THEN 1 ELSE 0 END) / "
+       "NULLIF(sum(CASE WHEN pred <> 0 THEN 1 ELSE 0 END) + sum(CASE WHEN label_id <> 0 THEN 1 ELSE 0 END), 0)"
+       " * 100.0, 0.0)")
+_ACC = "avg(CASE WHEN pred = label_id THEN 1.0 ELSE 0.0 END)"
+_AUPRC = """
+lg AS (SELECT label_id AS y, unnest(z) AS score, unnest(range(0, len(z))) AS cls FROM re_scored),
+pts AS (SELECT cls, score, sum(CASE WHEN y = cls THEN 1 ELSE 0 END)::DOUBLE AS tp_c,
+               sum(CASE WHEN y <> cls THEN 1 ELSE 0 END)::DOUBLE AS fp_c FROM lg GROUP BY cls, score),
+cum AS (SELECT *, sum(tp_c) OVER (PARTITION BY cls ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+               sum(fp_c) OVER (PARTITION BY cls ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp FROM pts),
+pos AS (SELECT cls, sum(tp_c) AS pp FROM pts GROUP BY cls),
+ar AS (SELECT c.cls, sum((tp / pp - (tp - tp_c) / pp) *
+         (tp / (tp + fp) + CASE WHEN (tp - tp_c) + (fp - fp_c) = 0 THEN 1.0
+                                ELSE (tp - tp_c) / ((tp - tp_c) + (fp - fp_c)) END) / 2.0) AS auprc
+       FROM cum c JOIN pos ON c.cls = pos.cls WHERE pp > 0 GROUP BY c.cls),
+au AS (SELECT avg(auprc) * 100.0 AS auprc FROM ar)"""
+
+SQL["m01_micro_f1"] = with_views(["re_scored"], f"SELECT {r6(_F1, 'micro_f1')} FROM sc", [_SC])
+SQL["m02_auprc"] = with_views(["re_scored"], f"SELECT {r6('auprc', 'auprc')} FROM au", [_AUPRC])
+SQL["m03_accuracy"] = with_views(["re_scored"], f"SELECT {r6(_ACC, 'accuracy')} FROM sc", [_SC])
+SQL["m04_compute_metrics"] = with_views(["re_scored"], f"""
+SELECT {r6('a.micro_f1', 'micro_f1')}, {r6('au.auprc', 'auprc')}, {r6('a.accuracy', 'accuracy')}
+FROM (SELECT {_F1} AS micro_f1, {_ACC} AS accuracy FROM sc) a, au""", [_SC, _AUPRC])
+SQL["m05_cross_entropy"] = with_views(["re_scored"], f"SELECT {r6('avg(lse - z[label_id + 1])', 'ce')} FROM sc",
+                                      [_SC])
+SQL["m06_focal"] = with_views(["re_scored"], f"""
+SELECT {r6('avg(-pow(1.0 - exp(lsm[label_id + 1]), 2.0) * lsm[label_id + 1])', 'focal')} FROM sc""", [_SC])
+SQL["m07_label_smooth"] = with_views(["re_scored"], f"""
+SELECT {r6('avg(-((1.0 - 0.1) * lsm[label_id + 1] + (0.1 / (len(z) - 1.0)) * (list_sum(lsm) - lsm[label_id + 1])))',
+           'label_smooth')} FROM sc""", [_SC])
+SQL["m08_soft_f1"] = with_views(["re_scored"], f"""
+SELECT {r6('1.0 - avg(least(greatest(f1, 1e-7), 1.0 - 1e-7))', 'soft_f1')}
+FROM (SELECT cls, 2.0 * pr * rc / (pr + rc + 1e-7) AS f1
+      FROM (SELECT cls, tp / (tp + fp + 1e-7) AS pr, tp / (tp + fn + 1e-7) AS rc
+            FROM (SELECT cls, sum(y * pv) AS tp, sum((1.0 - y) * pv) AS fp, sum(y * (1.0 - pv)) AS fn
+                  FROM (SELECT CASE WHEN label_id = cls THEN 1.0 ELSE 0.0 END AS y, pv, cls
+                        FROM (SELECT label_id, unnest(p) AS pv, unnest(range(0, len(p))) AS cls FROM sc))
+                  GROUP BY cls)))""", [_SC])
+
+_PLATEAU = """
+pe AS (SELECT run, step, value FROM eval_history WHERE value >= 0),
+pa AS (SELECT *, {agg}(value) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev,
+              row_number() OVER (PARTITION BY run ORDER BY step) AS rn FROM pe),
+pb AS (SELECT *, (prev IS NULL OR value {cmp} prev) AS best FROM pa),
+pc AS (SELECT *, max(CASE WHEN best THEN rn ELSE 0 END) OVER (PARTITION BY run ORDER BY step ROWS UNBOUNDED PRECEDING) AS lst FROM pb),
+pd AS (SELECT *, rn - lst AS patience_cnt FROM pc),
+pf AS (SELECT run, min(rn) AS stop_rn FROM pd WHERE patience_cnt >= {patience} GROUP BY run),
+plateau AS (SELECT pd.run, pd.step, pd.value, pd.best, CAST(pd.patience_cnt AS BIGINT) AS patience_cnt,
+                   coalesce(pd.rn >= pf.stop_rn, false) AS stop FROM pd LEFT JOIN pf ON pd.run = pf.run)"""
+
+SQL["m09_plateau"] = with_views(["eval_history"], "SELECT run, step, best, patience_cnt, stop FROM plateau",
+                                [_PLATEAU.format(agg="min", cmp="<", patience=5)])
+SQL["m10_best_step"] = with_views(["eval_history"], f"""
+SELECT b.run, b.best_step, {r6('b.best_value', 'best_value')}, s.stop_step
+FROM (SELECT e.run, min(e.step) AS best_step, any_value(m.best_value) AS best_value
+      FROM pe e JOIN (SELECT run, max(value) AS best_value FROM pe GROUP BY run) m
+        ON e.run = m.run AND e.value = m.best_value GROUP BY e.run) b
+LEFT JOIN (SELECT run, min(step) AS stop_step FROM plateau WHERE stop GROUP BY run) s ON b.run = s.run""",
+                                 [_PLATEAU.format(agg="max", cmp=">", patience=5)])
+
+SQL["i03_softmax"] = with_views(["re_scored"], """
+SELECT id, array_to_string(list_transform(p, lambda x: printf('%.6f', x)), ',') AS p FROM sc""", [_SC])
+SQL["i04_argmax"] = with_views(["re_scored"], "SELECT id, CAST(pred AS BIGINT) AS pred FROM sc", [_SC])
+SQL["i05_submission"] = with_views(["re_scored"], f"""
+SELECT sc.id, ld.label AS pred_label,
+       '[' || array_to_string(list_transform(p, lambda x: printf('%.6f', x)), ', ') || ']' AS probs
+FROM sc LEFT JOIN {label_values()} ld ON sc.pred = ld.label_id""", [_SC])
+SQL["i06_scored_dev"] = with_views(["re_scored"], """
+SELECT id, CAST(label_id AS BIGINT) AS label_id,
+       array_to_string(list_transform(p, lambda x: printf('%.3f', x)), ' ') AS output_prob FROM sc""", [_SC])
+
+# --- E ---------------------------------------------------------------------------
+
+_CAT = f"""
+ct0 AS (SELECT dataset, id, sentence, label_id, z, list_max(z) AS mx FROM pred_catalog),
+ct1 AS (SELECT *, mx + ln(list_sum(list_transform(z, lambda x: exp(x - mx)))) AS lse FROM ct0),
+ct2 AS (SELECT *, array_to_string(list_transform(z, lambda x: printf('%.3f', exp(x - lse))), ' ') AS output_prob FROM ct1),
+ct3 AS (SELECT *, list_transform(string_split_regex(trim(output_prob), '\\s+'), lambda x: TRY_CAST(x AS DOUBLE)) AS pr
+        FROM ct2),
+cat AS (
+  SELECT c.dataset, c.id, c.sentence, c.label_id, c.output_prob, c.pr,
+    CAST(c.label_id AS INTEGER) AS num_label,
+    CAST(list_position(c.pr, list_max(c.pr)) - 1 AS INTEGER) AS num_pred,
+    ld.label AS pred,
+    list_max(c.pr) AS pred_confidence,
+    c.pr[c.label_id + 1] AS label_confidence,
+    CASE WHEN CAST(list_position(c.pr, list_max(c.pr)) - 1 AS INTEGER) = c.label_id THEN 1 ELSE 0 END AS answer,
+    length(c.sentence) - length(replace(c.sentence, ' ', '')) AS sentence_space,
+    length(c.sentence) AS sentence_len,
+    len(list_filter(string_split_regex(c.sentence, '\\s+'), lambda x: x <> '')) AS sentence_token_num
+  FROM ct3 c LEFT JOIN {label_values()} ld ON CAST(list_position(c.pr, list_max(c.pr)) - 1 AS INTEGER) = ld.label_id)"""
+
+_FEAT_SQL = f"""dataset, id, CAST(num_label AS BIGINT) AS num_label, CAST(num_pred AS BIGINT) AS num_pred, pred,
+  {r6('pred_confidence', 'pred_confidence')}, {r6('label_confidence', 'label_confidence')},
+  CAST(answer AS BIGINT) AS answer"""
+_TEXT_SQL = """CAST(sentence_space AS BIGINT) AS sentence_space, CAST(sentence_len AS BIGINT) AS sentence_len,
+  CAST(sentence_token_num AS BIGINT) AS sentence_token_num"""
+
+
+def cat_sql(body: str, extra: list[str] | None = None) -> str:
+    return with_views(["pred_catalog"], body, [_CAT] + (extra or []))
+
+
+SQL["e01_catalog_select"] = with_views(["pred_catalog"], """
+SELECT dataset, id, CAST(label_id AS BIGINT) AS label_id FROM pred_catalog WHERE dataset IN ('m0', 'm2')""")
+SQL["e02_catalog_list"] = with_views(["pred_catalog"], """
+SELECT dataset, count(*) AS n_rows FROM pred_catalog GROUP BY dataset""")
+SQL["e03_column_roles"] = cat_sql(f"SELECT {_FEAT_SQL}, {_TEXT_SQL} FROM cat")
+
+_STATS = ", ".join([
+    "count(x) AS count", r6("avg(x)", "mean"), r6("stddev_samp(x)", "std"), r6("min(x)", "min"),
+    r6("max(x)", "max"), r6("quantile_cont(x, 0.25)", "q25"), r6("quantile_cont(x, 0.5)", "q50"),
+    r6("quantile_cont(x, 0.75)", "q75")])
+SQL["e04_describe"] = cat_sql(f"""
+SELECT dataset, "column", {_STATS}
+FROM (SELECT dataset, 'label_confidence' AS "column", CAST(label_confidence AS DOUBLE) AS x FROM cat
+      UNION ALL SELECT dataset, 'pred_confidence', CAST(pred_confidence AS DOUBLE) FROM cat
+      UNION ALL SELECT dataset, 'sentence_len', CAST(sentence_len AS DOUBLE) FROM cat)
+GROUP BY dataset, "column" """)
+SQL["e05_decode_probs"] = cat_sql("""
+SELECT dataset, id, array_to_string(list_transform(pr, lambda x: printf('%.6f', x)), ',') AS probs FROM cat""")
+SQL["e06_prediction_features"] = cat_sql(f"SELECT {_FEAT_SQL} FROM cat")
+SQL["e07_text_features"] = cat_sql(f"SELECT dataset, id, {_TEXT_SQL} FROM cat")
+
+_IQR = """
+iq0 AS (SELECT dataset, quantile_cont(sentence_len, 0.25) AS q1, quantile_cont(sentence_len, 0.75) AS q3
+        FROM cat GROUP BY dataset),
+iqr AS (SELECT dataset, q1 - 1.5 * (q3 - q1) AS t0, q1 AS t1, q3 AS t2, q3 + 1.5 * (q3 - q1) AS t3 FROM iq0),
+bk AS (SELECT cat.*, iqr.t0, iqr.t1, iqr.t2, iqr.t3,
+         (CASE WHEN sentence_len >= t0 THEN 1 ELSE 0 END) + (CASE WHEN sentence_len >= t1 THEN 1 ELSE 0 END)
+       + (CASE WHEN sentence_len >= t2 THEN 1 ELSE 0 END) + (CASE WHEN sentence_len >= t3 THEN 1 ELSE 0 END) AS bucket
+       FROM cat JOIN iqr ON cat.dataset = iqr.dataset)"""
+
+SQL["e08_iqr_thresholds"] = cat_sql(f"""
+SELECT dataset, {r6('t0', 't0')}, {r6('t1', 't1')}, {r6('t2', 't2')}, {r6('t3', 't3')} FROM iqr""", [_IQR])
+SQL["e09_percentile_thresholds"] = cat_sql(f"""
+SELECT dataset, {r6('quantile_cont(label_confidence, 0.1)', 't0')}, {r6('quantile_cont(label_confidence, 0.5)', 't1')},
+       {r6('quantile_cont(label_confidence, 0.9)', 't2')} FROM cat GROUP BY dataset""")
+SQL["e10_bucketize"] = cat_sql("SELECT dataset, id, CAST(bucket AS BIGINT) AS bucket FROM bk", [_IQR])
+SQL["e11_bucket_labels"] = cat_sql("""
+SELECT dataset, CAST(0 AS BIGINT) AS bucket, '~' || printf('%.2f', t0) AS label FROM iqr
+UNION ALL SELECT dataset, 1, printf('%.2f', t0) FROM iqr
+UNION ALL SELECT dataset, 2, printf('%.2f', t1) FROM iqr
+UNION ALL SELECT dataset, 3, printf('%.2f', t2) FROM iqr
+UNION ALL SELECT dataset, 4, printf('%.2f', t3) FROM iqr""", [_IQR])
+SQL["e12_bucket_stats"] = cat_sql(f"""
+SELECT dataset, CAST(bucket AS BIGINT) AS bucket, count(*) AS count,
+  {r6('avg(label_confidence)', 'label_confidence_mean')}, {r6('stddev_samp(label_confidence)', 'label_confidence_std')},
+  {r6('avg(answer)', 'answer_mean')}, {r6('stddev_samp(answer)', 'answer_std')}
+FROM bk GROUP BY dataset, bucket""", [_IQR])
+SQL["e13_bucket_pearson"] = cat_sql(f"""
+SELECT dataset, CAST(bucket AS BIGINT) AS bucket, count(*) AS count,
+  {r6('CASE WHEN count(*) >= 2 AND var_samp(pred_confidence) > 0 AND var_samp(label_confidence) > 0 THEN corr(pred_confidence, label_confidence) END', 'pred_confidence_label_confidence_pearson')}
+FROM bk GROUP BY dataset, bucket""", [_IQR])
+SQL["e14_group_stats"] = cat_sql(f"""
+SELECT g.dataset, CAST(g.class_id AS BIGINT) AS class_id, coalesce(a.count, 0) AS count,
+  {r6('a.mean', 'mean')}, {r6('a.std', 'std')}, ld.label AS class_name
+FROM (SELECT d.dataset, unnest(range(0, 30)) AS class_id FROM (SELECT DISTINCT dataset FROM cat) d) g
+LEFT JOIN (SELECT dataset, num_label AS class_id, count(*) AS count, avg(label_confidence) AS mean,
+                  stddev_samp(label_confidence) AS std FROM cat GROUP BY dataset, num_label) a
+  ON g.dataset = a.dataset AND g.class_id = a.class_id
+LEFT JOIN {label_values()} ld ON g.class_id = ld.label_id""")
+
+
+def box_sql(src: str, group: list[str], x: str) -> str:
+    g = ", ".join(group)
+    on = " AND ".join(f"s.{c} = q.{c}" for c in group)
+    gs = ", ".join(f"s.{c}" for c in group)
+    return f"""
+SELECT {gs}, count(*) AS n, {r6(f'min(s.{x})', 'min')}, {r6(f'max(s.{x})', 'max')},
+  {r6(f'min(s.{x}) FILTER (WHERE s.{x} >= q.q1 - 1.5 * (q.q3 - q.q1))', 'lower_whisker')},
+  {r6(f'max(s.{x}) FILTER (WHERE s.{x} <= q.q3 + 1.5 * (q.q3 - q.q1))', 'upper_whisker')},
+  count(*) FILTER (WHERE s.{x} < q.q1 - 1.5 * (q.q3 - q.q1) OR s.{x} > q.q3 + 1.5 * (q.q3 - q.q1)) AS n_outliers,
+  {r6('q.q1', 'q1')}, {r6('q.median', 'median')}, {r6('q.q3', 'q3')}
+FROM {src} s JOIN (SELECT {g}, quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median,
+                          quantile_cont({x}, 0.75) AS q3
+                   FROM {src} WHERE {x} IS NOT NULL GROUP BY {g}) q ON {on}
+WHERE s.{x} IS NOT NULL
+GROUP BY {gs}, q.q1, q.median, q.q3"""
+
+
+SQL["e15_conditional_dist"] = cat_sql(box_sql("bk", ["dataset", "bucket"], "label_confidence")
+                                      .replace("SELECT s.dataset, s.bucket,", "SELECT s.dataset, CAST(s.bucket AS BIGINT) AS bucket,"),
+                                      [_IQR])
+SQL["e16_group_dist"] = cat_sql(box_sql("cat", ["dataset"], "label_confidence"))
+_FIXED = """
+fb AS (SELECT cat.*, (CASE WHEN pred_confidence >= 0.3 THEN 1 ELSE 0 END) + (CASE WHEN pred_confidence >= 0.6 THEN 1 ELSE 0 END)
+                    + (CASE WHEN pred_confidence >= 0.9 THEN 1 ELSE 0 END) AS bucket FROM cat)"""
+SQL["e17_condition_group_dist"] = cat_sql(box_sql("fb", ["dataset", "bucket"], "sentence_len")
+                                          .replace("SELECT s.dataset, s.bucket,", "SELECT s.dataset, CAST(s.bucket AS BIGINT) AS bucket,"),
+                                          [_FIXED])
+SQL["e18_histogram"] = cat_sql("""
+SELECT c.dataset, CAST(CASE WHEN (r.mx - r.mn) / 10 > 0 THEN least(9, CAST(floor((c.label_confidence - r.mn) / ((r.mx - r.mn) / 10)) AS INTEGER))
+                       ELSE 0 END AS BIGINT) AS bin, count(*) AS count
+FROM cat c JOIN (SELECT dataset, min(label_confidence) AS mn, max(label_confidence) AS mx FROM cat GROUP BY dataset) r
+  ON c.dataset = r.dataset
+WHERE c.label_confidence IS NOT NULL
+GROUP BY 1, 2""")
+SQL["e19_scatter_points"] = cat_sql(f"""
+SELECT dataset, id, CAST(sentence_len AS BIGINT) AS sentence_len, {r6('label_confidence', 'label_confidence')},
+  CAST(num_label AS BIGINT) AS num_label, {r6('pred_confidence', 'pred_confidence')} FROM cat""")
+SQL["e20_bar_points"] = cat_sql(f"SELECT dataset, pred AS x, {r6('label_confidence', 'y')}, CAST(answer AS BIGINT) AS text FROM cat")
+SQL["e21_filter_contains"] = with_views(["pred_catalog"], """
+SELECT dataset, id FROM pred_catalog WHERE regexp_matches(sentence, 'qu[aeiou]')""")
+SQL["e22_filter_by_reference"] = cat_sql("""
+SELECT dataset, id, pred FROM cat
+WHERE id IN (SELECT id FROM cat WHERE dataset = 'm1' AND regexp_matches(pred, '^per:'))""")

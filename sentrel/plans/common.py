@@ -30,4 +30,4 @@ def join_ints(arr) -> Column:
 def join_doubles(arr, digits: int = 6) -> Column:
     """Double array as text with fixed decimals."""
     a = F.col(arr) if isinstance(arr, str) else arr
-    return F.array_join(F.transform(a, lambda x: F.format_string(f"%.{digits}f", x)), ",")
+    return F.array_join(F.transform(a, lambda x: F.format_string(f"%.{digits}f", F.bround(x, digits))), ",")

@@ -271,3 +271,245 @@ def d04(spark, sf_dir):
 def d05(spark, sf_dir):
     s = D.holdout(_augmented_raw(spark, sf_dir), rate=10, seed=42, group_safe=True)
     return finish(s.select("id", "variant", "label_id", "part"))
+
+
+# --- M: metrics ------------------------------------------------------------------
+
+from sentrel.functions.arrays import argmax, decode_probs, softmax  # noqa: E402
+from sentrel.operators import analysis as EA  # noqa: E402
+from sentrel.operators import metrics as M  # noqa: E402
+from sentrel.operators import scoring as I  # noqa: E402
+from sentrel.plans.common import join_doubles  # noqa: E402
+
+
+@register("m01_micro_f1")
+def m01(spark, sf_dir):
+    return finish(M.micro_f1(fx.re_scored(spark, sf_dir)))
+
+
+@register("m02_auprc")
+def m02(spark, sf_dir):
+    return finish(M.auprc(fx.re_scored(spark, sf_dir)))
+
+
+@register("m03_accuracy")
+def m03(spark, sf_dir):
+    return finish(M.accuracy(fx.re_scored(spark, sf_dir)))
+
+
+@register("m04_compute_metrics")
+def m04(spark, sf_dir):
+    return finish(M.compute_metrics(fx.re_scored(spark, sf_dir)))
+
+
+@register("m05_cross_entropy")
+def m05(spark, sf_dir):
+    return finish(M.cross_entropy(fx.re_scored(spark, sf_dir)))
+
+
+@register("m06_focal")
+def m06(spark, sf_dir):
+    return finish(M.focal(fx.re_scored(spark, sf_dir), gamma=2.0))
+
+
+@register("m07_label_smooth")
+def m07(spark, sf_dir):
+    return finish(M.label_smooth(fx.re_scored(spark, sf_dir), smoothing=0.1))
+
+
+@register("m08_soft_f1")
+def m08(spark, sf_dir):
+    return finish(M.soft_f1(fx.re_scored(spark, sf_dir)))
+
+
+@register("m09_plateau")
+def m09(spark, sf_dir):
+    p = M.plateau(fx.eval_history(spark, sf_dir), mode="min", patience=5)
+    return finish(p.select("run", "step", "best", "patience_cnt", "stop"))
+
+
+@register("m10_best_step")
+def m10(spark, sf_dir):
+    return finish(M.best_step(fx.eval_history(spark, sf_dir), mode="max", patience=5))
+
+
+# --- I: scoring ----------------------------------------------------------------------
+
+@register("i01_fit")
+def i01(spark, sf_dir):
+    m = _marked(spark, sf_dir)
+    model = I.fit_text(m, "sentence", "label_id", num_features=1 << 16, max_iter=10)
+    return finish(I.score(m, model).select("id", "prediction"))
+
+
+@register("i02_score")
+def i02(spark, sf_dir):
+    s = fx.re_scored(spark, sf_dir)
+    model = I.fit_vectors(s, "z", "label_id", max_iter=20)
+    lr = model.stages[-1]
+    coef = lr.coefficientMatrix.toArray()
+    icpt = lr.interceptVector.toArray()
+    ext = I.score_external(s, I.linear_loader(coef, icpt), "z", ["id"])
+    return finish(ext.select("id", argmax("logits").alias("prediction")))
+
+
+@register("i03_softmax")
+def i03(spark, sf_dir):
+    s = fx.re_scored(spark, sf_dir)
+    return finish(s.select("id", join_doubles(softmax("z")).alias("p")))
+
+
+@register("i04_argmax")
+def i04(spark, sf_dir):
+    return finish(fx.re_scored(spark, sf_dir).select("id", argmax("z").alias("pred")))
+
+
+@register("i05_submission")
+def i05(spark, sf_dir):
+    return finish(I.submission(fx.re_scored(spark, sf_dir)))
+
+
+@register("i06_scored_dev")
+def i06(spark, sf_dir):
+    return finish(I.scored_dev(fx.re_scored(spark, sf_dir)).select("id", "label_id", "output_prob"))
+
+
+# --- E: analysis catalog --------------------------------------------------------------
+
+def _catalog(spark, sf_dir):
+    """Prediction catalog as written by the scorer, annotated (E03)."""
+    c = EA.with_output_prob(fx.pred_catalog(spark, sf_dir))
+    return EA.annotate(c, "label_id", "output_prob", ["sentence"])
+
+
+_FEAT = ["dataset", "id", "num_label", "num_pred", "pred", "pred_confidence", "label_confidence",
+         "answer", "sentence_space", "sentence_len", "sentence_token_num"]
+
+
+@register("e01_catalog_select")
+def e01(spark, sf_dir):
+    cat = EA.Catalog(fx.pred_catalog(spark, sf_dir)).enable(["m0", "m2"])
+    return finish(cat.view().select("dataset", "id", "label_id"))
+
+
+@register("e02_catalog_list")
+def e02(spark, sf_dir):
+    return finish(EA.Catalog(fx.pred_catalog(spark, sf_dir)).datasets())
+
+
+@register("e03_column_roles")
+def e03(spark, sf_dir):
+    return finish(_catalog(spark, sf_dir).select(*_FEAT))
+
+
+@register("e04_describe")
+def e04(spark, sf_dir):
+    return finish(EA.describe(_catalog(spark, sf_dir), ["label_confidence", "pred_confidence", "sentence_len"]))
+
+
+@register("e05_decode_probs")
+def e05(spark, sf_dir):
+    c = EA.with_output_prob(fx.pred_catalog(spark, sf_dir))
+    return finish(c.select("dataset", "id", join_doubles(decode_probs("output_prob")).alias("probs")))
+
+
+@register("e06_prediction_features")
+def e06(spark, sf_dir):
+    c = EA.with_output_prob(fx.pred_catalog(spark, sf_dir)).withColumn("_p", decode_probs("output_prob"))
+    f = EA.prediction_features(c, "_p", "label_id")
+    return finish(f.select("dataset", "id", "num_label", "num_pred", "pred", "pred_confidence",
+                           "label_confidence", "answer"))
+
+
+@register("e07_text_features")
+def e07(spark, sf_dir):
+    t = EA.text_features(fx.pred_catalog(spark, sf_dir), "sentence")
+    return finish(t.select("dataset", "id", "sentence_space", "sentence_len", "sentence_token_num"))
+
+
+@register("e08_iqr_thresholds")
+def e08(spark, sf_dir):
+    th = EA.iqr_thresholds(_catalog(spark, sf_dir), "sentence_len")
+    return finish(th.select("dataset", *[F.col("th")[i].alias(f"t{i}") for i in range(4)]))
+
+
+@register("e09_percentile_thresholds")
+def e09(spark, sf_dir):
+    th = EA.thresholds(_catalog(spark, sf_dir), "label_confidence", [0.1, 0.5, 0.9], percentile=True)
+    return finish(th.select("dataset", *[F.col("th")[i].alias(f"t{i}") for i in range(3)]))
+
+
+def _bucketed(spark, sf_dir):
+    c = _catalog(spark, sf_dir)
+    return EA.bucketize(c, "sentence_len", EA.iqr_thresholds(c, "sentence_len"))
+
+
+@register("e10_bucketize")
+def e10(spark, sf_dir):
+    return finish(_bucketed(spark, sf_dir).select("dataset", "id", "bucket"))
+
+
+@register("e11_bucket_labels")
+def e11(spark, sf_dir):
+    c = _catalog(spark, sf_dir)
+    return finish(EA.bucket_labels(EA.iqr_thresholds(c, "sentence_len")))
+
+
+@register("e12_bucket_stats")
+def e12(spark, sf_dir):
+    return finish(EA.bucket_stats(_bucketed(spark, sf_dir), ["label_confidence", "answer"]))
+
+
+@register("e13_bucket_pearson")
+def e13(spark, sf_dir):
+    return finish(EA.bucket_stats(_bucketed(spark, sf_dir), [("pred_confidence", "label_confidence")]))
+
+
+@register("e14_group_stats")
+def e14(spark, sf_dir):
+    return finish(EA.group_stats(_catalog(spark, sf_dir), "num_label", "label_confidence"))
+
+
+@register("e15_conditional_dist")
+def e15(spark, sf_dir):
+    return finish(EA.conditional_dist(_catalog(spark, sf_dir), "sentence_len", "label_confidence"))
+
+
+@register("e16_group_dist")
+def e16(spark, sf_dir):
+    return finish(EA.group_dist(_catalog(spark, sf_dir), "label_confidence"))
+
+
+@register("e17_condition_group_dist")
+def e17(spark, sf_dir):
+    return finish(EA.condition_group_dist(_catalog(spark, sf_dir), "pred_confidence", "sentence_len",
+                                          [0.3, 0.6, 0.9]))
+
+
+@register("e18_histogram")
+def e18(spark, sf_dir):
+    return finish(EA.histogram(_catalog(spark, sf_dir), "label_confidence", 10))
+
+
+@register("e19_scatter_points")
+def e19(spark, sf_dir):
+    s = EA.scatter_points(_catalog(spark, sf_dir), "sentence_len", "label_confidence", "num_label",
+                          "pred_confidence")
+    return finish(s)
+
+
+@register("e20_bar_points")
+def e20(spark, sf_dir):
+    return finish(EA.bar_points(_catalog(spark, sf_dir), "pred", "label_confidence", "answer"))
+
+
+@register("e21_filter_contains")
+def e21(spark, sf_dir):
+    f = EA.filter_contains(fx.pred_catalog(spark, sf_dir), "sentence", "qu[aeiou]")
+    return finish(f.select("dataset", "id"))
+
+
+@register("e22_filter_by_reference")
+def e22(spark, sf_dir):
+    f = EA.filter_contains(_catalog(spark, sf_dir), "pred", "^per:", ref="m1")
+    return finish(f.select("dataset", "id", "pred"))
