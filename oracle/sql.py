@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.views import BIG, label_values, mark, with_views
+from oracle.views import BIG, label_values, mark, type_id_case, with_views
 
 SQL: dict[str, str] = {}
 
@@ -446,3 +446,100 @@ SELECT dataset, id FROM pred_catalog WHERE regexp_matches(sentence, 'qu[aeiou]')
 SQL["e22_filter_by_reference"] = cat_sql("""
 SELECT dataset, id, pred FROM cat
 WHERE id IN (SELECT id FROM cat WHERE dataset = 'm1' AND regexp_matches(pred, '^per:'))""")
+
+# --- F ---------------------------------------------------------------------------
+
+_TOK = "list_filter(string_split_regex(regexp_replace({s}, '([@*#^])', ' \\1 ', 'g'), '\\s+'), lambda x: x <> '')"
+_SPEC = "(SELECT * FROM (VALUES ('[PAD]', 0), ('[UNK]', 1), ('[CLS]', 2), ('[SEP]', 3), ('[MASK]', 4)) t(token, token_id))"
+_VOCAB = f"""
+tk AS (SELECT id, label_id, subject_type, object_type, {_TOK.format(s='sentence')} AS tokens,
+              {_TOK.format(s="concat('@*', subject_type, '*', subject_entity, '@와 #^', object_type, '^', object_entity, '#의 관계는 무엇인가요?')")} AS qtokens
+       FROM marked),
+mk0 AS (SELECT DISTINCT unnest([concat('[SUBJ-', subject_code, ']'), concat('[/SUBJ-', subject_code, ']'),
+                                concat('[OBJ-', object_code, ']'), concat('[/OBJ-', object_code, ']')]) AS token FROM loose),
+mk AS (SELECT token, CAST(row_number() OVER (ORDER BY token) - 1 + 5 AS INTEGER) AS token_id
+       FROM mk0 WHERE token NOT IN (SELECT token FROM {_SPEC})),
+cnt AS (SELECT token, count(*) AS count FROM (SELECT unnest(tokens) AS token FROM tk) GROUP BY token),
+top AS (SELECT token, count, CAST(row_number() OVER (ORDER BY count DESC, token) - 1 + 5 + (SELECT count(*) FROM mk) AS INTEGER) AS token_id
+        FROM cnt WHERE token NOT IN (SELECT token FROM {_SPEC}) AND token NOT IN (SELECT token FROM mk)),
+vocab AS (SELECT token, token_id, CAST(NULL AS BIGINT) AS count FROM {_SPEC}
+          UNION ALL SELECT token, token_id, NULL FROM mk
+          UNION ALL SELECT token, token_id, count FROM top WHERE token_id < 5000),
+enc_l AS (SELECT t.id, u.pos, coalesce(v.token_id, 1) AS tid
+          FROM (SELECT id, unnest(tokens[1:254]) AS tok, unnest(range(0, len(tokens[1:254]))) AS pos FROM tk) u
+          JOIN tk t ON t.id = u.id LEFT JOIN vocab v ON u.tok = v.token),
+enc AS (SELECT id, [2] || list(tid ORDER BY pos) || [3] AS ids FROM enc_l GROUP BY id),
+encp AS (SELECT id, ids || list_transform(range(0, 256 - len(ids)), lambda x: 0) AS ids FROM enc)"""
+
+
+def fsql(body: str, extra: list[str] | None = None) -> str:
+    return with_views(["marked"], body, [_LOOSE, _VOCAB] + (extra or []))
+
+
+SQL["f01_build_vocab"] = fsql("SELECT token, CAST(token_id AS BIGINT) AS token_id, count FROM vocab")
+SQL["f02_encode"] = fsql("SELECT id, array_to_string(ids, ',') AS input_ids FROM encp")
+SQL["f04_masks"] = fsql("""
+SELECT id, array_to_string(list_transform(ids, lambda x: CASE WHEN x <> 0 THEN 1 ELSE 0 END), ',') AS attention_mask,
+       array_to_string(list_transform(ids, lambda x: 0), ',') AS token_type_ids FROM encp""")
+SQL["f08_position_ids"] = fsql("""
+SELECT id, array_to_string(list(CASE WHEN x <> 0 THEN c ELSE 0 END ORDER BY pos), ',') AS position_ids
+FROM (SELECT id, x, pos, sum(CASE WHEN x <> 0 THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY pos) AS c
+      FROM (SELECT id, unnest(ids) AS x, unnest(range(0, len(ids))) AS pos FROM encp))
+GROUP BY id""")
+_PAIR = """
+pr0 AS (SELECT id, tokens AS a, qtokens AS b, len(tokens) AS la, len(qtokens) AS lb FROM tk),
+pr1 AS (SELECT *, greatest(0, la + lb + 3 - 256) AS ex FROM pr0),
+pr2 AS (SELECT *, least(abs(la - lb), ex) AS fst FROM pr1),
+pr3 AS (SELECT *, CASE WHEN la > lb THEN fst + (ex - fst) // 2 ELSE (ex - fst) // 2 END AS acut,
+                  CASE WHEN la > lb THEN (ex - fst) - (ex - fst) // 2 ELSE fst + (ex - fst) - (ex - fst) // 2 END AS bcut FROM pr2),
+pr AS (SELECT id, a[1:la - acut] AS a, b[1:lb - bcut] AS b FROM pr3)"""
+SQL["f03_encode_pair"] = fsql("""
+SELECT id, array_to_string(ids || list_transform(range(0, 256 - len(ids)), lambda x: 0), ',') AS input_ids,
+       array_to_string(tt || list_transform(range(0, 256 - len(tt)), lambda x: 0), ',') AS token_type_ids
+FROM (SELECT id, [2] || list(tid ORDER BY seg, pos) FILTER (WHERE seg = 0) || [3]
+                 || coalesce(list(tid ORDER BY seg, pos) FILTER (WHERE seg = 1), []) || [3] AS ids,
+             list_transform(range(0, count(*) FILTER (WHERE seg = 0) + 2), lambda x: 0)
+               || list_transform(range(0, count(*) FILTER (WHERE seg = 1) + 1), lambda x: 1) AS tt
+      FROM (SELECT u.id, u.seg, u.pos, coalesce(v.token_id, 1) AS tid
+            FROM (SELECT id, 0 AS seg, unnest(a) AS tok, unnest(range(0, len(a))) AS pos FROM pr
+                  UNION ALL SELECT id, 1, unnest(b), unnest(range(0, len(b))) FROM pr) u
+            LEFT JOIN vocab v ON u.tok = v.token)
+      GROUP BY id)""", [_PAIR])
+_LOC = """
+ft AS (SELECT id, subject_type, object_type, ['[CLS]'] || tokens[1:254] || ['[SEP]'] AS t FROM tk),
+fp AS (SELECT *, coalesce(list_filter(range(0, len(t)), lambda i: t[i + 1] = '*')[-1], -1) AS s1,
+                 coalesce(list_filter(range(0, len(t)), lambda i: t[i + 1] = '@')[-1], -1) AS s2,
+                 coalesce(list_filter(range(0, len(t)), lambda i: t[i + 1] = '^')[-1], -1) AS o1,
+                 coalesce(list_filter(range(0, len(t)), lambda i: t[i + 1] = '#')[-1], -1) AS o2 FROM ft),
+loc AS (SELECT id, subject_type, object_type, list_transform(range(0, 256), lambda i:
+          CASE WHEN i > o1 AND i < o2 THEN 2 WHEN i > s1 AND i < s2 THEN 1 ELSE 0 END) AS l FROM fp)"""
+SQL["f05_entity_loc_ids"] = fsql("SELECT id, array_to_string(l, ',') AS entity_loc_ids FROM loc", [_LOC])
+SQL["f07_entity_type_ids"] = fsql(f"""
+SELECT id, array_to_string(list_transform(l, lambda x: CASE WHEN x = 1 THEN {type_id_case('subject_type')}
+                                                      WHEN x = 2 THEN {type_id_case('object_type')} ELSE 0 END), ',')
+       AS entity_type_ids FROM loc""", [_LOC])
+_LOC2 = """
+pf AS (SELECT id, ['[CLS]'] || a || ['[SEP]'] || b || ['[SEP]'] AS t FROM pr),
+pp AS (SELECT id, list_filter(range(0, len(t)), lambda i: t[i + 1] = '*') AS st, list_filter(range(0, len(t)), lambda i: t[i + 1] = '@') AS sa,
+                 list_filter(range(0, len(t)), lambda i: t[i + 1] = '^') AS ot, list_filter(range(0, len(t)), lambda i: t[i + 1] = '#') AS oh FROM pf),
+pq AS (SELECT id, coalesce(st[2], -1) AS s2a, coalesce(sa[2], -1) AS s2b, coalesce(st[4], -1) AS s4a, coalesce(sa[4], -1) AS s4b,
+                  coalesce(ot[2], -1) AS o2a, coalesce(oh[2], -1) AS o2b, coalesce(ot[4], -1) AS o4a, coalesce(oh[4], -1) AS o4b FROM pp)"""
+SQL["f06_entity_loc_ids_pair"] = fsql("""
+SELECT id, array_to_string(list_transform(range(0, 256), lambda i:
+  CASE WHEN i > o4a AND i < o4b THEN 2 WHEN i > o2a AND i < o2b THEN 2
+       WHEN i > s4a AND i < s4b THEN 1 WHEN i > s2a AND i < s2b THEN 1 ELSE 0 END), ',') AS entity_loc_ids FROM pq""",
+                                      [_PAIR, _LOC2])
+_SPAN = """
+sv AS (SELECT id, loc, dim, avg(x) AS m
+       FROM (SELECT id, loc, unnest(vec) AS x, unnest(range(0, len(vec))) AS dim FROM span_vectors WHERE loc IN (1, 2))
+       GROUP BY id, loc, dim),
+smean AS (SELECT id, loc, list(m ORDER BY dim) AS mean FROM sv GROUP BY id, loc)"""
+SQL["f09_span_mean"] = with_views(["span_vectors"], """
+SELECT id, CAST(loc AS BIGINT) AS loc, array_to_string(list_transform(mean, lambda x: printf('%.6f', x)), ',') AS mean
+FROM smean""", [_SPAN])
+SQL["f10_concat_features"] = with_views(["span_vectors"], """
+SELECT c.id, CASE WHEN s.mean IS NULL OR o.mean IS NULL THEN NULL
+                  ELSE array_to_string(list_transform(c.cls || s.mean || o.mean, lambda x: printf('%.6f', x)), ',') END AS features
+FROM (SELECT id, arg_min(vec, pos) AS cls FROM span_vectors GROUP BY id) c
+LEFT JOIN (SELECT id, mean FROM smean WHERE loc = 1) s ON c.id = s.id
+LEFT JOIN (SELECT id, mean FROM smean WHERE loc = 2) o ON c.id = o.id""", [_SPAN])

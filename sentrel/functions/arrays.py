@@ -40,7 +40,8 @@ def argmax(z) -> Column:
 
 def at(z, idx) -> Column:
     """Element at a 0-based index (NULL when out of range)."""
-    return F.try_element_at(_c(z), (_c(idx) + 1).cast("int"))
+    i = _c(idx)
+    return F.when(i >= 0, F.try_element_at(_c(z), (i + 1).cast("int")))
 
 
 def decode_probs(text) -> Column:

@@ -513,3 +513,96 @@ def e21(spark, sf_dir):
 def e22(spark, sf_dir):
     f = EA.filter_contains(_catalog(spark, sf_dir), "pred", "^per:", ref="m1")
     return finish(f.select("dataset", "id", "pred"))
+
+
+# --- F: features --------------------------------------------------------------------
+
+from sentrel.operators import features as FT  # noqa: E402
+
+VOCAB_SIZE = 5000
+
+
+def _vocab(spark, sf_dir, marked=None):
+    m = marked if marked is not None else _marked(spark, sf_dir)
+    extra = P.marker_vocab(P.parse_loose(fx.re_raw(spark, sf_dir)))
+    return FT.build_vocab(FT.tokens(m), VOCAB_SIZE, extra)
+
+
+def _encoded(spark, sf_dir):
+    m = _marked(spark, sf_dir)
+    return FT.encode(m, _vocab(spark, sf_dir, m))
+
+
+@register("f01_build_vocab")
+def f01(spark, sf_dir):
+    return finish(_vocab(spark, sf_dir))
+
+
+@register("f02_encode")
+def f02(spark, sf_dir):
+    e = _encoded(spark, sf_dir)
+    return finish(e.select("id", join_ints("input_ids").alias("input_ids")))
+
+
+@register("f03_encode_pair")
+def f03(spark, sf_dir):
+    m = _marked(spark, sf_dir)
+    q = P.question(m.withColumnRenamed("subject_entity", "subject_word")
+                   .withColumnRenamed("object_entity", "object_word"))
+    e = FT.encode_pair(q, _vocab(spark, sf_dir, m), second="question")
+    return finish(e.select("id", join_ints("input_ids").alias("input_ids"),
+                           join_ints("token_type_ids").alias("token_type_ids")))
+
+
+@register("f04_masks")
+def f04(spark, sf_dir):
+    e = FT.masks(_encoded(spark, sf_dir))
+    return finish(e.select("id", join_ints("attention_mask").alias("attention_mask"),
+                           join_ints("token_type_ids").alias("token_type_ids")))
+
+
+@register("f05_entity_loc_ids")
+def f05(spark, sf_dir):
+    e = FT.entity_loc_ids(_marked(spark, sf_dir))
+    return finish(e.select("id", join_ints("entity_loc_ids").alias("entity_loc_ids")))
+
+
+@register("f06_entity_loc_ids_pair")
+def f06(spark, sf_dir):
+    m = _marked(spark, sf_dir)
+    q = P.question(m.withColumnRenamed("subject_entity", "subject_word")
+                   .withColumnRenamed("object_entity", "object_word"))
+    e = FT.entity_loc_ids_pair(q, second="question")
+    return finish(e.select("id", join_ints("entity_loc_ids").alias("entity_loc_ids")))
+
+
+@register("f07_entity_type_ids")
+def f07(spark, sf_dir):
+    e = FT.entity_type_ids(FT.entity_loc_ids(_marked(spark, sf_dir)))
+    return finish(e.select("id", join_ints("entity_type_ids").alias("entity_type_ids")))
+
+
+@register("f08_position_ids")
+def f08(spark, sf_dir):
+    e = _encoded(spark, sf_dir)
+    return finish(e.select("id", join_ints(FT.position_ids("input_ids")).alias("position_ids")))
+
+
+@register("f09_span_mean")
+def f09(spark, sf_dir):
+    s = FT.span_mean(fx.span_vectors(spark, sf_dir))
+    return finish(s.select("id", "loc", join_doubles("mean").alias("mean")))
+
+
+@register("f10_concat_features")
+def f10(spark, sf_dir):
+    c = FT.concat_features(fx.span_vectors(spark, sf_dir))
+    return finish(c.select("id", join_doubles("features").alias("features")))
+
+
+@register("f11_to_examples")
+def f11(spark, sf_dir):
+    m = _marked(spark, sf_dir)
+    e = FT.masks(FT.encode(m, _vocab(spark, sf_dir, m)))
+    e = e.join(FT.entity_loc_ids(m).select("id", "entity_loc_ids", "label_id"), "id")
+    return FT.to_examples(e.withColumn("position_ids", FT.position_ids("input_ids")))
