@@ -38,15 +38,17 @@ def aeda_ctes(src: str, salt: str, draws: int, name: str) -> list[str]:
   SELECT *, len(tok) AS n, {p} AS pr FROM {name}_p, (SELECT unnest(range(1, {draws + 1})) AS draw) dd)""",
         f"""{name}_k AS (
   SELECT *, least(n, 1 + {h(salt + ':q', *key)} % CAST(floor(pr * n + 1) AS BIGINT)) AS q,
-         list_transform(range(0, n), lambda j: {h(salt + ':pos', *key, 'j')}) AS keys
+         list_transform(range(0, n), lambda j: md5(concat_ws(':', '{salt}:pos', CAST(id AS VARCHAR),
+             CAST(variant AS VARCHAR), CAST(draw AS VARCHAR), CAST(j AS VARCHAR)))) AS mds
   FROM {name}_d)""",
         f"""{name}_t AS (
-  SELECT *, list_sort(list_transform(range(0, n), lambda j: {{'k': keys[j + 1], 'j': j}}))[q] AS thr
+  SELECT *, list_sort(list_transform(range(0, n), lambda j: {{'k': CAST(('0x' || substr(mds[j + 1], 1, 8)) AS BIGINT), 'j': j}}))[q] AS thr
   FROM {name}_k)""",
         f"""{name} AS (
   SELECT *, trim(regexp_replace({restore(f'''array_to_string(list_transform(range(0, n), lambda j:
-      CASE WHEN keys[j + 1] < thr.k OR (keys[j + 1] = thr.k AND j <= thr.j)
-           THEN {PUNCT}[{h(salt + ':punct', *key, 'j')} % 6 + 1] || ' ' || tok[j + 1]
+      CASE WHEN CAST(('0x' || substr(mds[j + 1], 1, 8)) AS BIGINT) < thr.k
+             OR (CAST(('0x' || substr(mds[j + 1], 1, 8)) AS BIGINT) = thr.k AND j <= thr.j)
+           THEN {PUNCT}[CAST(('0x' || substr(mds[j + 1], 9, 8)) AS BIGINT) % 6 + 1] || ' ' || tok[j + 1]
            ELSE tok[j + 1] END), ' ')''')}, '\\s+', ' ', 'g')) AS new_sentence
   FROM {name}_t)""",
     ]

@@ -166,7 +166,7 @@ nvk AS (SELECT id, variant * 2 + k AS variant, new_sentence AS sentence FROM nv2
 
 SQL["a05_n_variants"] = with_views(["marked"], """
 SELECT id, CAST(variant AS BIGINT) AS variant, sentence FROM nvk""",
-                                   [_M0] + aeda_ctes("m0", "aeda", 8, "ae8") + [_NV])
+                                   [_M0] + aeda_ctes("m0", "aeda", 3, "ae8") + [_NV])
 
 SQL["a06_entity_intact"] = with_views(["marked"], """
 SELECT a.id, CAST(a.variant AS BIGINT) AS variant, CAST(a.draw AS BIGINT) AS draw, a.new_sentence AS sentence
@@ -193,7 +193,7 @@ SQL["a10_carry_label"] = with_views(["marked"], """
 SELECT id, CAST(variant AS BIGINT) AS variant, label, CAST(label_id AS BIGINT) AS label_id FROM m0
 UNION ALL
 SELECT n.id, CAST(n.variant AS BIGINT), m0.label, CAST(m0.label_id AS BIGINT)
-FROM nvk n JOIN m0 ON n.id = m0.id""", [_M0] + aeda_ctes("m0", "aeda", 8, "ae8") + [_NV])
+FROM nvk n JOIN m0 ON n.id = m0.id""", [_M0] + aeda_ctes("m0", "aeda", 3, "ae8") + [_NV])
 
 # --- D ---------------------------------------------------------------------------
 
@@ -543,3 +543,13 @@ SELECT c.id, CASE WHEN s.mean IS NULL OR o.mean IS NULL THEN NULL
 FROM (SELECT id, arg_min(vec, pos) AS cls FROM span_vectors GROUP BY id) c
 LEFT JOIN (SELECT id, mean FROM smean WHERE loc = 1) s ON c.id = s.id
 LEFT JOIN (SELECT id, mean FROM smean WHERE loc = 2) o ON c.id = o.id""", [_SPAN])
+
+# --- S ---------------------------------------------------------------------------
+
+SQL["s01_csv_scan"] = with_views(["re_raw"], "SELECT id, sentence, subject_entity, object_entity, label, source FROM re_raw")
+SQL["s02_csv_scan_index"] = SQL["s01_csv_scan"]
+SQL["s03_load_catalog"] = cat_sql("SELECT dataset, id, CAST(label_id AS BIGINT) AS label_id, output_prob FROM cat")
+SQL["s05_csv_sink"] = with_views(["marked"], """
+SELECT id, sentence, subject_entity, object_entity, subject_type, object_type, label,
+  '[' || array_to_string(subject_idx, ',') || ']' AS subject_idx, '[' || array_to_string(object_idx, ',') || ']' AS object_idx
+FROM marked""")

@@ -207,7 +207,7 @@ def a04(spark, sf_dir):
 
 @register("a05_n_variants")
 def a05(spark, sf_dir):
-    v = A.n_variants(_marked(spark, sf_dir), check_num=2, salt="aeda", draws=8)
+    v = A.n_variants(_marked(spark, sf_dir), check_num=2, salt="aeda")
     return finish(v.select("id", "variant", "sentence"))
 
 
@@ -240,7 +240,7 @@ def a09(spark, sf_dir):
 @register("a10_carry_label")
 def a10(spark, sf_dir):
     m = _marked(spark, sf_dir)
-    aug = A.append_variants(m, A.n_variants(m, check_num=2, salt="aeda", draws=8))
+    aug = A.append_variants(m, A.n_variants(m, check_num=2, salt="aeda"))
     return finish(aug.select("id", "variant", "label", "label_id"))
 
 
@@ -279,7 +279,7 @@ from sentrel.functions.arrays import argmax, decode_probs, softmax  # noqa: E402
 from sentrel.operators import analysis as EA  # noqa: E402
 from sentrel.operators import metrics as M  # noqa: E402
 from sentrel.operators import scoring as I  # noqa: E402
-from sentrel.plans.common import join_doubles  # noqa: E402
+from sentrel.plans.common import join_doubles, materialize  # noqa: E402
 
 
 @register("m01_micro_f1")
@@ -377,9 +377,10 @@ def i06(spark, sf_dir):
 # --- E: analysis catalog --------------------------------------------------------------
 
 def _catalog(spark, sf_dir):
-    """Prediction catalog as written by the scorer, annotated (E03)."""
+    """Prediction catalog as written by the scorer, annotated (E03) and
+    materialised once: the analyses read it from several branches."""
     c = EA.with_output_prob(fx.pred_catalog(spark, sf_dir))
-    return EA.annotate(c, "label_id", "output_prob", ["sentence"])
+    return materialize(EA.annotate(c, "label_id", "output_prob", ["sentence"]).drop("z"))
 
 
 _FEAT = ["dataset", "id", "num_label", "num_pred", "pred", "pred_confidence", "label_confidence",
@@ -606,3 +607,52 @@ def f11(spark, sf_dir):
     e = FT.masks(FT.encode(m, _vocab(spark, sf_dir, m)))
     e = e.join(FT.entity_loc_ids(m).select("id", "entity_loc_ids", "label_id"), "id")
     return FT.to_examples(e.withColumn("position_ids", FT.position_ids("input_ids")))
+
+
+# --- S: sources and sinks (round trips through the shared work folder) --------------
+
+from sentrel.schema import RAW_SCHEMA  # noqa: E402
+from sentrel.session import scratch_path  # noqa: E402
+from sentrel.sources.files import load_catalog, read_re_csv, write_csv  # noqa: E402
+
+_RAW_COLS = [f.name for f in RAW_SCHEMA.fields]
+
+
+@register("s01_csv_scan")
+def s01(spark, sf_dir):
+    path = scratch_path(spark, "raw-csv")
+    write_csv(fx.re_raw(spark, sf_dir).select(*_RAW_COLS), path)
+    return finish(read_re_csv(spark, path))
+
+
+@register("s02_csv_scan_index")
+def s02(spark, sf_dir):
+    path = scratch_path(spark, "raw-csv-index")
+    raw = fx.re_raw(spark, sf_dir)
+    write_csv(raw.select(F.col("id").alias("_index"), *_RAW_COLS), path)
+    return finish(read_re_csv(spark, path, index_col=True))
+
+
+@register("s03_load_catalog")
+def s03(spark, sf_dir):
+    path = scratch_path(spark, "catalog")
+    cat = EA.with_output_prob(fx.pred_catalog(spark, sf_dir)).select("dataset", "id", "label_id", "output_prob")
+    write_csv(cat, path, partition_by="dataset")
+    schema = "id bigint, label_id int, output_prob string"
+    from pyspark.sql.types import _parse_datatype_string
+    loaded = load_catalog(spark, path, _parse_datatype_string(schema), name_from="partition")
+    return finish(loaded.select("dataset", "id", "label_id", "output_prob"))
+
+
+@register("s05_csv_sink")
+def s05(spark, sf_dir):
+    path = scratch_path(spark, "marked-csv")
+    write_csv(_marked(spark, sf_dir).select(*["id", "sentence", "subject_entity", "object_entity",
+                                              "subject_type", "object_type", "label", "subject_idx",
+                                              "object_idx"]), path)
+    schema = ("id bigint, sentence string, subject_entity string, object_entity string, subject_type string, "
+              "object_type string, label string, subject_idx string, object_idx string")
+    from pyspark.sql.types import _parse_datatype_string
+    back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"') \
+        .schema(_parse_datatype_string(schema)).csv(path)
+    return finish(back)
