@@ -181,6 +181,13 @@ def _augmented_raw(spark, sf_dir):
     return A.append_variants(raw, A.reanchor(raw, fx.variants(spark, sf_dir, raw)))
 
 
+def _split_input(spark, sf_dir):
+    """The holdout reads its input in several branches (first row per id,
+    quotas, ranks, final join): write the keyed input once."""
+    from sentrel.plans.common import materialize
+    return materialize(D.shuffle_key(_augmented_raw(spark, sf_dir)))
+
+
 @register("a01_reanchor")
 def a01(spark, sf_dir):
     r = _reanchored(spark, sf_dir)
@@ -253,23 +260,23 @@ def d01(spark, sf_dir):
 
 @register("d02_quota")
 def d02(spark, sf_dir):
-    return finish(D.quota(_augmented_raw(spark, sf_dir), 10, "label_id"))
+    return finish(D.quota(_split_input(spark, sf_dir), 10, "label_id"))
 
 
 @register("d03_holdout")
 def d03(spark, sf_dir):
-    s = D.holdout(_augmented_raw(spark, sf_dir), rate=10, seed=42)
+    s = D.holdout(_split_input(spark, sf_dir), rate=10, seed=42)
     return finish(s.select("id", "variant", "label_id", "part"))
 
 
 @register("d04_split_counts")
 def d04(spark, sf_dir):
-    return finish(D.split_counts(D.holdout(_augmented_raw(spark, sf_dir), rate=10, seed=42)))
+    return finish(D.split_counts(D.holdout(_split_input(spark, sf_dir), rate=10, seed=42)))
 
 
 @register("d05_holdout_group_safe")
 def d05(spark, sf_dir):
-    s = D.holdout(_augmented_raw(spark, sf_dir), rate=10, seed=42, group_safe=True)
+    s = D.holdout(_split_input(spark, sf_dir), rate=10, seed=42, group_safe=True)
     return finish(s.select("id", "variant", "label_id", "part"))
 
 
@@ -529,8 +536,15 @@ def _vocab(spark, sf_dir, marked=None):
     return FT.build_vocab(FT.tokens(m), VOCAB_SIZE, extra)
 
 
+def _marked_once(spark, sf_dir):
+    """Marked table written once, for plans that read it in several branches
+    (vocabulary and encoding)."""
+    from sentrel.plans.common import materialize
+    return materialize(_marked(spark, sf_dir))
+
+
 def _encoded(spark, sf_dir):
-    m = _marked(spark, sf_dir)
+    m = _marked_once(spark, sf_dir)
     return FT.encode(m, _vocab(spark, sf_dir, m))
 
 
@@ -547,7 +561,7 @@ def f02(spark, sf_dir):
 
 @register("f03_encode_pair")
 def f03(spark, sf_dir):
-    m = _marked(spark, sf_dir)
+    m = _marked_once(spark, sf_dir)
     q = P.question(m.withColumnRenamed("subject_entity", "subject_word")
                    .withColumnRenamed("object_entity", "object_word"))
     e = FT.encode_pair(q, _vocab(spark, sf_dir, m), second="question")
@@ -603,7 +617,7 @@ def f10(spark, sf_dir):
 
 @register("f11_to_examples")
 def f11(spark, sf_dir):
-    m = _marked(spark, sf_dir)
+    m = _marked_once(spark, sf_dir)
     e = FT.masks(FT.encode(m, _vocab(spark, sf_dir, m)))
     e = e.join(FT.entity_loc_ids(m).select("id", "entity_loc_ids", "label_id"), "id")
     return FT.to_examples(e.withColumn("position_ids", FT.position_ids("input_ids")))
