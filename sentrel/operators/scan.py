@@ -39,9 +39,10 @@ def range_bucket(df: DataFrame, x: str, nb: int, descending: bool = False) -> Co
     """Equal-width bucket of ``x`` over its global range (one scalar subquery).
 
     Monotone in ``x`` (or in ``-x`` when ``descending``)."""
-    stats = df.agg(F.min(F.col(x).cast("double")), F.max(F.col(x).cast("double")))
-    lo = stats.select(F.col(stats.columns[0])).scalar()
-    hi = stats.select(F.col(stats.columns[1])).scalar()
+    # one scalar subquery (min and max in one pass); identical ones are reused
+    stats = df.agg(F.struct(F.min(F.col(x).cast("double")).alias("lo"),
+                            F.max(F.col(x).cast("double")).alias("hi")).alias("s")).scalar()
+    lo, hi = stats.getField("lo"), stats.getField("hi")
     width = hi - lo
     raw = F.when(width > 0, F.floor((F.col(x).cast("double") - lo) / width * nb)).otherwise(F.lit(0))
     b = F.least(F.lit(nb - 1), F.greatest(F.lit(0), raw)).cast("int")
