@@ -31,11 +31,13 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for materialised tables: ``spark.checkpoint.dir`` if the
     cluster names one; otherwise (tests, local runs) a fresh local folder that
     is then also set as the checkpoint folder."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="sentrel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrel.functions.hashing import h
+from sentrel.operators.rows import keep_rows
 from sentrel.schema import label_dim
 
 _TYPES = ["PER", "ORG", "DAT", "LOC", "POH", "NOH"]
@@ -55,7 +56,8 @@ def re_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.filter(F.split(F.regexp_replace("line", "[@#*^'\":,{}]", " "), r"\s+"),
                      lambda x: x != "")
     a = lines.select((F.col("doc_id") * LINE_ID_FACTOR + F.col("line_no")).alias("id"),
-                     "source", words.alias("w")).where(F.size("w") >= 2)
+                     "source", words.alias("w"))
+    a = keep_rows(a, F.size("w") >= 2)  # not pushed below the tokenisation (computed once)
     a = a.withColumn("n", F.size("w"))
     # nullif: the optimizer may evaluate these before the size filter
     n, n1 = F.nullif(F.col("n"), F.lit(0)), F.nullif(F.col("n") - 1, F.lit(0))
