@@ -553,3 +553,13 @@ SQL["s05_csv_sink"] = with_views(["marked"], """
 SELECT id, sentence, subject_entity, object_entity, subject_type, object_type, label,
   '[' || array_to_string(subject_idx, ',') || ']' AS subject_idx, '[' || array_to_string(object_idx, ',') || ']' AS object_idx
 FROM marked""")
+
+SQL["f11_to_examples"] = fsql("""
+SELECT e.id, array_to_string(e.ids, ',') AS input_ids,
+  array_to_string(list_transform(e.ids, lambda x: CASE WHEN x <> 0 THEN 1 ELSE 0 END), ',') AS attention_mask,
+  array_to_string(list_transform(e.ids, lambda x: 0), ',') AS token_type_ids,
+  array_to_string(l.l, ',') AS entity_loc_ids,
+  array_to_string(list_transform(range(0, 256), lambda i: CASE WHEN e.ids[i + 1] <> 0 THEN i + 1 ELSE 0 END), ',')
+    AS position_ids,
+  CAST(t.label_id AS BIGINT) AS labels
+FROM encp e JOIN loc l ON e.id = l.id JOIN tk t ON e.id = t.id""", [_LOC])

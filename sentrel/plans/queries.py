@@ -620,7 +620,11 @@ def f11(spark, sf_dir):
     m = _marked_once(spark, sf_dir)
     e = FT.masks(FT.encode(m, _vocab(spark, sf_dir, m)))
     e = e.join(FT.entity_loc_ids(m).select("id", "entity_loc_ids", "label_id"), "id")
-    return FT.to_examples(e.withColumn("position_ids", FT.position_ids("input_ids")))
+    ex = FT.to_examples(e.withColumn("position_ids", FT.position_ids("input_ids")))
+    x = F.col("example")
+    return finish(ex.select("id", *[join_ints(x[c]).alias(c) for c in
+                                    ["input_ids", "attention_mask", "token_type_ids", "entity_loc_ids",
+                                     "position_ids"]], x["labels"].alias("labels")))
 
 
 # --- S: sources and sinks (round trips through the shared work folder) --------------
