@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentrel.functions.arrays import argmax, at, log_softmax, logsumexp, softmax
-from sentrel.operators.scan import n_buckets, range_bucket, running
+from sentrel.operators.scan import n_buckets, range_bucket, running, with_group_range_bucket
 
 
 def _c(x) -> Column:
@@ -53,9 +53,11 @@ def pr_points(df: DataFrame, z: str = "z", label: str = "label_id") -> DataFrame
         F.sum((F.col("_y") == F.col("cls")).cast("long")).alias("tp_c"),
         F.sum((F.col("_y") != F.col("cls")).cast("long")).alias("fp_c"))
     nb = n_buckets(df)
+    # per-class score ranges; one row per class (bounded by the score vector length)
+    pts = with_group_range_bucket(pts, ["cls"], "score", nb, descending=True, small_groups=True)
     return running(pts, ["cls"], [F.col("score").desc()],
                    [("tp", "sum", F.col("tp_c")), ("fp", "sum", F.col("fp_c"))],
-                   range_bucket(pts, "score", nb, descending=True))
+                   F.col("_gbkt")).drop("_gbkt")
 
 
 def auprc_per_class(df: DataFrame, z: str = "z", label: str = "label_id") -> DataFrame:

@@ -49,6 +49,26 @@ def range_bucket(df: DataFrame, x: str, nb: int, descending: bool = False) -> Co
     return (F.lit(nb - 1) - b).cast("int") if descending else b
 
 
+def with_group_range_bucket(df: DataFrame, group: Sequence[str], x: str, nb: int,
+                            descending: bool = False, small_groups: bool = False,
+                            name: str = "_gbkt") -> DataFrame:
+    """Add an equal-width bucket of ``x`` over each group's own range (groups
+    with very different ranges, e.g. stacked columns, are each split into
+    ``nb`` buckets). The per-group range table has one row per group; with
+    ``small_groups`` (a proven bound, e.g. classes) it is broadcast, otherwise
+    AQE decides at run time."""
+    group = list(group)
+    xd = F.col(x).cast("double")
+    stats = df.groupBy(*group).agg(F.min(xd).alias("_glo"), F.max(xd).alias("_ghi"))
+    d = df.join(F.broadcast(stats) if small_groups else stats, group)
+    width = F.col("_ghi") - F.col("_glo")
+    raw = F.when(width > 0, F.floor((xd - F.col("_glo")) / width * nb)).otherwise(F.lit(0))
+    b = F.least(F.lit(nb - 1), F.greatest(F.lit(0), raw)).cast("int")
+    if descending:
+        b = (F.lit(nb - 1) - b).cast("int")
+    return d.withColumn(name, b).drop("_glo", "_ghi")
+
+
 def running(df: DataFrame, group: Sequence[str], order: Sequence[Column],
             aggs: Sequence[tuple[str, str, Column]], bucket: Column,
             exclusive: bool = False) -> DataFrame:
@@ -107,7 +127,8 @@ def quantiles(df: DataFrame, group: Sequence[str], x: str, probs: Sequence[float
     names = list(names or [f"q{i}" for i in range(len(probs))])
     nb = nb or n_buckets(df)
     v = df.where(F.col(x).isNotNull()).groupBy(*group, x).agg(F.count(F.lit(1)).alias("_c"))
-    r = running(v, group, [F.col(x)], [("_cum", "sum", F.col("_c"))], range_bucket(v, x, nb))
+    v = with_group_range_bucket(v, group, x, nb)
+    r = running(v, group, [F.col(x)], [("_cum", "sum", F.col("_c"))], F.col("_gbkt")).drop("_gbkt")
     n = v.groupBy(*group).agg(F.sum("_c").alias("_n"))
     targets = []
     for i, p in enumerate(probs):
