@@ -84,3 +84,18 @@ def test_partition_independence(spark):
             assert sorted(D.holdout(aug.repartition(5)).select("id", "variant", "part").collect()) == base
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_hot_group_is_split_over_buckets(spark):
+    """A group holding ~40% of the rows is processed in many (group, bucket)
+    pieces: no piece holds more than a few percent of that group."""
+    df = skewed(spark, 20000)
+    nb = 64
+    b = S.hash_bucket(F.conv(F.substring(F.md5(F.col("o").cast("string")), 1, 8), 16, 10).cast("bigint"), nb)
+    sizes = df.where(F.col("g") == "hot").groupBy(b.alias("b")).count().collect()
+    hot = sum(r["count"] for r in sizes)
+    assert len(sizes) >= nb * 0.9
+    assert max(r["count"] for r in sizes) < 0.05 * hot
+    v = S.with_group_range_bucket(df, ["g"], "v", nb)
+    vs = v.where(F.col("g") == "hot").groupBy("_gbkt").count().collect()
+    assert len(vs) >= nb * 0.9 and max(r["count"] for r in vs) < 0.05 * hot
