@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentrel.functions.arrays import argmax, at, log_softmax, logsumexp, softmax
-from sentrel.operators.scan import n_buckets, range_bucket, running, with_group_range_bucket
+from sentrel.operators.scan import n_buckets, running, with_group_range_bucket
 
 
 def _c(x) -> Column:
@@ -139,21 +139,23 @@ def plateau(df: DataFrame, run: str = "run", step: str = "step", value: str = "v
     counter reaches ``patience`` and stays true."""
     if mode not in ("min", "max"):
         raise ValueError("mode can be 'min' or 'max' only.")
-    d = df.where(F.col(value) >= 0)
-    nb = n_buckets(d)
+    nb = n_buckets(df)
+    # buckets over each run's own step range (one stats row per run; AQE
+    # broadcasts it or splits a skewed join partition)
+    d = with_group_range_bucket(df.where(F.col(value) >= 0), [run], step, nb, name="_sb")
     kind = "min" if mode == "min" else "max"
     r = running(d, [run], [F.col(step)], [("_prev", kind, F.col(value)), ("_before", "sum", F.lit(1))],
-                range_bucket(d, step, nb), exclusive=True)
+                F.col("_sb"), exclusive=True)
     better = (F.col(value) < F.col("_prev")) if mode == "min" else (F.col(value) > F.col("_prev"))
     r = r.withColumn("rn", (F.col("_before") + 1).cast("long")) \
          .withColumn("best", F.col("_prev").isNull() | better)
     r = running(r, [run], [F.col(step)], [("_last", "max", F.when(F.col("best"), F.col("rn")).otherwise(0))],
-                range_bucket(d, step, nb))
+                F.col("_sb"))
     r = r.withColumn("patience_cnt", (F.col("rn") - F.col("_last")).cast("long"))
     first = r.where(F.col("patience_cnt") >= patience).groupBy(run).agg(F.min("rn").alias("_stop_rn"))
     r = r.join(first, run, "left")
     r = r.withColumn("stop", F.coalesce(F.col("rn") >= F.col("_stop_rn"), F.lit(False)))
-    return r.drop("_prev", "_before", "_last", "_stop_rn")
+    return r.drop("_prev", "_before", "_last", "_stop_rn", "_sb")
 
 
 def best_step(df: DataFrame, run: str = "run", step: str = "step", value: str = "value",
