@@ -127,9 +127,10 @@ def quantiles(df: DataFrame, group: Sequence[str], x: str, probs: Sequence[float
     names = list(names or [f"q{i}" for i in range(len(probs))])
     nb = nb or n_buckets(df)
     v = df.where(F.col(x).isNotNull()).groupBy(*group, x).agg(F.count(F.lit(1)).alias("_c"))
-    v = with_group_range_bucket(v, group, x, nb)
-    r = running(v, group, [F.col(x)], [("_cum", "sum", F.col("_c"))], F.col("_gbkt")).drop("_gbkt")
-    n = v.groupBy(*group).agg(F.sum("_c").alias("_n"))
+    # one row per group: value range (for the buckets), row count (for the
+    # target ranks); joined back once
+    xd = F.col(x).cast("double")
+    st = v.groupBy(*group).agg(F.min(xd).alias("_glo"), F.max(xd).alias("_ghi"), F.sum("_c").alias("_n"))
     targets = []
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
@@ -137,8 +138,12 @@ def quantiles(df: DataFrame, group: Sequence[str], x: str, probs: Sequence[float
                                 (F.floor(pos) + 1).cast("bigint").alias("lo"),
                                 (F.ceil(pos) + 1).cast("bigint").alias("hi"),
                                 (pos - F.floor(pos)).alias("frac")))
-    tg = n.select(*group, F.array(*targets).alias("_t"))
-    j = r.join(tg, group).withColumn("_start", F.col("_cum") - F.col("_c") + 1)
+    st = st.select(*group, "_glo", "_ghi", F.array(*targets).alias("_t"))
+    width = F.col("_ghi") - F.col("_glo")
+    raw = F.when(width > 0, F.floor((xd - F.col("_glo")) / width * nb)).otherwise(F.lit(0))
+    v = v.join(st, group).withColumn("_gbkt", F.least(F.lit(nb - 1), F.greatest(F.lit(0), raw)).cast("int"))
+    j = running(v, group, [F.col(x)], [("_cum", "sum", F.col("_c"))], F.col("_gbkt")) \
+        .withColumn("_start", F.col("_cum") - F.col("_c") + 1)
     inside = lambda p: (p >= F.col("_start")) & (p <= F.col("_cum"))
     hits = j.select(*group, F.col(x).cast("double").alias("_x"), "_start", "_cum",
                     F.explode(F.filter("_t", lambda t: inside(t["lo"]) | inside(t["hi"]))).alias("t"))
