@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -28,14 +29,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for materialised tables: ``spark.checkpoint.dir`` if the
-    cluster names one; otherwise (tests, local runs) a fresh local folder that
-    is then also set as the checkpoint folder."""
+    """Shared folder for materialised tables: ``spark.checkpoint.dir`` of the
+    session, or the folder its SparkContext was given. Without either, a local
+    master gets a fresh local folder (tests, trials); a cluster gets an error,
+    as its executors would not see the driver's folders."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[[^\]]*\])?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="sentrel-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
