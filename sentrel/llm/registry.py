@@ -6,7 +6,11 @@ from __future__ import annotations
 
 from sentrel.llm.exact_dedup import exact_dedup
 from sentrel.llm.mixing import mix_sources
+from sentrel.llm.packing import packed
+from sentrel.llm.pivot_join import embedding_links
 from sentrel.llm.shared import table
+from sentrel.llm.toxicity import toxicity
+from sentrel.llm.warc import warc_round_trip
 
 QUERIES = {}
 SQL = {}
@@ -19,6 +23,11 @@ def register(name: str):
     return deco
 
 
+@register("op1_toxicity")
+def op1(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op3_exact_dedup")
 def op3(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("n_chunks")
@@ -54,3 +63,18 @@ mix AS (SELECT sized.*, source_size, target, CASE WHEN target >= source_size THE
 took AS (SELECT *, (whole * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM mix)
 """
 SQL["op10_mix"] = f"WITH d AS (SELECT * FROM documents), {MIX_CTES} SELECT doc_id, size, source_size, target, taken, source FROM took"
+
+
+@register("op6_pack")
+def op6(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents"))
+
+
+@register("op7_warc")
+def op7(spark, sf_dir):
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
+@register("op9_embedding_links")
+def op9(spark, sf_dir):
+    return embedding_links(table(spark, sf_dir, "embeddings"))

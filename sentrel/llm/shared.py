@@ -67,18 +67,22 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers: dict[str, np.ndarray] = {}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of the base and of its inverse, modulo 2**64."""
-    if len(_powers.get("up", ())) <= n:
-        size = max(n + 1, SLICE_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _powers[name] = np.multiply.accumulate(p)
-    return _powers["up"], _powers["down"]
+class Powers:
+    """Powers of the base and of its inverse, modulo 2**64."""
+
+    def __init__(self):
+        self.size = 0
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.size <= n:
+            self.size = n + 1
+            self.up, self.down = np.full(n + 1, _BASE, np.uint64), np.full(n + 1, pow(_BASE, -1, 1 << 64), np.uint64)
+            for p in (self.up, self.down):
+                p[0] = 1
+                np.multiply.accumulate(p, out=p)
+        return self.up, self.down
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -104,7 +108,7 @@ class Words:
     ``first`` the index of each document's first word (one more at the end),
     ``begin`` and ``end`` their byte ranges in ``data``."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool, powers: Powers | None = None):
         self.data, self.offsets = (_LOWER[data] if lower else data), offsets
         n = len(data)
         if n == 0:
@@ -119,7 +123,7 @@ class Words:
         end = solid.copy()
         end[:-1] &= ~solid[1:] | edge[1:n]
         self.begin, self.end = np.flatnonzero(begin), np.flatnonzero(end) + 1
-        up, down = _power(n)
+        up, down = (powers or Powers()).upto(n)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTES[self.data] * up[:n], out=sums[1:])
         self.h = mix((sums[self.end] - sums[self.begin]) * down[self.begin] + (self.end - self.begin).astype(np.uint64))
@@ -143,11 +147,11 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def slices(column: pa.Array, lower: bool) -> Iterator[tuple[int, int, Words]]:
     """The column's documents, some ``SLICE_BYTES`` at a time (a longer document alone)."""
     data, offsets = text_buffer(column)
-    lo, n = 0, len(offsets) - 1
+    lo, n, powers = 0, len(offsets) - 1, Powers()
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE_BYTES, side="right")) - 1)
         hi = min(hi, n)
-        yield lo, hi, Words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lower)
+        yield lo, hi, Words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lower, powers)
         lo = hi
 
 
