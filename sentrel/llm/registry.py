@@ -5,8 +5,10 @@ operators' production parameters."""
 from __future__ import annotations
 
 from sentrel.llm.exact_dedup import exact_dedup
+from sentrel.llm.lm_scoring import lm_scores
 from sentrel.llm.mixing import mix_sources
 from sentrel.llm.packing import packed
+from sentrel.llm.phrase_dedup import remove_repeats
 from sentrel.llm.pivot_join import embedding_links
 from sentrel.llm.shared import table
 from sentrel.llm.toxicity import toxicity
@@ -65,6 +67,16 @@ took AS (SELECT *, (whole * size + greatest(0, least(size, rest - before)))::BIG
 SQL["op10_mix"] = f"WITH d AS (SELECT * FROM documents), {MIX_CTES} SELECT doc_id, size, source_size, target, taken, source FROM took"
 
 
+@register("op4_lm_scores")
+def op4(spark, sf_dir):
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+@register("op5_remove_repeats")
+def op5(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 @register("op6_pack")
 def op6(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"))
