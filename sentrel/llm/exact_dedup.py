@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentrel.llm.shared import SPACE, small, text_of, written
+from sentrel.llm.shared import SPACE, text_of, without, written
 
 #: At least 1,024 characters, then up to where one of seven letters and a space stand before a letter of a to h
 #: (or at the end); at most 8,192 characters. A rest without such a place is cut by length.
@@ -81,14 +81,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
         "text_sha256", F.size("recipe").cast("bigint").alias("n_chunks"))
 
 
-def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_broadcast: int = 200_000) -> DataFrame:
+def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` without the rows that :func:`exact_dedup` drops, all columns kept."""
-    marks = written(exact_dedup(df, id_col, text_col).select("doc_id", "text_sha256", "kept"), "marks")
-    keys = marks.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    gone = written(keys.where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")), "gone")
-    sha = F.sha2(normalised(text_col), 256)
-    left = df.join(small(gone, max_broadcast), df[id_col].eqNullSafe(F.col("_id")) & (sha == F.col("_sha")), "left_anti")
-    if keys.where("kept and n > 1").isEmpty():
-        return left
-    # identical rows: the same id and an equal text more than once
-    return left.withColumn("_sha", sha).dropDuplicates([id_col, "_sha"]).drop("_sha")
+    marks = exact_dedup(df, id_col, text_col).select("doc_id", F.col("text_sha256").alias("mark"), "kept")
+    return without(df, marks, id_col, F.sha2(normalised(text_col), 256))

@@ -5,11 +5,13 @@ operators' production parameters."""
 from __future__ import annotations
 
 from sentrel.llm.exact_dedup import exact_dedup
+from sentrel.llm.jaccard_join import near_duplicates
 from sentrel.llm.lm_scoring import lm_scores
 from sentrel.llm.mixing import mix_sources
 from sentrel.llm.packing import packed
 from sentrel.llm.phrase_dedup import remove_repeats
 from sentrel.llm.pivot_join import embedding_links
+from sentrel.llm.quality import quality
 from sentrel.llm.shared import table
 from sentrel.llm.toxicity import toxicity
 from sentrel.llm.warc import warc_round_trip
@@ -30,6 +32,11 @@ def op1(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op2_quality")
+def op2(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op3_exact_dedup")
 def op3(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("n_chunks")
@@ -87,6 +94,11 @@ def op7(spark, sf_dir):
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+@register("op8_jaccard_join")
+def op8(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("kept", "raw")
+
+
 @register("op9_embedding_links")
 def op9(spark, sf_dir):
     return embedding_links(table(spark, sf_dir, "embeddings"))

@@ -49,6 +49,19 @@ def small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def without(df: DataFrame, marks: DataFrame, id_col: str, mark: Column, max_broadcast: int = 200_000) -> DataFrame:
+    """``df`` without the rows that ``marks`` (``doc_id, mark, kept``, a row for each row of ``df``) drops. Rows
+    are found by id and ``mark`` (the same function of the row); of identical ones the first stays."""
+    keys = marks.groupBy("doc_id", "mark").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    keys = written(keys.where("not kept or n > 1"), "marks")
+    gone = keys.where("not kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"), F.col(id_col).alias("id"), mark.alias("mark"))
+    left = rows.join(small(gone, max_broadcast), F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left_anti")
+    if not keys.where("kept").isEmpty():  # identical rows: the same id and mark more than once
+        left = left.dropDuplicates(["id", "mark"])
+    return left.select("doc.*")
+
+
 def spread(spark: SparkSession, rows: int, per_task: int) -> int:
     """Partitions for ``rows`` rows of ``per_task`` each, at least the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_task))

@@ -293,23 +293,43 @@ def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     return rows.join(F.broadcast(chosen), "_id").select("_id", "_text", "_y").orderBy("_id", "_text").collect()
 
 
+def _scores(texts: list[str | None], model: dict) -> np.ndarray:
+    """Scores of a batch, some ``SLICE_BYTES`` characters at a time."""
+    out, at, size = [], 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "") + PAD
+        if size >= SLICE_BYTES or i == len(texts) - 1:
+            out.append(score_texts(texts[at:i + 1], model))
+            at, size = i + 1, 0
+    return np.concatenate(out) if out else np.zeros(0)
+
+
 def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, score)`` of every row, from its text alone."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # one weight per subsequence: 1 MB
 
     def run(batches):
         for b in batches:
-            texts, out, at, size = b.column("text").to_pylist(), [], 0, 0
-            for i, t in enumerate(texts):
-                size += len(t or "") + PAD
-                if size >= SLICE_BYTES or i == len(texts) - 1:
-                    out.append(score_texts(texts[at:i + 1], shared.value))
-                    at, size = i + 1, 0
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.concatenate(out) if out else np.zeros(0))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(_scores(b.column("text").to_pylist(), shared.value))], names=["doc_id", "score"])
 
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id bigint, score double")
 
 
+def drop_toxic(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+               max_rows: int = 2_000, max_chars: int = 20_000, threshold: float = 0.7) -> DataFrame:
+    """``df`` without the rows whose score reaches ``threshold``, all columns kept."""
+    rows = training_rows(df, labels, id_col, text_col, label_col, max_rows, max_chars)
+    shared = df.sparkSession.sparkContext.broadcast(fit([r["_text"] for r in rows], [r["_y"] for r in rows]))
+    place = df.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            texts = [None if x is None else str(x) for x in b.column(place).to_pylist()]
+            yield b.filter(pa.array(_scores(texts, shared.value) < threshold))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
              max_rows: int = 2_000, max_chars: int = 20_000, threshold: float = 0.7) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted``."""

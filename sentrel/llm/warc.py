@@ -169,7 +169,7 @@ def write_warc(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str
 
     rows = pages.join(again, pages["page_id"].eqNullSafe(F.col("_id")) & (pages["sha"] == F.col("_sha")), "left")
     rows = rows.select("page_id", "url", "payload", "sha", "refers_to").withColumn("shard", shard_of("page_id"))
-    manifest = rows.groupBy("shard").applyInArrow(_writer(folder, file_bytes, level), MANIFEST)
+    manifest = rows.repartition(wanted, "shard").groupBy("shard").applyInArrow(_writer(folder, file_bytes, level), MANIFEST)
     manifest.write.mode("overwrite").parquet(f"{folder}/_manifest")  # the commit
     return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
 
