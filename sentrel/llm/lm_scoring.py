@@ -352,7 +352,7 @@ def _tail(unit: float):
             c = np.zeros(len(h), np.int64)
         u, which = np.unique(rows, return_inverse=True)
         return pa.table({"row": pa.array(u), "known": pa.array(np.bincount(which, c > 0, len(u)).astype(np.int64)),
-                         "log": pa.array(np.bincount(which, np.log10(c + 0.5) - unit, len(u)))})
+                         "log": pa.array(np.bincount(which, np.log10(c + 0.5) - unit, len(u)).astype(np.float64))})
     return run
 
 

@@ -15,8 +15,8 @@ Only checksums travel, never ids: a tail carries the CRC-32 of its prefixes at
 each multiple of ``GRAIN``, from which the CRC-32 of any piece follows (CRC is linear).
 
 White space never joins two tokens of this tokenizer (its pattern has no
-alternative that matches white space, and it drops it), so each distinct word
-is encoded once per task and reused; a test compares that with whole texts.
+alternative that matches white space, and it drops it; it lower-cases), so each distinct
+word (told by its 64-bit hash within a task) is encoded once and reused; a test compares that with whole texts.
 
 Defined results: a null or empty text has the end id only. Repeated rows are
 packed as often as they occur. A null id stays null. An empty table has no
@@ -26,8 +26,8 @@ pieces. Only the two named columns are read.
 from __future__ import annotations
 
 import heapq
-import math
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,18 +35,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrel.llm.shared import Words, mix, slices, spread, text_buffer, written
+from sentrel.llm.shared import Words, mix, slices, spread, written
 
-GRAIN = 32
+GRAIN = 64
 END = 2
 TOKENS = "doc_id bigint, doc_tokens bigint, full_crcs binary, tail_crcs binary, terms binary, counts binary, near bigint"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 #: Distinct words whose ids a task keeps; beyond that it starts anew.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 800_000
 
 
 class _Encoder:
+    """Ids of words, kept by the words' hashes."""
+
     def __init__(self, path: str | None):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,54 +56,71 @@ class _Encoder:
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path("word_bpe_49k.json")
-        self.tokenizer, self.ids = Tokenizer.from_file(path), {}
-
-    def encode(self, words: list[bytes]) -> bytes:
-        """Little-endian unsigned 32-bit ids of the words."""
-        known = self.ids
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > KEPT_WORDS:
-                known.clear()
-            new = list({w for w in words if w not in known})
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
-            return b"".join([known[w] for w in words])
-
-
-def _term_counts(words: Words, i: int) -> tuple[np.ndarray, np.ndarray, int]:
-    h = words.h[words.first[i]:words.first[i + 1]]
-    terms, counts = np.unique((h >> np.uint64(32)).astype(np.uint32), return_counts=True)
-    near = int(mix(h ^ np.uint64(0xA5A5A5A5)).min() >> np.uint64(1)) if len(h) else 0
-    return terms, np.minimum(counts, 255).astype(np.uint8), near
+        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+
+    def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a slice, each document's followed by ``END``, and where each document begins."""
+        h, at, which = np.unique(words.h, return_index=True, return_inverse=True)
+        hashes, known = h.tolist(), self.known
+        new = [i for i, x in enumerate(hashes) if x not in known]
+        if len(known) + len(new) > KEPT_WORDS:
+            known.clear()
+            new = range(len(hashes))
+        if new:
+            data, begin, end = words.data.tobytes(), words.begin[at].tolist(), words.end[at].tolist()
+            found = self.tokenizer.encode_batch_fast([data[begin[i]:end[i]].decode("utf-8", "replace") for i in new], add_special_tokens=False)
+            known.update((hashes[i], array("I", e.ids).tobytes()) for i, e in zip(new, found, strict=True))
+        own = [known[x] for x in hashes]
+        ids = np.frombuffer(b"".join(own), np.uint32)
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        start = np.cumsum(size) - size
+        n = size[which]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        place = np.repeat(start[which] - upto[:-1], n) + np.arange(upto[-1])
+        docs = len(words.first) - 1
+        begins = upto[words.first] + np.arange(docs + 1)
+        out = np.full(begins[-1], END, "<u4")
+        inner = np.ones(len(out), bool)
+        inner[begins[1:] - 1] = False
+        out[inner] = ids[place]
+        return out, begins
+
+
+def _terms(words: Words) -> tuple[list[bytes], list[bytes], np.ndarray]:
+    """Each document's distinct word hashes (32 bits) and their counts (up to 255), and the minimum of its mixed hashes."""
+    docs = len(words.first) - 1
+    key, counts = np.unique(words.doc().astype(np.uint64) << np.uint64(32) | words.h >> np.uint64(32), return_counts=True)
+    cut = np.searchsorted(key, np.arange(docs + 1).astype(np.uint64) << np.uint64(32)).tolist()
+    term, count = key.astype(np.uint32), np.minimum(counts, 255).astype(np.uint8)
+    near = np.zeros(docs, np.int64)
+    full = np.flatnonzero(np.diff(words.first))
+    if len(full):
+        near[full] = (np.minimum.reduceat(mix(words.h ^ np.uint64(0xA5A5A5A5)), words.first[full]) >> np.uint64(1)).astype(np.int64)
+    return [term[i:j].tobytes() for i, j in zip(cut, cut[1:])], [count[i:j].tobytes() for i, j in zip(cut, cut[1:])], near
 
 
 def tokenized(df: DataFrame, id_col: str, text_col: str, length: int, tokenizer: str | None) -> DataFrame:
     """One row per document: its number of ids, checksums of its full windows and
     of its tail's prefixes, its words' hashes and counts, and the sort key."""
-    end = np.asarray([END], "<u4").tobytes()
-
     def run(batches):
         encoder = _Encoder(tokenizer)
         for b in batches:
-            data, offsets = text_buffer(b.column("text"))
             for lo, hi, words in slices(b.column("text"), lower=True):
-                rows = []
-                for i in range(lo, hi):
-                    ids = encoder.encode(data[offsets[i]:offsets[i + 1]].tobytes().split()) + end
-                    n = len(ids) // 4
-                    full = n // length
-                    crcs = [zlib.crc32(ids[4 * length * k:4 * length * (k + 1)]) for k in range(full)]
+                if b"<|" in words.data.tobytes():  # a special token is told by its case
+                    words = next(slices(b.column("text").slice(lo, hi - lo), lower=False))[2]
+                ids, begins = encoder.encode(words)
+                data, full_crcs, tail_crcs = memoryview(ids).cast("B"), [], []
+                for i, j in zip((4 * begins).tolist(), (4 * begins[1:]).tolist()):
+                    full = (j - i) // (4 * length) * 4 * length
+                    full_crcs.append(array("I", [zlib.crc32(data[k:k + 4 * length]) for k in range(i, i + full, 4 * length)]).tobytes())
                     tail, at = [], 0
-                    for k in range(4 * length * full, len(ids), 4 * GRAIN):
-                        at = zlib.crc32(ids[k:k + 4 * GRAIN], at)
+                    for k in range(i + full, j, 4 * GRAIN):
+                        at = zlib.crc32(data[k:min(k + 4 * GRAIN, j)], at)
                         tail.append(at)
-                    terms, counts, near = _term_counts(words, i - lo) if tail else (np.zeros(0, np.uint32), np.zeros(0, np.uint8), 0)
-                    rows.append((n, np.asarray(crcs, "<u4").tobytes(), np.asarray(tail, "<u4").tobytes(), terms.tobytes(), counts.tobytes(), near))
-                cols = list(zip(*rows, strict=True))
+                    tail_crcs.append(array("I", tail).tobytes())
+                terms, counts, near = _terms(words)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(lo, hi - lo), pa.array(cols[0], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[1:5]], pa.array(cols[5], pa.int64())],
+                    [b.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(begins)), *[pa.array(c, pa.binary()) for c in (full_crcs, tail_crcs, terms, counts)], pa.array(near)],
                     names=["doc_id", "doc_tokens", "full_crcs", "tail_crcs", "terms", "counts", "near"])
 
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, TOKENS)
@@ -126,14 +145,18 @@ class Index:
         self.term, begin = np.unique(term[order], return_index=True)
         self.begin = np.append(begin, len(term))
         df = np.diff(self.begin)
-        idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
+        idf = np.maximum(np.log((self.n - df + 0.5) / (df + 0.5)), 0).astype(np.float32)
         words = np.bincount(doc, tf, self.n)
         norm = (k1 * (1 - b + b * words / max(words.mean(), 1e-9) if self.n else words)).astype(np.float32)
         self.doc = doc[order]
         self.weight = np.repeat(idf, df) * (tf[order] * np.float32(k1 + 1) / (tf[order] + norm[self.doc]))
+        self.telling = idf > 0  # words of half the tails or more weigh nothing
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.term, terms)
+        at = at[self.telling[at]]
+        if not len(at):
+            return np.zeros(self.n)
         lo, n = self.begin[at], self.begin[at + 1] - self.begin[at]
         where = np.repeat(lo - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
         return np.bincount(self.doc[where], self.weight[where], self.n)
@@ -199,7 +222,7 @@ def _packer(length: int):
 
 
 def packed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 4096, tokenizer: str | None = None,
-           shard_tokens: int = 3_000_000) -> DataFrame:
+           shard_tokens: int = 1_500_000) -> DataFrame:
     """One row per piece (columns of ``PIECES``). ``tokenizer``: path of a tokenizer file; by default the public one."""
     docs = written(tokenized(df, id_col, text_col, length, tokenizer), "tokens")
     total = docs.agg(F.sum(F.col("doc_tokens") % length)).first()[0] or 0
