@@ -1,7 +1,7 @@
 """Operator 9, near-duplicate embeddings by a pivot-permutation index.
 
-Reference points (pivots) are ``n_pivots`` of the vectors, those with the
-smallest hashes: a bounded sample, fitted only. Every vector is described by its
+Reference points (pivots) are up to ``n_pivots`` of the vectors, chosen from
+the ``8 * n_pivots`` with the smallest hashes such that no two are near: a bounded sample, fitted only. Every vector is described by its
 ``prefix`` nearest pivots. Inverted lists are kept by groups of ``depth`` pivots:
 a vector is on the list of each such group of its nearest pivots, so two vectors
 meet when they share at least ``depth`` pivots. Pairs that meet are verified by
@@ -117,6 +117,16 @@ def _links_of(dim: int, count: int, depth: int, least: float):
     return run
 
 
+def choose_pivots(sample: np.ndarray, count: int, apart: float = 0.8) -> np.ndarray:
+    """The first ``count`` of the sample that are no neighbours of one another: of
+    pivots from one dense group, its members would have any as their nearest."""
+    chosen = sample[:0]
+    for x in sample:
+        if len(chosen) < count and not (chosen @ x >= apart).any():
+            chosen = np.vstack([chosen, x])
+    return chosen
+
+
 def depth_for(n: int, n_pivots: int, prefix: int, list_rows: int) -> int:
     """Pivots per list, 2 at least, such that a list has ``list_rows`` rows at most on average."""
     depth = 2
@@ -142,8 +152,8 @@ def embedding_links(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     classes = written(classes, "classes")
     member = written(rows.where(usable).join(classes, "v").select("row", "cls", "size"), "members")
 
-    sample = [r["v"] for r in classes.select("v", F.xxhash64("v").alias("h")).orderBy("h", "cls").limit(n_pivots).collect()]
-    pivots = _unit(pa.array([np.asarray(s, np.float64).tobytes() for s in sample]), dim)
+    sample = classes.select("v", F.xxhash64("v").alias("h"), "cls").orderBy("h", "cls").limit(8 * n_pivots).collect()
+    pivots = choose_pivots(_unit(pa.array([np.asarray(r["v"], np.float64).tobytes() for r in sample]), dim), n_pivots)
     n, prefix = classes.count(), min(prefix, len(pivots))
     if n < 2:
         found = spark.createDataFrame([], OUT)
