@@ -40,7 +40,7 @@ from sentrel.llm.shared import Words, by_bucket, chain, joined, mix, slices, sma
 
 WINDOW = 20
 PHRASE = 8
-PATTERNS = 40_000
+PATTERNS = 12_000
 FLUSH = 2_000_000
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -242,7 +242,7 @@ def _remove(key, texts, later):
     return pa.table({n: pa.array([r[k] for r in out], kind) for k, (n, kind) in enumerate(zip(("doc_id", "sha", "n_removed", "kept_text"), kinds, strict=True))})
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4_000_000, max_broadcast: int = 500_000) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 1_500_000, max_broadcast: int = 500_000) -> DataFrame:
     """One row per row of ``df``: ``doc_id, n_words, n_removed, kept_sha256, kept_text``
     (``kept_text``: the kept words joined by one space where words were removed, else null)."""
     spark = df.sparkSession
