@@ -115,7 +115,6 @@ SELECT id, sentence, subject_entity, object_entity, subject_type, object_type, l
        array_to_string(subject_idx, ',') AS subject_idx, array_to_string(object_idx, ',') AS object_idx
 FROM marked""")
 
-_ = BIG
 
 # --- A ---------------------------------------------------------------------------
 from oracle.aug import aeda_ctes, delete_ctes  # noqa: E402
@@ -349,7 +348,7 @@ SELECT dataset, count(*) AS n_rows FROM pred_catalog GROUP BY dataset""")
 SQL["e03_column_roles"] = cat_sql(f"SELECT {_FEAT_SQL}, {_TEXT_SQL} FROM cat")
 
 _STATS = ", ".join([
-    "count(x) AS count", r6("avg(x)", "mean"), r6("stddev_samp(x)", "std"), r6("min(x)", "min"),
+    "count(x) AS count", r6("CAST(sum(CAST(x AS DECIMAL(28,9))) AS DOUBLE) / count(x)", "mean"), r6("stddev_samp(x)", "std"), r6("min(x)", "min"),
     r6("max(x)", "max"), r6("quantile_cont(x, 0.25)", "q25"), r6("quantile_cont(x, 0.5)", "q50"),
     r6("quantile_cont(x, 0.75)", "q75")])
 SQL["e04_describe"] = cat_sql(f"""
@@ -386,8 +385,8 @@ UNION ALL SELECT dataset, 3, printf('%.2f', t2) FROM iqr
 UNION ALL SELECT dataset, 4, printf('%.2f', t3) FROM iqr""", [_IQR])
 SQL["e12_bucket_stats"] = cat_sql(f"""
 SELECT dataset, CAST(bucket AS BIGINT) AS bucket, count(*) AS count,
-  {r6('avg(label_confidence)', 'label_confidence_mean')}, {r6('stddev_samp(label_confidence)', 'label_confidence_std')},
-  {r6('avg(answer)', 'answer_mean')}, {r6('stddev_samp(answer)', 'answer_std')}
+  {r6('CAST(sum(CAST(label_confidence AS DECIMAL(28,9))) AS DOUBLE) / count(label_confidence)', 'label_confidence_mean')}, {r6('stddev_samp(label_confidence)', 'label_confidence_std')},
+  {r6('CAST(sum(CAST(answer AS DECIMAL(28,9))) AS DOUBLE) / count(answer)', 'answer_mean')}, {r6('stddev_samp(answer)', 'answer_std')}
 FROM bk GROUP BY dataset, bucket""", [_IQR])
 SQL["e13_bucket_pearson"] = cat_sql(f"""
 SELECT dataset, CAST(bucket AS BIGINT) AS bucket, count(*) AS count,
@@ -397,7 +396,7 @@ SQL["e14_group_stats"] = cat_sql(f"""
 SELECT g.dataset, CAST(g.class_id AS BIGINT) AS class_id, coalesce(a.count, 0) AS count,
   {r6('a.mean', 'mean')}, {r6('a.std', 'std')}, ld.label AS class_name
 FROM (SELECT d.dataset, unnest(range(0, 30)) AS class_id FROM (SELECT DISTINCT dataset FROM cat) d) g
-LEFT JOIN (SELECT dataset, num_label AS class_id, count(*) AS count, avg(label_confidence) AS mean,
+LEFT JOIN (SELECT dataset, num_label AS class_id, count(*) AS count, CAST(sum(CAST(label_confidence AS DECIMAL(28,9))) AS DOUBLE) / count(label_confidence) AS mean,
                   stddev_samp(label_confidence) AS std FROM cat GROUP BY dataset, num_label) a
   ON g.dataset = a.dataset AND g.class_id = a.class_id
 LEFT JOIN {label_values()} ld ON g.class_id = ld.label_id""")

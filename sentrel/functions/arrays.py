@@ -50,9 +50,25 @@ def decode_probs(text) -> Column:
 
 
 def format_fixed(x, digits: int) -> Column:
-    """``%.<digits>f`` text with ties rounded half to even, as Python's and C's
-    formatting do (``format_string`` alone rounds half up)."""
-    return F.format_string(f"%.{digits}f", F.bround(_c(x), digits))
+    """``%.<digits>f`` text that rounds the exact binary value, as Python and C
+    do. ``x * 10**digits`` is split into the rounded product and its exact error
+    (Dekker's product), which decides what looks like a tie; true ties go to the
+    even digit. NULL and NaN give NULL; magnitudes of 2**52 and more have no decimals."""
+    x = _c(x).cast("double")
+    a, k = F.abs(x), float(10 ** digits)
+    high = a * 134217729.0 - (a * 134217729.0 - a)
+    p = a * k
+    error = (high * k - p) + (a - high) * k
+    low = F.floor(p)
+    part = p - low
+    up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (low % 2 == 1))))
+    n = low + F.when(up, 1).otherwise(0)
+    n, whole = n.cast("bigint"), F.floor(n / k).cast("bigint")
+    rest = F.lpad((n - whole * 10 ** digits).cast("string"), digits, "0")
+    text = F.concat_ws(".", whole.cast("string"), rest) if digits else whole.cast("string")
+    text = F.when(a >= float(2 ** 52) / k, F.format_string(f"%.{digits}f", a)).otherwise(text)
+    sign = F.when((x < 0) | (x.cast("string") == "-0.0"), F.lit("-")).otherwise(F.lit(""))
+    return F.when(x.isNotNull() & ~F.isnan(x), F.concat(sign, text))
 
 
 def format_probs(p, digits: int = 3, sep: str = " ") -> Column:

@@ -36,14 +36,6 @@ def entity_type(cell) -> Column:
     return _grab(_c(cell), r"(?s).*'type':\s*'([A-Z]+)'")
 
 
-def parse_entity(cell) -> Column:
-    """P01 strict parse as a struct(start_idx, end_idx, type). Prefer the three
-    field functions when the fields are used many times: a struct that is only
-    read field by field gets inlined into every use by the optimizer."""
-    return F.struct(entity_start(cell).alias("start_idx"), entity_end(cell).alias("end_idx"),
-                    entity_type(cell).alias("type"))
-
-
 def parse_entity_loose(cell) -> Column:
     """P02 loose parse: the numbers between the first and second ``start_idx``
     (exactly two expected, else NULL) and the first run of ``[A-z]`` after the
@@ -63,14 +55,26 @@ def parse_entity_loose(cell) -> Column:
 
 def decode_entity(cell) -> Column:
     """P03 decode of the dict-literal cell (single quotes) without evaluating it."""
-    return F.from_json(_c(cell), ENTITY_STRUCT, {"allowSingleQuotes": "true"})
+    return F.from_json(_c(cell), ENTITY_STRUCT, {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
 
 
 def encode_entity(ent) -> Column:
-    """P03 encode: back to the literal text form."""
+    """P03 encode: back to the literal text form. Backslashes and line breaks are
+    escaped; a word with an apostrophe goes into double quotes, one with both kinds
+    of quotes into single quotes with its apostrophes escaped, so :func:`decode_entity`
+    reads back what was written."""
     ent = _c(ent)
-    return F.format_string("{'word': '%s', 'start_idx': %d, 'end_idx': %d, 'type': '%s'}",
-                           ent["word"], ent["start_idx"], ent["end_idx"], ent["type"])
+
+    def quoted(word: Column) -> Column:
+        w = F.replace(word, F.lit("\\"), F.lit("\\\\"))
+        for raw, short in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+            w = F.replace(w, F.lit(raw), F.lit(short))
+        single, double = F.instr(word, "'") > 0, F.instr(word, '"') > 0
+        return (F.when(single & ~double, F.concat(F.lit('"'), w, F.lit('"')))
+                .otherwise(F.concat(F.lit("'"), F.replace(w, F.lit("'"), F.lit("\\'")), F.lit("'"))))
+
+    return F.format_string("{'word': %s, 'start_idx': %d, 'end_idx': %d, 'type': %s}",
+                           quoted(ent["word"]), ent["start_idx"], ent["end_idx"], quoted(ent["type"]))
 
 
 def map_type(code) -> Column:

@@ -30,12 +30,6 @@ def md5_key(salt: str, *cols) -> Column:
     return F.md5(_key(salt, *cols))
 
 
-def h_sql(salt: str, *exprs: str) -> str:
-    """The same hash as Spark SQL text, for use inside ``F.expr`` lambdas."""
-    inner = ", ".join([f"'{salt}'"] + [f"cast({e} as string)" for e in exprs])
-    return f"cast(conv(substring(md5(concat_ws(':', {inner})), 1, 8), 16, 10) as bigint)"
-
-
 def hex_part(md5_hex: Column, part: int) -> Column:
     """32-bit slice ``part`` (0..3) of an md5 hex string as a BIGINT; four
     independent draws from one hash."""

@@ -103,6 +103,12 @@ def text_features(df: DataFrame, col: str = "sentence") -> DataFrame:
 
 # --- E04 -----------------------------------------------------------------------------
 
+def exact_mean(col) -> Column:
+    """Mean from an exact decimal sum (nine places), so that it does not depend
+    on the order in which partitions are added up."""
+    return F.sum(F.col(col).cast("decimal(28,9)")).cast("double") / F.count(col)
+
+
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """E04 per dataset and column: count, mean, std (n-1), min, exact
     quartiles, max."""
@@ -110,7 +116,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("_e")) \
         .select(DS, "_e.column", "_e.x")
     g = [DS, "column"]
-    base = long.groupBy(*g).agg(F.count("x").alias("count"), F.avg("x").alias("mean"),
+    base = long.groupBy(*g).agg(F.count("x").alias("count"), exact_mean("x").alias("mean"),
                                 F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
                                 F.max("x").alias("max"))
     q = quantiles(long, g, "x", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
@@ -175,20 +181,24 @@ def bucket_stats(bucketed: DataFrame, cols: Sequence, bucket: str = "bucket") ->
             ok = (F.count(F.lit(1)) >= 2) & (F.var_samp(a) > 0) & (F.var_samp(b) > 0)
             aggs.append(F.when(ok, F.corr(a, b)).alias(f"{a}_{b}_pearson"))
         else:
-            aggs += [F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std")]
+            aggs += [exact_mean(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std")]
     return bucketed.where(F.col(bucket).isNotNull()).groupBy(DS, bucket).agg(*aggs)
 
 
 def group_stats(df: DataFrame, by: str = "num_label", col: str = "label_confidence",
-                n_classes: int = len(LABELS)) -> DataFrame:
+                n_classes: int = len(LABELS), mode: Sequence[str] = ("count", "mean", "std"),
+                sort: str | None = None) -> DataFrame:
     """E14 per dataset and class ``0..n_classes-1`` (every class, count 0 when
-    absent): ``count, mean, std`` of ``col`` grouped by ``by``; class names
-    from the label dimension."""
+    absent): ``count, mean, std`` of ``col`` grouped by ``by`` (those that ``mode``
+    names); class names from the label dimension; ``sort`` names one of them to
+    order the classes of each dataset by, largest first."""
     agg = df.groupBy(DS, F.col(by).alias("class_id")).agg(
-        F.count(F.lit(1)).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"))
+        F.count(F.lit(1)).alias("count"), exact_mean(col).alias("mean"), F.stddev_samp(col).alias("std"))
     grid = df.select(DS).distinct().select(DS, F.explode(F.sequence(F.lit(0), F.lit(n_classes - 1))).alias("class_id"))
     out = grid.join(agg, [DS, "class_id"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
-    return num_to_label(out, "class_id", "class_name")
+    out = num_to_label(out, "class_id", "class_name")
+    out = out.select(DS, "class_id", *[m for m in ("count", "mean", "std") if m in mode], "class_name")
+    return out.orderBy(DS, F.col(sort).desc_nulls_last(), "class_id") if sort else out
 
 
 # --- E15 - E18: distributions ----------------------------------------------------------------
@@ -267,5 +277,3 @@ def filter_contains(df: DataFrame, col: str, pattern: str, ref: str | None = Non
     ids = df.where((F.col(DS) == ref) & F.col(col).rlike(pattern)).select("id").distinct()
     return df.join(ids, "id", "left_semi")
 
-
-_ = T

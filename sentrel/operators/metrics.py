@@ -138,7 +138,7 @@ def plateau(df: DataFrame, run: str = "run", step: str = "step", value: str = "v
     counter, otherwise the counter grows by one; ``stop`` turns true when the
     counter reaches ``patience`` and stays true."""
     if mode not in ("min", "max"):
-        raise ValueError("mode can be 'min' or 'max' only.")
+        raise ValueError(f"unknown direction {mode!r}: say whether lower (min) or higher (max) values are better")
     nb = n_buckets(df)
     # buckets over each run's own step range (one stats row per run; AQE
     # broadcasts it or splits a skewed join partition)

@@ -22,11 +22,3 @@ _KEEP = "_keep_row"
 def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
     """Rows where ``cond`` is true (NULL counts as false), evaluated in place."""
     return df.select("*", F.explode(F.when(cond, F.array(F.lit(True)))).alias(_KEEP)).drop(_KEEP)
-
-
-def explode_rows(df: DataFrame, col: str, alias: str = "value") -> DataFrame:
-    """One row per element of the array column ``col`` (rows with empty or
-    NULL arrays disappear). Unlike ``explode(col)`` it gives the optimizer no
-    ``size(col) > 0`` predicate to push below the projections defining
-    ``col``."""
-    return df.select("*", F.explode_outer(col).alias(alias)).where(F.col(alias).isNotNull())

@@ -116,8 +116,8 @@ def marker_spans(marked: DataFrame, sentence: str = "sentence") -> DataFrame:
     """P14 spans of the marked entities in a marked sentence, start inclusive,
     end exclusive: ``subject_idx = [start of '@*', end of closing '@')``."""
     s = F.col(sentence)
-    s0 = F.instr(s, "@*") - 1
-    o0 = F.instr(s, "#^") - 1
+    s0 = F.instr(s, F.concat(F.lit("@*"), F.col("subject_type"), F.lit("*"), F.col("subject_entity"), F.lit("@"))) - 1
+    o0 = F.instr(s, F.concat(F.lit("#^"), F.col("object_type"), F.lit("^"), F.col("object_entity"), F.lit("#"))) - 1
     s_len = F.length("subject_type") + F.length("subject_entity") + 4
     o_len = F.length("object_type") + F.length("object_entity") + 4
     return marked.withColumn("subject_idx", F.when(s0 >= 0, F.array(s0, s0 + s_len))) \

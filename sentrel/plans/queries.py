@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sentrel.functions import entity as E
 from sentrel.functions.text import clean_text, strip_foreign
@@ -627,6 +628,23 @@ def f11(spark, sf_dir):
                                      "position_ids"]], x["labels"].alias("labels")))
 
 
+@register("c01_chain")
+def c01(spark, sf_dir):
+    """The whole chain: rewrite and append (A01, A02), id-safe holdout (D05), mark (P15), punctuation variants
+    of the training rows (A05), encode (F02, F04), records (F11); one output row per (id, variant)."""
+    split = D.holdout(_split_input(spark, sf_dir), group_safe=True)
+    m = materialize(P.to_marked(split, keep=("variant", "label_id", "part")))
+    train = m.where(F.col("part") == "train")
+    rows = materialize(A.nest(m, 2).unionByName(A.n_variants(train, check_num=2, salt="aeda")))
+    vocab = FT.build_vocab(FT.tokens(train), VOCAB_SIZE, P.marker_vocab(P.parse_loose(fx.re_raw(spark, sf_dir))))
+    e = FT.masks(FT.encode(rows, vocab))
+    e = e.join(FT.entity_loc_ids(rows).select("id", "variant", "part", "entity_loc_ids", "label_id"), ["id", "variant"])
+    ex = FT.to_examples(e.withColumn("position_ids", FT.position_ids("input_ids")), keep=("part",))
+    x = F.col("example")
+    return finish(ex.select("id", "variant", "part", join_ints(x["input_ids"]).alias("input_ids"),
+                            join_ints(x["entity_loc_ids"]).alias("entity_loc_ids"), x["labels"].alias("labels")))
+
+
 # --- S: sources and sinks (round trips through the shared work folder) --------------
 
 from sentrel.schema import RAW_SCHEMA  # noqa: E402
@@ -657,8 +675,7 @@ def s03(spark, sf_dir):
     cat = EA.with_output_prob(fx.pred_catalog(spark, sf_dir)).select("dataset", "id", "label_id", "output_prob")
     write_csv(cat, path, partition_by="dataset")
     schema = "id bigint, label_id int, output_prob string"
-    from pyspark.sql.types import _parse_datatype_string
-    loaded = load_catalog(spark, path, _parse_datatype_string(schema), name_from="partition")
+    loaded = load_catalog(spark, path, T.StructType.fromDDL(schema), name_from="partition")
     return finish(loaded.select("dataset", "id", "label_id", "output_prob"))
 
 
@@ -670,7 +687,6 @@ def s05(spark, sf_dir):
                                               "object_idx"]), path)
     schema = ("id bigint, sentence string, subject_entity string, object_entity string, subject_type string, "
               "object_type string, label string, subject_idx string, object_idx string")
-    from pyspark.sql.types import _parse_datatype_string
     back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"') \
-        .schema(_parse_datatype_string(schema)).csv(path)
+        .schema(T.StructType.fromDDL(schema)).csv(path)
     return finish(back)

@@ -67,12 +67,6 @@ def label_dim(spark: SparkSession) -> DataFrame:
     )
 
 
-def type_dim(spark: SparkSession) -> DataFrame:
-    """Entity-type dimension ``(code, type_name, type_id)``; 6 rows."""
-    rows = [(code, name, TYPE_IDS[name]) for code, name in ENTITY_TYPES.items()]
-    return spark.createDataFrame(rows, "code string, type_name string, type_id int")
-
-
 def type_name_map():
     """Map expression code -> marker name (used by ``try_element_at``)."""
     return F.create_map(*[F.lit(x) for kv in ENTITY_TYPES.items() for x in kv])

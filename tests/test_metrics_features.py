@@ -61,36 +61,22 @@ def test_micro_f1_formula(spark):
     assert math.isclose(M.micro_f1(scored(spark)).collect()[0].micro_f1, exp, rel_tol=1e-9)
 
 
-class EarlyStop:
-    def __init__(self, patience, mode):
-        self.patience, self.mode, self.cnt, self.stop = patience, mode, 0, False
-        self.ref = math.inf if mode == "min" else -math.inf
-
-    def __call__(self, v):
-        if v < 0:
-            return None
-        if (self.mode == "max" and v > self.ref) or (self.mode == "min" and v < self.ref):
-            self.cnt, self.ref, best = 0, v, True
-        else:
-            self.cnt, best = self.cnt + 1, False
-            if self.cnt >= self.patience:
-                self.stop = True
-        return best, self.cnt, self.stop
-
-
-def test_plateau_matches_loop(spark):
+def test_plateau_matches_its_definition(spark):
+    """From the whole list of values: a step improves if it beats all earlier ones; the count is the
+    distance to the last improvement; a run has stopped once any count so far reached the patience."""
     h = fx.eval_history(spark, SF_MID)
     got = {(r.run, r.step): (r.best, r.patience_cnt, r.stop) for r in M.plateau(h, mode="max", patience=3).collect()}
-    exp = {}
     runs = {}
     for r in h.collect():
         runs.setdefault(r.run, []).append((r.step, r.value))
+    exp = {}
     for run, seq in runs.items():
-        es = EarlyStop(3, "max")
-        for step, v in sorted(seq):
-            out = es(v)
-            if out:
-                exp[(run, step)] = out
+        seq = [(s, v) for s, v in sorted(seq) if v >= 0]
+        values = [v for _, v in seq]
+        improves = [all(v > w for w in values[:i]) for i, v in enumerate(values)]
+        counts = [i - max(j for j in range(i + 1) if improves[j]) for i in range(len(values))]
+        for i, (step, _) in enumerate(seq):
+            exp[(run, step)] = (improves[i], counts[i], max(counts[:i + 1]) >= 3)
     assert got == exp
 
 
