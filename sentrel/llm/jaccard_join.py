@@ -16,7 +16,7 @@ Copies are collapsed first (a class per distinct set). Then links are found in
 three steps, each exact for what it leaves out: (1) each class is verified with
 one earlier class of its blocks, the one it shares most blocks with; (2) with the first classes of its
 other blocks, if they are in other components by then; (3) blocks that still hold several
-components get an R-tree that returns pairs of different components within the bound.
+components get an R-tree (one for all blocks with the same first class) that returns pairs of different components within the bound.
 Pairs inside one component need no verification, as the result is the component.
 Blocks of more than ``CHUNK`` documents are cut into chunks by hash, a task per pair of chunks.
 
@@ -39,7 +39,8 @@ from sentrel.llm.shared import Words, by_bucket, chain, components, joined, slic
 
 SHINGLE = 5
 GROUPS = 128
-CELLS = 1 << 20
+CELL_BITS = 22
+CELLS = 1 << CELL_BITS
 SLICES = 16
 LEAF = 32
 CHUNK = 1_500
@@ -81,22 +82,27 @@ def needed(a, b):
 
 # --- count sketch, classes --------------------------------------------------------------
 
+def _cell(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
 def _sketch(batches):
-    cells = np.zeros(CELLS, np.int64)
+    cells = np.zeros(CELLS, np.uint32)
     for b in batches:
         for _, _, words in slices(b.column("text"), lower=True):
-            cells += np.bincount((shingle_sets(words)[0] >> np.uint64(44)).astype(np.int64), minlength=CELLS)
-    parts = cells.astype(np.uint32).reshape(SLICES, -1)
+            cell, n = np.unique(_cell(shingle_sets(words)[0]), return_counts=True)
+            cells[cell] += n.astype(np.uint32)
+    parts = np.minimum(cells, 65535).astype(np.uint16).reshape(SLICES, -1)  # a task's count of a cell; beyond that it is common anyway
     yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["slice", "cells"])
 
 
 def _add_sketch(key, t):
-    total = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in t.column("cells").to_pylist())
+    total = sum(np.frombuffer(x, np.uint16).astype(np.int64) for x in t.column("cells").to_pylist())
     return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([total.tobytes()], pa.binary())})
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Level (binary logarithm) of the number of documents per cell of the shingle hash; 1 MB at any size of the table."""
+    """Level (binary logarithm) of the number of documents per cell of the shingle hash; 4 MB at any size of the table."""
     rows = docs.select("text").mapInArrow(_sketch, "slice int, cells binary").groupBy("slice").applyInArrow(_add_sketch, "slice int, cells binary").collect()
     cells = np.zeros(CELLS, np.int64)
     for r in rows:
@@ -117,7 +123,7 @@ def _points(shared):
                 owner = np.repeat(np.arange(hi - lo), np.diff(at))
                 group = (h >> np.uint64(20) & np.uint64(GROUPS - 1)).astype(np.int64)
                 points = np.bincount(owner * GROUPS + group, minlength=(hi - lo) * GROUPS).reshape(-1, GROUPS).astype(np.uint32)
-                key = levels[(h >> np.uint64(44)).astype(np.int64)].astype(np.uint64) << np.uint64(58) | h >> np.uint64(6)
+                key = levels[_cell(h)].astype(np.uint64) << np.uint64(58) | h >> np.uint64(6)
                 key = key[np.lexsort((key, owner))]
                 n = np.diff(at)
                 first = prefix_size(n)
@@ -168,7 +174,7 @@ def _live(key, t):
     group = np.cumsum(first) - 1
     live = (np.bincount(group) > 1)[group]
     lead = np.flatnonzero(first)[group]
-    return pa.table({"block": pa.array(k[live].astype(np.int64)), "cls": pa.array(c[live]), "n": pa.array(s[live].astype(np.int64)),
+    return pa.table({"cls": pa.array(c[live]), "n": pa.array(s[live].astype(np.int64)),
                      "lead": pa.array(c[lead][live]), "lead_n": pa.array(s[lead][live].astype(np.int64))})
 
 
@@ -207,20 +213,37 @@ class RTree:
         return self.order[nodes[np.minimum(self.points[nodes], q).sum(1) >= needed(n, self.size[self.order[nodes]])]]
 
 
+def _candidates(cls: np.ndarray, comp: np.ndarray, side: np.ndarray, points: np.ndarray, across: bool) -> tuple[list, list]:
+    """Pairs of different components (and of different sides, if ``across``) within the bound."""
+    a, b = [], []
+    if len(cls) <= LEAF:  # one leaf: all at once
+        n = points.sum(1)
+        ok = np.minimum(points[:, None], points[None]).sum(2) >= needed(n[:, None], n[None])
+        ok &= (comp[:, None] != comp[None]) & ((side[:, None] != side[None]) | (not across))
+        x, y = np.nonzero(np.triu(ok, 1))
+        return cls[x].tolist(), cls[y].tolist()
+    tree = RTree(points)
+    for x in range(len(cls)):
+        found = tree.search(points[x])
+        found = found[(found > x) & (comp[found] != comp[x]) & ((side[found] != side[x]) | (not across))]
+        a += [int(cls[x])] * len(found)
+        b += cls[found].tolist()
+    return a, b
+
+
 def _search_blocks(key, t):
-    """Pairs of a block (or of two of its chunks) in different components and within the bound."""
-    t = t.sort_by("cls")
-    cls, comp, side = (t.column(c).to_numpy() for c in ("cls", "comp", "side"))
+    """Candidate pairs of some blocks, or of two chunks of a block."""
+    t = t.sort_by([("lead", "ascending"), ("cls", "ascending")])
+    lead, cls, comp, side = (t.column(c).to_numpy() for c in ("lead", "cls", "comp", "side"))
     points = np.frombuffer(b"".join(t.column("point").to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64)
-    _, i, j = (x.as_py() for x in key)
+    across = key[1].as_py() != key[2].as_py()
     a, b = [], []
-    if len(cls) > 1 and (i == j or len(np.unique(side)) > 1):
-        tree = RTree(points)
-        for x in range(len(cls)):
-            found = tree.search(points[x])
-            found = found[(found > x) & (comp[found] != comp[x]) & ((side[found] != side[x]) | (i == j))]
-            a += [int(cls[x])] * len(found)
-            b += cls[found].tolist()
+    at = np.append(np.unique(lead, return_index=True)[1], len(lead))
+    for i, j in zip(at, at[1:]):
+        if j - i > 1:
+            x, y = _candidates(cls[i:j], comp[i:j], side[i:j], points[i:j], across)
+            a += x
+            b += y
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
@@ -271,7 +294,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     total = own.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
     buckets = spread(spark, total // 8, 500_000)
     live = written(own.select("cls", "n", "keys").mapInArrow(_postings(buckets), "bucket int, keys binary, cls binary, sizes binary")
-                   .groupBy("bucket").applyInArrow(_live, "block bigint, cls bigint, n bigint, lead bigint, lead_n bigint"), "live")
+                   .groupBy("bucket").applyInArrow(_live, "cls bigint, n bigint, lead bigint, lead_n bigint"), "live")
 
     met = live.select("cls").distinct()
     found = own.select("cls", "doc_id", "raw", "n", "point").join(small(written(met, "met"), max_broadcast), "cls", "left_semi")
@@ -307,15 +330,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     edges = written(edges.union(verified(bounded(apart(stars.select("a", "b"), comp)), "more_links")), "links")
     comp = component_of(edges)
 
-    named = live.select("block", "cls").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    named = written(named, "named")
-    several = named.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows")).where("lo < hi")
-    several = written(several.select("block", F.ceil(F.col("rows") / CHUNK).cast("int").alias("parts")), "several")
-    on = (named.join(several, "block").withColumn("side", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+    # blocks with the same first class are searched as one: they hold much the same classes
+    members = live.select("lead", "cls").distinct().join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    named = written(members, "named")
+    several = named.groupBy("lead").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows")).where("lo < hi")
+    several = written(several.select("lead", F.ceil(F.col("rows") / CHUNK).cast("int").alias("parts"), "rows"), "several")
+    bundles = spread(spark, several.agg(F.sum("rows")).first()[0] or 0, 5_000)
+    on = (named.join(several, "lead").withColumn("side", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
           .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
           .join(points.select("cls", "point"), "cls")
-          .select("block", F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j"), "cls", "comp", "side", "point"))
-    rest = on.groupBy("block", "i", "j").applyInArrow(_search_blocks, PAIR).distinct()
+          .select(F.when(F.col("parts") > 1, F.col("lead")).otherwise(-1 - F.pmod(F.xxhash64("lead"), F.lit(bundles))).alias("bundle"),
+                  F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j"), "lead", "cls", "comp", "side", "point"))
+    rest = on.groupBy("bundle", "i", "j").applyInArrow(_search_blocks, PAIR).distinct()
     edges = edges.union(verified(rest, "last_links"))
     comp = component_of(edges)
 
