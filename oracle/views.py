@@ -60,7 +60,7 @@ rr_l AS (
   SELECT doc_id, source, unnest(s) AS line, unnest(range(0, len(s))) AS line_no
   FROM (SELECT doc_id, source, string_split(text, chr(10)) AS s FROM documents)),
 rr_a AS (
-  SELECT doc_id * 1000000 + line_no AS id, source,
+  SELECT doc_id * 1000000000 + line_no AS id, source,
          list_filter(string_split_regex(regexp_replace(line, '[@#*^'':,{{}}"]', ' ', 'g'), '\\s+'),
                      lambda x: x <> '') AS w
   FROM rr_l),
@@ -123,15 +123,15 @@ variants AS (
 VIEWS["re_scored"] = """
 re_scored AS (
   SELECT vec_id AS id, label AS label_id,
-         list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE)) AS z
+         list_transform(embedding[1:30], lambda x: CAST(x AS DOUBLE)) AS z
   FROM embeddings)"""
 
 VIEWS["pred_catalog"] = """
 pred_catalog AS (
-  SELECT concat('m', CAST(k AS VARCHAR)) AS dataset, e.vec_id AS id, d.text AS sentence, d.source,
+  SELECT concat('m', CAST(k AS VARCHAR)) AS dataset, d.doc_id AS id, d.text AS sentence, d.source,
          e.label AS label_id,
-         list_transform(e.embedding[1 + 10 * k: 10 + 10 * k], lambda x: CAST(x AS DOUBLE)) AS z
-  FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id, (SELECT unnest([0, 1, 2]) AS k) m)"""
+         list_transform(e.embedding[1 + 17 * k: 30 + 17 * k], lambda x: CAST(x AS DOUBLE)) AS z
+  FROM documents d JOIN embeddings e ON d.doc_id % (SELECT count(*) FROM embeddings) = e.vec_id, (SELECT unnest([0, 1, 2]) AS k) m)"""
 
 VIEWS["eval_history"] = """
 eval_history AS (SELECT user_id AS run, event_id AS step, value FROM events)"""

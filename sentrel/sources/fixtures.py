@@ -14,7 +14,8 @@ from sentrel.operators.rows import keep_rows
 from sentrel.schema import label_dim
 
 _TYPES = ["PER", "ORG", "DAT", "LOC", "POH", "NOH"]
-LINE_ID_FACTOR = 1_000_000
+LINE_ID_FACTOR = 1_000_000_000  # lines of a document
+CLASSES = 30
 
 
 # Hash key used to spread a table whose scan is coarser than the cluster.
@@ -47,7 +48,7 @@ def _cell(word, start, end, etype):
 def re_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAW relation table: one row per document line with at least 2 words.
 
-    ``id = doc_id * 1e6 + line number``; subject and object are two different
+    ``id = doc_id * 1e9 + line number``; subject and object are two different
     words of the line picked by hash; spans are 0-based, end inclusive.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -92,25 +93,26 @@ def variants(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) ->
 
 
 def re_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores per row: 10 logits from the embedding; class 0 plays no_relation."""
+    """Scores per row: logits of 30 classes from the embedding; class 0 plays no_relation."""
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("id"), F.col("label").alias("label_id"),
-                    F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double")).alias("z"))
+                    F.transform(F.slice("embedding", 1, CLASSES), lambda x: x.cast("double")).alias("z"))
 
 
 def pred_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three prediction "datasets" (m0, m1, m2) over the same ids; the sentence
-    is the whole document text."""
+    """Three prediction "datasets" (m0, m1, m2) over all documents; the sentence
+    is the whole text, the scores are windows of 30 elements of the vector whose
+    id is the document's modulo the number of vectors (together all 64 elements)."""
     e = table(spark, sf_dir, "embeddings")
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    j = e.join(d, e.vec_id == d.doc_id)
-    j = j.select("vec_id", "text", "source", "label", "embedding",
+    j = d.join(e, F.pmod(d.doc_id, F.lit(e.count())) == e.vec_id)
+    j = j.select("doc_id", "text", "source", "label", "embedding",
                  F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
     return j.select(
         F.concat(F.lit("m"), F.col("k").cast("string")).alias("dataset"),
-        F.col("vec_id").alias("id"), F.col("text").alias("sentence"), "source",
+        F.col("doc_id").alias("id"), F.col("text").alias("sentence"), "source",
         F.col("label").alias("label_id"),
-        F.transform(F.slice("embedding", F.col("k") * 10 + 1, F.lit(10)),
+        F.transform(F.slice("embedding", F.col("k") * 17 + 1, F.lit(CLASSES)),
                     lambda x: x.cast("double")).alias("z"))
 
 
