@@ -298,6 +298,11 @@ FROM (SELECT e.run, min(e.step) AS best_step, any_value(m.best_value) AS best_va
 LEFT JOIN (SELECT run, min(step) AS stop_step FROM plateau WHERE stop GROUP BY run) s ON b.run = s.run""",
                                  [_PLATEAU.format(agg="max", cmp=">", patience=5)])
 
+SQL["i02_score"] = with_views(["re_scored"], """
+SELECT id, CAST(list_position(l, list_max(l)) - 1 AS BIGINT) AS prediction,
+       array_to_string(list_transform(l, lambda x: printf('%.6f', x)), ',') AS logits
+FROM (SELECT id, list_transform(range(30), lambda c: c / 64.0::DOUBLE
+        + list_dot_product(z, list_transform(range(30), lambda j: (((7 * c + 3 * j) % 11) - 5) / 8.0::DOUBLE))) AS l FROM re_scored)""")
 SQL["i03_softmax"] = with_views(["re_scored"], """
 SELECT id, array_to_string(list_transform(p, lambda x: printf('%.6f', x)), ',') AS p FROM sc""", [_SC])
 SQL["i04_argmax"] = with_views(["re_scored"], "SELECT id, CAST(pred AS BIGINT) AS pred FROM sc", [_SC])

@@ -3,7 +3,7 @@ and turn scores into submission / scored-dev tables."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -51,7 +51,18 @@ def score(df: DataFrame, model: PipelineModel, features: str | None = None) -> D
     out = model.transform(d)
     out = out.withColumn("prediction", F.col("prediction").cast("int")) \
              .withColumn("logits", vector_to_array("_raw")).withColumn("probs", vector_to_array("_prob"))
-    return out.drop(*[c for c in out.columns if c.startswith("_")])
+    return out.drop("_features", "_tokens", "_tf", "_raw", "_prob")
+
+
+def score_linear(df: DataFrame, coef: Sequence[Sequence[float]], intercept: Sequence[float], features: str = "z") -> DataFrame:
+    """I02 with given weights (one row per class), in native expressions: adds
+    ``logits``, ``probs`` and ``prediction``; all other columns stay."""
+    def logit(row, b):
+        terms = F.zip_with(features, F.array(*[F.lit(float(w)) for w in row]), lambda x, w: x * w)
+        return F.aggregate(terms, F.lit(float(b)), lambda a, x: a + x)
+
+    d = df.withColumn("logits", F.array(*[logit(row, b) for row, b in zip(coef, intercept, strict=True)]))
+    return d.withColumn("probs", softmax("logits")).withColumn("prediction", argmax("logits"))
 
 
 def score_external(df: DataFrame, load: Callable[[], Callable[[np.ndarray], np.ndarray]],

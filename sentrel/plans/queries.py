@@ -352,13 +352,10 @@ def i01(spark, sf_dir):
 
 @register("i02_score")
 def i02(spark, sf_dir):
-    s = fx.re_scored(spark, sf_dir)
-    model = I.fit_vectors(s, "z", "label_id", max_iter=20)
-    lr = model.stages[-1]
-    coef = lr.coefficientMatrix.toArray()
-    icpt = lr.interceptVector.toArray()
-    ext = I.score_external(s, I.linear_loader(coef, icpt), "z", ["id"])
-    return finish(ext.select("id", argmax("logits").alias("prediction")))
+    # fixed weights by a rule, so that any engine can recompute the scores
+    coef = [[((7 * c + 3 * j) % 11 - 5) / 8 for j in range(fx.CLASSES)] for c in range(fx.CLASSES)]
+    s = I.score_linear(fx.re_scored(spark, sf_dir), coef, [c / 64 for c in range(fx.CLASSES)])
+    return finish(s.select("id", "prediction", join_doubles("logits").alias("logits")))
 
 
 @register("i03_softmax")
@@ -666,7 +663,7 @@ def s02(spark, sf_dir):
     path = scratch_path(spark, "raw-csv-index")
     raw = fx.re_raw(spark, sf_dir)
     write_csv(raw.select(F.col("id").alias("_index"), *_RAW_COLS), path)
-    return finish(read_re_csv(spark, path, index_col=True))
+    return finish(read_re_csv(spark, path))
 
 
 @register("s03_load_catalog")

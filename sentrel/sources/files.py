@@ -11,22 +11,37 @@ from sentrel.schema import RAW_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
+def _scan(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """All rows of the files, columns found by the names in their header (types
+    from ``schema``, others as text), with ``_corrupt_record``. Files whose
+    headers differ from the first one's are refused, not misread."""
+    reader = (spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
+              .option("quote", '"').option("escape", '"'))
+    declared = {f.name: f.dataType for f in schema.fields}
+    names = reader.csv(path).columns  # reads a header only
+    found = T.StructType([T.StructField(n, declared.get(n, T.StringType())) for n in names] + [T.StructField(CORRUPT, T.StringType())])
+    df = (reader.option("mode", "PERMISSIVE").option("enforceSchema", "false")
+          .option("columnNameOfCorruptRecord", CORRUPT).schema(found).csv(path))
+    # always true, and read from every column: a row is told corrupt by all of its cells, also where a query needs few of them
+    whole = F.length(F.concat_ws("", *[F.col(f"`{n}`").cast("string") for n in names])) >= 0
+    return df.where(whole).select(*[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], CORRUPT)
+
+
 def read_re_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
-                index_col: bool = False, keep_corrupt: bool = False) -> DataFrame:
-    """S01/S02 CSV scan with a header row and a declared schema (never
-    inferred). Quoted cells may span lines. ``index_col``: the file starts with
-    an unnamed index column, which is dropped. Rows that do not fit the schema
-    go to ``_corrupt_record`` (kept only with ``keep_corrupt``)."""
-    fields = list(schema.fields)
-    if index_col:
-        fields = [T.StructField("_index", T.LongType())] + fields
-    full = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.option("header", "true").option("multiLine", "true")
-          .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).schema(full).csv(path))
-    if index_col:
-        df = df.drop("_index")
-    return df if keep_corrupt else df.drop(CORRUPT)
+                keep_corrupt: bool = False, multi_line: bool = True) -> DataFrame:
+    """S01/S02 CSV scan with a header row; columns go by name, whatever their
+    order, and others (such as an unnamed index column) are left out. Quoted
+    cells may span lines; files without such cells can be split between tasks
+    with ``multi_line=False``. Rows that do not fit the schema are left out here
+    and returned by :func:`corrupt_rows` (``keep_corrupt`` keeps them, with
+    their text in ``_corrupt_record``)."""
+    df = _scan(spark, path, schema, multi_line)
+    return df if keep_corrupt else df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def corrupt_rows(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, multi_line: bool = True) -> DataFrame:
+    """Quarantine of S01/S02: the text of each row that does not fit the schema."""
+    return _scan(spark, path, schema, multi_line).where(F.col(CORRUPT).isNotNull())
 
 
 def load_catalog(spark: SparkSession, path: str, schema: T.StructType,

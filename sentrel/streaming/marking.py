@@ -10,6 +10,7 @@ fixed dimensions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sentrel.operators.spans import label_to_num, to_marked
@@ -24,7 +25,7 @@ def read_raw_stream(spark: SparkSession, path: str, max_files: int = 100) -> Dat
     return (spark.readStream.option("header", "true").option("multiLine", "true")
             .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT).option("maxFilesPerTrigger", max_files)
-            .schema(schema).csv(path).drop(CORRUPT))
+            .schema(schema).csv(path).where(F.col(CORRUPT).isNull()).drop(CORRUPT))
 
 
 def mark_stream(spark: SparkSession, src: str, sink: str, checkpoint: str,

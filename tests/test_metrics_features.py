@@ -92,3 +92,24 @@ def test_pair_truncation_longest_first(spark):
     got = [(r.x, r.y) for r in d.select(ka.alias("x"), kb.alias("y")).collect()]
     assert got == [(243, 10), (10, 243), (127, 126), (5, 5)]
     assert all(x + y + 3 <= 256 for x, y in got)
+
+
+def test_external_and_native_linear_scores_agree(spark):
+    import numpy as np
+    from sentrel.operators import scoring as I
+    r = np.random.default_rng(1)
+    coef, bias = r.normal(size=(5, 8)), r.normal(size=5)
+    df = spark.createDataFrame([(i, r.normal(size=8).tolist(), "kept") for i in range(40)], "id long, z array<double>, _mine string")
+    a = {x.id: x.logits for x in I.score_external(df, I.linear_loader(coef, bias), "z", ["id"]).collect()}
+    out = I.score_linear(df, coef.tolist(), bias.tolist())
+    assert "_mine" in out.columns
+    for x in out.collect():
+        assert np.allclose(a[x.id], x.logits) and x.prediction == int(np.argmax(a[x.id])) and abs(sum(x.probs) - 1) < 1e-9
+
+
+def test_fitted_text_classifier_beats_the_majority_class(spark):
+    from sentrel.operators import scoring as I
+    rows = [(i, f"the @*PER*subject{i % 7}@ {'works for' if i % 3 else 'lives in'} #^ORG^object# today", int(i % 3 > 0)) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, sentence string, label_id int")
+    out = I.score(df, I.fit_text(df, num_features=1 << 12, max_iter=10)).collect()
+    assert sum(r.prediction == r.label_id for r in out) / len(out) > 0.95 > 2 / 3

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from sentrel.operators import analysis as EA
 from sentrel.schema import RAW_SCHEMA
 from sentrel.session import scratch_path
-from sentrel.sources.files import load_catalog, read_re_csv, stamp, write_csv
+from sentrel.sources.files import corrupt_rows, load_catalog, read_re_csv, stamp, write_csv
 from tests.test_spans import ROWS
 
 
@@ -19,11 +19,20 @@ def test_csv_roundtrip_with_quotes_and_newlines(spark):
     assert [tuple(r) for r in back] == rows
 
 
+def test_csv_columns_go_by_name_and_bad_rows_to_quarantine(spark, tmp_path):
+    f = tmp_path / "mixed.csv"
+    f.write_text("label,source,id,sentence,subject_entity,object_entity\nno_relation,s,7,text,a,b\nno_relation,s,x,text,a,b\n")
+    assert [tuple(r) for r in read_re_csv(spark, str(f)).collect()] == [(7, "text", "a", "b", "no_relation", "s")]
+    bad = corrupt_rows(spark, str(f)).collect()
+    assert len(bad) == 1 and "x,text" in bad[0]["_corrupt_record"]
+    assert read_re_csv(spark, str(f), multi_line=False).count() == 1
+
+
 def test_csv_index_column_dropped(spark):
     path = scratch_path(spark, "csv-idx")
     df = spark.createDataFrame(ROWS, RAW_SCHEMA)
     write_csv(df.select(F.monotonically_increasing_id().alias("_index"), *df.columns), path)
-    back = read_re_csv(spark, path, index_col=True)
+    back = read_re_csv(spark, path)
     assert back.columns == [f.name for f in RAW_SCHEMA.fields]
     assert sorted(r.id for r in back.collect()) == sorted(r[0] for r in ROWS)
 
