@@ -42,28 +42,34 @@ END = 2
 TOKENS = "doc_id bigint, doc_tokens bigint, full_crcs binary, tail_crcs binary, terms binary, counts binary, near bigint"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
-#: Distinct words whose ids a task keeps; beyond that it starts anew.
+#: Distinct words whose ids a worker keeps; beyond that it starts anew.
 KEPT_WORDS = 800_000
 
 
 class _Encoder:
-    """Ids of words, kept by the words' hashes."""
+    """Ids of words, kept by the words' hashes. A Python worker serves many
+    tasks; tokenizer and ids stay with it, in a module of their own."""
 
     def __init__(self, path: str | None):
         import os
+        import sys
+        from types import ModuleType
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path("word_bpe_49k.json")
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        kept = sys.modules.setdefault("sentrel_worker_state", ModuleType("sentrel_worker_state")).__dict__
+        if path not in kept:
+            kept[path] = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known = kept[path]
 
     def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, each document's followed by ``END``, and where each document begins."""
         h, at, which = np.unique(words.h, return_index=True, return_inverse=True)
         hashes, known = h.tolist(), self.known
         new = [i for i, x in enumerate(hashes) if x not in known]
-        if len(known) + len(new) > KEPT_WORDS:
+        if new and len(known) + len(new) > KEPT_WORDS:
             known.clear()
             new = range(len(hashes))
         if new:
