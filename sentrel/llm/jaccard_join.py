@@ -300,9 +300,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = own.select("cls", "doc_id", "raw", "n", "point").join(small(written(met, "met"), max_broadcast), "cls", "left_semi")
     found = written(found, "met_points")
     points = found.select("cls", "n", "point")
-    where = small(written(found.select("cls", F.col("doc_id").alias("_id"), F.col("raw").alias("_raw")), "met_ids"), max_broadcast)
-    text = docs.join(where, docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["raw"] == F.col("_raw"))).select("cls", "text")
-    sets = written(text.mapInArrow(_sets, "cls bigint, hashes binary").dropDuplicates(["cls"]), "sets")
+    places = found.select("cls", F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"))
 
     def bounded(pairs: DataFrame) -> DataFrame:
         both = pairs.join(points.select(F.col("cls").alias("a"), F.col("point").alias("point_a")), "a")
@@ -310,6 +308,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return both.mapInArrow(_within_bound, PAIR)
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = written(pairs, "candidates")
+        ids = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+        where = small(written(places.join(ids, "cls"), "places"), max_broadcast)
+        text = docs.join(where, docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["raw"] == F.col("_raw"))).select("cls", "text")
+        sets = written(text.mapInArrow(_sets, "cls bigint, hashes binary").dropDuplicates(["cls"]), "sets")  # of the candidates only
         both = pairs.join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("set_b")), "b")
         both = both.join(sets.select(F.col("cls").alias("a"), F.col("hashes").alias("set_a")), "a")
         return written(both.mapInArrow(_verify, PAIR), name)

@@ -43,6 +43,7 @@ WINDOW = 8
 PAD = 16
 FLOOR = -2.0
 BEST = 2  # separate windows that make a text's score
+TRAIN_SLICE = 1_000_000
 LETTERS = 37  # classes 1 to 36 are a to z and 0 to 9
 
 
@@ -105,6 +106,18 @@ def best_windows(codes: np.ndarray, begin: np.ndarray, weights: np.ndarray, coun
     return best, where
 
 
+def best_windows_by_slice(codes: np.ndarray, begin: np.ndarray, weights: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`best_windows`, some ``TRAIN_SLICE`` characters at a time (the driver trains in bounded memory)."""
+    best, where, lo = [], [], 0
+    while lo < len(begin) - 1:
+        hi = max(lo + 1, int(np.searchsorted(begin, begin[lo] + TRAIN_SLICE, side="right")) - 1)
+        b, w = best_windows(codes[begin[lo]:begin[hi]], begin[lo:hi + 1] - begin[lo], weights, count)
+        best.append(b)
+        where.append(w + begin[lo])
+        lo = hi
+    return np.concatenate(best), np.concatenate(where)
+
+
 def _subsequences(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes and weights of the gapped subsequences that begin in the first ``WINDOW`` places of ``s``."""
     c = np.concatenate([s, np.zeros(PAD, np.uint8)]).astype(np.int32)
@@ -130,13 +143,16 @@ class Nystrom:
         keep = value > 1e-6 * value.max()
         self.root = vec[:, keep] / np.sqrt(value[keep])
 
-    def features(self, windows: list[np.ndarray]) -> np.ndarray:
-        x = np.zeros((len(windows), len(self.codes)))
-        for row, s in zip(x, windows, strict=True):
-            c, v = _subsequences(s)
-            at = np.minimum(np.searchsorted(self.codes, c), len(self.codes) - 1)
-            np.add.at(row, at[self.codes[at] == c], v[self.codes[at] == c])
-        return (x @ self.phi.T) @ self.root
+    def features(self, windows: list[np.ndarray], step: int = 500) -> np.ndarray:
+        out = []
+        for lo in range(0, len(windows), step):
+            x = np.zeros((len(windows[lo:lo + step]), len(self.codes)))
+            for row, s in zip(x, windows[lo:lo + step], strict=True):
+                c, v = _subsequences(s)
+                at = np.minimum(np.searchsorted(self.codes, c), len(self.codes) - 1)
+                np.add.at(row, at[self.codes[at] == c], v[self.codes[at] == c])
+            out.append((x @ self.phi.T) @ self.root)
+        return np.concatenate(out)
 
     def fold(self, w: np.ndarray) -> np.ndarray:
         """The linear model ``w`` on the features as a weight per subsequence."""
@@ -178,14 +194,15 @@ def _grams(codes: np.ndarray) -> np.ndarray:
 
 def choose_landmarks(codes: np.ndarray, begin: np.ndarray, toxic: np.ndarray, most: int, cover: int = 14) -> list[np.ndarray]:
     """Strings that tell toxic texts, chosen such that each toxic text has ``cover`` of them if it can."""
-    grams = [_grams(codes[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
-    cand, t = np.unique(np.concatenate([g for g, y in zip(grams, toxic, strict=True) if y]), return_counts=True)
+    texts = [codes[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]
+    grams = [_grams(x) for x, y in zip(texts, toxic, strict=True) if y]
+    cand, t = np.unique(np.concatenate(grams), return_counts=True)
     cand, t = cand[t >= 2], t[t >= 2]
     if not len(cand):
         return []
     c = np.zeros(len(cand))
-    for g, y in zip(grams, toxic, strict=True):
-        if not y and len(g):
+    for x, y in zip(texts, toxic, strict=True):
+        if not y and len(g := _grams(x)):
             at = np.minimum(np.searchsorted(g, cand), len(g) - 1)
             c += g[at] == cand
     pos, neg = toxic.sum(), (~toxic).sum()
@@ -196,7 +213,7 @@ def choose_landmarks(codes: np.ndarray, begin: np.ndarray, toxic: np.ndarray, mo
     top = top[z[top] > 2]
     cand, odds = cand[top], odds[top]
     has = np.zeros((int(pos), len(cand)), bool)
-    for row, g in zip(has, [g for g, y in zip(grams, toxic, strict=True) if y], strict=True):
+    for row, g in zip(has, grams, strict=True):
         at = np.minimum(np.searchsorted(g, cand), max(len(g) - 1, 0))
         if len(g):
             row[:] = g[at] == cand
@@ -224,13 +241,12 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 256, rounds: int =
     rng = np.random.default_rng(seed)
     codes, begin = encode(texts)
     strings = choose_landmarks(codes, begin, toxic, landmarks * 3 // 4)
-    free = np.flatnonzero((codes > 0) & (codes < 63))
-    clean_at = rng.choice(free, min(len(free), landmarks // 4), replace=False) if len(free) else []
-    negatives = [codes[i:i + 5] for i in clean_at]
+    some = np.unique(rng.integers(0, max(len(codes) - 5, 1), landmarks))
+    negatives = [codes[i:i + 5] for i in some[(codes[some] > 0) & (codes[some] < 63)][:landmarks // 4]]
     strings = [s for s in strings + negatives if len(_subsequences(s)[0])]
     if not strings:
         return {"constant": float(toxic.mean())}
-    padded = np.concatenate([codes, np.zeros(PAD, np.uint8)])
+    padded = codes  # every text ends with separators
     model = Nystrom(strings)
     weights = np.zeros(64 ** 3, np.float32)
     n_pos = len(strings) - len(negatives)
@@ -238,7 +254,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 256, rounds: int =
     weights[model.codes] = first / max(first.max(), 1e-9)
     bad = np.zeros(0, np.int64)
     for _ in range(rounds):
-        _, at = best_windows(codes, begin, weights, 3)
+        _, at = best_windows_by_slice(codes, begin, weights, 3)
         good, new = at[toxic][:, :2].ravel(), at[~toxic].ravel()
         bad = np.unique(np.concatenate([bad, new, rng.choice(len(codes), min(len(codes), 2000))]))
         plain = [padded[i:i + WINDOW + 4] for i in good]
@@ -249,7 +265,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 256, rounds: int =
         y[len(x) - len(bad):] = -1
         w, bias = svm(x, y)
         weights = model.fold(w)
-    best, _ = best_windows(codes, begin, weights, BEST)
+    best, _ = best_windows_by_slice(codes, begin, weights, BEST)
     return {"weights": weights, "bias": bias, "logit": _logistic(best + bias, toxic)}
 
 
