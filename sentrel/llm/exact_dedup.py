@@ -71,9 +71,9 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     """One row per row of ``df``: ``doc_id, keep_id, group_size, kept,
     text_sha256, n_chunks`` (see the module text)."""
     docs = written(recipes(df, id_col, text_col, bits), "recipes")
-    groups = (docs.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"),
-                                         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("keep"))
-              .where("group_size > 1"))
+    groups = docs.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"),
+                                        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("keep"))
+    groups = written(groups.where("group_size > 1"), "groups")  # a table, so that a hot recipe's rows can be split in the join
     return docs.join(groups, "recipe", "left").select(
         "doc_id", F.when(F.col("keep").isNull(), F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
