@@ -39,8 +39,6 @@ def test_toxicity_tolerates_gaps_and_inserted_characters(toy):
     clean = " ".join(sent(20))
     low = T.score_texts([clean], model)[0]
     assert low < 0.5
-    for form in ("{0}", "{0}s", "x{0}", "-".join("{0}")):
-        pass
     gapped = [clean + " " + " ".join("-".join(b) for b in bad), clean + " " + " ".join(b[:3] + "x" + b[3:] for b in bad),
               clean + " " + " ".join(b[:4] + "." + b[4:] for b in bad)]
     scores = T.score_texts(gapped, model)
@@ -51,7 +49,7 @@ def test_toxicity_scores_whole_texts(toy):
     *_, model, sent, bad = toy
     long = " ".join(sent(60_000))
     scores = T.score_texts([long, long + " " + " ".join(bad)], model)
-    assert scores[1] >= 0.7 > scores[0] or scores[1] > scores[0]
+    assert scores[1] >= 0.7 and scores[1] > scores[0]
 
 
 def test_nystrom_folds_into_one_weight_per_subsequence(toy):
@@ -69,7 +67,6 @@ def test_toxicity_edges(spark, docs, no_docs, rows):
     out = T.toxicity(docs, labels).collect()
     assert len(out) == len(rows) and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in out)
     assert all(r["held_out"] == brute.held_out(r["doc_id"], 3) for r in out)
-    assert len({r["score"] for r in out if r["doc_id"] is None and r["doc_id"] != 4} | set()) >= 1
     assert T.toxicity(no_docs, labels).count() == 0
     none = labels.where("toxic > 5")
     assert {r["score"] for r in T.toxicity(docs, none).collect()} == {0.0}
