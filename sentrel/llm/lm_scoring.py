@@ -2,25 +2,26 @@
 
 Corpus counts (all training texts, whole): words are counted by a shuffle of
 packed, pre-combined hash arrays; then pairs of consecutive words of the head
-vocabulary are counted the same way. The head holds the most frequent words
-(``head_words`` at most, by a count threshold from the count histogram).
+vocabulary are counted the same way, pairs with another word as rows. The head holds
+the most frequent words (``head_words`` at most, by a count threshold from the count histogram).
 
 Filter: a pair's count is quantised to a level (1, 2, 3, 4, 6, 8, 12, ...) and the pair is
 entered once for each level up to its own. The count is read back by probing level
 after level until one is missing. The filter has ``filter_bytes`` at most: if
-the pairs need more, those of the lowest counts are not entered (they back off; the
-smallest count that fits is taken from the whole histogram). So what is
-broadcast - filter, head words and their totals - has a size bound that does
-not depend on the corpus.
-
-Model: absolute discounting. P(w|v) = max(n - D, 0) / c(v) for an entered pair, plus
-the mass that is left at v times P1(w); P1 is the add-half unigram of the base
-score. Contexts outside the head give P1. The end of a text is a token, its start
+the pairs need more, those of the lowest counts (the smallest count that fits is taken
+from the whole histogram) stay in their buckets, and a text's pairs that the filter does
+not hold go there. So what is broadcast - filter, head words and their totals - has a
+size bound that does not depend on the corpus, and every pair counts at every size.
+
+Model: absolute discounting. P(w|v) = max(n - D, 0) / c(v) for a pair of the training
+texts, plus the mass that is left at v times P1(w); P1 is the add-half unigram of the base
+score. Contexts that training never saw give P1. The end of a text is a token, its start
 a context; so a text's score is log10 of a probability over texts.
 
-Words outside the head are rare by construction. Their exact counts come by a
-shuffle: a text's tail words go to the bucket of the word, their logarithms come back
-summed per text. Nothing frequent travels that way.
+Words outside the head are rare by construction. Tokens that are such a word or follow
+one are rows: counts of pair, context and word are joined to them by keys that are as
+rare, and their logarithms come back summed per text. Nothing frequent travels that way.
+If the head holds all words of training, other words have count 0 and no row is needed.
 
 Words are 64-bit hashes throughout (see :mod:`sentrel.llm.shared`).
 
@@ -179,6 +180,75 @@ def pair_keys(before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return before[both].astype(np.uint64) << np.uint64(32) | ids[both].astype(np.uint64), both
 
 
+# --- pairs with a word outside the head ----------------------------------------------------
+
+EDGE = np.uint64(0x5851F42D4C957F2D)  # the start and the end of a text, among word hashes
+
+
+def tail_tokens(words, before: np.ndarray, ids: np.ndarray, at: np.ndarray):
+    """The tokens that are or follow a word outside the head: where they are, the hashes of their
+    pairs, contexts and words (as int64)."""
+    h = np.full(len(ids), EDGE, np.uint64)
+    place = np.ones(len(ids), bool)
+    place[at[1:] - 1] = False
+    h[place] = words.h
+    context = np.append(EDGE, h[:-1])[:len(h)]
+    context[at[:-1]] = EDGE
+    where = np.flatnonzero((before < 0) | (ids < 0))
+    v, w = context[where], h[where]
+    return where, mix(mix(v) + w).view(np.int64), v.view(np.int64), w.view(np.int64)
+
+
+def _tail_counter(seen):
+    """Rows ``(p, v, head, n)``: a pair, its context as a hash or as a head number, its count in the slice."""
+    def run(batches):
+        for b in batches:
+            for _, _, words in slices(b.column("text"), lower=True):
+                before, ids, at = token_ids(words, seen.value)
+                where, p, v, _ = tail_tokens(words, before, ids, at)
+                p, first, n = np.unique(p, return_index=True, return_counts=True)
+                v, head = v[first], before[where[first]]
+                yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(v, mask=head >= 0), pa.array(head, mask=head < 0), pa.array(n.astype(np.int64))],
+                                                 names=["p", "v", "head", "n"])
+    return run
+
+
+def tail_pairs(texts: DataFrame, seen) -> DataFrame:
+    """``(p, v, head, q)`` of all pairs with a word outside the head; ``q`` is the quantised count."""
+    def run(batches):
+        for b in batches:
+            q = LEVELS[level_of(b.column("n").to_numpy()) - 1]
+            yield pa.RecordBatch.from_arrays([b.column("p"), b.column("v"), b.column("head"), pa.array(q)], names=["p", "v", "head", "q"])
+    found = texts.mapInArrow(_tail_counter(seen), "p bigint, v bigint, head bigint, n bigint")
+    counts = found.groupBy("p").agg(F.first("v").alias("v"), F.first("head").alias("head"), F.sum("n").alias("n"))
+    return written(counts.mapInArrow(run, "p bigint, v bigint, head bigint, q bigint"), "tail_pairs")
+
+
+def add_tail(tail: DataFrame, kinds: np.ndarray, mass: np.ndarray) -> None:
+    """Adds the pairs of head contexts with words outside the head."""
+    def pack(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.column(c).to_numpy().tobytes()], pa.binary()) for c in ("head", "kinds", "mass")], names=["head", "kinds", "mass"])
+    of = tail.where("head is not null").groupBy("head").agg(F.count(F.lit(1)).alias("kinds"), F.sum("q").alias("mass"))
+    for r in of.mapInArrow(pack, "head binary, kinds binary, mass binary").collect():  # a number per head word
+        v = np.frombuffer(bytes(r["head"]), np.int64)
+        kinds[v] += np.frombuffer(bytes(r["kinds"]), np.int64)
+        mass[v] += np.frombuffer(bytes(r["mass"]), np.int64)
+
+
+def tail_words(unigrams: DataFrame, tail: DataFrame, least: int) -> DataFrame:
+    """``(w, c, rest)`` of all words outside the head: count and mass that is left at them."""
+    def run(batches):
+        for b in batches:
+            k, n = joined(b.column("keys"), np.uint64), joined(b.column("counts"), np.int64)
+            low = _bins(n) < least
+            yield pa.RecordBatch.from_arrays([pa.array(k[low].view(np.int64)), pa.array(n[low])], names=["w", "c"])
+    of = tail.where("v is not null").groupBy(F.col("v").alias("w")).agg(F.count(F.lit(1)).alias("kinds"), F.sum("q").alias("mass"))
+    words = unigrams.mapInArrow(run, "w bigint, c bigint").join(of, "w", "left")
+    rest = (F.col("c") - F.coalesce("mass", F.lit(0)) + DISCOUNT * F.coalesce("kinds", F.lit(0))) / F.col("c")
+    return written(words.select("w", "c", F.greatest(F.lit(1e-12), F.least(F.lit(1.0), rest)).alias("rest")), "tail_words")
+
+
 # --- filter -------------------------------------------------------------------------------
 
 def level_of(n: np.ndarray) -> np.ndarray:
@@ -241,19 +311,19 @@ def _filter_part(keys: np.ndarray, levels: np.ndarray, bits_each: float) -> byte
 
 def build_filter(pairs: DataFrame, buckets: int, least: int, bits_each: float, size: int) -> tuple[Filter, np.ndarray, np.ndarray]:
     """The filter of all pairs from bin ``least`` on, and for each context (``size`` head words and the start) how many pairs
-    and what (quantised) mass were entered."""
+    and what (quantised) mass it has, entered or not."""
     parts = 64
 
     def run(batches):
         for b in batches:
             for bucket, kb, nb in zip(*(b.column(c).to_pylist() for c in ("bucket", "keys", "counts")), strict=True):
                 k, n = np.frombuffer(kb, np.uint64), np.frombuffer(nb, np.int64)
-                on = _bins(n) >= least
-                k, level = k[on], level_of(n[on])
+                on, level = _bins(n) >= least, level_of(n)
+                if on.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([_filter_part(k[on], level[on], bits_each)], pa.binary()),
+                                                      pa.array([None], pa.binary()), pa.array([None], pa.binary())], names=["bucket", "v", "kinds", "mass"])
                 if not len(k):
                     continue
-                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([_filter_part(k, level, bits_each)], pa.binary()),
-                                                  pa.array([None], pa.binary()), pa.array([None], pa.binary())], names=["bucket", "v", "kinds", "mass"])
                 v, which, kinds = np.unique(k >> np.uint64(32), return_inverse=True, return_counts=True)
                 mass = np.bincount(which, LEVELS[level - 1], len(v)).astype(np.int64)
                 part = (v % np.uint64(parts)).astype(np.int64)
@@ -284,8 +354,9 @@ def build_filter(pairs: DataFrame, buckets: int, least: int, bits_each: float, s
 class Model:
     """What is broadcast: head words, filter, left-over mass of each context, totals."""
 
-    def __init__(self, head: Head, filt: Filter, kinds: np.ndarray, mass: np.ndarray, docs: int, tokens: int, vocabulary: int):
+    def __init__(self, head: Head, filt: Filter, kinds: np.ndarray, mass: np.ndarray, docs: int, tokens: int, vocabulary: int, low: int = 1, whole: bool = False):
         self.head, self.filter = head, filt
+        self.low, self.whole = low, whole  # the lowest level in the filter; whether the head holds all words
         self.counts = np.append(head.counts, docs).astype(np.float64)  # the last: start and end
         self.unit = math.log10(tokens + 0.5 * (vocabulary + 1))
         self.base = np.log10(self.counts + 0.5) - self.unit
@@ -293,22 +364,34 @@ class Model:
             rest = np.where(self.counts > 0, (self.counts - mass + DISCOUNT * kinds) / self.counts, 1.0)
         self.rest = np.clip(rest, 1e-12, 1.0)
 
+    def seen(self, v: np.ndarray, w: np.ndarray, level: np.ndarray) -> np.ndarray:
+        """log10 P of pairs of head words by the level of their count (1 at least)."""
+        c = self.counts[v]
+        n = np.minimum(LEVELS[level - 1], np.minimum(c, self.counts[w]))  # no pair is more frequent than its words
+        return np.log10(np.maximum(n - DISCOUNT, 0) / np.maximum(c, 1) + self.rest[v] * 10.0 ** self.base[w])
+
     def score(self, before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 P1 and log10 P per token; for tokens outside the head without their own P1 (0 in both)."""
-        base = np.where(ids >= 0, self.base[ids], 0.0)
+        """log10 P1 and log10 P per token, as ``score_and_rest``."""
+        return self.score_and_rest(before, ids)[:2]
+
+    def score_and_rest(self, before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """log10 P1 and log10 P per token, without P1 of tokens outside the head and P after or of them (0), unless the
+        head holds all words; and the pairs that the filter does not hold (keys and places; P is the back-off there)."""
+        base = np.where(ids >= 0, self.base[ids], math.log10(0.5) - self.unit if self.whole else 0.0)
         rest = np.where(before >= 0, self.rest[before], 1.0)
         out = base + np.log10(rest)
+        if not self.whole:
+            out[(before < 0) | (ids < 0)] = 0
         keys, both = pair_keys(before, ids)
         level = self.filter.level(keys)
-        hit = np.flatnonzero(level)
-        both, level = both[hit], level[hit]
-        c = self.counts[before[both]]
-        n = np.minimum(LEVELS[level - 1], np.minimum(c, self.counts[ids[both]]))  # no pair is more frequent than its words
-        out[both] = np.log10(np.maximum(n - DISCOUNT, 0) / np.maximum(c, 1) + rest[both] * 10.0 ** base[both])
-        return base, out
+        hit, miss = np.flatnonzero(level >= self.low), np.flatnonzero(level < self.low) if self.low > 1 else np.zeros(0, np.int64)
+        at = both[hit]
+        out[at] = self.seen(before[at], ids[at], level[hit])
+        return base, out, keys[miss], both[miss]
 
 
-SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, bucket int, words binary, rows binary"
+SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, bucket int, keys binary, rows binary"
+TAIL = "row bigint, p bigint, kv bigint, kw bigint, cv double, rv double, cw double, lw double"
 
 
 def _scorer(shared, buckets: int):
@@ -318,44 +401,78 @@ def _scorer(shared, buckets: int):
             row_ids = b.column("row").to_numpy()
             for lo, hi, words in slices(b.column("text"), lower=True):
                 before, ids, at = token_ids(words, model.head)
-                base, score = model.score(before, ids)
+                base, score, keys, places = model.score_and_rest(before, ids)
                 add = lambda x: np.add.reduceat(x, at[:-1])  # noqa: E731,B023
                 known = add((ids >= 0) & (model.counts[ids] > 0)).astype(np.int64)
                 none = [None] * (hi - lo)
                 yield pa.RecordBatch.from_arrays([pa.array(row_ids[lo:hi]), b.column("doc_id").slice(lo, hi - lo), b.column("held_out").slice(lo, hi - lo), pa.array(np.diff(at)), pa.array(known), pa.array(add(base)), pa.array(add(score)),
                                                   pa.array(none, pa.int32()), pa.array(none, pa.binary()), pa.array(none, pa.binary())], names=_names(SCORED))
-                place = np.ones(len(ids), bool)
-                place[at[1:] - 1] = False
-                tail = ids[place] < 0
-                h, rows = words.h[tail], row_ids[lo:hi][words.doc()[tail]]
-                order, cut = by_bucket(h, buckets)
+                if not len(keys):
+                    continue
+                rows = row_ids[lo:hi][np.searchsorted(at, places, side="right") - 1]
+                order, cut = by_bucket(mix(keys), buckets)
                 full = np.flatnonzero(np.diff(cut))
                 pack = lambda x: pa.array([x[order[cut[p]:cut[p + 1]]].tobytes() for p in full], pa.binary())  # noqa: E731,B023
                 none = [None] * len(full)
                 yield pa.RecordBatch.from_arrays([*[pa.array(none, kind) for kind in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())],
-                                                  pa.array(full.astype(np.int32)), pack(h), pack(rows)], names=_names(SCORED))
+                                                  pa.array(full.astype(np.int32)), pack(keys), pack(rows)], names=_names(SCORED))
     return run
 
 
-def _names(schema: str) -> list[str]:
-    return [x.split()[0] for x in schema.split(", ")]
-
-
-def _tail(unit: float):
+def _rare(shared, least: int):
+    """What pairs below the filter's smallest count add to their texts' scores."""
     def run(key, asked, counts):
-        h, rows = joined(asked.column("words"), np.uint64), joined(asked.column("rows"), np.int64)
+        model = shared.value
+        h, rows = joined(asked.column("keys"), np.uint64), joined(asked.column("rows"), np.int64)
         k, n = joined(counts.column("keys"), np.uint64), joined(counts.column("counts"), np.int64)
-        if len(k):
-            at = np.minimum(np.searchsorted(k, h), len(k) - 1)
-            c = np.where(k[at] == h, n[at], 0)
-        else:
-            c = np.zeros(len(h), np.int64)
-        u, which = np.unique(rows, return_inverse=True)
-        return pa.table({"row": pa.array(u), "known": pa.array(np.bincount(which, c > 0, len(u)).astype(np.int64)),
-                         "log": pa.array(np.bincount(which, np.log10(c + 0.5) - unit, len(u)).astype(np.float64))})
+        low = _bins(n) < least
+        k, n = k[low], n[low]
+        at = np.minimum(np.searchsorted(k, h), max(len(k) - 1, 0))
+        hit = np.flatnonzero(k[at] == h) if len(k) else np.zeros(0, np.int64)
+        v, w = (h[hit] >> np.uint64(32)).astype(np.int64), (h[hit] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        more = model.seen(v, w, level_of(n[at[hit]])) - model.base[w] - np.log10(model.rest[v])
+        u, which = np.unique(rows[hit], return_inverse=True)
+        return pa.table({"row": pa.array(u), "known": pa.array(np.zeros(len(u), np.int64)), "base": pa.array(np.zeros(len(u))),
+                         "score": pa.array(np.bincount(which, more, len(u)).astype(np.float64))})
+    return run
+
+
+def _tail(shared):
+    """A row per token that is or follows a word outside the head, with what the model has of the other word. A head
+    word's place among the join keys is taken by the pair's hash, which is rare."""
+    def run(batches):
+        model = shared.value
+        for b in batches:
+            row_ids = b.column("row").to_numpy()
+            for lo, hi, words in slices(b.column("text"), lower=True):
+                before, ids, at = token_ids(words, model.head)
+                where, p, v, w = tail_tokens(words, before, ids, at)
+                rows = row_ids[lo:hi][np.searchsorted(at, where, side="right") - 1]
+                v_in, w_in = before[where] >= 0, ids[where] >= 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows), pa.array(p), pa.array(np.where(v_in, p, v)), pa.array(np.where(w_in, p, w)), pa.array(model.counts[before[where]], mask=~v_in),
+                     pa.array(model.rest[before[where]], mask=~v_in), pa.array(model.counts[ids[where]], mask=~w_in), pa.array(model.base[ids[where]], mask=~w_in)], names=_names(TAIL))
     return run
 
 
+def tail_scores(rows: DataFrame, shared, pairs: DataFrame, words: DataFrame, unit: float) -> DataFrame:
+    """``(row, known, base, score)``: sums over the tokens that are or follow words outside the head."""
+    t = rows.select("row", "text").mapInArrow(_tail(shared), TAIL)
+    t = t.join(pairs.select("p", "q"), "p", "left")
+    t = t.join(words.select(F.col("w").alias("kv"), F.col("c").alias("own_cv"), F.col("rest").alias("own_rv")), "kv", "left")
+    t = t.join(words.select(F.col("w").alias("kw"), F.col("c").alias("own_cw")), "kw", "left")
+    tail, zero = F.col("cw").isNull(), F.lit(0.0)
+    cv, cw = F.coalesce("cv", "own_cv", zero), F.coalesce("cw", "own_cw", zero)
+    rest, lw = F.coalesce("rv", "own_rv", F.lit(1.0)), F.coalesce("lw", F.log10(F.coalesce("own_cw", zero) + 0.5) - unit)
+    seen = F.log10(F.greatest(F.least("q", cv, cw) - DISCOUNT, zero) / F.greatest(cv, F.lit(1.0)) + rest * F.pow(F.lit(10.0), lw))
+    score = F.when(F.col("q").isNotNull(), seen).otherwise(lw + F.log10(rest))
+    return t.select("row", (tail & (cw > 0)).cast("bigint").alias("known"), F.when(tail, lw).otherwise(zero).alias("base"), score.alias("score"))
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", head_words: int = 1_000_000,
               filter_bytes: int = 64_000_000, bits_each: float = 10.0) -> DataFrame:
     """One row per row of ``df``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
@@ -369,20 +486,34 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hea
     unigrams = counted(train.select("text"), lambda w: w.h, buckets, "unigrams")
     hist = histogram(unigrams)
     tokens, vocabulary = sum(t for *_, t in hist) + n_docs, sum(k for _, k, _ in hist) + (n_docs > 0)
-    head = head_of(unigrams, least_bin(hist, head_words))
+    least_word = least_bin(hist, head_words)
+    head, whole = head_of(unigrams, least_word), all(b >= least_word for b, *_ in hist)
     seen = spark.sparkContext.broadcast(head)
     pairs = counted(train.select("text"), lambda w: pair_keys(*token_ids(w, seen.value)[:2])[0], buckets, "pairs", by=mix)
     lowest = lambda b: b if b < 1024 else math.ceil(2 ** (10 + (b - 1024) / 64))  # noqa: E731  the smallest count of a bin
-    least = least_bin(histogram(pairs), filter_bytes * 8 / bits_each, lambda b: int(level_of(np.array([lowest(b)]))[0] + (b >= 1024)))
-    model = Model(head, *build_filter(pairs, buckets, least, bits_each, len(head.keys)), n_docs, tokens, vocabulary)
-    shared = spark.sparkContext.broadcast(model)
+    pair_hist = histogram(pairs)
+    least = least_bin(pair_hist, filter_bytes * 8 / bits_each, lambda b: int(level_of(np.array([lowest(b)]))[0] + (b >= 1024)))
+    low = 1 if all(b >= least for b, *_ in pair_hist) else int(level_of(np.array([lowest(least)]))[0])
+    filt, kinds, mass = build_filter(pairs, buckets, least, bits_each, len(head.keys))
+    if not whole:
+        others = tail_pairs(train.select("text"), seen)
+        add_tail(others, kinds, mass)
+    shared = spark.sparkContext.broadcast(Model(head, filt, kinds, mass, n_docs, tokens, vocabulary, low, whole))
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out().alias("held_out"), "text")
+    if not whole:
+        rows = written(rows, "rows")
     scored = written(rows.mapInArrow(_scorer(shared, buckets), SCORED), "scored")
-    asked = scored.where("bucket is not null").select("bucket", "words", "rows")
-    tail = asked.groupBy("bucket").cogroup(unigrams.groupBy("bucket")).applyInArrow(_tail(model.unit), "row bigint, known bigint, log double")
-    tail = tail.groupBy("row").agg(F.sum("known").alias("tail_known"), F.sum("log").alias("log"))
-    out = scored.where("bucket is null").drop("bucket", "words", "rows").join(tail, "row", "left")
-    log = F.coalesce("log", F.lit(0.0))
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-                      F.lit(int(tokens)).cast("bigint").alias("train_tokens"), (F.col("base") + log).alias("base_score"), (F.col("score") + log).alias("score"))
+    out = scored.where("bucket is null").select("row", "doc_id", "held_out", "n_tokens", "known", "base", "score")
+    more = []
+    if low > 1:
+        asked = scored.where("bucket is not null").select("bucket", "keys", "rows")
+        more.append(asked.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(_rare(shared, least), "row bigint, known bigint, base double, score double"))
+    if not whole:
+        more.append(tail_scores(rows, shared, others, tail_words(unigrams, others, least_word), shared.value.unit))
+    if more:
+        more = more[0] if len(more) == 1 else more[0].union(more[1])
+        more = more.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("known", "base", "score")])
+        out = out.join(more, "row", "left").withColumns({c: F.col(c) + F.coalesce(f"more_{c}", F.lit(0)) for c in ("known", "base", "score")})
+    return out.select("doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(int(tokens)).cast("bigint").alias("train_tokens"),
+                      F.col("base").alias("base_score"), "score")

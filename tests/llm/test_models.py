@@ -159,3 +159,13 @@ def test_probabilities_of_the_next_word_sum_to_one():
         _, logs = model.score(np.full(31, v), np.arange(31))
         unseen = model.rest[v] * 0.5 / (tokens + 0.5 * (vocabulary + 1))  # the word that training never saw
         assert abs((10.0 ** logs).sum() + unseen - 1) < 1e-9
+
+
+def test_lm_scores_do_not_depend_on_what_is_broadcast(docs):
+    whole = L.lm_scores(docs, bits_each=400.0)  # so many bits that no probe is falsely answered
+    key = lambda r: (str(r["doc_id"]), r["n_tokens"], r["base_score"])
+    want = sorted((r for r in whole.collect()), key=key)
+    for options in ({"head_words": 40}, {"filter_bytes": 300}, {"head_words": 40, "filter_bytes": 300}, {"head_words": 0}):
+        got = sorted((r for r in L.lm_scores(docs, bits_each=400.0, **options).collect()), key=key)
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        np.testing.assert_allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9, err_msg=str(options))
