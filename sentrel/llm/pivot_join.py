@@ -12,11 +12,12 @@ written: a list yields link counts per vector and a spanning forest of its links
 
 Scale: copies are collapsed first (a class per distinct vector). Lists longer
 than ``chunk`` are cut into chunks by hash and each pair of chunks is a task.
-``depth`` grows with the table such that lists stay short on average. Recall
+``depth`` is ``DEPTH`` at every size, so a link that a small table shows is not lost
+in a larger one; longer lists cost more pairs of chunks. Vectors of each length are a table of their own. Recall
 against brute force on the test tables is in the README (and tested).
 
-Defined results: vectors that are null, zero, hold null or non-finite components,
-or whose length is not the most common one, link with nothing. Copies link with
+Defined results: vectors that are null, zero, or hold null or non-finite components
+link with nothing; vectors of different lengths do not link. Copies link with
 one another. Repeated ids are different vectors. A null id is never a component
 id unless all of its component are null. Only the two named columns are read.
 """
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 
 from sentrel.llm.shared import components, written
 
+#: Pivots that two vectors must share to meet.
+DEPTH = 2
 OUT = "cls bigint, other bigint, n bigint"
 
 
@@ -127,46 +130,35 @@ def choose_pivots(sample: np.ndarray, count: int, apart: float = 0.8) -> np.ndar
     return chosen
 
 
-def depth_for(n: int, n_pivots: int, prefix: int, list_rows: int) -> int:
-    """Pivots per list, 2 at least, such that a list has ``list_rows`` rows at most on average."""
-    depth = 2
-    while depth < prefix - 2 and n * math.comb(prefix, depth) > list_rows * math.comb(n_pivots, depth):
-        depth += 1
-    return depth
+def links_of_length(classes: DataFrame, dim: int, least: float, n_pivots: int, prefix: int, chunk: int) -> DataFrame:
+    """``OUT`` of classes whose vectors have ``dim`` components."""
+    sample = classes.select("v", F.xxhash64("v").alias("h"), "cls").orderBy("h", "cls").limit(8 * n_pivots).collect()
+    pivots = choose_pivots(_unit(pa.array([np.asarray(r["v"], np.float64).tobytes() for r in sample]), dim), n_pivots)
+    prefix = min(prefix, len(pivots))
+    depth = min(DEPTH, prefix)
+    points = written(describe(classes, pivots, prefix, depth), "points")
+    sizes = points.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    sizes = written(sizes.select("list", F.ceil(F.col("rows") / chunk).cast("int").alias("parts")), "lists")
+    on = (points.select("cls", "size", "vec", "near", F.explode("lists").alias("list")).join(sizes, "list")
+          .withColumn("side", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+          .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+          .select("list", F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j"), "cls", "size", "side", "vec", "near"))
+    return on.groupBy("list", "i", "j").applyInArrow(_links_of(dim, len(pivots), depth, least), OUT)
 
 
 def embedding_links(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", least: float = 0.95,
                     n_pivots: int = 128, prefix: int = 8, list_rows: int = 2_000, chunk: int = 1_500) -> DataFrame:
-    """One row per vector: ``vec_id, n_links, component_id, kept``."""
+    """One row per vector: ``vec_id, n_links, component_id, kept``. ``list_rows`` has no effect (it raised the depth)."""
     spark = df.sparkSession
     v = F.col("v")
     good = F.coalesce(F.exists(v, lambda x: x != 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))), F.lit(False))
     rows = written(df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("vec_id"),
                              F.col(vec_col).cast("array<double>").alias("v")).withColumn("good", good), "vectors")
-    common = rows.where("good").groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    if common is None:
-        return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = common["dim"]
-    usable = F.col("good") & (F.size("v") == dim)
-    classes = rows.where(usable).groupBy("v").agg(F.min("row").alias("cls"), F.count(F.lit(1)).alias("size"))
-    classes = written(classes, "classes")
-    member = written(rows.where(usable).join(classes, "v").select("row", "cls", "size"), "members")
-
-    sample = classes.select("v", F.xxhash64("v").alias("h"), "cls").orderBy("h", "cls").limit(8 * n_pivots).collect()
-    pivots = choose_pivots(_unit(pa.array([np.asarray(r["v"], np.float64).tobytes() for r in sample]), dim), n_pivots)
-    n, prefix = classes.count(), min(prefix, len(pivots))
-    if n < 2:
-        found = spark.createDataFrame([], OUT)
-    else:
-        depth = depth_for(n, len(pivots), prefix, list_rows) if prefix > 2 else min(2, prefix)
-        points = written(describe(classes, pivots, prefix, depth), "points")
-        sizes = points.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-        sizes = written(sizes.select("list", F.ceil(F.col("rows") / chunk).cast("int").alias("parts")), "lists")
-        on = (points.select("cls", "size", "vec", "near", F.explode("lists").alias("list")).join(sizes, "list")
-              .withColumn("side", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
-              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-              .select("list", F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j"), "cls", "size", "side", "vec", "near"))
-        found = on.groupBy("list", "i", "j").applyInArrow(_links_of(dim, len(pivots), depth, least), OUT)
+    classes = written(rows.where("good").groupBy("v").agg(F.min("row").alias("cls"), F.count(F.lit(1)).alias("size")), "classes")
+    member = written(rows.where("good").join(classes, "v").select("row", "cls", "size"), "members")
+    found = spark.createDataFrame([], OUT)
+    for r in classes.groupBy(F.size("v").alias("dim")).count().where("count > 1").orderBy("dim").collect():  # a row per length
+        found = found.union(links_of_length(classes.where(F.size("v") == r["dim"]), r["dim"], least, n_pivots, prefix, chunk))
     found = written(found, "links")
     counts = found.where("other is null").groupBy("cls").agg(F.sum("n").alias("n"))
     comp = components(found.where("other is not null").select("cls", "other").distinct(), "cls", "other")

@@ -152,6 +152,25 @@ def test_embedding_links(spark, options):
     assert all(got[i] == (0, i, True) for i, *_ in bad)
 
 
+def test_links_do_not_depend_on_the_size_for_lists(spark):
+    r = np.random.default_rng(6)
+    base = r.normal(size=(150, 64))
+    x = np.concatenate([base, base + 0.3 * r.normal(size=base.shape)])  # cosines about 0.958
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {n: sum(q["n_links"] for q in V.embedding_links(df, n_pivots=20, list_rows=n).collect()) for n in (1, 10**9)}
+    assert found[1] == found[10**9] >= 0.95 * _links(x).sum()
+
+
+def test_vectors_of_every_length_link(spark):
+    r = np.random.default_rng(7)
+    rows = []
+    for dim, n in ((64, 30), (32, 20), (2, 1)):
+        base = r.normal(size=(n, dim))
+        rows += [(len(rows) + i, v.tolist()) for i, v in enumerate(np.concatenate([base, base + 0.01 * r.normal(size=base.shape)]))]
+    got = V.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert len(got) == 102 and all(q["n_links"] == 1 for q in got) and sum(q["kept"] for q in got) == 51
+
+
 def test_embedding_edges(spark):
     schema = "vec_id long, embedding array<float>"
     assert V.embedding_links(spark.createDataFrame([], schema)).count() == 0
