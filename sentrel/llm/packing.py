@@ -8,8 +8,11 @@ document's words, which puts similar documents side by side and, ties being brok
 id, never puts a group of copies into one shard. Every shard builds a BM25
 inverted index of its tails. The longest unused tail is the seed of a sequence;
 the index ranks the unused tails for it, and they fill its window greedily in that
-order. A tail that does not fit is cut at a multiple of ``GRAIN`` ids and its rest stays in
-the pool, so padding is under ``GRAIN`` ids a sequence (but for the last of a shard).
+order. With more than one shard, this first round keeps the sequences whose fillers score ``NEAR``
+of their seed's own score for half of their ids; the tails of the others meet again in a second
+round, dealt by another minimum hash, where every filled sequence is kept; what is left of the shards' last
+windows is packed in a third. A tail that does not fit is cut at a multiple of ``GRAIN`` ids and its rest stays in
+the pool, so padding is under ``GRAIN`` ids a sequence (but for the last of a shard of the last round).
 
 Only checksums travel, never ids: a tail carries the CRC-32 of its prefixes at
 each multiple of ``GRAIN``, from which the CRC-32 of any piece follows (CRC is linear).
@@ -26,6 +29,7 @@ pieces. Only the two named columns are read.
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from array import array
 
@@ -35,10 +39,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrel.llm.shared import Words, mix, slices, spread, written
+from sentrel.llm.shared import Words, mix, slices, written
 
-GRAIN = 64
+GRAIN = 32
 END = 2
+#: A tail is like a seed from this part of the seed's score for itself on.
+NEAR = 0.5
+#: Shard numbers of the second round begin here.
+SECOND = 1 << 29
 TOKENS = "doc_id bigint, doc_tokens bigint, full_crcs binary, tail_crcs binary, terms binary, counts binary, near bigint"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -151,26 +159,23 @@ class Index:
         self.term, begin = np.unique(term[order], return_index=True)
         self.begin = np.append(begin, len(term))
         df = np.diff(self.begin)
-        idf = np.maximum(np.log((self.n - df + 0.5) / (df + 0.5)), 0).astype(np.float32)
+        idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
         words = np.bincount(doc, tf, self.n)
         norm = (k1 * (1 - b + b * words / max(words.mean(), 1e-9) if self.n else words)).astype(np.float32)
         self.doc = doc[order]
         self.weight = np.repeat(idf, df) * (tf[order] * np.float32(k1 + 1) / (tf[order] + norm[self.doc]))
-        self.telling = idf > 0  # words of half the tails or more weigh nothing
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.term, terms)
-        at = at[self.telling[at]]
-        if not len(at):
-            return np.zeros(self.n)
         lo, n = self.begin[at], self.begin[at + 1] - self.begin[at]
         where = np.repeat(lo - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
         return np.bincount(self.doc[where], self.weight[where], self.n)
 
 
-def fill_windows(lengths: np.ndarray, index: Index, terms: list[np.ndarray], length: int):
-    """Sequences of ``(tail, begin, n)``: all ids of all tails, each in one piece."""
-    begin = np.zeros(len(lengths), np.int64)
+def fill_windows(lengths: np.ndarray, index: Index, terms: list[np.ndarray], length: int, begins: np.ndarray | None = None, rest: list | None = None, near: float = NEAR):
+    """Sequences of ``(tail, begin, n)``: all ids of all tails, each in one piece. With ``rest``, the pieces of
+    sequences that are not filled, or not by tails that are like the seed (``near``), go there instead."""
+    begin = np.zeros(len(lengths), np.int64) if begins is None else begins.copy()
     left = lengths.copy()
     seeds = [(-int(n), i) for i, n in enumerate(left) if n]
     heapq.heapify(seeds)
@@ -178,7 +183,7 @@ def fill_windows(lengths: np.ndarray, index: Index, terms: list[np.ndarray], len
         negative, seed = heapq.heappop(seeds)
         if left[seed] != -negative:
             continue  # used, or shorter by now (then it is in the heap again)
-        pieces, space = [(seed, int(begin[seed]), int(left[seed]))], length - int(left[seed])
+        pieces, space, like = [(seed, int(begin[seed]), int(left[seed]))], length - int(left[seed]), 0
         left[seed] = 0
         if space:
             scores = index.scores(terms[seed])
@@ -190,48 +195,91 @@ def fill_windows(lengths: np.ndarray, index: Index, terms: list[np.ndarray], len
                     begin[i] += n
                     left[i] -= n
                     space -= n
+                    like += n if scores[i] >= near * scores[seed] else 0
                     if left[i]:
                         heapq.heappush(seeds, (-int(left[i]), i))
                 if space < GRAIN:
                     break
-        yield pieces
+        if rest is None or space < GRAIN and 2 * like >= sum(n for *_, n in pieces[1:]):
+            yield pieces
+        else:
+            rest += pieces
 
 
-def _packer(length: int):
+def _whole(rest: list) -> list[tuple[int, int, int]]:
+    """Pieces, those that follow one another in their tail joined."""
+    out = []
+    for i, begin, n in sorted(rest):
+        if out and out[-1][0] == i and sum(out[-1][1:]) == begin:
+            out[-1] = (i, out[-1][1], out[-1][2] + n)
+        else:
+            out.append((i, begin, n))
+    return out
+
+
+def _near(terms: np.ndarray) -> int:
+    """The second round's minimum hash."""
+    return int(mix(terms.astype(np.uint64) ^ np.uint64(0x3C3C3C3C3C)).min() >> np.uint64(1)) if len(terms) else 0
+
+
+REST = [("doc_id", pa.int64()), ("doc_tokens", pa.int64()), ("windows", pa.int64()), ("tail_crcs", pa.binary()), ("terms", pa.binary()), ("counts", pa.binary()),
+        ("begin", pa.int64()), ("n", pa.int64()), ("near", pa.int64()), ("at", pa.int64())]
+ROUND = f"{PIECES}, rest struct<{', '.join(f'{c}: {dict(int64='bigint', binary='binary')[str(t)]}' for c, t in REST)}>"
+
+
+def _packer(length: int, first: int, more: bool, near: float = 0):
+    """Packs a shard's tails from ``begin`` on, and whole windows if ``full_crcs`` has them; with ``more``,
+    what is to meet again in the next round comes in ``rest``."""
     def run(batches):
-        shard = TaskContext.get().partitionId()
+        shard = first + TaskContext.get().partitionId()
         t = pa.Table.from_batches(batches)
         if not t.num_rows:
             return
-        t = t.sort_by([("doc_id", "ascending"), ("doc_tokens", "ascending"), ("at", "ascending")])
-        ids, total = t.column("doc_id").to_pylist(), t.column("doc_tokens").to_pylist()
-        read = lambda c, kind: [np.frombuffer(x, kind) for x in t.column(c).to_pylist()]
-        full, tail, terms, counts = read("full_crcs", "<u4"), read("tail_crcs", "<u4"), read("terms", np.uint32), read("counts", np.uint8)
+        t = t.sort_by([("doc_id", "ascending"), ("doc_tokens", "ascending"), ("at", "ascending"), ("begin", "ascending")])
+        col = {c: t.column(c).to_pylist() for c in t.column_names}
+        ids, total, windows = col["doc_id"], col["doc_tokens"], col["windows"]
+        read = lambda c, kind: [np.frombuffer(x, kind) for x in col[c]]
+        tail, terms, counts = read("tail_crcs", "<u4"), read("terms", np.uint32), read("counts", np.uint8)
         out, sequence = [], 0
-        for i, crcs in enumerate(full):
+        for i, crcs in enumerate(read("full_crcs", "<u4")):
             for k, crc in enumerate(crcs):
                 out.append((ids[i], k * length, length, int(crc), total[i], shard << 32 | sequence, 0))
                 sequence += 1
-        lengths = np.array([n - length * len(c) for n, c in zip(total, full, strict=True)], np.int64)
-        for pieces in fill_windows(lengths, Index(terms, counts), terms, length):
+        rest = [] if more else None
+        for pieces in fill_windows(np.array(col["n"], np.int64), Index(terms, counts), terms, length, np.array(col["begin"], np.int64), rest, near):
             offset = 0
             for i, begin, n in pieces:
                 a = int(tail[i][begin // GRAIN - 1]) if begin else 0
                 crc = slice_crc(a, int(tail[i][-(-(begin + n) // GRAIN) - 1]), 4 * n)
-                out.append((ids[i], len(full[i]) * length + begin, n, crc, total[i], shard << 32 | sequence, offset))
+                out.append((ids[i], windows[i] * length + begin, n, crc, total[i], shard << 32 | sequence, offset))
                 offset += n
             sequence += 1
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names=names)
+        names = [x.split()[0] for x in PIECES.split(", ")]
+        again = _whole(rest or [])
+        columns = [pa.array([r[k] for r in out] + [None] * len(again), pa.int64()) for k in range(len(names))]
+        if more:
+            left = [{**{c: col[c][i] for c in ("doc_id", "doc_tokens", "windows", "tail_crcs", "terms", "counts", "at")}, "begin": begin, "n": n, "near": _near(terms[i])} for i, begin, n in again]
+            columns.append(pa.array([None] * len(out) + left, pa.struct(REST)))
+        yield pa.RecordBatch.from_arrays(columns, names=names + ["rest"] * more)
 
     return run
 
 
 def packed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 4096, tokenizer: str | None = None,
-           shard_tokens: int = 1_500_000) -> DataFrame:
+           shard_tokens: int = 3_000_000) -> DataFrame:
     """One row per piece (columns of ``PIECES``). ``tokenizer``: path of a tokenizer file; by default the public one."""
     docs = written(tokenized(df, id_col, text_col, length, tokenizer), "tokens")
     total = docs.agg(F.sum(F.col("doc_tokens") % length)).first()[0] or 0
-    shards = spread(df.sparkSession, total, shard_tokens) if total > 8 * length else 1
-    rows = docs.withColumn("at", F.monotonically_increasing_id())
-    return rows.repartitionByRange(shards, "near", "doc_id", "at").mapInArrow(_packer(length), PIECES)
+    shards = max(1, math.ceil(total / shard_tokens))
+    rows = docs.withColumns({"windows": F.floor(F.col("doc_tokens") / length), "begin": F.lit(0).cast("bigint"), "n": F.col("doc_tokens") % length,
+                             "at": F.monotonically_increasing_id()})
+    dealt = lambda t, n: t.repartitionByRange(n, "near", "doc_id", "at")
+    if shards == 1:
+        return dealt(rows, 1).mapInArrow(_packer(length, 0, False), PIECES)
+    out = []
+    for number, near in enumerate((NEAR, 0)):  # like tails, then all but what is left of a shard's last window
+        made = written(dealt(rows, shards).mapInArrow(_packer(length, number * SECOND, True, near), ROUND), "round")
+        out.append(made.where("rest is null").drop("rest"))
+        rows = made.where("rest is not null").select("rest.*").withColumn("full_crcs", F.lit(b""))
+        shards = max(1, math.ceil((rows.agg(F.sum("n")).first()[0] or 0) / shard_tokens))
+    return out[0].union(out[1]).union(dealt(rows, shards).mapInArrow(_packer(length, SECOND + SECOND // 2, False), PIECES))

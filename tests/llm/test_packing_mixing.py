@@ -66,6 +66,28 @@ def test_neighbours_share_words():
     assert np.mean([len({i % 10 for i, *_ in p}) for p in packs]) < 1.5
 
 
+def test_tails_without_like_ones_are_left_for_another_round():
+    terms = [np.arange(50 * i, 50 * i + 50, dtype=np.uint32) for i in range(8)] * 2  # each tail has one copy
+    lone = [np.arange(10_000 + 50 * i, 10_050 + 50 * i, dtype=np.uint32) for i in range(4)]
+    index, rest = P.Index(terms + lone, [np.ones(50, np.uint8)] * 20), []
+    packs = list(P.fill_windows(np.array([128] * 16 + [96] * 4), index, terms + lone, 256, rest=rest))
+    assert sorted(sorted(i % 8 for i, *_ in p) for p in packs) == [[i, i] for i in range(8)] and sorted(i for i, *_ in P._whole(rest)) == [16, 17, 18, 19]
+    assert sum(n for *_, n in rest) == 4 * 96
+
+
+def test_like_documents_of_different_shards_meet_in_the_second_round(spark):
+    r = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in r.choice(np.arange(200 * (i % 30), 200 * (i % 30) + 200), 120)) for i in range(240)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    sizes = [len(encoded(x)) for x in texts]
+    one = P.packed(df, length=2048).select("sequence_id").collect()
+    assert {q[0] >> 32 for q in one} == {0}  # one shard, whatever the session's shuffle partitions
+    out = P.packed(df, length=2048, shard_tokens=sum(sizes) // 3).collect()
+    assert any(q["sequence_id"] >> 32 >= P.SECOND for q in out) and sum(q["length"] for q in out) == sum(sizes)
+    for q in out:
+        assert zlib.crc32(encoded(texts[q["doc_id"]])[q["start"]:q["start"] + q["length"]].tobytes()) == q["ids_crc32"]
+
+
 def test_slice_crc():
     data = np.arange(5000, dtype="<u4").tobytes()
     for a, b in ((0, 40), (128, 4000), (4, 20000)):
