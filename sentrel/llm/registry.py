@@ -4,6 +4,7 @@ operators' production parameters."""
 
 from __future__ import annotations
 
+from sentrel.llm.block_search import search
 from sentrel.llm.exact_dedup import exact_dedup
 from sentrel.llm.jaccard_join import near_duplicates
 from sentrel.llm.lm_scoring import lm_scores
@@ -13,8 +14,10 @@ from sentrel.llm.phrase_dedup import remove_repeats
 from sentrel.llm.pivot_join import embedding_links
 from sentrel.llm.quality import quality
 from sentrel.llm.shared import table
+from sentrel.llm.token_counts import over_limit
 from sentrel.llm.toxicity import toxicity
 from sentrel.llm.warc import warc_round_trip
+from sentrel.llm.whitening import as_long, whitened
 
 QUERIES = {}
 SQL = {}
@@ -102,3 +105,33 @@ def op8(spark, sf_dir):
 @register("op9_embedding_links")
 def op9(spark, sf_dir):
     return embedding_links(table(spark, sf_dir, "embeddings"))
+
+
+@register("op11_whitening")
+def op11(spark, sf_dir):
+    return whitened(table(spark, sf_dir, "embeddings")).withColumn("deviation", as_long())
+
+
+@register("op12_block_search")
+def op12(spark, sf_dir):
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL["op12_block_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS t FROM documents),
+total AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+m AS (SELECT r, doc_id, t, 75 + (25 * len(t) * n_docs) // n_terms AS m FROM d, total WHERE len(t) > 0),
+tf AS (SELECT r, doc_id, m, term, count(*) AS tf FROM (SELECT r, doc_id, m, unnest(t) AS term FROM m) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+q AS (SELECT i, item_id, term, count(*) AS qf FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT i, item_id, r, doc_id, sum(qf * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score FROM q JOIN w USING (term) JOIN tf USING (term) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+
+@register("op13_token_counts")
+def op13(spark, sf_dir):
+    return over_limit(table(spark, sf_dir, "documents"))

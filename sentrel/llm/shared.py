@@ -121,14 +121,14 @@ class Words:
     ``first`` the index of each document's first word (one more at the end),
     ``begin`` and ``end`` their byte ranges in ``data``."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool, powers: Powers | None = None):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool, powers: Powers | None = None, separators: np.ndarray = _IS_SPACE):
         self.data, self.offsets = (_LOWER[data] if lower else data), offsets
         n = len(data)
         if n == 0:
             self.h, self.begin, self.end = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
             self.first = np.zeros(len(offsets), np.int64)
             return
-        solid = ~_IS_SPACE[data]
+        solid = ~separators[data]
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True
         begin = solid.copy()
@@ -157,14 +157,15 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def slices(column: pa.Array, lower: bool) -> Iterator[tuple[int, int, Words]]:
-    """The column's documents, some ``SLICE_BYTES`` at a time (a longer document alone)."""
+def slices(column: pa.Array, lower: bool, separators: np.ndarray = _IS_SPACE) -> Iterator[tuple[int, int, Words]]:
+    """The column's documents, some ``SLICE_BYTES`` at a time (a longer document alone). ``separators`` marks
+    the bytes that are outside words."""
     data, offsets = text_buffer(column)
     lo, n, powers = 0, len(offsets) - 1, Powers()
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE_BYTES, side="right")) - 1)
         hi = min(hi, n)
-        yield lo, hi, Words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lower, powers)
+        yield lo, hi, Words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lower, powers, separators)
         lo = hi
 
 
