@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from sentrel.functions.arrays import argmax, at, decode_probs, format_fixed, format_probs, softmax
 from sentrel.functions.hashing import h
 from sentrel.functions.text import count_spaces, ws_tokens
-from sentrel.operators.scan import quantiles
+from sentrel.operators.scan import join_groups, quantiles, quantiles_of_counts, value_counts
 from sentrel.operators.spans import num_to_label
 from sentrel.schema import LABELS
 
@@ -103,10 +103,47 @@ def text_features(df: DataFrame, col: str = "sentence") -> DataFrame:
 
 # --- E04 -----------------------------------------------------------------------------
 
-def exact_mean(col) -> Column:
+def exact_mean(col: str) -> Column:
     """Mean from an exact decimal sum (nine places), so that it does not depend
-    on the order in which partitions are added up."""
-    return F.sum(F.col(col).cast("decimal(28,9)")).cast("double") / F.count(col)
+    on the order in which partitions are added up; Spark's own mean where a number does not fit."""
+    d, n = F.expr(f"try_cast(`{col}` AS decimal(28,9))"), F.count(F.col(col))
+    return F.when(F.count(d) == n, F.try_sum(d).cast("double") / F.nullif(n, F.lit(0))).otherwise(F.avg(col))
+
+
+def _decimal(col: str) -> Column:
+    return F.expr(f"try_cast(`{col}` AS decimal(18,9))")
+
+
+def _exact(cols: Sequence[str], value: Column, otherwise: Column) -> Column:
+    """``value`` where all numbers of ``cols`` have a decimal (below 10^9, finite) and no sum overflows, else ``otherwise``."""
+    whole = [F.count(_decimal(c)) == F.count(F.col(c)) for c in cols]
+    ok = whole[0]
+    for w in whole[1:]:
+        ok = ok & w
+    return F.when(ok & value.isNotNull(), value).otherwise(otherwise)
+
+
+def _moment(a: str, b: str) -> Column:
+    """Sum of ``(a - mean a)(b - mean b)`` from exact decimal sums."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    n = F.sum(both.cast("int"))
+    s = [F.try_sum(F.when(both, x)).cast("double") for x in (_decimal(a), _decimal(b), _decimal(a) * _decimal(b))]
+    return s[2] - s[0] * s[1] / F.nullif(n, F.lit(0))
+
+
+def exact_std(col: str) -> Column:
+    """Sample deviation (n-1) from exact sums of x and x*x at nine places: the same under any
+    partitioning. Numbers that do not fit take Spark's own deviation."""
+    n = F.count(F.col(col))
+    v = F.when(n >= 2, F.sqrt(F.greatest(F.lit(0.0), _moment(col, col)) / F.nullif(n - 1, F.lit(0))))
+    return F.when(n >= 2, _exact([col], v, F.stddev_samp(col)))
+
+
+def exact_corr(a: str, b: str) -> Column:
+    """Pearson correlation from exact sums; null without variance."""
+    va, vb = _moment(a, a), _moment(b, b)
+    ok = (F.count(F.lit(1)) >= 2) & (F.var_samp(a) > 0) & (F.var_samp(b) > 0)
+    return F.when(ok, _exact([a, b], _moment(a, b) / F.nullif(F.sqrt(F.greatest(F.lit(0.0), va * vb)), F.lit(0.0)), F.corr(a, b)))
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -117,10 +154,10 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         .select(DS, "_e.column", "_e.x")
     g = [DS, "column"]
     base = long.groupBy(*g).agg(F.count("x").alias("count"), exact_mean("x").alias("mean"),
-                                F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
+                                exact_std("x").alias("std"), F.min("x").alias("min"),
                                 F.max("x").alias("max"))
     q = quantiles(long, g, "x", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
-    return base.join(q, g, "left")
+    return join_groups(base, q, g, "left")
 
 
 # --- E08 - E11: thresholds and buckets --------------------------------------------------
@@ -156,7 +193,7 @@ def bucket_expr(x, th) -> Column:
 
 def bucketize(df: DataFrame, col: str, th: DataFrame, out: str = "bucket") -> DataFrame:
     """E10 attach per-dataset thresholds (one row per dataset) and bucket."""
-    d = df.join(th, DS)
+    d = join_groups(df, th, [DS])
     return d.withColumn(out, bucket_expr(col, "th"))
 
 
@@ -178,10 +215,9 @@ def bucket_stats(bucketed: DataFrame, cols: Sequence, bucket: str = "bucket") ->
     for c in cols:
         if isinstance(c, tuple):
             a, b = c
-            ok = (F.count(F.lit(1)) >= 2) & (F.var_samp(a) > 0) & (F.var_samp(b) > 0)
-            aggs.append(F.when(ok, F.corr(a, b)).alias(f"{a}_{b}_pearson"))
+            aggs.append(exact_corr(a, b).alias(f"{a}_{b}_pearson"))
         else:
-            aggs += [exact_mean(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std")]
+            aggs += [exact_mean(c).alias(f"{c}_mean"), exact_std(c).alias(f"{c}_std")]
     return bucketed.where(F.col(bucket).isNotNull()).groupBy(DS, bucket).agg(*aggs)
 
 
@@ -193,9 +229,9 @@ def group_stats(df: DataFrame, by: str = "num_label", col: str = "label_confiden
     names); class names from the label dimension; ``sort`` names one of them to
     order the classes of each dataset by, largest first."""
     agg = df.groupBy(DS, F.col(by).alias("class_id")).agg(
-        F.count(F.lit(1)).alias("count"), exact_mean(col).alias("mean"), F.stddev_samp(col).alias("std"))
+        F.count(F.lit(1)).alias("count"), exact_mean(col).alias("mean"), exact_std(col).alias("std"))
     grid = df.select(DS).distinct().select(DS, F.explode(F.sequence(F.lit(0), F.lit(n_classes - 1))).alias("class_id"))
-    out = grid.join(agg, [DS, "class_id"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    out = join_groups(grid, agg, [DS, "class_id"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
     out = num_to_label(out, "class_id", "class_name")
     out = out.select(DS, "class_id", *[m for m in ("count", "mean", "std") if m in mode], "class_name")
     return out.orderBy(DS, F.col(sort).desc_nulls_last(), "class_id") if sort else out
@@ -207,17 +243,17 @@ def box_stats(df: DataFrame, group: Sequence[str], col: str) -> DataFrame:
     """Box-plot table per group: n, min, q1, median, q3, max, whiskers (the
     most extreme values within 1.5 IQR of the box) and the outlier count."""
     group = list(group)
-    q = quantiles(df, group, col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
-         .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    x = F.col(col)
-    j = df.where(x.isNotNull()).join(q, group)
-    agg = j.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max"),
-        F.min(F.when(x >= F.col("_lo"), x)).cast("double").alias("lower_whisker"),
-        F.max(F.when(x <= F.col("_hi"), x)).cast("double").alias("upper_whisker"),
-        F.sum(((x < F.col("_lo")) | (x > F.col("_hi"))).cast("long")).alias("n_outliers"))
-    return agg.join(q.drop("_lo", "_hi"), group)
+    v = value_counts(df, group, col)  # one row per distinct value: all that follows reads these
+    q = quantiles_of_counts(v, group, col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    x, n = F.col(col), F.col("_c")
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    low, high = F.col("q1") - reach, F.col("q3") + reach
+    return join_groups(v, q, group).groupBy(*group).agg(
+        F.sum(n).alias("n"), F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max"),
+        F.min(F.when(x >= low, x)).cast("double").alias("lower_whisker"),
+        F.max(F.when(x <= high, x)).cast("double").alias("upper_whisker"),
+        F.sum(F.when((x < low) | (x > high), n).otherwise(0)).alias("n_outliers"),
+        *[F.first(c).alias(c) for c in ("q1", "median", "q3")])
 
 
 def conditional_dist(df: DataFrame, cond: str, show: str, th: DataFrame | None = None) -> DataFrame:
@@ -244,7 +280,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     rng = df.groupBy(DS).agg(F.min(x).alias("_mn"), F.max(x).alias("_mx"))
     w = (F.col("_mx") - F.col("_mn")) / bins
     b = F.when(w > 0, F.least(F.lit(bins - 1), F.floor((x - F.col("_mn")) / w).cast("int"))).otherwise(F.lit(0))
-    return df.where(x.isNotNull()).join(rng, DS).groupBy(DS, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    return join_groups(df.where(x.isNotNull()), rng, [DS]).groupBy(DS, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
 
 
 # --- E19 - E22: extracts and filters -------------------------------------------------------------
@@ -274,6 +310,6 @@ def filter_contains(df: DataFrame, col: str, pattern: str, ref: str | None = Non
         raise ValueError(mode)
     if ref is None:
         return df.where(F.col(col).rlike(pattern))
-    ids = df.where((F.col(DS) == ref) & F.col(col).rlike(pattern)).select("id").distinct()
+    ids = df.where((F.col(DS) == ref) & F.col(col).rlike(pattern)).select("id")
     return df.join(ids, "id", "left_semi")
 

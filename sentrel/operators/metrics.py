@@ -8,11 +8,13 @@ all rows is still spread over all tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentrel.functions.arrays import argmax, at, log_softmax, logsumexp, softmax
-from sentrel.operators.scan import n_buckets, running, with_group_range_bucket
+from sentrel.operators.scan import BUCKET, KEY, ranged, running
 
 
 def _c(x) -> Column:
@@ -47,47 +49,42 @@ def accuracy(df: DataFrame, z: str = "z", label: str = "label_id") -> DataFrame:
 
 def pr_points(df: DataFrame, z: str = "z", label: str = "label_id") -> DataFrame:
     """Per class one-vs-rest PR-curve points at every distinct score (highest
-    first): ``cls, score, tp, fp`` cumulative, ``tp_c, fp_c`` at the score."""
+    first): ``cls, score, tp, fp`` cumulative, ``tp_c, fp_c`` at the score, ``tp_total`` positives of the class."""
     long = df.select(F.posexplode(z).alias("cls", "score"), F.col(label).alias("_y"))
     pts = long.groupBy("cls", "score").agg(
         F.sum((F.col("_y") == F.col("cls")).cast("long")).alias("tp_c"),
         F.sum((F.col("_y") != F.col("cls")).cast("long")).alias("fp_c"))
-    nb = n_buckets(df)
-    # per-class score ranges; one row per class (bounded by the score vector length)
-    pts = with_group_range_bucket(pts, ["cls"], "score", nb, descending=True, small_groups=True)
-    return running(pts, ["cls"], [F.col("score").desc()],
-                   [("tp", "sum", F.col("tp_c")), ("fp", "sum", F.col("fp_c"))],
-                   F.col("_gbkt")).drop("_gbkt")
+    return running(pts, ["cls"], [F.col("score").desc()], [("tp", "sum", F.col("tp_c")), ("fp", "sum", F.col("fp_c"))], totals=["tp"])
 
 
-def auprc_per_class(df: DataFrame, z: str = "z", label: str = "label_id") -> DataFrame:
+def auprc_per_class(df: DataFrame, z: str = "z", label: str = "label_id", empty_value: float | None = None) -> DataFrame:
     """Area under each class's PR curve (trapezoids over recall, curve closed
-    at recall 0 / precision 1); classes without positives are left out."""
+    at recall 0 / precision 1). Classes without positives are left out, or have ``empty_value``."""
     r = pr_points(df, z, label)
-    pos = r.groupBy("cls").agg(F.sum("tp_c").alias("_P"))  # one row per class
-    r = r.join(F.broadcast(pos), "cls").where(F.col("_P") > 0)
+    n = F.nullif(F.col("tp_total"), F.lit(0))
     tp0, fp0 = F.col("tp") - F.col("tp_c"), F.col("fp") - F.col("fp_c")
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))
-    prec0 = F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(tp0 / (tp0 + fp0))
-    rec, rec0 = F.col("tp") / F.col("_P"), tp0 / F.col("_P")
-    area = (rec - rec0) * (prec + prec0) / 2.0
-    return r.groupBy("cls").agg(F.sum(area).alias("auprc"))
+    prec0 = F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(tp0 / F.nullif(tp0 + fp0, F.lit(0)))
+    area = (F.col("tp") - tp0) / n * (prec + prec0) / 2.0
+    out = r.groupBy("cls").agg(F.sum(area).alias("auprc"))
+    return out.where(F.col("auprc").isNotNull()) if empty_value is None else out.fillna(empty_value, ["auprc"])
 
 
-def auprc(df: DataFrame, z: str = "z", label: str = "label_id", use_softmax: bool = False) -> DataFrame:
-    """M02 macro AUPRC x 100 (plain mean over classes with positives). Scores
+def auprc(df: DataFrame, z: str = "z", label: str = "label_id", use_softmax: bool = False, empty_value: float | None = None) -> DataFrame:
+    """M02 macro AUPRC x 100 (plain mean over classes with positives; with
+    ``empty_value``, over all classes, those without positives counted with it). Scores
     are taken as given (the reference passes logits); ``use_softmax`` first."""
     d = df.withColumn(z, softmax(z)) if use_softmax else df
-    return auprc_per_class(d, z, label).agg((F.avg("auprc") * 100.0).alias("auprc"))
+    return auprc_per_class(d, z, label, empty_value).agg((F.avg("auprc") * 100.0).alias("auprc"))
 
 
 def compute_metrics(df: DataFrame, z: str = "z", label: str = "label_id",
-                    use_softmax: bool = False) -> DataFrame:
+                    use_softmax: bool = False, empty_value: float | None = None) -> DataFrame:
     """M04 one row: ``micro_f1, auprc, accuracy`` (one pass for F1/accuracy,
     one for the PR curves; combined by a single-row union + aggregate)."""
     a = df.agg(micro_f1_expr(argmax(z), label).alias("micro_f1"),
                accuracy_expr(argmax(z), label).alias("accuracy"))
-    b = auprc(df, z, label, use_softmax)
+    b = auprc(df, z, label, use_softmax, empty_value)
     u = a.unionByName(b, allowMissingColumns=True)
     return u.agg(F.max("micro_f1").alias("micro_f1"), F.max("auprc").alias("auprc"),
                  F.max("accuracy").alias("accuracy"))
@@ -133,42 +130,45 @@ def plateau(df: DataFrame, run: str = "run", step: str = "step", value: str = "v
             mode: str = "min", patience: int = 5) -> DataFrame:
     """M09 early-stopping state per ``(run, step)`` in step order.
 
-    Negative values are skipped. A strict improvement over the best so far
+    Negative values and nulls are skipped; a NaN is a step without improvement. A strict improvement over the best so far
     (lower for ``min``, higher for ``max``) sets ``best`` and resets the
     counter, otherwise the counter grows by one; ``stop`` turns true when the
     counter reaches ``patience`` and stays true."""
     if mode not in ("min", "max"):
         raise ValueError(f"unknown direction {mode!r}: say whether lower (min) or higher (max) values are better")
-    nb = n_buckets(df)
-    # buckets over each run's own step range (one stats row per run; AQE
-    # broadcasts it or splits a skewed join partition)
-    d = with_group_range_bucket(df.where(F.col(value) >= 0), [run], step, nb, name="_sb")
-    kind = "min" if mode == "min" else "max"
-    r = running(d, [run], [F.col(step)], [("_prev", kind, F.col(value)), ("_before", "sum", F.lit(1))],
-                F.col("_sb"), exclusive=True)
-    better = (F.col(value) < F.col("_prev")) if mode == "min" else (F.col(value) > F.col("_prev"))
+    # numbers only: a NaN is never an improvement, but counts as a step without one
+    number = F.when(~F.isnan(value), F.col(value))
+    none, kind = (math.inf, "min") if mode == "min" else (-math.inf, "max")
+    d = ranged(df.where(F.col(value) >= 0), [run], [F.col(step)])
+    r = running(d, [run], [F.col(step)], [("_prev", kind, number), ("_before", "sum", F.lit(1))], F.col(BUCKET), exclusive=True, keep=True)
+    prev = F.coalesce("_prev", F.lit(none))
     r = r.withColumn("rn", (F.col("_before") + 1).cast("long")) \
-         .withColumn("best", F.col("_prev").isNull() | better)
-    r = running(r, [run], [F.col(step)], [("_last", "max", F.when(F.col("best"), F.col("rn")).otherwise(0))],
-                F.col("_sb"))
-    r = r.withColumn("patience_cnt", (F.col("rn") - F.col("_last")).cast("long"))
-    first = r.where(F.col("patience_cnt") >= patience).groupBy(run).agg(F.min("rn").alias("_stop_rn"))
-    r = r.join(first, run, "left")
-    r = r.withColumn("stop", F.coalesce(F.col("rn") >= F.col("_stop_rn"), F.lit(False)))
-    return r.drop("_prev", "_before", "_last", "_stop_rn", "_sb")
+         .withColumn("best", F.coalesce(number < prev if mode == "min" else number > prev, F.lit(False)))
+    # last improvement inside the bucket; the buckets before come as one row each
+    upto = Window.partitionBy(KEY, BUCKET).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
+    mark = F.when(F.col("best"), F.col("rn"))
+    r = r.withColumn("_last", F.max(mark).over(upto))
+    pieces = r.groupBy(KEY, BUCKET).agg(F.min(mark).alias("_first"), F.max(mark).alias("_late"), F.max("rn").alias("_end"),
+                                        F.max(F.col("rn") - F.col("_last")).alias("_inner"))
+    before = Window.partitionBy(KEY).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_carry", F.coalesce(F.max("_late").over(before), F.lit(0)))
+    # the longest row of steps without improvement in a bucket: at its begin, or after its first improvement
+    longest = F.greatest(F.col("_inner"), F.coalesce(F.col("_first") - 1, F.col("_end")) - F.col("_carry"))
+    pieces = pieces.select(KEY, BUCKET, "_carry", F.max((longest >= patience).cast("int")).over(before).alias("_stopped"))
+    r = r.join(pieces, [KEY, BUCKET])
+    r = r.withColumn("patience_cnt", (F.col("rn") - F.greatest("_last", "_carry")).cast("long"))
+    here = F.max((F.col("patience_cnt") >= patience).cast("int")).over(upto)
+    r = r.withColumn("stop", F.greatest(here, "_stopped") == 1)
+    return r.drop("_prev", "_before", "_last", "_carry", "_stopped", KEY, BUCKET)
 
 
 def best_step(df: DataFrame, run: str = "run", step: str = "step", value: str = "value",
               mode: str = "max", patience: int = 5) -> DataFrame:
-    """M10 per run: the best step (ties -> lowest step), its value, and the
+    """M10 per run: the best step (ties -> lowest step; a NaN is never best), its value, and the
     first step at which :func:`plateau` stops (NULL if never)."""
-    v, s = F.col(value), F.col(step)
-    if mode == "max":
-        pick = F.max_by(F.struct(s.alias("s"), v.alias("v")), F.struct(v, -s))
-    else:
-        pick = F.min_by(F.struct(s.alias("s"), v.alias("v")), F.struct(v, s))
-    best = df.where(v >= 0).groupBy(run).agg(pick.alias("_b")).select(
-        run, F.col("_b.s").alias("best_step"), F.col("_b.v").alias("best_value"))
     p = plateau(df, run, step, value, mode, patience)
-    stops = p.where(F.col("stop")).groupBy(run).agg(F.min(step).alias("stop_step"))
-    return best.join(stops, run, "left")
+    v, s = F.col(value), F.col(step)
+    rank = F.struct(v, -s) if mode == "max" else F.struct(-v, -s)
+    pick = F.max_by(F.struct(s.alias("s"), v.alias("v")), F.when(~F.isnan(value), rank))
+    out = p.groupBy(run).agg(pick.alias("_b"), F.min(F.when(F.col("stop"), s)).alias("stop_step"))
+    return out.select(run, F.col("_b.s").alias("best_step"), F.col("_b.v").alias("best_value"), "stop_step")

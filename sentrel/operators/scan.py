@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentrel.functions.hashing import TWO_32
+from sentrel.session import materialize
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 BUCKET = "_bkt"
+KEY = "_grp"
 
 
 def n_buckets(df: DataFrame) -> int:
@@ -35,62 +37,48 @@ def hash_bucket(h: Column, nb: int) -> Column:
     return F.floor(h.cast("double") * nb / TWO_32).cast("int")
 
 
-def range_bucket(df: DataFrame, x: str, nb: int, descending: bool = False) -> Column:
-    """Equal-width bucket of ``x`` over its global range (one scalar subquery).
-
-    Monotone in ``x`` (or in ``-x`` when ``descending``)."""
-    # one scalar subquery (min and max in one pass); identical ones are reused
-    stats = df.agg(F.struct(F.min(F.col(x).cast("double")).alias("lo"),
-                            F.max(F.col(x).cast("double")).alias("hi")).alias("s")).scalar()
-    lo, hi = stats.getField("lo"), stats.getField("hi")
-    width = hi - lo
-    raw = F.when(width > 0, F.floor((F.col(x).cast("double") - lo) / width * nb)).otherwise(F.lit(0))
-    b = F.least(F.lit(nb - 1), F.greatest(F.lit(0), raw)).cast("int")
-    return (F.lit(nb - 1) - b).cast("int") if descending else b
-
-
-def with_group_range_bucket(df: DataFrame, group: Sequence[str], x: str, nb: int,
-                            descending: bool = False, small_groups: bool = False,
-                            name: str = "_gbkt") -> DataFrame:
-    """Add an equal-width bucket of ``x`` over each group's own range (groups
-    with very different ranges, e.g. stacked columns, are each split into
-    ``nb`` buckets). The per-group range table has one row per group; with
-    ``small_groups`` (a proven bound, e.g. classes) it is broadcast, otherwise
-    AQE decides at run time."""
+def group_key(group: Sequence[str]) -> Column:
+    """The group as one column that is never null and joins null groups too."""
+    return F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(0).alias("all"))
+
+
+def join_groups(left: DataFrame, right: DataFrame, group: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on the group columns, null groups included."""
     group = list(group)
-    xd = F.col(x).cast("double")
-    stats = df.groupBy(*group).agg(F.min(xd).alias("_glo"), F.max(xd).alias("_ghi"))
-    d = df.join(F.broadcast(stats) if small_groups else stats, group)
-    width = F.col("_ghi") - F.col("_glo")
-    raw = F.when(width > 0, F.floor((xd - F.col("_glo")) / width * nb)).otherwise(F.lit(0))
-    b = F.least(F.lit(nb - 1), F.greatest(F.lit(0), raw)).cast("int")
-    if descending:
-        b = (F.lit(nb - 1) - b).cast("int")
-    return d.withColumn(name, b).drop("_glo", "_ghi")
+    r = right.select(group_key(group).alias(KEY), *[c for c in right.columns if c not in group])
+    return left.withColumn(KEY, group_key(group)).join(r, KEY, how).drop(KEY)
+
+
+def ranged(df: DataFrame, group: Sequence[str], order: Sequence[Column], buckets: int | None = None) -> DataFrame:
+    """``df`` range-sorted into buckets (column ``BUCKET``) of about equally many rows, monotone along ``(group,
+    order)``, and written once: later branches must see the same buckets."""
+    by = [F.col(g) for g in group] + list(order)
+    return materialize(df.repartitionByRange(buckets or n_buckets(df), *by).withColumn(BUCKET, F.spark_partition_id()))
 
 
 def running(df: DataFrame, group: Sequence[str], order: Sequence[Column],
-            aggs: Sequence[tuple[str, str, Column]], bucket: Column,
-            exclusive: bool = False) -> DataFrame:
+            aggs: Sequence[tuple[str, str, Column]], bucket: Column | None = None,
+            exclusive: bool = False, totals: Sequence[str] = (), keep: bool = False) -> DataFrame:
     """Add running aggregates along ``order`` inside each ``group``.
 
     ``aggs`` holds ``(name, kind, expr)`` with kind ``sum``/``max``/``min``.
     The frame is all rows of the group up to the current one (``exclusive``:
     up to the previous one). ``order`` should be unique inside a group, as for
     any ROWS frame. ``bucket`` must be non-decreasing along ``order`` inside
-    each group.
+    each group; without it the rows are :func:`ranged` first. ``totals`` names sums that
+    also come for the whole group, as ``<name>_total``. ``keep`` leaves ``BUCKET`` and ``KEY`` in the
+    result, which is partitioned by both.
     """
-    group = list(group)
-    d = df.withColumn(BUCKET, bucket)
-    keys = group + [BUCKET]
+    d = ranged(df, group, order) if bucket is None else df.withColumn(BUCKET, bucket)
+    d = d.withColumn(KEY, group_key(group))
+    keys = [KEY, BUCKET]
     hi = -1 if exclusive else Window.currentRow
     w_local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
     local = d.select("*", *[_AGG[k](e).over(w_local).alias(f"_l_{n}") for n, k, e in aggs])
-    totals = d.groupBy(*keys).agg(*[_AGG[k](e).alias(f"_t_{n}") for n, k, e in aggs])
-    w_carry = (Window.partitionBy(*group) if group else Window.partitionBy()) \
-        .orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, *[_AGG[k](F.col(f"_t_{n}")).over(w_carry).alias(f"_c_{n}")
-                                   for n, k, _ in aggs])
+    sums = d.groupBy(*keys).agg(*[_AGG[k](e).alias(f"_t_{n}") for n, k, e in aggs])
+    w_carry = Window.partitionBy(KEY).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(*keys, *[_AGG[k](F.col(f"_t_{n}")).over(w_carry).alias(f"_c_{n}") for n, k, _ in aggs],
+                        *[F.sum(f"_t_{n}").over(Window.partitionBy(KEY)).alias(f"{n}_total") for n in totals])
     out = local.join(carry, keys, "left")
     for n, k, _ in aggs:
         c, loc = F.col(f"_c_{n}"), F.col(f"_l_{n}")
@@ -101,56 +89,46 @@ def running(df: DataFrame, group: Sequence[str], order: Sequence[Column],
         else:
             val = F.least(c, loc)
         out = out.withColumn(n, val)
-    drop = [BUCKET] + [f"_{p}_{n}" for n, _, _ in aggs for p in ("l", "c")]
-    return out.drop(*drop)
+    out = out.drop(*[f"_{p}_{n}" for n, _, _ in aggs for p in ("l", "c")])
+    return out if keep else out.drop(*keys)
 
 
 def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
-                  bucket: Column, name: str = "rk") -> DataFrame:
+                  bucket: Column | None = None, name: str = "rk") -> DataFrame:
     """1-based row number along ``order`` inside ``group`` (skew-safe)."""
     return running(df, group, order, [(name, "sum", F.lit(1))], bucket) \
         .withColumn(name, F.col(name).cast("bigint"))
 
 
+def value_counts(df: DataFrame, group: Sequence[str], x: str) -> DataFrame:
+    """Each group's distinct non-null values of ``x`` with their number ``_c`` and, along the values, how many
+    rows are up to it (``_cum``) and in the group (``_cum_total``). Ties are collapsed
+    map-side, so what is sorted is the distinct values."""
+    v = df.where(F.col(x).isNotNull()).groupBy(*group, x).agg(F.count(F.lit(1)).alias("_c"))
+    return running(v, group, [F.col(x)], [("_cum", "sum", F.col("_c"))], totals=["_cum"])
+
+
+def quantiles_of_counts(counts: DataFrame, group: Sequence[str], x: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Quantiles per group from :func:`value_counts`: one grouped aggregate with a partial one in each task."""
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((rank > F.col("_cum") - F.col("_c")) & (rank <= F.col("_cum")), F.col(x).cast("double")))
+
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (F.col("_cum_total") - 1).cast("double") * F.lit(float(p))
+        aggs += [value_at(F.floor(pos) + 1).alias(f"_lo{i}"), value_at(F.ceil(pos) + 1).alias(f"_hi{i}"), F.max(pos - F.floor(pos)).alias(f"_f{i}")]
+    out = counts.groupBy(*group).agg(*aggs)
+    return out.select(*group, *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(n) for i, n in enumerate(names)])
+
+
 def quantiles(df: DataFrame, group: Sequence[str], x: str, probs: Sequence[float],
-              names: Sequence[str] | None = None, nb: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per group.
+              names: Sequence[str] | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per group that has a value.
 
     Same definition as SQL ``percentile``/``quantile_cont``: position
     ``(n-1)*p`` in the sorted non-null values, interpolated between floor and
-    ceiling. Ties are collapsed first (map-side), then cumulative counts are
-    built with :func:`running`, so no group is ever sorted in one task.
-    """
+    ceiling. No group is ever sorted in one task."""
     group = list(group)
     if not group:
         raise ValueError("quantiles needs at least one group column")
-    names = list(names or [f"q{i}" for i in range(len(probs))])
-    nb = nb or n_buckets(df)
-    v = df.where(F.col(x).isNotNull()).groupBy(*group, x).agg(F.count(F.lit(1)).alias("_c"))
-    # one row per group: value range (for the buckets), row count (for the
-    # target ranks); joined back once
-    xd = F.col(x).cast("double")
-    st = v.groupBy(*group).agg(F.min(xd).alias("_glo"), F.max(xd).alias("_ghi"), F.sum("_c").alias("_n"))
-    targets = []
-    for i, p in enumerate(probs):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        targets.append(F.struct(F.lit(i).alias("i"),
-                                (F.floor(pos) + 1).cast("bigint").alias("lo"),
-                                (F.ceil(pos) + 1).cast("bigint").alias("hi"),
-                                (pos - F.floor(pos)).alias("frac")))
-    st = st.select(*group, "_glo", "_ghi", F.array(*targets).alias("_t"))
-    width = F.col("_ghi") - F.col("_glo")
-    raw = F.when(width > 0, F.floor((xd - F.col("_glo")) / width * nb)).otherwise(F.lit(0))
-    v = v.join(st, group).withColumn("_gbkt", F.least(F.lit(nb - 1), F.greatest(F.lit(0), raw)).cast("int"))
-    j = running(v, group, [F.col(x)], [("_cum", "sum", F.col("_c"))], F.col("_gbkt")) \
-        .withColumn("_start", F.col("_cum") - F.col("_c") + 1)
-    inside = lambda p: (p >= F.col("_start")) & (p <= F.col("_cum"))
-    hits = j.select(*group, F.col(x).cast("double").alias("_x"), "_start", "_cum",
-                    F.explode(F.filter("_t", lambda t: inside(t["lo"]) | inside(t["hi"]))).alias("t"))
-    per_p = hits.groupBy(*group, F.col("t.i").alias("_i")).agg(
-        F.max(F.when(inside(F.col("t.lo")), F.col("_x"))).alias("_vlo"),
-        F.max(F.when(inside(F.col("t.hi")), F.col("_x"))).alias("_vhi"),
-        F.max("t.frac").alias("_f"))
-    per_p = per_p.withColumn("_q", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_f"))
-    return per_p.groupBy(*group).agg(
-        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(nm) for i, nm in enumerate(names)])
+    return quantiles_of_counts(value_counts(df, group, x), group, x, probs, list(names or [f"q{i}" for i in range(len(probs))]))

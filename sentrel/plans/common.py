@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sentrel.session import materialize  # noqa: F401
+
 
 def finish(df: DataFrame, digits: int = 6) -> DataFrame:
     """Output normal form: integral columns BIGINT, floating columns DOUBLE
@@ -31,12 +33,3 @@ def join_doubles(arr, digits: int = 6) -> Column:
     """Double array as text with fixed decimals."""
     a = F.col(arr) if isinstance(arr, str) else arr
     return F.array_join(F.transform(a, lambda x: F.format_string(f"%.{digits}f", F.bround(x, digits))), ",")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and cut its lineage
-    (reliable ``checkpoint``, survives executor loss); for an intermediate
-    that several later branches of one plan read."""
-    from sentrel.session import work_dir
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -182,11 +182,11 @@ def _augmented_raw(spark, sf_dir):
     return A.append_variants(raw, A.reanchor(raw, fx.variants(spark, sf_dir, raw)))
 
 
-def _split_input(spark, sf_dir):
-    """The holdout reads its input in several branches (first row per id,
-    quotas, ranks, final join): write the keyed input once."""
+def _split_input(spark, sf_dir, *columns):
+    """The holdout reads its input in several branches (candidates, quotas,
+    final join): write the keyed rows once, without texts unless they are asked for."""
     from sentrel.plans.common import materialize
-    return materialize(D.shuffle_key(_augmented_raw(spark, sf_dir)))
+    return materialize(D.shuffle_key(_augmented_raw(spark, sf_dir).select(*(columns or ("id", "variant", "label_id")))))
 
 
 @register("a01_reanchor")
@@ -261,7 +261,7 @@ def d01(spark, sf_dir):
 
 @register("d02_quota")
 def d02(spark, sf_dir):
-    return finish(D.quota(_split_input(spark, sf_dir), 10, "label_id"))
+    return finish(D.quota(_augmented_raw(spark, sf_dir), 10, "label_id"))
 
 
 @register("d03_holdout")
@@ -381,17 +381,18 @@ def i06(spark, sf_dir):
 
 # --- E: analysis catalog --------------------------------------------------------------
 
-def _catalog(spark, sf_dir):
-    """Prediction catalog as written by the scorer, annotated (E03) and
-    materialised once: the analyses read it from several branches."""
-    c = EA.with_output_prob(fx.pred_catalog(spark, sf_dir))
-    return materialize(EA.annotate(c, "label_id", "output_prob", ["sentence"]).drop("z"))
-
-
 _FEAT = ["dataset", "id", "num_label", "num_pred", "pred", "pred_confidence", "label_confidence",
          "answer", "sentence_space", "sentence_len", "sentence_token_num"]
 
 
+def _catalog(spark, sf_dir):
+    """Prediction catalog as written by the scorer, annotated (E03) and
+    materialised once: the analyses read it from several branches. Text features
+    are computed once per document, and texts go no further."""
+    c = fx.pred_catalog(spark, sf_dir, lambda d: EA.text_features(d, "sentence").drop("sentence"))
+    return materialize(EA.annotate(EA.with_output_prob(c), "label_id", "output_prob", []).select(*_FEAT))
+
+
 @register("e01_catalog_select")
 def e01(spark, sf_dir):
     cat = EA.Catalog(fx.pred_catalog(spark, sf_dir)).enable(["m0", "m2"])
@@ -447,7 +448,7 @@ def e09(spark, sf_dir):
 
 def _bucketed(spark, sf_dir):
     c = _catalog(spark, sf_dir)
-    return EA.bucketize(c, "sentence_len", EA.iqr_thresholds(c, "sentence_len"))
+    return EA.bucketize(c, "sentence_len", materialize(EA.iqr_thresholds(c, "sentence_len")))
 
 
 @register("e10_bucketize")
@@ -478,7 +479,8 @@ def e14(spark, sf_dir):
 
 @register("e15_conditional_dist")
 def e15(spark, sf_dir):
-    return finish(EA.conditional_dist(_catalog(spark, sf_dir), "sentence_len", "label_confidence"))
+    c = _catalog(spark, sf_dir)
+    return finish(EA.conditional_dist(c, "sentence_len", "label_confidence", materialize(EA.iqr_thresholds(c, "sentence_len"))))
 
 
 @register("e16_group_dist")
@@ -629,7 +631,7 @@ def f11(spark, sf_dir):
 def c01(spark, sf_dir):
     """The whole chain: rewrite and append (A01, A02), id-safe holdout (D05), mark (P15), punctuation variants
     of the training rows (A05), encode (F02, F04), records (F11); one output row per (id, variant)."""
-    split = D.holdout(_split_input(spark, sf_dir), group_safe=True)
+    split = D.holdout(_split_input(spark, sf_dir, "*"), group_safe=True)
     m = materialize(P.to_marked(split, keep=("variant", "label_id", "part")))
     train = m.where(F.col("part") == "train")
     rows = materialize(A.nest(m, 2).unionByName(A.n_variants(train, check_num=2, salt="aeda")))

@@ -6,6 +6,8 @@ document into one relation-extraction row, so the work grows with the data.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,18 +101,22 @@ def re_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.transform(F.slice("embedding", 1, CLASSES), lambda x: x.cast("double")).alias("z"))
 
 
-def pred_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pred_catalog(spark: SparkSession, sf_dir: str, per_document: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Three prediction "datasets" (m0, m1, m2) over all documents; the sentence
     is the whole text, the scores are windows of 30 elements of the vector whose
-    id is the document's modulo the number of vectors (together all 64 elements)."""
+    id is the document's modulo the number of vectors (together all 64 elements).
+    ``per_document`` is applied to the documents (``sentence``, ``source``) before each becomes three rows."""
     e = table(spark, sf_dir, "embeddings")
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    j = d.join(e, F.pmod(d.doc_id, F.lit(e.count())) == e.vec_id)
-    j = j.select("doc_id", "text", "source", "label", "embedding",
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("sentence"), "source")
+    d = per_document(d) if per_document else d
+    kept = [c for c in d.columns if c != "doc_id"]
+    d = d.withColumn("_vec", F.pmod("doc_id", e.agg(F.count(F.lit(1))).scalar()))
+    j = d.join(e, F.col("_vec") == e.vec_id)
+    j = j.select("doc_id", *kept, "label", "embedding",
                  F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
     return j.select(
         F.concat(F.lit("m"), F.col("k").cast("string")).alias("dataset"),
-        F.col("doc_id").alias("id"), F.col("text").alias("sentence"), "source",
+        F.col("doc_id").alias("id"), *kept,
         F.col("label").alias("label_id"),
         F.transform(F.slice("embedding", F.col("k") * 17 + 1, F.lit(CLASSES)),
                     lambda x: x.cast("double")).alias("z"))

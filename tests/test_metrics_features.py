@@ -113,3 +113,64 @@ def test_fitted_text_classifier_beats_the_majority_class(spark):
     df = spark.createDataFrame(rows, "id long, sentence string, label_id int")
     out = I.score(df, I.fit_text(df, num_features=1 << 12, max_iter=10)).collect()
     assert sum(r.prediction == r.label_id for r in out) / len(out) > 0.95 > 2 / 3
+
+
+class _Stop:
+    """Plain early stopping over a run's values, for comparison."""
+
+    def __init__(self, patience, better, worst):
+        self.patience, self.better, self.best, self.count, self.stop = patience, better, worst, 0, False
+
+    def see(self, v):
+        improved = self.better(v, self.best)
+        self.best, self.count = (v, 0) if improved else (self.best, self.count + 1)
+        self.stop = self.stop or self.count >= self.patience
+        return improved, self.count, self.stop
+
+
+def test_plateau_with_null_runs_nan_and_outliers(spark):
+    import math
+    import operator
+    import random
+    r = random.Random(5)
+    rows = [(run, s, r.choice([float("nan"), -1.0, None, 1e12, float("inf")]) if r.random() < 0.1 else round(r.random() * 20) / 2)
+            for run, n in (("hot", 3000), (None, 60), ("a", 1), ("b", 40)) for s in range(n)]
+    rows += [("only", s, float("nan")) for s in range(4)]
+    df = spark.createDataFrame(rows, "run string, step long, value double")
+    for mode, better, worst in (("min", operator.lt, math.inf), ("max", operator.gt, -math.inf)):
+        got = {(x.run, x.step): (x.best, x.patience_cnt, x.stop) for x in M.plateau(df, mode=mode, patience=3).collect()}
+        want, best, stops = {}, {}, {}
+        for run in ("hot", None, "a", "b", "only"):
+            state = _Stop(3, better, worst)
+            for _, s, v in sorted((x for x in rows if x[0] == run), key=lambda x: x[1]):
+                if v is None or v < 0:
+                    continue
+                want[run, s] = state.see(v)
+                if not math.isnan(v) and (run not in best or better(v, best[run][1])):
+                    best[run] = (s, v)
+                if state.stop:
+                    stops.setdefault(run, s)
+        assert got == want, mode
+        found = {x.run: (x.best_step, x.best_value, x.stop_step) for x in M.best_step(df, mode=mode, patience=3).collect()}
+        assert found == {k: (*best.get(k, (None, None)), stops.get(k)) for k in ("hot", None, "a", "b", "only")}
+
+
+def test_auprc_empty_value(spark):
+    rows = [(i, [0.1 * i, 1.0 - 0.1 * i, 0.5], i % 2) for i in range(8)]  # class 2 has no positives
+    df = spark.createDataFrame(rows, "id long, z array<double>, label_id int")
+    plain, zero = M.auprc(df).first()[0], M.auprc(df, empty_value=0.0).first()[0]
+    assert abs(zero - plain * 2 / 3) < 1e-9
+
+
+def test_moments_do_not_depend_on_partitioning(spark):
+    import numpy as np
+    from sentrel.operators import analysis as EA
+    r = np.random.default_rng(1)
+    a, b = r.random(5000), r.random(5000)
+    df = spark.createDataFrame([("m", 0, float(x), float(x + y)) for x, y in zip(a, b)] + [("n", 0, 1e30, 2.0), ("n", 0, 3e30, 1.0), ("n", 0, None, 4.0)], "dataset string, bucket int, a double, b double")
+    seen = {tuple(EA.bucket_stats(df.repartition(n), ["a", ("a", "b")]).where("dataset = 'm'").first()) for n in (1, 3, 17)}
+    assert len(seen) == 1
+    row = seen.pop()
+    assert abs(row[4] - a.std(ddof=1)) < 1e-8 and abs(row[5] - np.corrcoef(a, a + b)[0, 1]) < 1e-8
+    big = EA.bucket_stats(df, ["a"]).where("dataset = 'n'").first()
+    assert abs(big.a_std / (np.sqrt(2) * 1e30) - 1) < 1e-12

@@ -17,9 +17,8 @@ def skewed(spark, n=3000, seed=7):
 
 def test_running_equals_window(spark):
     df = skewed(spark)
-    b = S.range_bucket(df, "o", 32)
     r = S.running(df, ["g"], [F.col("o")], [("s", "sum", F.col("v")), ("m", "max", F.col("v")),
-                                             ("c", "sum", F.lit(1))], b)
+                                             ("c", "sum", F.lit(1))])
     w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     ref = df.select("g", "o", F.sum("v").over(w).alias("s"), F.max("v").over(w).alias("m"),
                     F.count(F.lit(1)).over(w).alias("c"))
@@ -30,7 +29,7 @@ def test_running_equals_window(spark):
 
 def test_running_exclusive(spark):
     df = skewed(spark, 500)
-    r = S.running(df, ["g"], [F.col("o")], [("p", "min", F.col("v"))], S.range_bucket(df, "o", 8), exclusive=True)
+    r = S.running(df, ["g"], [F.col("o")], [("p", "min", F.col("v"))], exclusive=True)
     w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
     ref = df.select("g", "o", F.min("v").over(w).alias("p"))
     assert {(x.g, x.o): x.p for x in r.collect()} == {(x.g, x.o): x.p for x in ref.collect()}
@@ -96,6 +95,38 @@ def test_hot_group_is_split_over_buckets(spark):
     hot = sum(r["count"] for r in sizes)
     assert len(sizes) >= nb * 0.9
     assert max(r["count"] for r in sizes) < 0.05 * hot
-    v = S.with_group_range_bucket(df, ["g"], "v", nb)
-    vs = v.where(F.col("g") == "hot").groupBy("_gbkt").count().collect()
-    assert len(vs) >= nb * 0.9 and max(r["count"] for r in vs) < 0.05 * hot
+
+
+def test_an_outlier_does_not_fill_a_bucket(spark):
+    rnd = random.Random(3)
+    rows = [("hot", i, rnd.random()) for i in range(20000)] + [("hot", 20001, 1e12), ("hot", 20002, -1e12)] + [(None, i, 0.5 * i) for i in range(50)]
+    r = S.ranged(spark.createDataFrame(rows, "g string, o long, v double"), ["g"], [F.col("v")])
+    sizes = [x["count"] for x in r.groupBy(S.BUCKET).count().collect()]
+    assert max(sizes) < 0.05 * len(rows)
+    assert r.groupBy("g", S.BUCKET).agg(F.min("v").alias("a"), F.max("v").alias("b")).count() <= len(sizes) + 1  # ranges of (g, v)
+
+
+def test_quantiles_of_null_groups_outliers_and_ties(spark):
+    import numpy as np
+    vals = {None: [1.0, 2.0, 2.0, 10.0], "a": [5.0] * 1000 + [1e12], "b": [None, None], "c": [3.0, None, 4.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in vals.items() for v in vs], "g string, v double")
+    got = {r.g: (r.lo, r.mid) for r in S.quantiles(df, ["g"], "v", [0.1, 0.5], ["lo", "mid"]).collect()}
+    assert got == {g: tuple(np.quantile([v for v in vs if v is not None], [0.1, 0.5])) for g, vs in vals.items() if g != "b"}
+
+
+def test_holdout_with_mixed_labels_equals_the_scan(spark):
+    for seed, labels, ids, rate in ((1, 3, 40, 2), (2, 5, 300, 3), (3, 2, 25, 1), (4, 8, 120, 10)):
+        rnd = random.Random(seed)
+        # labels of very different size, so that quotas fill early for some
+        rows = sorted({(rnd.randrange(ids), v): min(rnd.randrange(labels), rnd.randrange(labels)) for _ in range(4 * ids) for v in (rnd.randrange(6),)}.items())
+        df = spark.createDataFrame([(i, v, lab) for (i, v), lab in rows], "id long, variant int, label_id int")
+        keyed = [r.asDict() for r in D.shuffle_key(df).collect()]
+        got = {(r.id, r.variant): r.part for r in D.holdout(df, rate=rate).collect()}
+        assert got == sequential_holdout(keyed, rate), seed
+
+
+def test_holdout_of_null_labels_and_empty_input(spark):
+    df = spark.createDataFrame([(1, 0, None), (1, 1, 2), (2, 0, 2), (3, 0, 2)], "id long, variant int, label_id int")
+    got = {(r.id, r.variant): r.part for r in D.holdout(df, rate=1).collect()}
+    assert got[1, 0] == "train" and sorted(got.values()) == ["train", "valid", "valid", "valid"]
+    assert D.holdout(df.limit(0)).collect() == []
