@@ -117,7 +117,7 @@ FROM marked""")
 
 
 # --- A ---------------------------------------------------------------------------
-from oracle.aug import aeda_ctes, delete_ctes  # noqa: E402
+from oracle.aug import aeda_ctes, delete_ctes, variant_ctes  # noqa: E402
 
 _REANCHOR = """
 ra_j AS (
@@ -155,17 +155,9 @@ SQL["a04_punc_ratio"] = with_views(["marked"], """
 SELECT id, CASE WHEN length(sentence) <= 200 THEN 0.2 WHEN length(sentence) <= 300 THEN 0.3 ELSE 0.35 END::DOUBLE AS ratio
 FROM marked""")
 
-_NV = """
-nv AS (
-  SELECT a.id, a.variant, a.draw, a.new_sentence FROM ae8 a JOIN m0 ON a.id = m0.id AND a.variant = m0.variant
-  WHERE a.new_sentence <> m0.sentence),
-nv1 AS (SELECT id, variant, new_sentence, min(draw) AS draw FROM nv GROUP BY id, variant, new_sentence),
-nv2 AS (SELECT *, row_number() OVER (PARTITION BY id, variant ORDER BY draw) AS k FROM nv1),
-nvk AS (SELECT id, variant * 2 + k AS variant, new_sentence AS sentence FROM nv2 WHERE k <= 1)"""
-
 SQL["a05_n_variants"] = with_views(["marked"], """
-SELECT id, CAST(variant AS BIGINT) AS variant, sentence FROM nvk""",
-                                   [_M0] + aeda_ctes("m0", "aeda", 3, "ae8") + [_NV])
+SELECT id, CAST(new_variant AS BIGINT) AS variant, new_sentence AS sentence FROM nv""",
+                                   [_M0] + variant_ctes("m0", "aeda", 4, "nv"))
 
 SQL["a06_entity_intact"] = with_views(["marked"], """
 SELECT a.id, CAST(a.variant AS BIGINT) AS variant, CAST(a.draw AS BIGINT) AS draw, a.new_sentence AS sentence
@@ -189,10 +181,9 @@ SELECT id, new_sentence AS sentence,
 FROM rdel""", [_M0] + delete_ctes("m0", "rd", 0.3, "rdel"))
 
 SQL["a10_carry_label"] = with_views(["marked"], """
-SELECT id, CAST(variant AS BIGINT) AS variant, label, CAST(label_id AS BIGINT) AS label_id FROM m0
+SELECT id, CAST(variant * 8 AS BIGINT) AS variant, label, CAST(label_id AS BIGINT) AS label_id FROM m0
 UNION ALL
-SELECT n.id, CAST(n.variant AS BIGINT), m0.label, CAST(m0.label_id AS BIGINT)
-FROM nvk n JOIN m0 ON n.id = m0.id""", [_M0] + aeda_ctes("m0", "aeda", 3, "ae8") + [_NV])
+SELECT n.id, CAST(n.new_variant AS BIGINT), n.label, CAST(n.label_id AS BIGINT) FROM nv n""", [_M0] + variant_ctes("m0", "aeda", 8, "nv"))
 
 # --- D ---------------------------------------------------------------------------
 

@@ -215,7 +215,7 @@ def a04(spark, sf_dir):
 
 @register("a05_n_variants")
 def a05(spark, sf_dir):
-    v = A.n_variants(_marked(spark, sf_dir), check_num=2, salt="aeda")
+    v = A.n_variants(_marked(spark, sf_dir), check_num=4, salt="aeda")
     return finish(v.select("id", "variant", "sentence"))
 
 
@@ -248,7 +248,7 @@ def a09(spark, sf_dir):
 @register("a10_carry_label")
 def a10(spark, sf_dir):
     m = _marked(spark, sf_dir)
-    aug = A.append_variants(m, A.n_variants(m, check_num=2, salt="aeda"))
+    aug = A.nest(m, 8).unionByName(A.n_variants(m, check_num=8, salt="aeda"))
     return finish(aug.select("id", "variant", "label", "label_id"))
 
 
