@@ -8,7 +8,7 @@ document's words, which puts similar documents side by side and, ties being brok
 id, never puts a group of copies into one shard. Every shard builds a BM25
 inverted index of its tails. The longest unused tail is the seed of a sequence;
 the index ranks the unused tails for it, and they fill its window greedily in that
-order. With more than one shard, this first round keeps the sequences whose fillers score ``NEAR``
+order. This first round keeps the sequences whose fillers score ``NEAR``
 of their seed's own score for half of their ids; the tails of the others meet again in a second
 round, dealt by another minimum hash, where every filled sequence is kept; what is left of the shards' last
 windows is packed in a third. A tail that does not fit is cut at a multiple of ``GRAIN`` ids and its rest stays in
@@ -22,7 +22,7 @@ alternative that matches white space, and it drops it; it lower-cases), so each
 word (told by its 64-bit hash within a task) is encoded once and reused; a test compares that with whole texts.
 
 Defined results: a null or empty text has the end id only. Repeated rows are
-packed as often as they occur. A null id stays null. An empty table has no
+packed as often as they occur. A null id stays null. An empty table, shard or round has no
 pieces. Only the two named columns are read.
 """
 
@@ -101,11 +101,11 @@ class _Encoder:
 
 
 def _terms(words: Words) -> tuple[list[bytes], list[bytes], np.ndarray]:
-    """Each document's distinct word hashes (32 bits) and their counts (up to 255), and the minimum of its mixed hashes."""
+    """Each document's distinct word hashes (32 bits) and their counts, and the minimum of its mixed hashes."""
     docs = len(words.first) - 1
     key, counts = np.unique(words.doc().astype(np.uint64) << np.uint64(32) | words.h >> np.uint64(32), return_counts=True)
     cut = np.searchsorted(key, np.arange(docs + 1).astype(np.uint64) << np.uint64(32)).tolist()
-    term, count = key.astype(np.uint32), np.minimum(counts, 255).astype(np.uint8)
+    term, count = key.astype(np.uint32), counts.astype(np.uint32)
     near = np.zeros(docs, np.int64)
     full = np.flatnonzero(np.diff(words.first))
     if len(full):
@@ -172,6 +172,18 @@ class Index:
         return np.bincount(self.doc[where], self.weight[where], self.n)
 
 
+def _ranked(free: np.ndarray, left: np.ndarray, scores: np.ndarray, some: int = 64):
+    """The free tails by score, then length, then number: the best are sorted first, the rest if space is left for them."""
+    if len(free) > 2 * some:
+        s = scores[free]
+        best = s >= s[np.argpartition(s, len(s) - some)[len(s) - some]]
+        parts = (free[best], free[~best])
+    else:
+        parts = (free,)
+    for p in parts:
+        yield from p[np.lexsort((p, -left[p], -scores[p]))].tolist()
+
+
 def fill_windows(lengths: np.ndarray, index: Index, terms: list[np.ndarray], length: int, begins: np.ndarray | None = None, rest: list | None = None, near: float = NEAR):
     """Sequences of ``(tail, begin, n)``: all ids of all tails, each in one piece. With ``rest``, the pieces of
     sequences that are not filled, or not by tails that are like the seed (``near``), go there instead."""
@@ -188,7 +200,7 @@ def fill_windows(lengths: np.ndarray, index: Index, terms: list[np.ndarray], len
         if space:
             scores = index.scores(terms[seed])
             free = np.flatnonzero(left)
-            for i in free[np.lexsort((free, -left[free], -scores[free]))].tolist():
+            for i in _ranked(free, left, scores):
                 n = int(left[i]) if left[i] <= space else space // GRAIN * GRAIN
                 if n:
                     pieces.append((i, int(begin[i]), n))
@@ -232,14 +244,15 @@ def _packer(length: int, first: int, more: bool, near: float = 0):
     what is to meet again in the next round comes in ``rest``."""
     def run(batches):
         shard = first + TaskContext.get().partitionId()
-        t = pa.Table.from_batches(batches)
-        if not t.num_rows:
+        t = [b for b in batches if b.num_rows]
+        if not t:
             return
+        t = pa.Table.from_batches(t)
         t = t.sort_by([("doc_id", "ascending"), ("doc_tokens", "ascending"), ("at", "ascending"), ("begin", "ascending")])
         col = {c: t.column(c).to_pylist() for c in t.column_names}
         ids, total, windows = col["doc_id"], col["doc_tokens"], col["windows"]
         read = lambda c, kind: [np.frombuffer(x, kind) for x in col[c]]
-        tail, terms, counts = read("tail_crcs", "<u4"), read("terms", np.uint32), read("counts", np.uint8)
+        tail, terms, counts = read("tail_crcs", "<u4"), read("terms", np.uint32), read("counts", np.uint32)
         out, sequence = [], 0
         for i, crcs in enumerate(read("full_crcs", "<u4")):
             for k, crc in enumerate(crcs):
@@ -274,8 +287,6 @@ def packed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     rows = docs.withColumns({"windows": F.floor(F.col("doc_tokens") / length), "begin": F.lit(0).cast("bigint"), "n": F.col("doc_tokens") % length,
                              "at": F.monotonically_increasing_id()})
     dealt = lambda t, n: t.repartitionByRange(n, "near", "doc_id", "at")
-    if shards == 1:
-        return dealt(rows, 1).mapInArrow(_packer(length, 0, False), PIECES)
     out = []
     for number, near in enumerate((NEAR, 0)):  # like tails, then all but what is left of a shard's last window
         made = written(dealt(rows, shards).mapInArrow(_packer(length, number * SECOND, True, near), ROUND), "round")

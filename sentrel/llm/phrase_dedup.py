@@ -23,8 +23,9 @@ documents sends one number per block to one bucket, and a number per occurrence
 of each of its windows to the windows' buckets (spread by hash).
 
 Defined results: a null text has no words. Documents under 20 words lose nothing.
-Identical rows (same id, same words) count as one document and get the same result;
-a null id comes last. An empty table gives an empty result. Only the two named columns are read.
+A document is told by its id and the SHA-256 of its words: identical rows (same id, same words) count as
+one document and get the same result, rows of one id with other words are documents of their own, in the order
+of these hashes; a null id comes last, and null ids too are told apart by their words. An empty table gives an empty result. Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -128,7 +129,12 @@ def _recurring(key, t):
     return pa.table({"block": pa.array(b.astype(np.int32)), "keys": pa.array([k[at[i]:at[i + 1]].tobytes() for i in range(len(b))], pa.binary())})
 
 
-FOUND = "doc_id bigint, sha string, block int, text string, bucket int, high binary, low binary, docs binary, starts binary"
+def _tie(sha: str) -> int:
+    """What tells documents of one id apart."""
+    return int(sha[:16], 16)
+
+
+FOUND = "doc_id bigint, sha string, block int, text string, bucket int, high binary, low binary, docs binary, ties binary, starts binary"
 
 
 def _automata(phrases: list[str]):
@@ -184,17 +190,18 @@ def _locate(buckets: int):
         none = lambda m, kind: pa.array([None] * m, kind)
         block = key[0].as_py()
         rows = [[pa.array([docs[i] for i in hit], pa.int64()), pa.array([shas[i] for i in hit], pa.string()), pa.array([block] * len(hit), pa.int32()),
-                 pa.array([b" ".join(plain[i]) for i in hit], pa.binary()).cast(pa.string()), none(len(hit), pa.int32()), *[none(len(hit), pa.binary())] * 4]]
+                 pa.array([b" ".join(plain[i]) for i in hit], pa.binary()).cast(pa.string()), none(len(hit), pa.int32()), *[none(len(hit), pa.binary())] * 5]]
         if hit:
             high, low, who, start = (np.concatenate(x) for x in (high, low, who, start))
             # ids as they sort: null last
             ids = np.array([np.iinfo(np.int64).max if d is None else d for d in docs], np.int64)[who]
+            ties = np.array([_tie(x) for x in shas], np.uint64)[who]
             order, at = by_bucket(high, buckets)
             full = np.flatnonzero(np.diff(at))
             pack = lambda x: pa.array([x[order[at[p]:at[p + 1]]].tobytes() for p in full], pa.binary())
             m = len(full)
             rows.append([none(m, pa.int64()), none(m, pa.string()), pa.array([block] * m, pa.int32()), none(m, pa.string()), pa.array(full.astype(np.int32)),
-                         pack(high), pack(low), pack(ids), pack(start)])
+                         pack(high), pack(low), pack(ids), pack(ties), pack(start)])
         names = [x.split()[0] for x in FOUND.split(", ")]
         return pa.concat_tables([pa.table(dict(zip(names, r, strict=True))) for r in rows])
     return run
@@ -203,33 +210,34 @@ def _locate(buckets: int):
 def _later(key, t):
     """All starts but the first of each window, by block."""
     high, low = joined(t.column("high"), np.uint64), joined(t.column("low"), np.uint32)
-    docs, starts = joined(t.column("docs"), np.int64), joined(t.column("starts"), np.int32)
+    docs, ties, starts = joined(t.column("docs"), np.int64), joined(t.column("ties"), np.uint64), joined(t.column("starts"), np.int32)
     size = [len(x) // 8 for x in t.column("high").to_pylist()]
     block = np.repeat(np.array(t.column("block").to_pylist(), np.int32), size)
-    order = np.lexsort((starts, docs, low, high))
-    high, low, docs, starts, block = high[order], low[order], docs[order], starts[order], block[order]
+    order = np.lexsort((starts, ties, docs, low, high))
+    high, low, docs, ties, starts, block = (x[order] for x in (high, low, docs, ties, starts, block))
     first = np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
     lead = np.flatnonzero(first)[np.cumsum(first) - 1]
-    again = (docs != docs[lead]) | (starts != starts[lead])  # identical rows start at the same place
-    docs, starts, block = docs[again], starts[again], block[again]
+    again = (docs != docs[lead]) | (ties != ties[lead]) | (starts != starts[lead])  # identical rows start at the same place
+    docs, ties, starts, block = (x[again] for x in (docs, ties, starts, block))
     order = np.argsort(block, kind="stable")
-    docs, starts, block = docs[order], starts[order], block[order]
+    docs, ties, starts, block = (x[order] for x in (docs, ties, starts, block))
     b, at = np.unique(block, return_index=True)
     at = np.append(at, len(docs))
     cut = lambda x: pa.array([x[at[i]:at[i + 1]].tobytes() for i in range(len(b))], pa.binary())
-    return pa.table({"block": pa.array(b.astype(np.int32)), "docs": cut(docs), "starts": cut(starts)})
+    return pa.table({"block": pa.array(b.astype(np.int32)), "docs": cut(docs), "ties": cut(ties), "starts": cut(starts)})
 
 
 def _remove(key, texts, later):
     """Covered words go: ``(doc_id, sha, n_removed, kept_text)``."""
-    docs, starts = joined(later.column("docs"), np.int64), joined(later.column("starts"), np.int32)
-    order = np.argsort(docs, kind="stable")
-    docs, starts = docs[order], starts[order]
+    docs, ties, starts = joined(later.column("docs"), np.int64), joined(later.column("ties"), np.uint64), joined(later.column("starts"), np.int32)
+    order = np.lexsort((ties, docs))
+    docs, ties, starts = docs[order], ties[order], starts[order]
+    begin = np.flatnonzero(np.append(True, (docs[1:] != docs[:-1]) | (ties[1:] != ties[:-1]))) if len(docs) else np.zeros(0, np.int64)
+    of = dict(zip(zip(docs[begin].tolist(), ties[begin].tolist()), np.split(starts, begin[1:])))
     out = []
     for d, sha, text in zip(*(texts.column(c).to_pylist() for c in ("doc_id", "sha", "text")), strict=True):
-        at = np.iinfo(np.int64).max if d is None else d
-        s = starts[np.searchsorted(docs, at):np.searchsorted(docs, at, side="right")]
-        if not len(s):
+        s = of.get((np.iinfo(np.int64).max if d is None else d, _tie(sha)))
+        if s is None:
             continue
         w = text.encode().split()
         marks = np.zeros(len(w) + WINDOW + 1, np.int64)
@@ -260,12 +268,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = spread(spark, size, block_bytes)
     buckets = spread(spark, size // 40, 1_000_000)
-    own = own.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(blocks)).cast("int").alias("block"))
+    own = own.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "raw", F.lit(5)), F.lit(blocks)).cast("int").alias("block"))
     known = (own.mapInArrow(_anchor_rows(buckets), "bucket int, keys binary, blocks binary, many binary")
              .groupBy("bucket").applyInArrow(_recurring, "block int, keys binary"))
     named = own.mapInArrow(_with_sha, "doc_id bigint, sha string, text string, block int")
     found = written(named.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_locate(buckets), FOUND), "found")
-    later = found.where("bucket is not null").groupBy("bucket").applyInArrow(_later, "block int, docs binary, starts binary")
+    later = found.where("bucket is not null").groupBy("bucket").applyInArrow(_later, "block int, docs binary, ties binary, starts binary")
     cut = found.where("bucket is null").groupBy("block").cogroup(later.groupBy("block")).applyInArrow(
         _remove, "doc_id bigint, sha string, n_removed bigint, kept_text string")
     cut = cut.dropDuplicates(["doc_id", "sha"]).select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), "n_removed", "kept_text")

@@ -1,4 +1,5 @@
 """Operators 3, 5, 8: against brute force, on texts with nulls, ties, copies; on empty tables."""
+import hashlib
 import collections
 
 import pytest
@@ -55,6 +56,19 @@ def test_remove_repeats(docs, rows):
     assert len(out) == len(rows)
 
 
+def test_repeated_and_null_ids_are_told_apart_by_their_words(spark):
+    """A start belongs to one row, not to all rows of its id."""
+    run = lambda c, n: " ".join(f"{c}{k}" for k in range(n))
+    a, b, g, h, x = run("a", 40), run("b", 40), run("g", 60), run("h", 30), run("x", 50)
+    rows = [(1, a), (7, f"{g} {b}"), (7, f"{a} {h}"), (7, f"{x} {b}"), (None, f"{a} {x}"), (None, f"{b} {run('n', 25)}"), (9, x), (7, f"{a} {h}")]
+    # a document for each id and text, in the order of ids, then of the hashes of the words; null last
+    order = sorted({r for r in rows}, key=lambda r: (r[0] is None, r[0] or 0, hashlib.sha256(r[1].encode()).hexdigest()))
+    want = brute.remove_repeats([(k, t) for k, (_, t) in enumerate(order)])
+    expected = sorted((str(d), *want[order.index((d, t))]) for d, t in rows)
+    out = P.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=600).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out) == expected
+
+
 def test_phrases_are_cut_into_bounded_automata(docs, rows, monkeypatch):
     monkeypatch.setattr(P, "PATTERNS", 3)
     got = {r["doc_id"]: r["n_removed"] for r in P.remove_repeats(docs, block_bytes=4000).collect() if r["doc_id"] is not None}
