@@ -104,7 +104,8 @@ def test_like_documents_of_different_shards_meet_in_the_second_round(spark):
     sizes = [len(encoded(x)) for x in texts]
     one = P.packed(df, length=2048).select("sequence_id").collect()
     # one shard a round, whatever the session's shuffle partitions; the rounds are the same at every size
-    assert {q[0] >> 32 for q in one} <= {0, P.SECOND, P.SECOND + P.SECOND // 2}
+    shards = sorted({q[0] >> 32 for q in one})
+    assert len({2 * s // P.SECOND for s in shards}) == len(shards) <= 3
     out = P.packed(df, length=2048, shard_tokens=sum(sizes) // 3).collect()
     assert any(q["sequence_id"] >> 32 >= P.SECOND for q in out) and sum(q["length"] for q in out) == sum(sizes)
     for q in out:
