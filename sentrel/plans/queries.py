@@ -288,6 +288,7 @@ from sentrel.operators import analysis as EA  # noqa: E402
 from sentrel.operators import metrics as M  # noqa: E402
 from sentrel.operators import scoring as I  # noqa: E402
 from sentrel.plans.common import join_doubles, materialize  # noqa: E402
+from sentrel.session import scratch_path  # noqa: E402
 
 
 @register("m01_micro_f1")
@@ -343,19 +344,40 @@ def m10(spark, sf_dir):
 
 # --- I: scoring ----------------------------------------------------------------------
 
+def _quality_split(spark, sf_dir):
+    """Documents with a quality label, split by D05 (no id in both parts), written once."""
+    labels = fx.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label_id"))
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+    rows = docs.select(F.col("doc_id").alias("id"), F.lit(0).alias("variant"), "label_id", F.coalesce("text", F.lit("")).alias("sentence"))
+    return materialize(D.holdout(materialize(D.shuffle_key(rows.where("label_id is not null"))), group_safe=True))
+
+
 @register("i01_fit")
 def i01(spark, sf_dir):
-    m = _marked(spark, sf_dir)
-    model = I.fit_text(m, "sentence", "label_id", num_features=1 << 16, max_iter=10)
-    return finish(I.score(m, model).select("id", "prediction"))
+    """Fitted on the training part, saved, loaded, and applied to both parts."""
+    split = _quality_split(spark, sf_dir)
+    path = I.save_model(I.fit_text(split.where("part = 'train'")), scratch_path(spark, "text-model"))
+    return finish(I.score(split, I.load_model(path)).select("id", "part", "label_id", "prediction"))
+
+
+@register("i01_rounds")
+def i01_rounds(spark, sf_dir):
+    """Warm-started rounds on the vectors: the evaluation history, its best round marked."""
+    rows = fx.re_scored(spark, sf_dir).withColumn("variant", F.lit(0))
+    split = materialize(D.holdout(materialize(D.shuffle_key(rows)), group_safe=True))
+    history, _ = I.fit_rounds(split.where("part = 'train'"), split.where("part = 'valid'"), fx.CLASSES, scratch_path(spark, "rounds"), rounds=6, patience=3)
+    return finish(history)
 
 
 @register("i02_score")
 def i02(spark, sf_dir):
-    # fixed weights by a rule, so that any engine can recompute the scores
+    """A saved model, loaded and applied. Its weights are given by a rule, so that any engine can recompute the scores."""
+    s = fx.re_scored(spark, sf_dir)
     coef = [[((7 * c + 3 * j) % 11 - 5) / 8 for j in range(fx.CLASSES)] for c in range(fx.CLASSES)]
-    s = I.score_linear(fx.re_scored(spark, sf_dir), coef, [c / 64 for c in range(fx.CLASSES)])
-    return finish(s.select("id", "prediction", join_doubles("logits").alias("logits")))
+    weights = I.linear_weights(coef, [c / 64 for c in range(fx.CLASSES)])
+    path = I.save_model(I.linear_classifier(s, fx.CLASSES, iterations=0, weights=weights), scratch_path(spark, "rule-model"))
+    out = I.score(s, I.load_model(path), "z")
+    return finish(out.select("id", "prediction", join_doubles("logits").alias("logits")))
 
 
 @register("i03_softmax")
@@ -647,7 +669,6 @@ def c01(spark, sf_dir):
 # --- S: sources and sinks (round trips through the shared work folder) --------------
 
 from sentrel.schema import RAW_SCHEMA  # noqa: E402
-from sentrel.session import scratch_path  # noqa: E402
 from sentrel.sources.files import load_catalog, read_re_csv, write_csv  # noqa: E402
 
 _RAW_COLS = [f.name for f in RAW_SCHEMA.fields]
