@@ -459,7 +459,7 @@ top AS (SELECT token, count, CAST(row_number() OVER (ORDER BY count DESC, token)
         FROM cnt WHERE token NOT IN (SELECT token FROM {_SPEC}) AND token NOT IN (SELECT token FROM mk)),
 vocab AS (SELECT token, token_id, CAST(NULL AS BIGINT) AS count FROM {_SPEC}
           UNION ALL SELECT token, token_id, NULL FROM mk
-          UNION ALL SELECT token, token_id, count FROM top WHERE token_id < 5000),
+          UNION ALL SELECT token, token_id, count FROM top),
 enc_l AS (SELECT t.id, u.pos, coalesce(v.token_id, 1) AS tid
           FROM (SELECT id, unnest(tokens[1:254]) AS tok, unnest(range(0, len(tokens[1:254]))) AS pos FROM tk) u
           JOIN tk t ON t.id = u.id LEFT JOIN vocab v ON u.tok = v.token),

@@ -549,13 +549,11 @@ def e22(spark, sf_dir):
 
 from sentrel.operators import features as FT  # noqa: E402
 
-VOCAB_SIZE = 5000
-
 
 def _vocab(spark, sf_dir, marked=None):
     m = marked if marked is not None else _marked(spark, sf_dir)
     extra = P.marker_vocab(P.parse_loose(fx.re_raw(spark, sf_dir)))
-    return FT.build_vocab(FT.tokens(m), VOCAB_SIZE, extra)
+    return materialize(FT.build_vocab(FT.tokens(m), extra=extra))
 
 
 def _marked_once(spark, sf_dir):
@@ -640,8 +638,7 @@ def f10(spark, sf_dir):
 @register("f11_to_examples")
 def f11(spark, sf_dir):
     m = _marked_once(spark, sf_dir)
-    e = FT.masks(FT.encode(m, _vocab(spark, sf_dir, m)))
-    e = e.join(FT.entity_loc_ids(m).select("id", "entity_loc_ids", "label_id"), "id")
+    e = FT.masks(FT.encode(FT.entity_loc_ids(m), _vocab(spark, sf_dir, m), carry=("entity_loc_ids", "label_id")))
     ex = FT.to_examples(e.withColumn("position_ids", FT.position_ids("input_ids")))
     x = F.col("example")
     return finish(ex.select("id", *[join_ints(x[c]).alias(c) for c in
@@ -657,9 +654,8 @@ def c01(spark, sf_dir):
     m = materialize(P.to_marked(split, keep=("variant", "label_id", "part")))
     train = m.where(F.col("part") == "train")
     rows = materialize(A.nest(m, 2).unionByName(A.n_variants(train, check_num=2, salt="aeda")))
-    vocab = FT.build_vocab(FT.tokens(train), VOCAB_SIZE, P.marker_vocab(P.parse_loose(fx.re_raw(spark, sf_dir))))
-    e = FT.masks(FT.encode(rows, vocab))
-    e = e.join(FT.entity_loc_ids(rows).select("id", "variant", "part", "entity_loc_ids", "label_id"), ["id", "variant"])
+    vocab = materialize(FT.build_vocab(FT.tokens(train), extra=P.marker_vocab(P.parse_loose(fx.re_raw(spark, sf_dir)))))
+    e = FT.masks(FT.encode(FT.entity_loc_ids(rows), vocab, carry=("part", "entity_loc_ids", "label_id")))
     ex = FT.to_examples(e.withColumn("position_ids", FT.position_ids("input_ids")), keep=("part",))
     x = F.col("example")
     return finish(ex.select("id", "variant", "part", join_ints(x["input_ids"]).alias("input_ids"),

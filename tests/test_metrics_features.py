@@ -174,3 +174,19 @@ def test_moments_do_not_depend_on_partitioning(spark):
     assert abs(row[4] - a.std(ddof=1)) < 1e-8 and abs(row[5] - np.corrcoef(a, a + b)[0, 1]) < 1e-8
     big = EA.bucket_stats(df, ["a"]).where("dataset = 'n'").first()
     assert abs(big.a_std / (np.sqrt(2) * 1e30) - 1) < 1e-12
+
+
+def test_whole_vocabulary_and_encoding_of_every_row(spark):
+    rows = [(1, "b a a c"), (2, "a b [CLS] z"), (3, ""), (4, None), (5, "[X] c c")]
+    df = spark.createDataFrame(rows, "id long, sentence string").withColumn("extra", F.col("id") * 10)
+    extra = spark.createDataFrame([("[X]",), ("[A]",), ("[SEP]",), ("[X]",)], "token string")
+    vocab = FT.build_vocab(FT.tokens(df), extra=extra)
+    got = {r.token: (r.token_id, r["count"]) for r in vocab.collect()}
+    assert got == {"[PAD]": (0, None), "[UNK]": (1, None), "[CLS]": (2, None), "[SEP]": (3, None), "[MASK]": (4, None),
+                   "[A]": (5, None), "[X]": (6, None), "a": (7, 3), "c": (8, 3), "b": (9, 2), "z": (10, 1)}
+    assert {r.token for r in FT.build_vocab(FT.tokens(df), 9, extra).collect()} == set(got) - {"b", "z"}
+    e = {r.id: (list(r.input_ids), r.extra) for r in FT.encode(df, vocab, max_len=6, carry=("extra",)).collect()}
+    assert e == {1: ([2, 9, 7, 7, 8, 3], 10), 2: ([2, 7, 9, 2, 10, 3], 20), 3: ([2, 3, 0, 0, 0, 0], 30), 4: ([2, 3, 0, 0, 0, 0], 40), 5: ([2, 6, 8, 8, 3, 0], 50)}
+    pair = df.withColumn("question", F.when(F.col("id") != 3, F.lit("z")))
+    q = {r.id: (list(r.input_ids), list(r.token_type_ids), r.extra) for r in FT.encode_pair(pair, vocab, max_len=7, carry=("extra",)).collect()}
+    assert q[1] == ([2, 9, 7, 7, 3, 10, 3], [0, 0, 0, 0, 0, 1, 1], 10) and q[3][2] == 30

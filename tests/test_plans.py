@@ -22,3 +22,13 @@ def test_label_dimension_is_broadcast(spark):
 def test_scan_prunes_columns(spark):
     p = plan(QUERIES["m09_plateau"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,value:double>" in p
+
+
+def test_vocabulary_has_no_window_over_all_tokens(spark):
+    p = plan(QUERIES["f01_build_vocab"](spark, SF_SMALL))
+    assert "SinglePartition" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_records_are_regrouped_once(spark):
+    p = plan(QUERIES["f11_to_examples"](spark, SF_SMALL)).split("== Initial Plan ==")[-1]
+    assert p.count("Join") == 1 and p.count("Exchange hashpartitioning(id") == 1
