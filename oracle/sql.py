@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.views import BIG, label_values, mark, type_id_case, with_views
+from oracle.views import h, type_case, BIG, label_values, mark, type_id_case, with_views
 
 SQL: dict[str, str] = {}
 
@@ -543,7 +543,50 @@ LEFT JOIN (SELECT id, mean FROM smean WHERE loc = 2) o ON c.id = o.id""", [_SPAN
 
 SQL["s01_csv_scan"] = with_views(["re_raw"], "SELECT id, sentence, subject_entity, object_entity, label, source FROM re_raw")
 SQL["s02_csv_scan_index"] = SQL["s01_csv_scan"]
-SQL["s03_load_catalog"] = cat_sql("SELECT dataset, id, CAST(label_id AS BIGINT) AS label_id, output_prob FROM cat")
+SQL["s03_load_catalog"] = cat_sql("""
+SELECT dataset, id, CAST(CASE WHEN dataset = 'm1' THEN (label_id + 1) % 30 ELSE label_id END AS BIGINT) AS label_id, output_prob FROM cat""")
+
+
+def _hard_cell(e: str, end: str, typ: str) -> str:
+    return (f"concat('{{''word'': ''', substring(sentence, {e}0 + 1, 6), ''', ''start_idx'': ', CAST({e}0 AS VARCHAR), "
+            f"', ''end_idx'': ', CAST({end} AS VARCHAR), ', ''type'': ''', {typ}, '''}}')")
+
+
+def _hard_int(cell: str, name: str) -> str:
+    return f"TRY_CAST(NULLIF(regexp_extract({cell}, '(?s).*{name}'':\\s*(\\d+)', 1), '') AS INTEGER)"
+
+
+def _hard_type(cell: str) -> str:
+    return type_case(f"regexp_extract({cell}, '(?s).*''type'':\\s*''([A-Z]+)''', 1)")
+
+
+def _hard_loose(cell: str) -> str:
+    """Whether the loose reader finds exactly two numbers after the first start, and a type."""
+    numbers = f"regexp_extract_all(string_split({cell}, 'start_idx')[2], '[0-9]+')"
+    code = f"regexp_matches(string_split({cell}, '''type'': ')[2], '[A-Za-z\\[\\]\\\\^_`]')"
+    return f"coalesce(len({numbers}) = 2 AND TRY_CAST({numbers}[1] AS INTEGER) IS NOT NULL AND TRY_CAST({numbers}[2] AS INTEGER) IS NOT NULL AND {code}, false)"
+
+
+_TYPE_LIST = "['PER','ORG','DAT','LOC','POH','NOH']"
+_END = "CASE WHEN k = 4 THEN o0 - 1 ELSE o0 + o1 END"
+SQL["q01_quarantine"] = f"""
+WITH l AS (SELECT doc_id, unnest(s) AS sentence, unnest(range(0, len(s))) AS line_no FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
+a AS (SELECT doc_id * 1000000000 + line_no AS id, sentence, length(sentence) AS n FROM l WHERE length(sentence) >= 1),
+b AS (SELECT id, sentence, {h('hard-k', 'id')} % 11 AS k, {h('hard-s', 'id')} % n AS s0, {h('hard-o', 'id')} % n AS o0,
+             {h('hard-s1', 'id')} % 6 AS s1, {h('hard-o1', 'id')} % 6 AS o1, {_TYPE_LIST}[{h('hard-st', 'id')} % 6 + 1] AS st, {_TYPE_LIST}[{h('hard-ot', 'id')} % 6 + 1] AS ot FROM a),
+c AS (SELECT id, sentence, k, {_hard_cell('s', 's0 + s1', "CASE WHEN k = 2 THEN 'XYZ' ELSE st END")} AS whole,
+             CASE WHEN k <> 1 THEN {_hard_cell('o', _END, 'ot')} END AS oc FROM b),
+d AS (SELECT id, sentence, k, oc, CASE WHEN k = 0 THEN substring(whole, 1, 10) ELSE whole END AS sc FROM c),
+e AS (SELECT *, {_hard_int('sc', 'start_idx')} AS ss, {_hard_int('sc', 'end_idx')} AS se, {_hard_int('oc', 'start_idx')} AS os, {_hard_int('oc', 'end_idx')} AS oe,
+             {_hard_type('sc')} AS subject_type, {_hard_type('oc')} AS object_type FROM d),
+r AS (SELECT CASE WHEN ss IS NULL OR se IS NULL THEN 'subject offsets' WHEN os IS NULL OR oe IS NULL THEN 'object offsets'
+                  WHEN subject_type IS NULL THEN 'subject type' WHEN object_type IS NULL THEN 'object type'
+                  WHEN se < ss OR oe < os OR se >= length(sentence) OR oe >= length(sentence) THEN 'span out of sentence'
+                  WHEN NOT {_hard_loose('sc')} OR NOT {_hard_loose('oc')} THEN 'loose cell' WHEN k = 3 THEN 'label' ELSE 'kept' END AS reason FROM e),
+n AS (SELECT reason, count(*) AS n FROM r GROUP BY reason UNION ALL SELECT 'read', count(*) FROM r)
+SELECT x.reason, coalesce(n.n, 0) AS n_rows, coalesce(n.n, 0) AS n_found
+FROM (SELECT unnest(['read', 'kept', 'subject offsets', 'object offsets', 'subject type', 'object type', 'span out of sentence', 'loose cell', 'label']) AS reason) x
+LEFT JOIN n ON x.reason = n.reason"""
 SQL["s05_csv_sink"] = with_views(["marked"], """
 SELECT id, sentence, subject_entity, object_entity, subject_type, object_type, label,
   '[' || array_to_string(subject_idx, ',') || ']' AS subject_idx, '[' || array_to_string(object_idx, ',') || ']' AS object_idx

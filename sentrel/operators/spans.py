@@ -5,7 +5,7 @@ Each function takes and returns a DataFrame (use with ``df.transform``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sentrel.functions import entity as E
@@ -50,6 +50,28 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     return keep_rows(parsed.withColumn("error", _entity_error()), F.col("error").isNotNull())
 
 
+#: Reasons of :func:`routed`, in the order in which they are looked for.
+REASONS = ["subject offsets", "object offsets", "subject type", "object type", "span out of sentence", "loose cell", "label"]
+
+
+def routed(raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """P01, P02 and P12 with a counted quarantine: one pass over a RAW table writes every row under ``path``, parsed, with
+    the first ``reason`` why it cannot be used (null: none), and counts the rows by reason on the way. Returns the rows
+    kept, those put apart, and the counts (``read``, ``kept`` and each of ``REASONS``): read = kept + all reasons."""
+    loose = E.parse_entity_loose("subject_entity"), E.parse_entity_loose("object_entity")
+    d = label_to_num(parse_entities(raw).withColumn("_s", loose[0]).withColumn("_o", loose[1]))
+    unread = F.lit(False)
+    for c in ("_s", "_o"):
+        unread = unread | F.col(f"{c}.start_idx").isNull() | F.col(f"{c}.end_idx").isNull() | F.col(f"{c}.type").isNull()
+    reason = F.coalesce(_entity_error(), F.when(unread, F.lit("loose cell")), F.when(F.col("label_id").isNull(), F.lit("label")))
+    d = d.withColumn("reason", reason).drop("_s", "_o").withColumn("kept", F.col("reason").isNull())
+    seen = Observation()
+    d = d.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if("kept").alias("kept"), *[F.count_if(F.col("reason") == r).alias(r) for r in REASONS])
+    d.write.partitionBy("kept").parquet(path)
+    back = raw.sparkSession.read.schema(d.schema).parquet(path)
+    return back.where("kept").drop("kept", "reason"), back.where("not kept").drop("kept"), seen.get
+
+
 def mark_typed_punct(parsed: DataFrame, out: str = "marked") -> DataFrame:
     """P06 typed punctuation markers on the original offsets."""
     return parsed.withColumn(out, E.mark_typed_punct("sentence", "ss", "se", "os", "oe",

@@ -665,7 +665,7 @@ def c01(spark, sf_dir):
 # --- S: sources and sinks (round trips through the shared work folder) --------------
 
 from sentrel.schema import RAW_SCHEMA  # noqa: E402
-from sentrel.sources.files import load_catalog, read_re_csv, write_csv  # noqa: E402
+from sentrel.sources.files import put, read_catalog, read_re_csv, write_csv  # noqa: E402
 
 _RAW_COLS = [f.name for f in RAW_SCHEMA.fields]
 
@@ -687,12 +687,30 @@ def s02(spark, sf_dir):
 
 @register("s03_load_catalog")
 def s03(spark, sf_dir):
-    path = scratch_path(spark, "catalog")
+    """Three files loaded by name, then a second m1, which replaces the first: the last one wins."""
+    files, catalog = scratch_path(spark, "catalog-files"), scratch_path(spark, "catalog")
     cat = EA.with_output_prob(fx.pred_catalog(spark, sf_dir)).select("dataset", "id", "label_id", "output_prob")
-    write_csv(cat, path, partition_by="dataset")
-    schema = "id bigint, label_id int, output_prob string"
-    loaded = load_catalog(spark, path, T.StructType.fromDDL(schema), name_from="partition")
-    return finish(loaded.select("dataset", "id", "label_id", "output_prob"))
+    schema = T.StructType.fromDDL("id bigint, label_id int, output_prob string")
+    for name in ("m0", "m1", "m2"):
+        write_csv(cat.where(F.col("dataset") == name).drop("dataset"), f"{files}/{name}.csv")
+    put(spark, catalog, f"{files}/*.csv", schema)
+    again = scratch_path(spark, "catalog-again")
+    second = cat.where("dataset = 'm1'").select("output_prob", ((F.col("label_id") + 1) % 30).alias("label_id"), "id")  # other column order
+    write_csv(second, f"{again}/m1.csv")
+    put(spark, catalog, f"{again}/m1.csv", schema)
+    return finish(read_catalog(spark, catalog, schema).select("dataset", "id", "label_id", "output_prob"))
+
+
+@register("q01_quarantine")
+def q01(spark, sf_dir):
+    """Hard rows routed in one pass: rows read, kept and put apart by reason, as counted on the way
+    (``n_rows``) and as found in the two written parts (``n_found``)."""
+    kept, bad, seen = P.routed(fx.re_hard(spark, sf_dir), scratch_path(spark, "routed"))
+    found = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n_found"))
+    found = found.unionByName(kept.agg(F.count(F.lit(1)).alias("n_found")).withColumn("reason", F.lit("kept")))
+    total = found.agg(F.sum("n_found").alias("n_found")).withColumn("reason", F.lit("read"))
+    counts = spark.createDataFrame(list(seen.items()), "reason string, n_rows bigint")
+    return finish(counts.join(found.unionByName(total), "reason", "left").select("reason", "n_rows", F.coalesce("n_found", F.lit(0)).alias("n_found")))
 
 
 @register("s05_csv_sink")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +13,11 @@ from sentrel.schema import RAW_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
-def _scan(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+#: Name of the table that a file belongs to: ``name.csv``, or the parts of a folder ``name.csv``.
+DATASET = r"/([^/]+)\.csv(?:/[^/]*)?$"
+
+
+def _scan(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool, extra: Sequence[Column] = ()) -> DataFrame:
     """All rows of the files, columns found by the names in their header (types
     from ``schema``, others as text), with ``_corrupt_record``. Files whose
     headers differ from the first one's are refused, not misread."""
@@ -24,7 +30,7 @@ def _scan(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool
           .option("columnNameOfCorruptRecord", CORRUPT).schema(found).csv(path))
     # always true, and read from every column: a row is told corrupt by all of its cells, also where a query needs few of them
     whole = F.length(F.concat_ws("", *[F.col(f"`{n}`").cast("string") for n in names])) >= 0
-    return df.where(whole).select(*[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], CORRUPT)
+    return df.where(whole).select(*[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], CORRUPT, *extra)
 
 
 def read_re_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
@@ -62,6 +68,23 @@ def load_catalog(spark: SparkSession, path: str, schema: T.StructType,
     raise ValueError(name_from)
 
 
+def put(spark: SparkSession, catalog: str, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """S03 adds the table at ``path`` (a CSV file, a folder ``name.csv`` as Spark writes it, or a folder or pattern of several)
+    to the catalog: a Parquet table with one partition per dataset, named after the file. Columns go by
+    their names in the header, as in S01. A dataset that the catalog has already is replaced as a whole, all others stay (dynamic
+    partition overwrite). Rows that do not fit the schema are left out; they are returned, with their dataset."""
+    name = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), DATASET, 1).alias("dataset")
+    rows = _scan(spark, path, schema, multi_line, [name])
+    rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("dataset").parquet(catalog)
+    return rows.where(F.col(CORRUPT).isNotNull()).select("dataset", CORRUPT)
+
+
+def read_catalog(spark: SparkSession, catalog: str, schema: T.StructType) -> DataFrame:
+    """The catalog that :func:`put` fills, with a ``dataset`` column."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("dataset", T.StringType())])).parquet(catalog)
+
+
 def csv_ready(df: DataFrame) -> DataFrame:
     """Serialise array/struct/map columns as JSON text so they survive CSV."""
     cols = []

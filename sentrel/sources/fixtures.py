@@ -82,6 +82,30 @@ def re_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "sentence", "subject_entity", "object_entity", "label", "label_id", "source")
 
 
+def re_hard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW relation table of every document line as it is, quotes, markers and all: entities are 1 to 6 characters
+    anywhere in the line (or reach beyond it), and by hash some rows have a cut or missing cell, an unknown
+    type, an unknown label, or a span that ends before it begins."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    a = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "sentence"))
+    a = a.select((F.col("doc_id") * LINE_ID_FACTOR + F.col("line_no")).alias("id"), "sentence")
+    a = keep_rows(a.withColumn("n", F.length("sentence")), F.col("n") >= 1)
+    a = a.withColumn("k", h("hard-k", "id") % 11)
+    ty = F.array(*[F.lit(t) for t in _TYPES])
+    for e in ("s", "o"):
+        a = a.withColumn(f"{e}0", (h(f"hard-{e}", "id") % F.nullif("n", F.lit(0))).cast("int"))
+        a = a.withColumn(f"{e}1", F.col(f"{e}0") + (h(f"hard-{e}1", "id") % 6).cast("int"))
+        a = a.withColumn(f"{e}t", F.element_at(ty, (h(f"hard-{e}t", "id") % 6 + 1).cast("int")))
+    k = F.col("k")
+    cell = lambda e, t: _cell(F.substring("sentence", F.col(f"{e}0") + 1, F.lit(6)), F.col(f"{e}0"),
+                              F.when((k == 4) & F.lit(e == "o"), F.col("o0") - 1).otherwise(F.col(f"{e}1")), t)
+    subject = cell("s", F.when(k == 2, F.lit("XYZ")).otherwise(F.col("st")))
+    label = F.when(k == 3, F.lit("per:unknown")).otherwise(F.col("label"))
+    out = a.withColumn("label_id", (h("hard-l", "id") % 30).cast("int")).join(F.broadcast(label_dim(spark)), "label_id")
+    return out.select("id", "sentence", F.when(k == 0, F.substring(subject, 1, 10)).otherwise(subject).alias("subject_entity"),
+                      F.when(k != 1, cell("o", F.col("ot"))).alias("object_entity"), label.alias("label"))
+
+
 def variants(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Rewritten sentences per id (stand-in for the translation model's output):
     a prefixed copy keeps both words, a reversed copy moves them, and a copy

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from sentrel.operators import analysis as EA
 from sentrel.schema import RAW_SCHEMA
 from sentrel.session import scratch_path
-from sentrel.sources.files import corrupt_rows, load_catalog, read_re_csv, stamp, write_csv
+from sentrel.sources.files import corrupt_rows, load_catalog, put, read_catalog, read_re_csv, stamp, write_csv
 from tests.test_spans import ROWS
 
 
@@ -51,6 +51,19 @@ def test_catalog_from_file_names(spark):
     assert got == {"model_a": 2, "model_b": 3}
 
 
+def test_put_replaces_a_dataset_by_its_file_name(spark, tmp_path):
+    catalog, schema = scratch_path(spark, "catalog"), T.StructType.fromDDL("id bigint, score double")
+    for folder, name, text in (("a", "m 1", "id,score\n1,0.5\n2,0.25\n"), ("a", "7", "id,score\n3,1\n"), ("b", "m 1", "score,id,other\n9,10,x\nbad,11,x\n")):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / f"{name}.csv").write_text(text)
+    (tmp_path / "a" / "notes.txt").write_text("no table\n")
+    assert put(spark, catalog, f"{tmp_path}/a/*.csv", schema).collect() == []
+    assert sorted(map(tuple, read_catalog(spark, catalog, schema).select("dataset", "id", "score").collect())) == [("7", 3, 1.0), ("m 1", 1, 0.5), ("m 1", 2, 0.25)]
+    bad = put(spark, catalog, f"{tmp_path}/b/m 1.csv", schema).collect()
+    assert [r.dataset for r in bad] == ["m 1"] and "bad,11" in bad[0]["_corrupt_record"]
+    assert sorted(map(tuple, read_catalog(spark, catalog, schema).select("dataset", "id", "score").collect())) == [("7", 3, 1.0), ("m 1", 10, 9.0)]
+
+
 def test_stamp_is_kst(spark):
     df = spark.createDataFrame([("2024-01-31 20:15:30",)], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
     assert df.select(stamp("t").alias("s")).collect()[0].s == "240201-05:15:30"
