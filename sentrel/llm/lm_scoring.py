@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrel.llm.shared import bucket_of, by_bucket, joined, mix, slices, spread, text_of, written
+from sentrel.llm.shared import bucket_of, by_bucket, joined, mix, Sent, slices, spread, text_of, written
 
 DISCOUNT = 0.75
 PROBES = 6
@@ -488,7 +488,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hea
     tokens, vocabulary = sum(t for *_, t in hist) + n_docs, sum(k for _, k, _ in hist) + (n_docs > 0)
     least_word = least_bin(hist, head_words)
     head, whole = head_of(unigrams, least_word), all(b >= least_word for b, *_ in hist)
-    seen = spark.sparkContext.broadcast(head)
+    seen = Sent(spark, head)
     pairs = counted(train.select("text"), lambda w: pair_keys(*token_ids(w, seen.value)[:2])[0], buckets, "pairs", by=mix)
     lowest = lambda b: b if b < 1024 else math.ceil(2 ** (10 + (b - 1024) / 64))  # noqa: E731  the smallest count of a bin
     pair_hist = histogram(pairs)
@@ -498,7 +498,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hea
     if not whole:
         others = tail_pairs(train.select("text"), seen)
         add_tail(others, kinds, mass)
-    shared = spark.sparkContext.broadcast(Model(head, filt, kinds, mass, n_docs, tokens, vocabulary, low, whole))
+    shared = Sent(spark, Model(head, filt, kinds, mass, n_docs, tokens, vocabulary, low, whole))
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out().alias("held_out"), "text")
     if not whole:

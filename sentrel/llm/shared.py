@@ -13,10 +13,12 @@ documents at a time, so memory is bounded by the slice (or by one document).
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +73,44 @@ def text_of(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+# --- broadcasts by value ------------------------------------------------------------------
+
+def plain(x):
+    """``x`` without references to this library: an object of one of its classes becomes its class (by value) and attributes."""
+    if not type(x).__module__.startswith(__name__.split(".")[0] + "."):
+        return x
+    return _PLAIN, cloudpickle.dumps(type(x)), {k: plain(v) for k, v in vars(x).items()}
+
+
+def rebuilt(x):
+    """The object that :func:`plain` took apart; its arrays are not copied."""
+    if not (isinstance(x, tuple) and len(x) == 3 and x[0] == _PLAIN):
+        return x
+    kind = pickle.loads(x[1])
+    out = kind.__new__(kind)
+    out.__dict__.update({k: rebuilt(v) for k, v in x[2].items()})
+    return out
+
+
+_PLAIN = "object by value"
+
+
+class Sent:
+    """A broadcast object of this library; executors need no copy of the library to read ``value``."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.broadcast, self._value = spark.sparkContext.broadcast(plain(value)), value
+
+    def __getstate__(self):
+        return {"broadcast": self.broadcast}
+
+    @property
+    def value(self):
+        if "_value" not in self.__dict__:
+            self._value = rebuilt(self.broadcast.value)
+        return self._value
+
+
 # --- words of a text column ---------------------------------------------------------
 
 _MASK = (1 << 64) - 1

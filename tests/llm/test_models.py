@@ -169,3 +169,19 @@ def test_lm_scores_do_not_depend_on_what_is_broadcast(docs):
         got = sorted((r for r in L.lm_scores(docs, bits_each=400.0, **options).collect()), key=key)
         assert [r[:5] for r in got] == [r[:5] for r in want]
         np.testing.assert_allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9, err_msg=str(options))
+
+
+def test_broadcast_objects_need_no_library_on_the_executors(tmp_path):
+    """A head that is taken apart, sent and rebuilt in a Python that cannot import this library."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from sentrel.llm.shared import plain, rebuilt
+    head = L.Head(np.array([5, 9, 2**63], np.uint64), np.array([1, 2, 3]))
+    sent = plain(head)
+    (tmp_path / "sent").write_bytes(cloudpickle.dumps(lambda: rebuilt(sent).find(np.array([9, 7], np.uint64)).tolist()))
+    code = "import pickle, sys; f = pickle.load(open('sent', 'rb')); print(f()); assert not any(m.startswith('sentrel') for m in sys.modules)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}, capture_output=True, text=True)
+    assert out.stdout.strip() == str(head.find(np.array([9, 7], np.uint64)).tolist()), out.stderr
