@@ -9,7 +9,8 @@ the last return the columns of documents.
 5. packing: the pieces of sequences of 4,096 ids.
 
 The first stage is a trained model and the last uses a tokenizer, so no SQL
-gives the pipeline's rows; the tests hold each stage against a brute-force version.
+gives the pipeline's rows; a test holds the filtering stages against plain versions, and
+the operators of the others have brute-force tests.
 """
 
 from __future__ import annotations
