@@ -18,9 +18,9 @@ texts, plus the mass that is left at v times P1(w); P1 is the add-half unigram o
 score. Contexts that training never saw give P1. The end of a text is a token, its start
 a context; so a text's score is log10 of a probability over texts.
 
-Words outside the head are rare by construction. Tokens that are such a word or follow
-one are rows: counts of pair, context and word are joined to them by keys that are as
-rare, and their logarithms come back summed per text. Nothing frequent travels that way.
+Words outside the head are rare by construction. Counts of pairs with such a word lie in the bucket
+of that word (of the first, if both are), beside the words' own counts. Texts send what they have of them there,
+packed by bucket, and get logarithms back, summed per text; a pair of two such words calls at the second one's bucket first.
 If the head holds all words of training, other words have count 0 and no row is needed.
 
 Words are 64-bit hashes throughout (see :mod:`sentrel.llm.shared`).
@@ -187,7 +187,7 @@ EDGE = np.uint64(0x5851F42D4C957F2D)  # the start and the end of a text, among w
 
 def tail_tokens(words, before: np.ndarray, ids: np.ndarray, at: np.ndarray):
     """The tokens that are or follow a word outside the head: where they are, the hashes of their
-    pairs, contexts and words (as int64)."""
+    pairs, contexts and words."""
     h = np.full(len(ids), EDGE, np.uint64)
     place = np.ones(len(ids), bool)
     place[at[1:] - 1] = False
@@ -196,57 +196,102 @@ def tail_tokens(words, before: np.ndarray, ids: np.ndarray, at: np.ndarray):
     context[at[:-1]] = EDGE
     where = np.flatnonzero((before < 0) | (ids < 0))
     v, w = context[where], h[where]
-    return where, mix(mix(v) + w).view(np.int64), v.view(np.int64), w.view(np.int64)
+    return where, mix(mix(v) + w), v, w
 
 
-def _tail_counter(seen):
-    """Rows ``(p, v, head, n)``: a pair, its context as a hash or as a head number, its count in the slice."""
+TAIL_PAIRS = "bucket int, p binary, owner binary, head binary, n binary"
+TAIL = "bucket int, words binary, counts binary, rest binary, p binary, q binary, v binary, kinds binary, mass binary"
+
+
+def _by_bucket_rows(buckets: np.ndarray, columns: dict, extra: dict | None = None):
+    """A batch of packed rows: ``columns`` (name to array) cut by ``buckets``."""
+    order = np.argsort(buckets, kind="stable")
+    cut = np.flatnonzero(np.append(True, np.diff(buckets[order]) != 0)) if len(order) else order
+    ends = np.append(cut[1:], len(order))
+    packed = {c: pa.array([x[order[i:j]].tobytes() for i, j in zip(cut, ends)], pa.binary()) for c, x in columns.items()}
+    return {"bucket": pa.array(buckets[order[cut]].astype(np.int32)), **packed, **{c: pa.array([x] * len(cut), kind) for c, (x, kind) in (extra or {}).items()}}
+
+
+def _tail_counter(seen, buckets: int):
+    """Pairs with a word outside the head, in the bucket of that word (``owner``): the pair's hash, its context as a
+    head number (-1: the owner), its count."""
     def run(batches):
+        pending, held = [], 0
+
+        def flush():
+            p, owner, head = (np.concatenate(x) for x in zip(*pending))
+            p, first, n = np.unique(p, return_index=True, return_counts=True)
+            owner, head = owner[first], head[first]
+            columns = _by_bucket_rows(bucket_of(owner, buckets), {"p": p, "owner": owner, "head": head, "n": n.astype(np.int32)})
+            return pa.RecordBatch.from_pydict(columns)
+
         for b in batches:
             for _, _, words in slices(b.column("text"), lower=True):
                 before, ids, at = token_ids(words, seen.value)
-                where, p, v, _ = tail_tokens(words, before, ids, at)
-                p, first, n = np.unique(p, return_index=True, return_counts=True)
-                v, head = v[first], before[where[first]]
-                yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(v, mask=head >= 0), pa.array(head, mask=head < 0), pa.array(n.astype(np.int64))],
-                                                 names=["p", "v", "head", "n"])
+                where, p, v, w = tail_tokens(words, before, ids, at)
+                head = before[where]
+                pending.append((p, np.where(head < 0, v, w), head.astype(np.int32)))
+                held += len(p)
+                if held >= FLUSH // 2:
+                    yield flush()
+                    pending, held = [], 0
+        if held:
+            yield flush()
     return run
 
 
-def tail_pairs(texts: DataFrame, seen) -> DataFrame:
-    """``(p, v, head, q)`` of all pairs with a word outside the head; ``q`` is the quantised count."""
-    def run(batches):
-        for b in batches:
-            q = LEVELS[level_of(b.column("n").to_numpy()) - 1]
-            yield pa.RecordBatch.from_arrays([b.column("p"), b.column("v"), b.column("head"), pa.array(q)], names=["p", "v", "head", "q"])
-    found = texts.mapInArrow(_tail_counter(seen), "p bigint, v bigint, head bigint, n bigint")
-    counts = found.groupBy("p").agg(F.first("v").alias("v"), F.first("head").alias("head"), F.sum("n").alias("n"))
-    return written(counts.mapInArrow(run, "p bigint, v bigint, head bigint, q bigint"), "tail_pairs")
+def _tail_bucket(least: int):
+    """A bucket's words outside the head with their counts and left-over mass, its pairs, and what they add to head contexts."""
+    def run(key, pairs, unigrams):
+        k, c = joined(unigrams.column("keys"), np.uint64), joined(unigrams.column("counts"), np.int64)
+        low = _bins(c) < least
+        k, c = k[low], c[low]
+        p, owner = joined(pairs.column("p"), np.uint64), joined(pairs.column("owner"), np.uint64)
+        head, n = joined(pairs.column("head"), np.int32), joined(pairs.column("n"), np.int32)
+        p, first, which = np.unique(p, return_index=True, return_inverse=True)
+        q = LEVELS[level_of(np.bincount(which, n, len(p)).astype(np.int64)) - 1]
+        owner, head = owner[first], head[first]
+        own = np.searchsorted(k, owner[head < 0])  # all are there: training has counted them
+        kinds, mass = np.bincount(own, minlength=len(k)), np.bincount(own, q[head < 0], len(k))
+        rest = np.clip((c - mass + DISCOUNT * kinds) / np.maximum(c, 1), 1e-12, 1.0)
+        out = [dict(zip(_names(TAIL), (key[0].as_py(), k.tobytes(), c.tobytes(), rest.tobytes(), p.tobytes(), q.tobytes())))]
+        out += _context_rows(head[head >= 0].astype(np.int64), q[head >= 0])
+        return pa.table({x: pa.array([r.get(x) for r in out], pa.int32() if x == "bucket" else pa.binary()) for x in _names(TAIL)})
+    return run
 
 
-def add_tail(tail: DataFrame, kinds: np.ndarray, mass: np.ndarray) -> None:
-    """Adds the pairs of head contexts with words outside the head."""
-    def pack(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([b.column(c).to_numpy().tobytes()], pa.binary()) for c in ("head", "kinds", "mass")], names=["head", "kinds", "mass"])
-    of = tail.where("head is not null").groupBy("head").agg(F.count(F.lit(1)).alias("kinds"), F.sum("q").alias("mass"))
-    for r in of.mapInArrow(pack, "head binary, kinds binary, mass binary").collect():  # a number per head word
-        v = np.frombuffer(bytes(r["head"]), np.int64)
-        kinds[v] += np.frombuffer(bytes(r["kinds"]), np.int64)
-        mass[v] += np.frombuffer(bytes(r["mass"]), np.int64)
+def tail_counts(texts: DataFrame, seen, unigrams: DataFrame, buckets: int, least: int) -> DataFrame:
+    """Rows of ``TAIL``: one per bucket of ``unigrams``, and (below 0) parts of the head contexts' sums."""
+    found = texts.mapInArrow(_tail_counter(seen, buckets), TAIL_PAIRS)
+    return written(found.groupBy("bucket").cogroup(unigrams.groupBy("bucket")).applyInArrow(_tail_bucket(least), TAIL), "tail")
 
 
-def tail_words(unigrams: DataFrame, tail: DataFrame, least: int) -> DataFrame:
-    """``(w, c, rest)`` of all words outside the head: count and mass that is left at them."""
-    def run(batches):
-        for b in batches:
-            k, n = joined(b.column("keys"), np.uint64), joined(b.column("counts"), np.int64)
-            low = _bins(n) < least
-            yield pa.RecordBatch.from_arrays([pa.array(k[low].view(np.int64)), pa.array(n[low])], names=["w", "c"])
-    of = tail.where("v is not null").groupBy(F.col("v").alias("w")).agg(F.count(F.lit(1)).alias("kinds"), F.sum("q").alias("mass"))
-    words = unigrams.mapInArrow(run, "w bigint, c bigint").join(of, "w", "left")
-    rest = (F.col("c") - F.coalesce("mass", F.lit(0)) + DISCOUNT * F.coalesce("kinds", F.lit(0))) / F.col("c")
-    return written(words.select("w", "c", F.greatest(F.lit(1e-12), F.least(F.lit(1.0), rest)).alias("rest")), "tail_words")
+# --- contexts: how many pairs, and what mass ------------------------------------------------
+
+PARTS = 64
+
+
+def _context_rows(v: np.ndarray, q: np.ndarray) -> list[dict]:
+    """Packed rows (``bucket`` -1 and less, a part of the contexts each) of the number of pairs and the quantised mass of contexts."""
+    if not len(v):
+        return []
+    v, which, kinds = np.unique(v, return_inverse=True, return_counts=True)
+    columns = _by_bucket_rows(-1 - v % PARTS, {"v": v.astype(np.int32), "kinds": kinds.astype(np.int64), "mass": np.bincount(which, q, len(v)).astype(np.int64)})
+    return pa.table(columns).to_pylist()
+
+
+def add_contexts(rows: DataFrame, kinds: np.ndarray, mass: np.ndarray) -> None:
+    """Adds up the rows of :func:`_context_rows`, part by part."""
+    def add(key, t):
+        v, kinds, mass = joined(t.column("v"), np.int32), joined(t.column("kinds"), np.int64), joined(t.column("mass"), np.int64)
+        u, which = np.unique(v, return_inverse=True)
+        return pa.table({"v": pa.array([u.tobytes()], pa.binary()), "kinds": pa.array([np.bincount(which, kinds, len(u)).astype(np.int64).tobytes()], pa.binary()),
+                         "mass": pa.array([np.bincount(which, mass, len(u)).astype(np.int64).tobytes()], pa.binary())})
+    rows = rows.where("bucket < 0").select("bucket", "v", "kinds", "mass")
+    for r in rows.groupBy("bucket").applyInArrow(add, "v binary, kinds binary, mass binary").collect():  # a number per head word
+        v = np.frombuffer(bytes(r["v"]), np.int32)
+        kinds[v] += np.frombuffer(bytes(r["kinds"]), np.int64)
+        mass[v] += np.frombuffer(bytes(r["mass"]), np.int64)
 
 
 # --- filter -------------------------------------------------------------------------------
@@ -309,43 +354,26 @@ def _filter_part(keys: np.ndarray, levels: np.ndarray, bits_each: float) -> byte
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+FILTER = "bucket int, filter binary, v binary, kinds binary, mass binary"
+
+
 def build_filter(pairs: DataFrame, buckets: int, least: int, bits_each: float, size: int) -> tuple[Filter, np.ndarray, np.ndarray]:
     """The filter of all pairs from bin ``least`` on, and for each context (``size`` head words and the start) how many pairs
     and what (quantised) mass it has, entered or not."""
-    parts = 64
-
     def run(batches):
         for b in batches:
             for bucket, kb, nb in zip(*(b.column(c).to_pylist() for c in ("bucket", "keys", "counts")), strict=True):
                 k, n = np.frombuffer(kb, np.uint64), np.frombuffer(nb, np.int64)
                 on, level = _bins(n) >= least, level_of(n)
-                if on.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([_filter_part(k[on], level[on], bits_each)], pa.binary()),
-                                                      pa.array([None], pa.binary()), pa.array([None], pa.binary())], names=["bucket", "v", "kinds", "mass"])
-                if not len(k):
-                    continue
-                v, which, kinds = np.unique(k >> np.uint64(32), return_inverse=True, return_counts=True)
-                mass = np.bincount(which, LEVELS[level - 1], len(v)).astype(np.int64)
-                part = (v % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                at = np.searchsorted(part[order], np.arange(parts + 1))
-                full = np.flatnonzero(np.diff(at))
-                cut = lambda x, kind: pa.array([x[order[at[p]:at[p + 1]]].astype(kind).tobytes() for p in full], pa.binary())  # noqa: E731,B023
-                yield pa.RecordBatch.from_arrays([pa.array((-1 - full).astype(np.int32)), cut(v, np.int64), cut(kinds, np.int64), cut(mass, np.int64)],
-                                                 names=["bucket", "v", "kinds", "mass"])
-
-    def add(key, t):
-        v, kinds, mass = (joined(t.column(c), np.int64) for c in ("v", "kinds", "mass"))
-        u, which = np.unique(v, return_inverse=True)
-        return pa.table({"v": pa.array([u.tobytes()], pa.binary()), "kinds": pa.array([np.bincount(which, kinds, len(u)).astype(np.int64).tobytes()], pa.binary()),
-                         "mass": pa.array([np.bincount(which, mass, len(u)).astype(np.int64).tobytes()], pa.binary())})
+                out = [{"bucket": bucket, "filter": _filter_part(k[on], level[on], bits_each)}] if on.any() else []
+                out += _context_rows((k >> np.uint64(32)).astype(np.int64), LEVELS[level - 1])
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in out], pa.int32() if c == "bucket" else pa.binary()) for c in _names(FILTER)], names=_names(FILTER))
 
-    made = written(pairs.mapInArrow(run, "bucket int, v binary, kinds binary, mass binary"), "filter")
-    filt = Filter({r["bucket"]: bytes(r["v"]) for r in made.where("bucket >= 0").select("bucket", "v").collect()}, buckets)  # filter_bytes at most
+    made = written(pairs.mapInArrow(run, FILTER), "filter")
+    filt = Filter({r["bucket"]: bytes(r["filter"]) for r in made.where("bucket >= 0").select("bucket", "filter").collect()}, buckets)  # filter_bytes at most
     kinds, mass = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
-    for r in made.where("bucket < 0").groupBy("bucket").applyInArrow(add, "v binary, kinds binary, mass binary").collect():  # a number per head word
-        v = np.frombuffer(bytes(r["v"]), np.int64)
-        kinds[v], mass[v] = np.frombuffer(bytes(r["kinds"]), np.int64), np.frombuffer(bytes(r["mass"]), np.int64)
+    add_contexts(made, kinds, mass)
     return filt, kinds, mass
 
 
@@ -390,13 +418,32 @@ class Model:
         return base, out, keys[miss], both[miss]
 
 
-SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, bucket int, keys binary, rows binary"
-TAIL = "row bigint, p bigint, kv bigint, kw bigint, cv double, rv double, cw double, lw double"
+SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, kind int, bucket int, p binary, word binary, other binary, rows binary"
+#: Kinds of packed rows that a text sends to buckets: pairs that the filter does not hold; tokens outside the head after a
+#: head word, after a word outside it (both to the token's bucket); head words after a word outside it (to that word's bucket).
+RARE, NEW_AFTER_HEAD, NEW_AFTER_NEW, HEAD_AFTER_NEW = range(4)
+MORE = "row bigint, known bigint, base double, score double"
+ONWARD = "bucket int, p binary, word binary, other binary, rows binary"
 
 
 def _scorer(shared, buckets: int):
     def run(batches):
         model = shared.value
+        held, n = {k: [] for k in range(4)}, 0
+
+        def flush():
+            for kind, parts in held.items():
+                if parts:
+                    p, word, other, rows = (np.concatenate(x) for x in zip(*parts))
+                    bucket = bucket_of(mix(p) if kind == RARE else word, buckets)
+                    of_word = {"word": word, "other": other} if kind != RARE else {}
+                    extra = {"kind": (kind, pa.int32()), **{c: (None, pa.binary()) for c in ("word", "other") if c not in of_word}}
+                    columns = _by_bucket_rows(bucket, {"p": p, **of_word, "rows": rows}, extra)
+                    none = pa.nulls(len(columns["kind"]))
+                    yield pa.RecordBatch.from_arrays([*[none.cast(t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())],
+                                                      *[columns[c] for c in _names(SCORED)[7:]]], names=_names(SCORED))
+                    parts.clear()
+
         for b in batches:
             row_ids = b.column("row").to_numpy()
             for lo, hi, words in slices(b.column("text"), lower=True):
@@ -404,26 +451,38 @@ def _scorer(shared, buckets: int):
                 base, score, keys, places = model.score_and_rest(before, ids)
                 add = lambda x: np.add.reduceat(x, at[:-1])  # noqa: E731,B023
                 known = add((ids >= 0) & (model.counts[ids] > 0)).astype(np.int64)
-                none = [None] * (hi - lo)
+                none = pa.nulls(hi - lo)
                 yield pa.RecordBatch.from_arrays([pa.array(row_ids[lo:hi]), b.column("doc_id").slice(lo, hi - lo), b.column("held_out").slice(lo, hi - lo), pa.array(np.diff(at)), pa.array(known), pa.array(add(base)), pa.array(add(score)),
-                                                  pa.array(none, pa.int32()), pa.array(none, pa.binary()), pa.array(none, pa.binary())], names=_names(SCORED))
-                if not len(keys):
-                    continue
-                rows = row_ids[lo:hi][np.searchsorted(at, places, side="right") - 1]
-                order, cut = by_bucket(mix(keys), buckets)
-                full = np.flatnonzero(np.diff(cut))
-                pack = lambda x: pa.array([x[order[cut[p]:cut[p + 1]]].tobytes() for p in full], pa.binary())  # noqa: E731,B023
-                none = [None] * len(full)
-                yield pa.RecordBatch.from_arrays([*[pa.array(none, kind) for kind in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())],
-                                                  pa.array(full.astype(np.int32)), pack(keys), pack(rows)], names=_names(SCORED))
+                                                  none.cast(pa.int32()), none.cast(pa.int32()), *[none.cast(pa.binary())] * 4], names=_names(SCORED))
+                row_of = lambda x: row_ids[lo:hi][np.searchsorted(at, x, side="right") - 1]  # noqa: E731,B023
+                if len(keys):
+                    held[RARE].append((keys, np.zeros(0, np.uint64), np.zeros(0, np.int64), row_of(places)))
+                if not model.whole:
+                    where, p, v, w = tail_tokens(words, before, ids, at)
+                    rows, cv, cw = row_of(where), before[where], ids[where]
+                    for kind, on, word, other in ((NEW_AFTER_HEAD, (cv >= 0) & (cw < 0), w, cv), (NEW_AFTER_NEW, (cv < 0) & (cw < 0), w, v.view(np.int64)), (HEAD_AFTER_NEW, (cv < 0) & (cw >= 0), v, cw)):
+                        if on.any():
+                            held[kind].append((p[on], word[on], other[on], rows[on]))
+                    n += len(where)
+                n += len(keys)
+                if n >= FLUSH // 2:
+                    yield from flush()
+                    n = 0
+        yield from flush()
     return run
 
 
+def _summed(rows: np.ndarray, known: np.ndarray, base: np.ndarray, score: np.ndarray) -> pa.Table:
+    u, which = np.unique(rows, return_inverse=True)
+    add = lambda x: np.bincount(which, x, len(u))
+    return pa.table({"row": pa.array(u, pa.int64()), "known": pa.array(add(known).astype(np.int64)), "base": pa.array(add(base).astype(np.float64)), "score": pa.array(add(score).astype(np.float64))})
+
+
 def _rare(shared, least: int):
     """What pairs below the filter's smallest count add to their texts' scores."""
     def run(key, asked, counts):
         model = shared.value
-        h, rows = joined(asked.column("keys"), np.uint64), joined(asked.column("rows"), np.int64)
+        h, rows = joined(asked.column("p"), np.uint64), joined(asked.column("rows"), np.int64)
         k, n = joined(counts.column("keys"), np.uint64), joined(counts.column("counts"), np.int64)
         low = _bins(n) < least
         k, n = k[low], n[low]
@@ -431,42 +490,87 @@ def _rare(shared, least: int):
         hit = np.flatnonzero(k[at] == h) if len(k) else np.zeros(0, np.int64)
         v, w = (h[hit] >> np.uint64(32)).astype(np.int64), (h[hit] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         more = model.seen(v, w, level_of(n[at[hit]])) - model.base[w] - np.log10(model.rest[v])
-        u, which = np.unique(rows[hit], return_inverse=True)
-        return pa.table({"row": pa.array(u), "known": pa.array(np.zeros(len(u), np.int64)), "base": pa.array(np.zeros(len(u))),
-                         "score": pa.array(np.bincount(which, more, len(u)).astype(np.float64))})
+        none = np.zeros(len(hit))
+        return _summed(rows[hit], none, none, more)
     return run
 
 
-def _tail(shared):
-    """A row per token that is or follows a word outside the head, with what the model has of the other word. A head
-    word's place among the join keys is taken by the pair's hash, which is rare."""
-    def run(batches):
-        model = shared.value
-        for b in batches:
-            row_ids = b.column("row").to_numpy()
-            for lo, hi, words in slices(b.column("text"), lower=True):
-                before, ids, at = token_ids(words, model.head)
-                where, p, v, w = tail_tokens(words, before, ids, at)
-                rows = row_ids[lo:hi][np.searchsorted(at, where, side="right") - 1]
-                v_in, w_in = before[where] >= 0, ids[where] >= 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), pa.array(p), pa.array(np.where(v_in, p, v)), pa.array(np.where(w_in, p, w)), pa.array(model.counts[before[where]], mask=~v_in),
-                     pa.array(model.rest[before[where]], mask=~v_in), pa.array(model.counts[ids[where]], mask=~w_in), pa.array(model.base[ids[where]], mask=~w_in)], names=_names(TAIL))
+class _Tail:
+    """A bucket's row of ``TAIL``."""
+
+    def __init__(self, t: pa.Table, unit: float):
+        self.words, self.counts, self.rest = (joined(t.column(c), kind) for c, kind in (("words", np.uint64), ("counts", np.int64), ("rest", np.float64)))
+        self.p, self.q, self.unit = joined(t.column("p"), np.uint64), joined(t.column("q"), np.int64), unit
+
+    def word(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and left-over mass of words; 0 and 1 for those that training never saw."""
+        if not len(self.words):
+            return np.zeros(len(h)), np.ones(len(h))
+        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        own = self.words[at] == h
+        return np.where(own, self.counts[at], 0).astype(np.float64), np.where(own, self.rest[at], 1.0)
+
+    def unigram(self, c: np.ndarray) -> np.ndarray:
+        return np.log10(c + 0.5) - self.unit
+
+    def score(self, p: np.ndarray, c: np.ndarray, rest: np.ndarray, lw: np.ndarray) -> np.ndarray:
+        """log10 P of pairs from their contexts' counts and left-over mass and their words' log10 P1."""
+        out = lw + np.log10(rest)
+        if len(self.p):
+            at = np.minimum(np.searchsorted(self.p, p), len(self.p) - 1)
+            hit = np.flatnonzero(self.p[at] == p)
+            out[hit] = np.log10(np.maximum(self.q[at[hit]] - DISCOUNT, 0) / np.maximum(c[hit], 1) + rest[hit] * 10.0 ** lw[hit])
+        return out
+
+
+def _asked(t: pa.Table, other=np.int64) -> tuple[np.ndarray, ...]:
+    return tuple(joined(t.column(c), kind) for c, kind in (("p", np.uint64), ("word", np.uint64), ("other", other), ("rows", np.int64)))
+
+
+def _answers(shared, unit: float):
+    """What tokens outside the head add to their texts' sums, and head words after them; of a token after a word outside
+    the head the base only."""
+    def run(key, asked, tail):
+        model, tail = shared.value, _Tail(tail, unit)
+        kind, out = asked.column("kind").to_numpy(), []
+        for k in (NEW_AFTER_HEAD, NEW_AFTER_NEW, HEAD_AFTER_NEW):
+            p, word, other, rows = _asked(asked.filter(pa.array(kind == k)))
+            c, rest = tail.word(word)
+            lw, none = tail.unigram(c), np.zeros(len(rows))
+            if k == NEW_AFTER_HEAD:
+                out.append((rows, c > 0, lw, tail.score(p, model.counts[other], model.rest[other], lw)))
+            elif k == NEW_AFTER_NEW:
+                out.append((rows, c > 0, lw, none))
+            else:
+                out.append((rows, none, none, tail.score(p, c, rest, model.base[other])))
+        return _summed(*(np.concatenate(x) for x in zip(*out)))
     return run
 
 
-def tail_scores(rows: DataFrame, shared, pairs: DataFrame, words: DataFrame, unit: float) -> DataFrame:
-    """``(row, known, base, score)``: sums over the tokens that are or follow words outside the head."""
-    t = rows.select("row", "text").mapInArrow(_tail(shared), TAIL)
-    t = t.join(pairs.select("p", "q"), "p", "left")
-    t = t.join(words.select(F.col("w").alias("kv"), F.col("c").alias("own_cv"), F.col("rest").alias("own_rv")), "kv", "left")
-    t = t.join(words.select(F.col("w").alias("kw"), F.col("c").alias("own_cw")), "kw", "left")
-    tail, zero = F.col("cw").isNull(), F.lit(0.0)
-    cv, cw = F.coalesce("cv", "own_cv", zero), F.coalesce("cw", "own_cw", zero)
-    rest, lw = F.coalesce("rv", "own_rv", F.lit(1.0)), F.coalesce("lw", F.log10(F.coalesce("own_cw", zero) + 0.5) - unit)
-    seen = F.log10(F.greatest(F.least("q", cv, cw) - DISCOUNT, zero) / F.greatest(cv, F.lit(1.0)) + rest * F.pow(F.lit(10.0), lw))
-    score = F.when(F.col("q").isNotNull(), seen).otherwise(lw + F.log10(rest))
-    return t.select("row", (tail & (cw > 0)).cast("bigint").alias("known"), F.when(tail, lw).otherwise(zero).alias("base"), score.alias("score"))
+def _onward(unit: float, buckets: int):
+    """Tokens outside the head after a word outside the head, with their log10 P1, for that word's bucket."""
+    def run(key, asked, tail):
+        p, word, before, rows = _asked(asked)
+        tail, before = _Tail(tail, unit), before.view(np.uint64)
+        return pa.table(_by_bucket_rows(bucket_of(before, buckets), {"p": p, "word": before, "other": tail.unigram(tail.word(word)[0]), "rows": rows}))
+    return run
+
+
+def _after_new(unit: float):
+    def run(key, asked, tail):
+        p, word, lw, rows = _asked(asked, np.float64)
+        tail, none = _Tail(tail, unit), np.zeros(len(rows))
+        return _summed(rows, none, none, tail.score(p, *tail.word(word), lw))
+    return run
+
+
+def tail_scores(asked: DataFrame, shared, tail: DataFrame, unit: float, buckets: int) -> DataFrame:
+    """Rows of ``MORE``: sums over the tokens that are or follow words outside the head."""
+    asked = asked.select("kind", "bucket", "p", "word", "other", "rows")
+    tail = tail.where("bucket >= 0").select("bucket", "words", "counts", "rest", "p", "q").groupBy("bucket")
+    direct = asked.groupBy("bucket").cogroup(tail).applyInArrow(_answers(shared, unit), MORE)
+    both = asked.where(F.col("kind") == NEW_AFTER_NEW).groupBy("bucket").cogroup(tail).applyInArrow(_onward(unit, buckets), ONWARD)
+    return direct.union(both.groupBy("bucket").cogroup(tail).applyInArrow(_after_new(unit), MORE))
 
 
 def _names(schema: str) -> list[str]:
@@ -496,21 +600,19 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hea
     low = 1 if all(b >= least for b, *_ in pair_hist) else int(level_of(np.array([lowest(least)]))[0])
     filt, kinds, mass = build_filter(pairs, buckets, least, bits_each, len(head.keys))
     if not whole:
-        others = tail_pairs(train.select("text"), seen)
-        add_tail(others, kinds, mass)
+        tail = tail_counts(train.select("text"), seen, unigrams, buckets, least_word)
+        add_contexts(tail, kinds, mass)
     shared = Sent(spark, Model(head, filt, kinds, mass, n_docs, tokens, vocabulary, low, whole))
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out().alias("held_out"), "text")
-    if not whole:
-        rows = written(rows, "rows")
     scored = written(rows.mapInArrow(_scorer(shared, buckets), SCORED), "scored")
-    out = scored.where("bucket is null").select("row", "doc_id", "held_out", "n_tokens", "known", "base", "score")
+    out = scored.where("kind is null").select("row", "doc_id", "held_out", "n_tokens", "known", "base", "score")
     more = []
     if low > 1:
-        asked = scored.where("bucket is not null").select("bucket", "keys", "rows")
-        more.append(asked.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(_rare(shared, least), "row bigint, known bigint, base double, score double"))
+        asked = scored.where(F.col("kind") == RARE).select("bucket", "p", "rows")
+        more.append(asked.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(_rare(shared, least), MORE))
     if not whole:
-        more.append(tail_scores(rows, shared, others, tail_words(unigrams, others, least_word), shared.value.unit))
+        more.append(tail_scores(scored.where(F.col("kind") > RARE), shared, tail, shared.value.unit, buckets))
     if more:
         more = more[0] if len(more) == 1 else more[0].union(more[1])
         more = more.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("known", "base", "score")])
