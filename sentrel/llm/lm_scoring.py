@@ -46,6 +46,8 @@ PROBES = 6
 LEVELS = np.unique(np.round(2.0 ** (np.arange(0, 96) / 2)).astype(np.int64))[:80]
 COUNTS = "bucket int, keys binary, counts binary"
 FLUSH = 3_000_000
+#: Tokens that a scoring task holds for the buckets before it sends them (32 bytes each, copied a few times).
+ASKED = 250_000
 
 
 def held_out(id_col: str = "doc_id", of: int = 5):
@@ -411,7 +413,8 @@ class Model:
         if not self.whole:
             out[(before < 0) | (ids < 0)] = 0
         keys, both = pair_keys(before, ids)
-        level = self.filter.level(keys)
+        distinct, which = np.unique(keys, return_inverse=True)  # a frequent pair is probed up to its level, once a slice
+        level = self.filter.level(distinct)[which]
         hit, miss = np.flatnonzero(level >= self.low), np.flatnonzero(level < self.low) if self.low > 1 else np.zeros(0, np.int64)
         at = both[hit]
         out[at] = self.seen(before[at], ids[at], level[hit])
@@ -465,7 +468,7 @@ def _scorer(shared, buckets: int):
                             held[kind].append((p[on], word[on], other[on], rows[on]))
                     n += len(where)
                 n += len(keys)
-                if n >= FLUSH // 2:
+                if n >= ASKED:
                     yield from flush()
                     n = 0
         yield from flush()

@@ -40,6 +40,22 @@ def base_scores(docs):
             for (d, _), ts in zip(docs, toks)]
 
 
+def model_scores(docs, levels, discount=0.75):
+    """log10 of absolute discounting over quantised pair counts, with the add-half unigram below; every text begins in one context and ends in one token."""
+    toks = [words(t, True) + [None] for _, t in docs]
+    train = [ts for (d, _), ts in zip(docs, toks) if not held_out(d, 5)]
+    count, pairs = collections.Counter(w for ts in train for w in ts), collections.Counter(p for ts in train for p in zip([None] + ts, ts))
+    n, v = sum(count.values()), len(count)
+    pairs = {p: max(x for x in levels if x <= c) for p, c in pairs.items()}
+    kinds, mass = collections.Counter(), collections.Counter()
+    for (a, _), q in pairs.items():
+        kinds[a] += 1
+        mass[a] += q
+    rest = lambda a: min(1.0, max(1e-12, (count[a] - mass[a] + discount * kinds[a]) / count[a])) if count[a] else 1.0
+    below = lambda w: (count[w] + 0.5) / (n + 0.5 * (v + 1))
+    return [sum(math.log10(max(pairs.get((a, w), 0) - discount, 0) / max(count[a], 1) + rest(a) * below(w)) for a, w in zip([None] + ts, ts)) for ts in toks]
+
+
 def remove_repeats(docs, k=20):
     """By the contract: a window goes if its words also start earlier (ids are distinct or rows identical)."""
     first, out = {}, {}

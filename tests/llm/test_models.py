@@ -117,6 +117,20 @@ def test_lm_base_scores_and_counts(docs, rows, options):
     assert max(abs(p - q) for p, q in zip(a, b)) < 1e-8
 
 
+@pytest.mark.parametrize("options", [{}, {"head_words": 40}, {"head_words": 40, "filter_bytes": 300}])
+def test_lm_scores_equal_the_plain_model(docs, rows, options):
+    want = brute.model_scores([(r[0], r[1]) for r in rows], L.LEVELS.tolist())
+    got = L.lm_scores(docs, bits_each=400.0, **options).collect()
+    np.testing.assert_allclose(sorted(r["score"] for r in got), sorted(want), rtol=1e-9)
+
+
+def test_lm_pairs_of_two_words_outside_the_head(spark):
+    """Pairs of words that are outside the head, that training saw or not, repeated in one text, and a text without any."""
+    rows = [(i, t) for i, t in enumerate(["a a a a a a b", "rare odd rare odd x", "rare odd", "a rare odd b odd rare", "never seen at all", "never seen", "", None] * 6)]
+    got = L.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), head_words=1, bits_each=400.0).collect()
+    np.testing.assert_allclose([r["score"] for r in sorted(got, key=lambda r: r["doc_id"])], brute.model_scores(rows, L.LEVELS.tolist()), rtol=1e-9)
+
+
 def test_lm_helps_on_held_out_texts_and_is_a_probability(spark, no_docs):
     got = L.lm_scores(table(spark, SF_MID, "documents")).toPandas()
     held = got[got["held_out"]]
