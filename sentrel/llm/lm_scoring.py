@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrel.llm.shared import bucket_of, by_bucket, joined, mix, Sent, slices, spread, text_of, written
+from sentrel.llm.shared import bucket_of, by_bucket, mix, Sent, slices, spread, text_of, written
 
 DISCOUNT = 0.75
 PROBES = 6
@@ -54,6 +54,21 @@ def held_out(id_col: str = "doc_id", of: int = 5):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % of == 1, F.lit(False))
 
 
+def pack(x: np.ndarray) -> bytes:
+    """An array, all first bytes, then all second ones and so on: sorted or small numbers compress by far better."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()
+
+
+def unpack(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def joined(column, kind) -> np.ndarray:
+    """All values of a column of packed arrays, one after another."""
+    return np.concatenate([unpack(x, kind) for x in column.to_pylist() if x] or [np.zeros(0, kind)])
+
+
 # --- counting ---------------------------------------------------------------------------
 
 def _packed(keys: list[np.ndarray], buckets: int, by=None):
@@ -64,8 +79,8 @@ def _packed(keys: list[np.ndarray], buckets: int, by=None):
     order, at = by_bucket(k if by is None else by(k), buckets)
     k, n = k[order], n[order].astype(np.uint32)
     full = np.flatnonzero(np.diff(at))
-    yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([k[at[b]:at[b + 1]].tobytes() for b in full], pa.binary()),
-                                      pa.array([n[at[b]:at[b + 1]].tobytes() for b in full], pa.binary())], names=["bucket", "keys", "counts"])
+    yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([pack(k[at[b]:at[b + 1]]) for b in full], pa.binary()),
+                                      pa.array([pack(n[at[b]:at[b + 1]]) for b in full], pa.binary())], names=["bucket", "keys", "counts"])
 
 
 def _counter(keys_of, buckets: int, by=None):
@@ -87,8 +102,8 @@ def _merge(key, t):
     order = np.argsort(k, kind="stable")
     k, n = k[order], n[order]
     first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "keys": pa.array([k[first].tobytes()], pa.binary()),
-                     "counts": pa.array([np.add.reduceat(n, first).tobytes()], pa.binary())})
+    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "keys": pa.array([pack(k[first])], pa.binary()),
+                     "counts": pa.array([pack(np.add.reduceat(n, first))], pa.binary())})
 
 
 def counted(texts: DataFrame, keys_of, buckets: int, name: str, by=None) -> DataFrame:
@@ -202,7 +217,7 @@ def tail_tokens(words, before: np.ndarray, ids: np.ndarray, at: np.ndarray):
 
 
 TAIL_PAIRS = "bucket int, p binary, owner binary, head binary, n binary"
-TAIL = "bucket int, words binary, counts binary, rest binary, p binary, q binary, v binary, kinds binary, mass binary"
+TAIL = "bucket int, words binary, word_counts binary, rest binary, p binary, q binary, v binary, kinds binary, mass binary"
 
 
 def _by_bucket_rows(buckets: np.ndarray, columns: dict, extra: dict | None = None):
@@ -210,7 +225,7 @@ def _by_bucket_rows(buckets: np.ndarray, columns: dict, extra: dict | None = Non
     order = np.argsort(buckets, kind="stable")
     cut = np.flatnonzero(np.append(True, np.diff(buckets[order]) != 0)) if len(order) else order
     ends = np.append(cut[1:], len(order))
-    packed = {c: pa.array([x[order[i:j]].tobytes() for i, j in zip(cut, ends)], pa.binary()) for c, x in columns.items()}
+    packed = {c: pa.array([pack(x[order[i:j]]) for i, j in zip(cut, ends)], pa.binary()) for c, x in columns.items()}
     return {"bucket": pa.array(buckets[order[cut]].astype(np.int32)), **packed, **{c: pa.array([x] * len(cut), kind) for c, (x, kind) in (extra or {}).items()}}
 
 
@@ -256,7 +271,7 @@ def _tail_bucket(least: int):
         own = np.searchsorted(k, owner[head < 0])  # all are there: training has counted them
         kinds, mass = np.bincount(own, minlength=len(k)), np.bincount(own, q[head < 0], len(k))
         rest = np.clip((c - mass + DISCOUNT * kinds) / np.maximum(c, 1), 1e-12, 1.0)
-        out = [dict(zip(_names(TAIL), (key[0].as_py(), k.tobytes(), c.tobytes(), rest.tobytes(), p.tobytes(), q.tobytes())))]
+        out = [dict(zip(_names(TAIL), (key[0].as_py(), *map(pack, (k, c, rest, p, q)))))]
         out += _context_rows(head[head >= 0].astype(np.int64), q[head >= 0])
         return pa.table({x: pa.array([r.get(x) for r in out], pa.int32() if x == "bucket" else pa.binary()) for x in _names(TAIL)})
     return run
@@ -282,18 +297,26 @@ def _context_rows(v: np.ndarray, q: np.ndarray) -> list[dict]:
     return pa.table(columns).to_pylist()
 
 
+CONTEXTS = "bucket int, v binary, kinds binary, mass binary"
+
+
+def _context_batch(held: list):
+    rows = _context_rows(*(np.concatenate(x) for x in zip(*held))) if held else []
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int32() if c == "bucket" else pa.binary()) for c in _names(CONTEXTS)], names=_names(CONTEXTS))
+
+
 def add_contexts(rows: DataFrame, kinds: np.ndarray, mass: np.ndarray) -> None:
     """Adds up the rows of :func:`_context_rows`, part by part."""
     def add(key, t):
         v, kinds, mass = joined(t.column("v"), np.int32), joined(t.column("kinds"), np.int64), joined(t.column("mass"), np.int64)
         u, which = np.unique(v, return_inverse=True)
-        return pa.table({"v": pa.array([u.tobytes()], pa.binary()), "kinds": pa.array([np.bincount(which, kinds, len(u)).astype(np.int64).tobytes()], pa.binary()),
-                         "mass": pa.array([np.bincount(which, mass, len(u)).astype(np.int64).tobytes()], pa.binary())})
+        return pa.table({"v": [pack(u)], "kinds": [pack(np.bincount(which, kinds, len(u)).astype(np.int64))], "mass": [pack(np.bincount(which, mass, len(u)).astype(np.int64))]})
     rows = rows.where("bucket < 0").select("bucket", "v", "kinds", "mass")
     for r in rows.groupBy("bucket").applyInArrow(add, "v binary, kinds binary, mass binary").collect():  # a number per head word
-        v = np.frombuffer(bytes(r["v"]), np.int32)
-        kinds[v] += np.frombuffer(bytes(r["kinds"]), np.int64)
-        mass[v] += np.frombuffer(bytes(r["mass"]), np.int64)
+        v = unpack(bytes(r["v"]), np.int32)
+        kinds[v] += unpack(bytes(r["kinds"]), np.int64)
+        mass[v] += unpack(bytes(r["mass"]), np.int64)
 
 
 # --- filter -------------------------------------------------------------------------------
@@ -356,26 +379,33 @@ def _filter_part(keys: np.ndarray, levels: np.ndarray, bits_each: float) -> byte
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-FILTER = "bucket int, filter binary, v binary, kinds binary, mass binary"
-
-
 def build_filter(pairs: DataFrame, buckets: int, least: int, bits_each: float, size: int) -> tuple[Filter, np.ndarray, np.ndarray]:
     """The filter of all pairs from bin ``least`` on, and for each context (``size`` head words and the start) how many pairs
     and what (quantised) mass it has, entered or not."""
-    def run(batches):
+    def each(batches):
         for b in batches:
             for bucket, kb, nb in zip(*(b.column(c).to_pylist() for c in ("bucket", "keys", "counts")), strict=True):
-                k, n = np.frombuffer(kb, np.uint64), np.frombuffer(nb, np.int64)
-                on, level = _bins(n) >= least, level_of(n)
-                out = [{"bucket": bucket, "filter": _filter_part(k[on], level[on], bits_each)}] if on.any() else []
-                out += _context_rows((k >> np.uint64(32)).astype(np.int64), LEVELS[level - 1])
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in out], pa.int32() if c == "bucket" else pa.binary()) for c in _names(FILTER)], names=_names(FILTER))
-
-    made = written(pairs.mapInArrow(run, FILTER), "filter")
-    filt = Filter({r["bucket"]: bytes(r["filter"]) for r in made.where("bucket >= 0").select("bucket", "filter").collect()}, buckets)  # filter_bytes at most
+                yield bucket, unpack(kb, np.uint64), unpack(nb, np.int64)
+
+    def enter(batches):
+        for bucket, k, n in each(batches):
+            on = _bins(n) >= least
+            if on.any():
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([_filter_part(k[on], level_of(n[on]), bits_each)], pa.binary())], names=["bucket", "filter"])
+
+    def contexts(batches):
+        held, n_held = [], 0
+        for _, k, n in each(batches):
+            held.append(((k >> np.uint64(32)).astype(np.int64), LEVELS[level_of(n) - 1]))
+            n_held += len(k)
+            if n_held >= FLUSH:
+                yield from _context_batch(held)
+                held, n_held = [], 0
+        yield from _context_batch(held)
+
+    filt = Filter({r["bucket"]: bytes(r["filter"]) for r in pairs.mapInArrow(enter, "bucket int, filter binary").collect()}, buckets)  # filter_bytes at most
     kinds, mass = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
-    add_contexts(made, kinds, mass)
+    add_contexts(pairs.mapInArrow(contexts, CONTEXTS), kinds, mass)
     return filt, kinds, mass
 
 
@@ -456,7 +486,7 @@ def _scorer(shared, buckets: int):
                 known = add((ids >= 0) & (model.counts[ids] > 0)).astype(np.int64)
                 none = pa.nulls(hi - lo)
                 yield pa.RecordBatch.from_arrays([pa.array(row_ids[lo:hi]), b.column("doc_id").slice(lo, hi - lo), b.column("held_out").slice(lo, hi - lo), pa.array(np.diff(at)), pa.array(known), pa.array(add(base)), pa.array(add(score)),
-                                                  none.cast(pa.int32()), none.cast(pa.int32()), *[none.cast(pa.binary())] * 4], names=_names(SCORED))
+                                                  none.cast(pa.int32()), pa.array((row_ids[lo:hi] % buckets).astype(np.int32)), *[none.cast(pa.binary())] * 4], names=_names(SCORED))
                 row_of = lambda x: row_ids[lo:hi][np.searchsorted(at, x, side="right") - 1]  # noqa: E731,B023
                 if len(keys):
                     held[RARE].append((keys, np.zeros(0, np.uint64), np.zeros(0, np.int64), row_of(places)))
@@ -481,28 +511,23 @@ def _summed(rows: np.ndarray, known: np.ndarray, base: np.ndarray, score: np.nda
     return pa.table({"row": pa.array(u, pa.int64()), "known": pa.array(add(known).astype(np.int64)), "base": pa.array(add(base).astype(np.float64)), "score": pa.array(add(score).astype(np.float64))})
 
 
-def _rare(shared, least: int):
+def _rare(model: Model, least: int, t: pa.Table, h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
     """What pairs below the filter's smallest count add to their texts' scores."""
-    def run(key, asked, counts):
-        model = shared.value
-        h, rows = joined(asked.column("p"), np.uint64), joined(asked.column("rows"), np.int64)
-        k, n = joined(counts.column("keys"), np.uint64), joined(counts.column("counts"), np.int64)
-        low = _bins(n) < least
-        k, n = k[low], n[low]
-        at = np.minimum(np.searchsorted(k, h), max(len(k) - 1, 0))
-        hit = np.flatnonzero(k[at] == h) if len(k) else np.zeros(0, np.int64)
-        v, w = (h[hit] >> np.uint64(32)).astype(np.int64), (h[hit] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        more = model.seen(v, w, level_of(n[at[hit]])) - model.base[w] - np.log10(model.rest[v])
-        none = np.zeros(len(hit))
-        return _summed(rows[hit], none, none, more)
-    return run
+    k, n = joined(t.column("keys"), np.uint64), joined(t.column("counts"), np.int64)
+    low = _bins(n) < least
+    k, n = k[low], n[low]
+    at = np.minimum(np.searchsorted(k, h), max(len(k) - 1, 0))
+    hit = np.flatnonzero(k[at] == h) if len(k) else np.zeros(0, np.int64)
+    v, w = (h[hit] >> np.uint64(32)).astype(np.int64), (h[hit] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    none = np.zeros(len(hit))
+    return rows[hit], none, none, model.seen(v, w, level_of(n[at[hit]])) - model.base[w] - np.log10(model.rest[v])
 
 
 class _Tail:
     """A bucket's row of ``TAIL``."""
 
     def __init__(self, t: pa.Table, unit: float):
-        self.words, self.counts, self.rest = (joined(t.column(c), kind) for c, kind in (("words", np.uint64), ("counts", np.int64), ("rest", np.float64)))
+        self.words, self.counts, self.rest = (joined(t.column(c), kind) for c, kind in (("words", np.uint64), ("word_counts", np.int64), ("rest", np.float64)))
         self.p, self.q, self.unit = joined(t.column("p"), np.uint64), joined(t.column("q"), np.int64), unit
 
     def word(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -530,33 +555,43 @@ def _asked(t: pa.Table, other=np.int64) -> tuple[np.ndarray, ...]:
     return tuple(joined(t.column(c), kind) for c, kind in (("p", np.uint64), ("word", np.uint64), ("other", other), ("rows", np.int64)))
 
 
-def _answers(shared, unit: float):
-    """What tokens outside the head add to their texts' sums, and head words after them; of a token after a word outside
-    the head the base only."""
-    def run(key, asked, tail):
-        model, tail = shared.value, _Tail(tail, unit)
-        kind, out = asked.column("kind").to_numpy(), []
-        for k in (NEW_AFTER_HEAD, NEW_AFTER_NEW, HEAD_AFTER_NEW):
+TABLES = ["keys", "counts", "words", "word_counts", "rest", "p", "q"]
+ANSWERS = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, bucket int, p binary, word binary, other binary, rows binary"
+
+
+def _answers(shared, unit: float, least: int, buckets: int):
+    """Rows of documents as they are, what a bucket's counts add to the sums of their texts, and (packed, for another
+    bucket) tokens outside the head after a word outside the head, with their log10 P1; their base is added here."""
+    def run(key, asked, tables):
+        model, tail = shared.value, _Tail(tables, unit)
+        kind = asked.column("kind")
+        docs = asked.filter(kind.is_null()).select(_names(ANSWERS)[:7])
+        kind, out, onward = kind.fill_null(-1).to_numpy(), [], None
+        for k in range(4):
             p, word, other, rows = _asked(asked.filter(pa.array(kind == k)))
+            none = np.zeros(len(rows))
+            if k == RARE:
+                out.append(_rare(model, least, tables, p, rows))
+                continue
             c, rest = tail.word(word)
-            lw, none = tail.unigram(c), np.zeros(len(rows))
+            lw = tail.unigram(c)
             if k == NEW_AFTER_HEAD:
                 out.append((rows, c > 0, lw, tail.score(p, model.counts[other], model.rest[other], lw)))
             elif k == NEW_AFTER_NEW:
                 out.append((rows, c > 0, lw, none))
+                before = other.view(np.uint64)
+                onward = _by_bucket_rows(bucket_of(before, buckets), {"p": p, "word": before, "other": lw, "rows": rows})
             else:
                 out.append((rows, none, none, tail.score(p, c, rest, model.base[other])))
-        return _summed(*(np.concatenate(x) for x in zip(*out)))
+        parts = [docs, _summed(*(np.concatenate(x) for x in zip(*out))), pa.table(onward)]
+        return pa.concat_tables([_filled(t) for t in parts])
     return run
 
 
-def _onward(unit: float, buckets: int):
-    """Tokens outside the head after a word outside the head, with their log10 P1, for that word's bucket."""
-    def run(key, asked, tail):
-        p, word, before, rows = _asked(asked)
-        tail, before = _Tail(tail, unit), before.view(np.uint64)
-        return pa.table(_by_bucket_rows(bucket_of(before, buckets), {"p": p, "word": before, "other": tail.unigram(tail.word(word)[0]), "rows": rows}))
-    return run
+def _filled(t: pa.Table) -> pa.Table:
+    """``t`` with the columns of ``ANSWERS``; nulls where it has none."""
+    kinds = {"bigint": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.table({c: t.column(c).cast(kinds[k]) if c in t.column_names else pa.nulls(t.num_rows, kinds[k]) for c, k in (x.split() for x in ANSWERS.split(", "))})
 
 
 def _after_new(unit: float):
@@ -567,13 +602,21 @@ def _after_new(unit: float):
     return run
 
 
-def tail_scores(asked: DataFrame, shared, tail: DataFrame, unit: float, buckets: int) -> DataFrame:
-    """Rows of ``MORE``: sums over the tokens that are or follow words outside the head."""
-    asked = asked.select("kind", "bucket", "p", "word", "other", "rows")
-    tail = tail.where("bucket >= 0").select("bucket", "words", "counts", "rest", "p", "q").groupBy("bucket")
-    direct = asked.groupBy("bucket").cogroup(tail).applyInArrow(_answers(shared, unit), MORE)
-    both = asked.where(F.col("kind") == NEW_AFTER_NEW).groupBy("bucket").cogroup(tail).applyInArrow(_onward(unit, buckets), ONWARD)
-    return direct.union(both.groupBy("bucket").cogroup(tail).applyInArrow(_after_new(unit), MORE))
+def whole_scores(scored: DataFrame, shared, pairs: DataFrame | None, tail: DataFrame | None, least: int, buckets: int) -> DataFrame:
+    """The rows of documents with what is added by pairs that the filter does not hold (if ``pairs``), and by tokens that
+    are or follow words outside the head (if ``tail``)."""
+    unit, none = shared.value.unit, F.lit(None).cast("binary")
+    tables = [t.select("bucket", *[F.col(c) if c in t.columns else none.alias(c) for c in TABLES])
+              for t in (pairs, None if tail is None else tail.where("bucket >= 0").drop("v", "kinds", "mass")) if t is not None]
+    both = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
+    answers = written(scored.groupBy("bucket").cogroup(both.groupBy("bucket")).applyInArrow(_answers(shared, unit, least, buckets), ANSWERS), "answers")
+    sums = [F.sum(c).alias(c) for c in ("known", "base", "score")]
+    out = answers.where("bucket is null").select(*_names(ANSWERS)[:7])
+    if tail is not None:
+        asked = answers.where("bucket is not null").select("bucket", "p", "word", "other", "rows")
+        more = asked.groupBy("bucket").cogroup(tables[-1].groupBy("bucket")).applyInArrow(_after_new(unit), MORE)
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out.groupBy("row").agg(*[F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens")], *sums)
 
 
 def _names(schema: str) -> list[str]:
@@ -608,17 +651,8 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hea
     shared = Sent(spark, Model(head, filt, kinds, mass, n_docs, tokens, vocabulary, low, whole))
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out().alias("held_out"), "text")
-    scored = written(rows.mapInArrow(_scorer(shared, buckets), SCORED), "scored")
-    out = scored.where("kind is null").select("row", "doc_id", "held_out", "n_tokens", "known", "base", "score")
-    more = []
-    if low > 1:
-        asked = scored.where(F.col("kind") == RARE).select("bucket", "p", "rows")
-        more.append(asked.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(_rare(shared, least), MORE))
-    if not whole:
-        more.append(tail_scores(scored.where(F.col("kind") > RARE), shared, tail, shared.value.unit, buckets))
-    if more:
-        more = more[0] if len(more) == 1 else more[0].union(more[1])
-        more = more.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("known", "base", "score")])
-        out = out.join(more, "row", "left").withColumns({c: F.col(c) + F.coalesce(f"more_{c}", F.lit(0)) for c in ("known", "base", "score")})
+    out = rows.mapInArrow(_scorer(shared, buckets), SCORED)
+    if low > 1 or not whole:
+        out = whole_scores(out, shared, pairs if low > 1 else None, None if whole else tail, least, buckets)
     return out.select("doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(int(tokens)).cast("bigint").alias("train_tokens"),
                       F.col("base").alias("base_score"), "score")
