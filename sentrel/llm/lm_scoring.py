@@ -455,8 +455,9 @@ SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bi
 #: Kinds of packed rows that a text sends to buckets: pairs that the filter does not hold; tokens outside the head after a
 #: head word, after a word outside it (both to the token's bucket); head words after a word outside it (to that word's bucket).
 RARE, NEW_AFTER_HEAD, NEW_AFTER_NEW, HEAD_AFTER_NEW = range(4)
-MORE = "row bigint, known bigint, base double, score double"
-ONWARD = "bucket int, p binary, word binary, other binary, rows binary"
+#: What buckets send: sums of texts (known, base and score in ``p``, ``word`` and ``other``) to the texts' own buckets; tokens
+#: outside the head after a word outside the head, with their log10 P1 (``other``), to the bucket of that word.
+SUMS, ONWARD = 4, 5
 
 
 def _scorer(shared, buckets: int):
@@ -505,10 +506,11 @@ def _scorer(shared, buckets: int):
     return run
 
 
-def _summed(rows: np.ndarray, known: np.ndarray, base: np.ndarray, score: np.ndarray) -> pa.Table:
+def _summed(buckets: int, rows: np.ndarray, known: np.ndarray, base: np.ndarray, score: np.ndarray) -> dict:
+    """Columns of packed sums by row, dealt to the rows' own buckets."""
     u, which = np.unique(rows, return_inverse=True)
     add = lambda x: np.bincount(which, x, len(u))
-    return pa.table({"row": pa.array(u, pa.int64()), "known": pa.array(add(known).astype(np.int64)), "base": pa.array(add(base).astype(np.float64)), "score": pa.array(add(score).astype(np.float64))})
+    return _by_bucket_rows(u % buckets, {"rows": u, "p": add(known).astype(np.int64), "word": add(base).astype(np.float64), "other": add(score).astype(np.float64)}, {"kind": (SUMS, pa.int32())})
 
 
 def _rare(model: Model, least: int, t: pa.Table, h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -556,7 +558,6 @@ def _asked(t: pa.Table, other=np.int64) -> tuple[np.ndarray, ...]:
 
 
 TABLES = ["keys", "counts", "words", "word_counts", "rest", "p", "q"]
-ANSWERS = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, bucket int, p binary, word binary, other binary, rows binary"
 
 
 def _answers(shared, unit: float, least: int, buckets: int):
@@ -565,7 +566,7 @@ def _answers(shared, unit: float, least: int, buckets: int):
     def run(key, asked, tables):
         model, tail = shared.value, _Tail(tables, unit)
         kind = asked.column("kind")
-        docs = asked.filter(kind.is_null()).select(_names(ANSWERS)[:7])
+        docs = asked.filter(kind.is_null())
         kind, out, onward = kind.fill_null(-1).to_numpy(), [], None
         for k in range(4):
             p, word, other, rows = _asked(asked.filter(pa.array(kind == k)))
@@ -580,28 +581,42 @@ def _answers(shared, unit: float, least: int, buckets: int):
             elif k == NEW_AFTER_NEW:
                 out.append((rows, c > 0, lw, none))
                 before = other.view(np.uint64)
-                onward = _by_bucket_rows(bucket_of(before, buckets), {"p": p, "word": before, "other": lw, "rows": rows})
+                onward = _by_bucket_rows(bucket_of(before, buckets), {"p": p, "word": before, "other": lw, "rows": rows}, {"kind": (ONWARD, pa.int32())})
             else:
                 out.append((rows, none, none, tail.score(p, c, rest, model.base[other])))
-        parts = [docs, _summed(*(np.concatenate(x) for x in zip(*out))), pa.table(onward)]
+        parts = [docs, pa.table(_summed(buckets, *(np.concatenate(x) for x in zip(*out)))), pa.table(onward)]
         return pa.concat_tables([_filled(t) for t in parts])
     return run
 
 
 def _filled(t: pa.Table) -> pa.Table:
-    """``t`` with the columns of ``ANSWERS``; nulls where it has none."""
+    """``t`` with the columns of ``SCORED``; nulls where it has none."""
     kinds = {"bigint": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "int": pa.int32(), "binary": pa.binary()}
-    return pa.table({c: t.column(c).cast(kinds[k]) if c in t.column_names else pa.nulls(t.num_rows, kinds[k]) for c, k in (x.split() for x in ANSWERS.split(", "))})
+    return pa.table({c: t.column(c).cast(kinds[k]) if c in t.column_names else pa.nulls(t.num_rows, kinds[k]) for c, k in (x.split() for x in SCORED.split(", "))})
 
 
-def _after_new(unit: float):
+def _after_new(unit: float, buckets: int):
     def run(key, asked, tail):
         p, word, lw, rows = _asked(asked, np.float64)
         tail, none = _Tail(tail, unit), np.zeros(len(rows))
-        return _summed(rows, none, none, tail.score(p, *tail.word(word), lw))
+        return _filled(pa.table(_summed(buckets, rows, none, none, tail.score(p, *tail.word(word), lw))))
     return run
 
 
+def _total(key, t):
+    """The documents of a bucket with the sums that came for them."""
+    kind = t.column("kind")
+    docs, sums = t.filter(kind.is_null()), t.filter(kind.is_valid())
+    rows = docs.column("row").to_numpy()
+    order = np.argsort(rows)
+    at = order[np.searchsorted(rows, joined(sums.column("rows"), np.int64), sorter=order)]
+    out = {c: docs.column(c) for c in ("doc_id", "held_out", "n_tokens")}
+    for c, packed, dtype in (("known", "p", np.int64), ("base", "word", np.float64), ("score", "other", np.float64)):
+        more = np.bincount(at, joined(sums.column(packed), dtype), len(rows)) if len(rows) else np.zeros(0)
+        out[c] = pa.array(docs.column(c).to_numpy() + more.astype(dtype))
+    return pa.table(out)
+
+
 def whole_scores(scored: DataFrame, shared, pairs: DataFrame | None, tail: DataFrame | None, least: int, buckets: int) -> DataFrame:
     """The rows of documents with what is added by pairs that the filter does not hold (if ``pairs``), and by tokens that
     are or follow words outside the head (if ``tail``)."""
@@ -609,14 +624,12 @@ def whole_scores(scored: DataFrame, shared, pairs: DataFrame | None, tail: DataF
     tables = [t.select("bucket", *[F.col(c) if c in t.columns else none.alias(c) for c in TABLES])
               for t in (pairs, None if tail is None else tail.where("bucket >= 0").drop("v", "kinds", "mass")) if t is not None]
     both = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
-    answers = written(scored.groupBy("bucket").cogroup(both.groupBy("bucket")).applyInArrow(_answers(shared, unit, least, buckets), ANSWERS), "answers")
-    sums = [F.sum(c).alias(c) for c in ("known", "base", "score")]
-    out = answers.where("bucket is null").select(*_names(ANSWERS)[:7])
+    answers = written(scored.groupBy("bucket").cogroup(both.groupBy("bucket")).applyInArrow(_answers(shared, unit, least, buckets), SCORED), "answers")
+    out = answers.where(F.col("kind").isNull() | (F.col("kind") == SUMS))
     if tail is not None:
-        asked = answers.where("bucket is not null").select("bucket", "p", "word", "other", "rows")
-        more = asked.groupBy("bucket").cogroup(tables[-1].groupBy("bucket")).applyInArrow(_after_new(unit), MORE)
-        out = out.unionByName(more, allowMissingColumns=True)
-    return out.groupBy("row").agg(*[F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens")], *sums)
+        asked = answers.where(F.col("kind") == ONWARD).select("bucket", "p", "word", "other", "rows")
+        out = out.union(asked.groupBy("bucket").cogroup(tables[-1].groupBy("bucket")).applyInArrow(_after_new(unit, buckets), SCORED))
+    return out.groupBy("bucket").applyInArrow(_total, "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double")
 
 
 def _names(schema: str) -> list[str]:
