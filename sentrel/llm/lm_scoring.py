@@ -46,6 +46,8 @@ PROBES = 6
 LEVELS = np.unique(np.round(2.0 ** (np.arange(0, 96) / 2)).astype(np.int64))[:80]
 COUNTS = "bucket int, keys binary, counts binary"
 FLUSH = 3_000_000
+#: Text bytes that a task turns into arrays at once, beside the model.
+SLICE = 500_000
 #: Tokens that a scoring task holds for the buckets before it sends them (32 bytes each, copied a few times).
 ASKED = 250_000
 
@@ -87,7 +89,7 @@ def _counter(keys_of, buckets: int, by=None):
     def run(batches):
         pending, held = [], 0
         for b in batches:
-            for _, _, words in slices(b.column("text"), lower=True):
+            for _, _, words in slices(b.column("text"), lower=True, size=SLICE):
                 pending.append(keys_of(words))
                 held += len(pending[-1])
                 if held >= FLUSH:
@@ -243,7 +245,7 @@ def _tail_counter(seen, buckets: int):
             return pa.RecordBatch.from_pydict(columns)
 
         for b in batches:
-            for _, _, words in slices(b.column("text"), lower=True):
+            for _, _, words in slices(b.column("text"), lower=True, size=SLICE):
                 before, ids, at = token_ids(words, seen.value)
                 where, p, v, w = tail_tokens(words, before, ids, at)
                 head = before[where]
@@ -415,20 +417,25 @@ class Model:
     """What is broadcast: head words, filter, left-over mass of each context, totals."""
 
     def __init__(self, head: Head, filt: Filter, kinds: np.ndarray, mass: np.ndarray, docs: int, tokens: int, vocabulary: int, low: int = 1, whole: bool = False):
-        self.head, self.filter = head, filt
+        self.filter = filt
         self.low, self.whole = low, whole  # the lowest level in the filter; whether the head holds all words
         self.counts = np.append(head.counts, docs).astype(np.float64)  # the last: start and end
         self.unit = math.log10(tokens + 0.5 * (vocabulary + 1))
-        self.base = np.log10(self.counts + 0.5) - self.unit
         with np.errstate(divide="ignore", invalid="ignore"):
             rest = np.where(self.counts > 0, (self.counts - mass + DISCOUNT * kinds) / self.counts, 1.0)
         self.rest = np.clip(rest, 1e-12, 1.0)
+        self.head = Head.__new__(Head)  # the words; their counts are above
+        vars(self.head).update({k: x for k, x in vars(head).items() if k != "counts"})
+
+    def base(self, w: np.ndarray) -> np.ndarray:
+        """log10 P1 of head words by their numbers."""
+        return np.log10(self.counts[w] + 0.5) - self.unit
 
     def seen(self, v: np.ndarray, w: np.ndarray, level: np.ndarray) -> np.ndarray:
         """log10 P of pairs of head words by the level of their count (1 at least)."""
         c = self.counts[v]
         n = np.minimum(LEVELS[level - 1], np.minimum(c, self.counts[w]))  # no pair is more frequent than its words
-        return np.log10(np.maximum(n - DISCOUNT, 0) / np.maximum(c, 1) + self.rest[v] * 10.0 ** self.base[w])
+        return np.log10(np.maximum(n - DISCOUNT, 0) / np.maximum(c, 1) + self.rest[v] * 10.0 ** self.base(w))
 
     def score(self, before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 P1 and log10 P per token, as ``score_and_rest``."""
@@ -437,7 +444,7 @@ class Model:
     def score_and_rest(self, before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """log10 P1 and log10 P per token, without P1 of tokens outside the head and P after or of them (0), unless the
         head holds all words; and the pairs that the filter does not hold (keys and places; P is the back-off there)."""
-        base = np.where(ids >= 0, self.base[ids], math.log10(0.5) - self.unit if self.whole else 0.0)
+        base = np.where(ids >= 0, self.base(ids), math.log10(0.5) - self.unit if self.whole else 0.0)
         rest = np.where(before >= 0, self.rest[before], 1.0)
         out = base + np.log10(rest)
         if not self.whole:
@@ -480,7 +487,7 @@ def _scorer(shared, buckets: int):
 
         for b in batches:
             row_ids = b.column("row").to_numpy()
-            for lo, hi, words in slices(b.column("text"), lower=True):
+            for lo, hi, words in slices(b.column("text"), lower=True, size=SLICE):
                 before, ids, at = token_ids(words, model.head)
                 base, score, keys, places = model.score_and_rest(before, ids)
                 add = lambda x: np.add.reduceat(x, at[:-1])  # noqa: E731,B023
@@ -522,7 +529,7 @@ def _rare(model: Model, least: int, t: pa.Table, h: np.ndarray, rows: np.ndarray
     hit = np.flatnonzero(k[at] == h) if len(k) else np.zeros(0, np.int64)
     v, w = (h[hit] >> np.uint64(32)).astype(np.int64), (h[hit] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     none = np.zeros(len(hit))
-    return rows[hit], none, none, model.seen(v, w, level_of(n[at[hit]])) - model.base[w] - np.log10(model.rest[v])
+    return rows[hit], none, none, model.seen(v, w, level_of(n[at[hit]])) - model.base(w) - np.log10(model.rest[v])
 
 
 class _Tail:
@@ -583,7 +590,7 @@ def _answers(shared, unit: float, least: int, buckets: int):
                 before = other.view(np.uint64)
                 onward = _by_bucket_rows(bucket_of(before, buckets), {"p": p, "word": before, "other": lw, "rows": rows}, {"kind": (ONWARD, pa.int32())})
             else:
-                out.append((rows, none, none, tail.score(p, c, rest, model.base[other])))
+                out.append((rows, none, none, tail.score(p, c, rest, model.base(other))))
         parts = [docs, pa.table(_summed(buckets, *(np.concatenate(x) for x in zip(*out)))), pa.table(onward)]
         return pa.concat_tables([_filled(t) for t in parts])
     return run

@@ -197,13 +197,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def slices(column: pa.Array, lower: bool, separators: np.ndarray = _IS_SPACE) -> Iterator[tuple[int, int, Words]]:
-    """The column's documents, some ``SLICE_BYTES`` at a time (a longer document alone). ``separators`` marks
+def slices(column: pa.Array, lower: bool, separators: np.ndarray = _IS_SPACE, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, Words]]:
+    """The column's documents, some ``size`` bytes at a time (a longer document alone). ``separators`` marks
     the bytes that are outside words."""
     data, offsets = text_buffer(column)
     lo, n, powers = 0, len(offsets) - 1, Powers()
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE_BYTES, side="right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1)
         hi = min(hi, n)
         yield lo, hi, Words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lower, powers, separators)
         lo = hi
