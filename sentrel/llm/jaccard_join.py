@@ -29,6 +29,7 @@ after all others. Rows that repeat an id are different documents. Only the two n
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,11 @@ from pyspark.sql import functions as F
 from sentrel.llm.shared import Words, by_bucket, chain, components, joined, slices, small, spread, text_of, without, written
 
 SHINGLE = 5
-GROUPS = 128
-CELL_BITS = 22
+GROUPS = 512
+CELL_BITS = 24
 CELLS = 1 << CELL_BITS
-SLICES = 16
+SLICES = 256
+SLICE = 1_000_000
 LEAF = 32
 CHUNK = 1_500
 FLUSH = 1_000_000
@@ -87,28 +89,32 @@ def _cell(h: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches):
-    cells = np.zeros(CELLS, np.uint32)
+    cells = np.zeros(CELLS, np.uint16)
     for b in batches:
-        for _, _, words in slices(b.column("text"), lower=True):
+        for _, _, words in slices(b.column("text"), lower=True, size=SLICE):
             cell, n = np.unique(_cell(shingle_sets(words)[0]), return_counts=True)
-            cells[cell] += n.astype(np.uint32)
-    parts = np.minimum(cells, 65535).astype(np.uint16).reshape(SLICES, -1)  # a task's count of a cell; beyond that it is common anyway
-    yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["slice", "cells"])
+            cells[cell] = np.minimum(cells[cell] + n, 65535)
+    parts = np.minimum(cells, 255).astype(np.uint8).reshape(SLICES, -1)  # a task's count of a cell; beyond that it is common anyway
+    full = np.flatnonzero(parts.any(1))
+    yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([parts[p].tobytes() for p in full], pa.binary())], names=["slice", "cells"])
 
 
-def _add_sketch(key, t):
-    total = sum(np.frombuffer(x, np.uint16).astype(np.int64) for x in t.column("cells").to_pylist())
-    return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([total.tobytes()], pa.binary())})
+def _add_sketch(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total, number = np.zeros(CELLS // SLICES, np.int64), key[0].as_py()
+    for b in batches:
+        for x in b.column("cells"):
+            total += np.frombuffer(x.as_buffer(), np.uint8)
+    level = np.floor(np.log2(np.maximum(total, 1))).astype(np.uint8)
+    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([level.tobytes()], pa.binary())], names=["slice", "levels"])
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Level (binary logarithm) of the number of documents per cell of the shingle hash; 4 MB at any size of the table."""
-    rows = docs.select("text").mapInArrow(_sketch, "slice int, cells binary").groupBy("slice").applyInArrow(_add_sketch, "slice int, cells binary").collect()
-    cells = np.zeros(CELLS, np.int64)
+    """Level (binary logarithm) of the number of documents per cell of the shingle hash; 16 MB at any size of the table."""
+    rows = docs.select("text").mapInArrow(_sketch, "slice int, cells binary").groupBy("slice").applyInArrow(_add_sketch, "slice int, levels binary").collect()
+    levels = np.zeros((SLICES, CELLS // SLICES), np.uint8)
     for r in rows:
-        part = np.frombuffer(bytes(r["cells"]), np.int64)
-        cells[r["slice"] * len(part):(r["slice"] + 1) * len(part)] = part
-    return np.floor(np.log2(np.maximum(cells, 1))).astype(np.uint8)
+        levels[r["slice"]] = np.frombuffer(r["levels"], np.uint8)
+    return levels.ravel()
 
 
 POINTS = "doc_id bigint, raw bigint, n bigint, sig binary, point binary, keys binary"
@@ -118,7 +124,7 @@ def _points(shared):
     def run(batches):
         levels = shared.value
         for b in batches:
-            for lo, hi, words in slices(b.column("text"), lower=True):
+            for lo, hi, words in slices(b.column("text"), lower=True, size=SLICE):
                 h, at = shingle_sets(words)
                 owner = np.repeat(np.arange(hi - lo), np.diff(at))
                 group = (h >> np.uint64(20) & np.uint64(GROUPS - 1)).astype(np.int64)
@@ -251,7 +257,7 @@ def _search_blocks(key, t):
 
 def _sets(batches):
     for b in batches:
-        for lo, hi, words in slices(b.column("text"), lower=True):
+        for lo, hi, words in slices(b.column("text"), lower=True, size=SLICE):
             h, at = shingle_sets(words)
             yield pa.RecordBatch.from_arrays([b.column("cls").slice(lo, hi - lo), pa.array([h[at[i]:at[i + 1]].tobytes() for i in range(hi - lo)], pa.binary())], names=["cls", "hashes"])
 
@@ -312,7 +318,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ids = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
         where = small(written(places.join(ids, "cls"), "places"), max_broadcast)
         text = docs.join(where, docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["raw"] == F.col("_raw"))).select("cls", "text")
-        sets = written(text.mapInArrow(_sets, "cls bigint, hashes binary").dropDuplicates(["cls"]), "sets")  # of the candidates only
+        sets = written(text.mapInArrow(_sets, "cls bigint, hashes binary"), "sets")  # of the candidates only
+        if not sets.groupBy("cls").count().where("count > 1").isEmpty():  # rows that repeat id and text
+            sets = written(sets.dropDuplicates(["cls"]), "sets")
         both = pairs.join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("set_b")), "b")
         both = both.join(sets.select(F.col("cls").alias("a"), F.col("hashes").alias("set_a")), "a")
         return written(both.mapInArrow(_verify, PAIR), name)
