@@ -53,6 +53,9 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 #: Distinct words whose ids a worker keeps; beyond that it starts anew.
 KEPT_WORDS = 800_000
 
+#: Bytes of text that a task encodes at once.
+SLICE = 1_000_000
+
 
 class _Encoder:
     """Ids of words, kept by the words' hashes. A Python worker serves many
@@ -119,9 +122,9 @@ def tokenized(df: DataFrame, id_col: str, text_col: str, length: int, tokenizer:
     def run(batches):
         encoder = _Encoder(tokenizer)
         for b in batches:
-            for lo, hi, words in slices(b.column("text"), lower=True):
+            for lo, hi, words in slices(b.column("text"), lower=True, size=SLICE):
                 if b"<|" in words.data.tobytes():  # a special token is told by its case
-                    words = next(slices(b.column("text").slice(lo, hi - lo), lower=False))[2]
+                    words = next(slices(b.column("text").slice(lo, hi - lo), lower=False, size=SLICE))[2]
                 ids, begins = encoder.encode(words)
                 data, full_crcs, tail_crcs = memoryview(ids).cast("B"), [], []
                 for i, j in zip((4 * begins).tolist(), (4 * begins[1:]).tolist()):
