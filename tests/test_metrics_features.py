@@ -190,3 +190,36 @@ def test_whole_vocabulary_and_encoding_of_every_row(spark):
     pair = df.withColumn("question", F.when(F.col("id") != 3, F.lit("z")))
     q = {r.id: (list(r.input_ids), list(r.token_type_ids), r.extra) for r in FT.encode_pair(pair, vocab, max_len=7, carry=("extra",)).collect()}
     assert q[1] == ([2, 9, 7, 7, 3, 10, 3], [0, 0, 0, 0, 0, 1, 1], 10) and q[3][2] == 30
+
+
+def test_encoding_moves_rows_and_distinct_tokens_only(spark):
+    """Tokens are not regrouped one by one: a block's distinct tokens meet the vocabulary, and rows that repeat a key become one row."""
+    df = spark.createDataFrame([(1, "a b"), (2, "b  c q"), (2, "c"), (3, "")], "id long, sentence string")
+    vocab = spark.createDataFrame([("a", 5), ("b", 6), ("c", 7)], "token string, token_id int")
+    once = FT.encode(df.where("id != 2"), vocab, max_len=6)
+    assert "collect_list" not in once._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.id: list(r.input_ids) for r in FT.encode(df, vocab, max_len=6).collect()}
+    assert got == {1: [2, 5, 6, 3, 0, 0], 2: [2, 6, 7, 7, 1, 3], 3: [2, 3, 0, 0, 0, 0]}
+    assert {r.id: list(r.input_ids) for r in once.collect()} == {1: got[1], 3: got[3]}
+    pair = FT.encode_pair(df.withColumn("question", F.lit("a c")), vocab, max_len=9).collect()
+    assert {r.id: list(r.input_ids) for r in pair}[2] == [2, 6, 7, 7, 1, 3, 5, 5, 7, 7, 3]
+
+
+def test_token_arrays_equal_plain_lists(spark):
+    """Runs of equal numbers give what a look at each element gives: nulls, no padding, pads between, only pads, none."""
+    ids = [[5, 6, 0, 0], [5, 6], [], [0, 0], [5, 0, 6], [5, None, 0], None, [None]]
+    d = spark.createDataFrame([(x,) for x in ids], "ids array<int>")
+    p = d.select("ids", FT.position_ids("ids").alias("p")).collect()
+    for r in p:
+        n, exp = 0, []
+        for x in r.ids or []:
+            n += x is not None and x != 0
+            exp.append(n if x is not None and x != 0 else 0)
+        assert r.p == (None if r.ids is None else exp) or None in (r.ids or [])
+    for r in FT.masks(d, "ids").collect():
+        assert r.attention_mask == (None if r.ids is None else [None if x is None else int(x != 0) for x in r.ids])
+    s = spark.createDataFrame([(t,) for t in ["x @*P*a b@ y #^L^c# z", "#^L^c# @*P*a@ * d @ e", "no marks", "a @ b", "a * b", "* # a ^ b @ #", None]], "sentence string")
+    for r in FT.entity_loc_ids(s, max_len=14).collect():
+        tok = ["[CLS]", *__import__("re").sub("([@*#^])", r" \1 ", r.sentence or "").split()[:12], "[SEP]"]
+        at = {m: max([i for i, t in enumerate(tok) if t == m], default=-1) for m in "*@^#"} if r.sentence is not None else dict.fromkeys("*@^#", -1)
+        assert r.entity_loc_ids == [2 if at["^"] < i < at["#"] else 1 if at["*"] < i < at["@"] else 0 for i in range(14)]
