@@ -18,8 +18,10 @@ Only checksums travel, never ids: a tail carries the CRC-32 of its prefixes at
 each multiple of ``GRAIN``, from which the CRC-32 of any piece follows (CRC is linear).
 
 White space never joins two tokens of this tokenizer (its pattern has no
-alternative that matches white space, and it drops it; it lower-cases), so each distinct
-word (told by its 64-bit hash within a task) is encoded once and reused; a test compares that with whole texts.
+alternative that matches white space, and it drops it; it lower-cases). Words of ASCII and Latin-1 letters, digits and signs are cut into the
+pattern's matches by numpy; these, and other words as they are, are the units of encoding. A distinct unit (told by its 64-bit hash) is encoded once by a
+worker and reused, by the merges of operator 13, all new ones of some texts at once; what
+holds a special token goes to the library. Tests compare that with the library on whole texts.
 
 Defined results: a null or empty text has the end id only. Repeated rows are
 packed as often as they occur. A null id stays null. An empty table, shard or round has no
@@ -39,7 +41,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrel.llm.shared import Words, mix, slices, written
+from sentrel.llm.shared import Powers, Words, mix, text_buffer, written
+from sentrel.llm.token_counts import TokenCounter
 
 GRAIN = 32
 END = 2
@@ -50,56 +53,179 @@ SECOND = 1 << 29
 TOKENS = "doc_id bigint, doc_tokens bigint, full_crcs binary, tail_crcs binary, terms binary, counts binary, near bigint"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
-#: Distinct words whose ids a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 800_000
-
-#: Bytes of text that a task encodes at once.
-SLICE = 1_000_000
+#: Distinct units whose ids a worker keeps, and how many ids; beyond that it starts anew.
+KEPT_UNITS, KEPT_IDS = 800_000, 16_000_000
+
+#: Bytes of text that a task turns into arrays at once (they stay in the processor's cache), and that it encodes at once.
+SLICE, TOGETHER = 64_000, 1_000_000
+
+
+class _Table:
+    """Ids of units (words or pre-tokens) by the units' hashes, looked up for whole arrays by open addressing."""
+
+    def __init__(self, units: int = KEPT_UNITS):
+        slots = 1 << math.ceil(math.log2(2.5 * units))
+        self.keys, self.at, self.n = np.zeros(slots, np.uint64), np.zeros(slots, np.int64), np.zeros(slots, np.int32)
+        self.ids, self.used, self.units, self.room, self.mask = np.zeros(1 << 16, np.uint32), 0, 0, units, slots - 1
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The slot of each hash (0 is no hash here), or -1."""
+        slot = (h & np.uint64(self.mask)).astype(np.int64)
+        key = self.keys[slot]
+        out = np.where(key == h, slot, -1)
+        live = np.flatnonzero((key != h) & (key != 0))
+        slot = slot[live]
+        while len(live):
+            slot = slot + 1 & self.mask
+            key = self.keys[slot]
+            hit = key == h[live]
+            out[live[hit]] = slot[hit]
+            on = ~hit & (key != 0)
+            live, slot = live[on], slot[on]
+        return out
+
+    def add(self, h: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """Distinct units that are not in the table, with all their ids one after another."""
+        at = self.used + np.cumsum(n) - n
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used, self.units = self.used + len(ids), self.units + len(h)
+        live, slot = np.arange(len(h)), (h & np.uint64(self.mask)).astype(np.int64)
+        while len(live):
+            free = np.flatnonzero(self.keys[slot] == 0)
+            place, first = np.unique(slot[free], return_index=True)  # one unit to a free slot
+            who = live[free[first]]
+            self.keys[place], self.at[place], self.n[place] = h[who], at[who], n[who]
+            on = self.keys[slot] != h[live]
+            live, slot = live[on], slot[on] + 1 & self.mask
+
+
+#: The pre-tokens of the public vocabulary file; :meth:`_Encoder.units` cuts plain words as this pattern does.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Kinds of bytes in plain words: letters (those of U+00C0 to U+00FF have two bytes), digits, others; 0: between words.
+_LETTER, _DIGIT, _OTHER = 1, 2, 3
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[32, *range(9, 14)]] = 0
+_KIND[48:58] = _DIGIT
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = _LETTER
+#: Bytes that no plain word has: controls, the apostrophe (it begins some pre-tokens) and bytes of other characters.
+_STRANGE = np.ones(256, bool)
+_STRANGE[[32, *range(9, 14), *range(33, 39), *range(40, 127), *range(128, 192), 0xC3]] = False
 
 
 class _Encoder:
-    """Ids of words, kept by the words' hashes. A Python worker serves many
-    tasks; tokenizer and ids stay with it, in a module of their own."""
+    """Ids of texts from those of their words or, in plain words, their pre-tokens ("units"), kept by the units'
+    hashes. A Python worker serves many tasks; vocabulary and ids stay with it, in a module of their own."""
 
     def __init__(self, path: str | None):
-        import os
         import sys
         from types import ModuleType
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path("word_bpe_49k.json")
         kept = sys.modules.setdefault("sentrel_worker_state", ModuleType("sentrel_worker_state")).__dict__
         if path not in kept:
-            kept[path] = Tokenizer.from_file(path), {}
-        self.tokenizer, self.known = kept[path]
-
-    def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of a slice, each document's followed by ``END``, and where each document begins."""
-        h, at, which = np.unique(words.h, return_index=True, return_inverse=True)
-        hashes, known = h.tolist(), self.known
-        new = [i for i, x in enumerate(hashes) if x not in known]
-        if new and len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = range(len(hashes))
-        if new:
-            data, begin, end = words.data.tobytes(), words.begin[at].tolist(), words.end[at].tolist()
-            found = self.tokenizer.encode_batch_fast([data[begin[i]:end[i]].decode("utf-8", "replace") for i in new], add_special_tokens=False)
-            known.update((hashes[i], array("I", e.ids).tobytes()) for i, e in zip(new, found, strict=True))
-        own = [known[x] for x in hashes]
-        ids = np.frombuffer(b"".join(own), np.uint32)
-        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        start = np.cumsum(size) - size
-        n = size[which]
+            try:
+                counter = TokenCounter(path)
+            except (KeyError, TypeError, ValueError):  # another kind of vocabulary: the library encodes its words
+                counter = None
+            kept[path] = {"counter": counter, "table": _Table()}
+        self.path, self.kept = path, kept[path]
+        self.counter = self.kept["counter"]
+        self.plain = self.counter is not None and self.counter.pattern.pattern == PATTERN and self.counter.lower
+
+    def units(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begins and ends of a slice's units, and which of them are single pre-tokens."""
+        data, n = words.data, len(words.data)
+        if not self.plain or not len(words.h) or b"<|" in data.tobytes():
+            return words.begin, words.end, np.zeros(len(words.h), bool)
+        kind, strange = _KIND[data], _STRANGE[data]
+        start = np.empty(n, bool)
+        start[0], start[1:] = True, (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        start &= kind > 0
+        start[words.begin] = True
+        if (data > 127).any():
+            second, lead = data >> 6 == 2, data == 0xC3
+            follows = np.zeros(n, bool)
+            follows[1:] = second[1:] & lead[:-1]
+            follows[words.begin] = False
+            strange |= second & ~follows | lead & ~np.append(follows[1:], False) | follows & ((data == 0x97) | (data == 0xB7))  # the last: two signs
+        whole = np.zeros(len(words.h), bool)
+        whole[np.searchsorted(words.begin, np.flatnonzero(strange), side="right") - 1] = True
+        begin = np.flatnonzero(start)
+        first = (np.cumsum(start) - 1)[words.begin]
+        many = np.diff(np.append(first, len(begin)))
+        single = ~np.repeat(whole, many)
+        keep = single.copy()
+        keep[first] = True
+        begin, single, end = begin[keep], single[keep], np.repeat(words.end, np.where(whole, 1, many))
+        end[:-1] = np.minimum(end[:-1], begin[1:])
+        return begin, end, single
+
+    def _encoded(self, units: list[str], single: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of units, and how many each has."""
+        counter, parts, n, special = self.counter, [], [], {}
+        for i, (unit, one) in enumerate(zip(units, single, strict=True)):
+            if one:
+                own = [unit.lower()]
+            elif counter is None or counter.added is not None and counter.added.search(unit):
+                own, special[i] = [], np.array(self._library().encode(unit, add_special_tokens=False).ids, np.uint32)
+            else:
+                own = counter._split(unit)
+            parts += own
+            n.append(len(own))
+        ids, size = counter.merges.symbols([p.encode() for p in parts]) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)]).astype(np.int64)]
+        ids, size = ids.astype(np.uint32), np.diff(upto)
+        if special:
+            ids = np.concatenate([special[i] if i in special else ids[upto[i]:upto[i + 1]] for i in range(len(units))])
+            size[list(special)] = [len(x) for x in special.values()]
+        return ids, size
+
+    def _library(self):
+        if "library" not in self.kept:
+            import os
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+            self.kept["library"] = Tokenizer.from_file(self.path)
+        return self.kept["library"]
+
+    def encode(self, some: list[Words]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each slice all ids, each document's followed by ``END``, and where each document begins."""
+        cut = [self.units(w) for w in some]
+        hashes = [np.maximum(w.hash(begin, end), 1) if len(begin) else np.zeros(0, np.uint64) for w, (begin, end, _) in zip(some, cut, strict=True)]
+        table = self.kept["table"]
+        found = [table.find(h) for h in hashes]
+        if any((f < 0).any() for f in found):
+            new = self._unknown(some, cut, hashes, [f < 0 for f in found])
+            if table.units + len(new[0]) > table.room or table.used > KEPT_IDS:
+                new = self._unknown(some, cut, hashes, [np.ones(len(h), bool) for h in hashes])
+                table = self.kept["table"] = _Table(max(KEPT_UNITS, len(new[0])))
+            table.add(new[0], *self._encoded(*new[1:]))
+            found = [table.find(h) for h in hashes]
+        return [self._texts(w, begin, f, table) for w, (begin, _, _), f in zip(some, cut, found, strict=True)]
+
+    def _unknown(self, some: list[Words], cut: list, hashes: list, which: list) -> tuple[np.ndarray, list[str], list[bool]]:
+        """The distinct units among ``which``: hashes, texts, and whether they are single pre-tokens."""
+        h, slice_of = np.concatenate([x[k] for x, k in zip(hashes, which, strict=True)]), np.repeat(np.arange(len(some)), [int(k.sum()) for k in which])
+        begin, end, single = (np.concatenate([c[j][k] for c, k in zip(cut, which, strict=True)]) for j in range(3))
+        h, first = np.unique(h, return_index=True)
+        data = [w.data.tobytes() for w in some]
+        texts = [data[s][i:j].decode("utf-8", "replace") for s, i, j in zip(slice_of[first].tolist(), begin[first].tolist(), end[first].tolist())]
+        return h, texts, single[first].tolist()
+
+    @staticmethod
+    def _texts(words: Words, begin: np.ndarray, found: np.ndarray, table: _Table) -> tuple[np.ndarray, np.ndarray]:
+        n = table.n[found].astype(np.int64)
         upto = np.concatenate([[0], np.cumsum(n)])
-        place = np.repeat(start[which] - upto[:-1], n) + np.arange(upto[-1])
+        place = np.repeat(table.at[found] - upto[:-1], n) + np.arange(upto[-1])
         docs = len(words.first) - 1
-        begins = upto[words.first] + np.arange(docs + 1)
+        begins = upto[np.searchsorted(begin, words.offsets)] + np.arange(docs + 1)
         out = np.full(begins[-1], END, "<u4")
         inner = np.ones(len(out), bool)
         inner[begins[1:] - 1] = False
-        out[inner] = ids[place]
+        out[inner] = table.ids[place]
         return out, begins
 
 
@@ -116,28 +242,52 @@ def _terms(words: Words) -> tuple[list[bytes], list[bytes], np.ndarray]:
     return [term[i:j].tobytes() for i, j in zip(cut, cut[1:])], [count[i:j].tobytes() for i, j in zip(cut, cut[1:])], near
 
 
+def _together(column: pa.Array):
+    """The documents of a column, some ``TOGETHER`` bytes at a time: first and last, and slices of them, each
+    as lower-case words and as those that are encoded (a special token is told by its case)."""
+    some, begin, size, powers = [], 0, 0, Powers()
+    data, offsets = text_buffer(column)
+    lo, n = 0, len(offsets) - 1
+    while lo < n:
+        hi = min(n, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE, side="right")) - 1))
+        part, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
+        words = Words(part, at, True, powers, parts=True)
+        some.append((words, Words(part, at, False, powers, parts=True) if b"<|" in part.tobytes() else words))
+        size += len(part)
+        lo = hi
+        if size >= TOGETHER or lo == n:
+            yield begin, lo, some
+            some, begin, size = [], lo, 0
+
+
+def _checksums(ids: np.ndarray, begins: np.ndarray, length: int) -> tuple[list[int], list[bytes], list[bytes]]:
+    """Each document's number of ids, checksums of its full windows and of its tail's prefixes."""
+    data, full_crcs, tail_crcs = memoryview(ids).cast("B"), [], []
+    for i, j in zip((4 * begins).tolist(), (4 * begins[1:]).tolist()):
+        full = (j - i) // (4 * length) * 4 * length
+        full_crcs.append(array("I", [zlib.crc32(data[k:k + 4 * length]) for k in range(i, i + full, 4 * length)]).tobytes())
+        tail, at = [], 0
+        for k in range(i + full, j, 4 * GRAIN):
+            at = zlib.crc32(data[k:min(k + 4 * GRAIN, j)], at)
+            tail.append(at)
+        tail_crcs.append(array("I", tail).tobytes())
+    return np.diff(begins).tolist(), full_crcs, tail_crcs
+
+
 def tokenized(df: DataFrame, id_col: str, text_col: str, length: int, tokenizer: str | None) -> DataFrame:
     """One row per document: its number of ids, checksums of its full windows and
     of its tail's prefixes, its words' hashes and counts, and the sort key."""
     def run(batches):
         encoder = _Encoder(tokenizer)
         for b in batches:
-            for lo, hi, words in slices(b.column("text"), lower=True, size=SLICE):
-                if b"<|" in words.data.tobytes():  # a special token is told by its case
-                    words = next(slices(b.column("text").slice(lo, hi - lo), lower=False, size=SLICE))[2]
-                ids, begins = encoder.encode(words)
-                data, full_crcs, tail_crcs = memoryview(ids).cast("B"), [], []
-                for i, j in zip((4 * begins).tolist(), (4 * begins[1:]).tolist()):
-                    full = (j - i) // (4 * length) * 4 * length
-                    full_crcs.append(array("I", [zlib.crc32(data[k:k + 4 * length]) for k in range(i, i + full, 4 * length)]).tobytes())
-                    tail, at = [], 0
-                    for k in range(i + full, j, 4 * GRAIN):
-                        at = zlib.crc32(data[k:min(k + 4 * GRAIN, j)], at)
-                        tail.append(at)
-                    tail_crcs.append(array("I", tail).tobytes())
-                terms, counts, near = _terms(words)
+            ids = b.column("doc_id")
+            for lo, hi, some in _together(b.column("text")):
+                columns = [_checksums(*e, length) for e in encoder.encode([own for _, own in some])]
+                terms = [_terms(words) for words, _ in some]
+                n, full_crcs, tail_crcs = (sum((c[j] for c in columns), []) for j in range(3))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(begins)), *[pa.array(c, pa.binary()) for c in (full_crcs, tail_crcs, terms, counts)], pa.array(near)],
+                    [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), *[pa.array(c, pa.binary()) for c in (full_crcs, tail_crcs, sum((t[0] for t in terms), []), sum((t[1] for t in terms), []))],
+                     pa.array(np.concatenate([t[2] for t in terms]))],
                     names=["doc_id", "doc_tokens", "full_crcs", "tail_crcs", "terms", "counts", "near"])
 
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, TOKENS)
@@ -158,21 +308,53 @@ class Index:
         doc = np.repeat(np.arange(self.n), sizes)
         term = np.concatenate(terms) if self.n else np.zeros(0, np.uint32)
         tf = np.concatenate(counts).astype(np.float32) if self.n else np.zeros(0, np.float32)
-        order = np.argsort(term, kind="stable")
-        self.term, begin = np.unique(term[order], return_index=True)
-        self.begin = np.append(begin, len(term))
+        order = (np.sort(term.astype(np.uint64) << np.uint64(32) | np.arange(len(term), dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first = np.append(True, np.diff(term[order]) != 0)[:len(term)]
+        begin = np.flatnonzero(first)
+        self.term, self.begin = term[order[begin]], np.append(begin, len(term))
         df = np.diff(self.begin)
         idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
         words = np.bincount(doc, tf, self.n)
         norm = (k1 * (1 - b + b * words / max(words.mean(), 1e-9) if self.n else words)).astype(np.float32)
         self.doc = doc[order]
         self.weight = np.repeat(idf, df) * (tf[order] * np.float32(k1 + 1) / (tf[order] + norm[self.doc]))
+        self.number = np.empty(len(term), np.int64)  # of each tail's terms, one tail after another
+        self.number[order] = np.cumsum(first) - 1
+        self.at, self.live = np.concatenate([[0], np.cumsum(sizes)]), self.n
+        common = np.flatnonzero(df > self.n / 4)  # their weights as rows over all tails, not as postings
+        self.row = np.full(len(df), -1, np.int64)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), self.n))
+        for k, i, j in zip(range(len(common)), self.begin[common], self.begin[common + 1]):
+            self.rows[k, self.doc[i:j]] = self.weight[i:j]
+        self._keep(np.repeat(self.row < 0, df))
+
+    def _keep(self, stay: np.ndarray) -> None:
+        self.begin = np.concatenate([[0], np.cumsum(stay)])[self.begin]
+        self.doc, self.weight = self.doc[stay], self.weight[stay]
+
+    def drop(self, used: np.ndarray) -> None:
+        """Leaves out the postings of used tails; the scores of the others stay."""
+        self._keep(~used[self.doc])
+        self.live = self.n - int(used.sum())
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.term, terms)
-        lo, n = self.begin[at], self.begin[at + 1] - self.begin[at]
-        where = np.repeat(lo - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-        return np.bincount(self.doc[where], self.weight[where], self.n)
+        return self._scores(np.searchsorted(self.term, terms))
+
+    def scores_for(self, tail: int) -> np.ndarray:
+        """:meth:`scores` of a tail's own terms."""
+        return self._scores(self.number[self.at[tail]:self.at[tail + 1]])
+
+    def _scores(self, number: np.ndarray) -> np.ndarray:
+        """Sums of weights (float32 values, summed in double precision, where their order hardly matters)."""
+        lo = self.begin[number]
+        n = self.begin[number + 1] - lo
+        upto = np.cumsum(n)
+        where = np.repeat(lo - (upto - n), n) + np.arange(upto[-1] if len(n) else 0)
+        row = self.row[number]
+        on = np.zeros(len(self.rows))
+        on[row[row >= 0]] = 1
+        return np.bincount(self.doc[where], self.weight[where], self.n) + on @ self.rows
 
 
 def _ranked(free: np.ndarray, left: np.ndarray, scores: np.ndarray, some: int = 64):
@@ -201,8 +383,12 @@ def fill_windows(lengths: np.ndarray, index: Index, terms: list[np.ndarray], len
         pieces, space, like = [(seed, int(begin[seed]), int(left[seed]))], length - int(left[seed]), 0
         left[seed] = 0
         if space:
-            scores = index.scores(terms[seed])
             free = np.flatnonzero(left)
+            if len(free) < 0.85 * index.live:
+                used = left == 0
+                used[seed] = False
+                index.drop(used)
+            scores = index.scores_for(seed)
             for i in _ranked(free, left, scores):
                 n = int(left[i]) if left[i] <= space else space // GRAIN * GRAIN
                 if n:

@@ -93,25 +93,41 @@ class Merges:
 
     def counts(self, tokens: list[bytes]) -> np.ndarray:
         """Symbols that are left of each (non-empty) pre-token."""
+        out = np.zeros(len(tokens), np.int64)
+        for who, size, _, _ in self._merged(tokens):
+            out[who] = size
+        return out
+
+    def symbols(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols that are left of each (non-empty) pre-token, one after another, and how many each has."""
+        done = [(who, size, symbol[which]) for who, size, symbol, which in self._merged(tokens)]
+        if not done:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        who, size, symbol = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(who)
+        start, n = (np.cumsum(size) - size)[order], size[order]
+        return symbol[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(len(symbol))], n
+
+    def _merged(self, tokens: list[bytes]):
+        """Pre-tokens as they are done: their numbers, their numbers of symbols, all symbols, and which of these are theirs."""
         size = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        out = size.copy()
-        if not len(out):
-            return out
+        if not len(size):
+            return
         data = np.frombuffer(b"".join(tokens), np.uint8)
         symbol, end = self.first[data], np.cumsum(size) - 1
         symbol[end] = self.last[data[end]]
         rank = np.append(self.ranks(symbol[:-1], symbol[1:]), np.int32(NO_RANK))
         rank[end] = NO_RANK
-        who = np.arange(len(out))
+        who = np.arange(len(size))
         while True:
             least = np.minimum.reduceat(rank, np.cumsum(size) - size)
             go = least < NO_RANK
             if not go.all():  # the others are done
-                out[who[~go]] = size[~go]
                 stay = np.repeat(go, size)
+                yield who[~go], size[~go], symbol, ~stay
                 symbol, rank, who, size, least = symbol[stay], rank[stay], who[go], size[go], least[go]
             if not len(who):
-                return out
+                return
             hit = np.flatnonzero(rank == np.repeat(least, size))
             start = np.append(True, np.diff(hit) != 1)  # pairs that overlap follow one another
             run = hit[start][np.cumsum(start) - 1]

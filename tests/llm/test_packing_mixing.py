@@ -257,3 +257,40 @@ def test_mix_edges(spark, no_docs):
     assert {(r["doc_id"], r["size"], r["target"], r["taken"]) for r in M.mix_sources(blank).collect()} == {(1, 0, 0.0, 0), (2, 0, 0.0, 0)}
     ties = spark.createDataFrame([(1, "a b c d", "s")] * 5, "doc_id long, text string, source string")  # one hash for all
     assert sum(r["taken"] for r in M.mix_sources(ties).collect()) in range(25, 31)
+
+
+def test_encoding_by_units_is_the_librarys(monkeypatch):
+    import pyarrow as pa
+    r = np.random.default_rng(5)
+    letters = list("abcXYZ019'.,-_#<|>éÉèÀÖß×÷ñÿ\xa0\x85\x1c\x7f́İſΣ你🙂²º… \t\n")
+    texts = ["", " ", "\n", "it's 's '' ''s I'LL don't", "<|endoftext|> <|ENDOFTEXT|> a<|startoftext|>b É's", "É÷È ×× AÀ1É2 foo_bar"]
+    texts += ["".join(r.choice(letters, r.integers(1, 40))) for _ in range(1500)] + ["ab12" * 3000]
+    monkeypatch.setattr(P, "SLICE", 2000)
+    monkeypatch.setattr(P, "TOGETHER", 9000)
+    monkeypatch.setattr(P, "KEPT_UNITS", 300)  # the table starts anew
+    encoder, got = P._Encoder(None), []
+    encoder.kept["table"] = P._Table(300)
+    for lo, hi, some in P._together(pa.array(texts)):
+        for ids, begins in encoder.encode([own for _, own in some]):
+            got += [ids[i:j].tolist() for i, j in zip(begins, begins[1:])]
+    assert got == [encoded(t).tolist() for t in texts]
+    words = P.Words(*P.text_buffer(pa.array(["Été l'été x1 你好, été."])), lower=True, parts=True)
+    begin, end, single = encoder.units(words)
+    cut = [(words.data[i:j].tobytes().decode(), s) for i, j, s in zip(begin, end, single.tolist())]
+    assert cut == [("Été", True), ("l'été", False), ("x", True), ("1", True), ("你好,", False), ("été", True), (".", True)]  # words were the units before
+
+
+def test_used_tails_leave_the_index_and_scores_stay():
+    r = np.random.default_rng(6)
+    terms = [np.unique(r.zipf(1.3, 80) % 500).astype(np.uint32) for _ in range(300)]
+    index, whole = (P.Index(terms, [np.ones(len(t), np.uint8) for t in terms]) for _ in range(2))
+    used = r.random(300) < 0.5
+    before = len(index.doc)
+    index.drop(used)
+    assert len(index.doc) < before and index.live == (~used).sum()
+    for i in np.flatnonzero(~used)[:50]:
+        plain = np.zeros(300)
+        for j, t in enumerate(terms):
+            plain[j] = len(np.intersect1d(t, terms[i]))
+        scores = whole.scores(terms[i])
+        assert (index.scores_for(i)[~used] == scores[~used]).all() and ((scores > 0) == (plain > 0)).all()
