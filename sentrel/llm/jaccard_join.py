@@ -117,6 +117,20 @@ def rarity(docs: DataFrame) -> np.ndarray:
     return levels.ravel()
 
 
+def pack_point(p: np.ndarray) -> bytes:
+    """A point's group counts, compressed: points travel several times, most counts are small."""
+    kind = np.uint8 if p.max(initial=0) < 256 else np.uint32
+    return bytes([np.dtype(kind).itemsize]) + pa.compress(p.astype(kind).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_points(packed: list[bytes]) -> np.ndarray:
+    """A row of ``GROUPS`` counts for each packed point."""
+    out = np.empty((len(packed), GROUPS), np.uint32)
+    for i, x in enumerate(packed):
+        out[i] = np.frombuffer(pa.decompress(x[1:], GROUPS * x[0], codec="zstd", asbytes=True), np.uint8 if x[0] == 1 else np.uint32)
+    return out
+
+
 POINTS = "doc_id bigint, raw bigint, n bigint, sig binary, point binary, keys binary"
 
 
@@ -136,7 +150,7 @@ def _points(shared):
                 sig = [hashlib.blake2b(h[at[i]:at[i + 1]].tobytes(), digest_size=16).digest() for i in range(hi - lo)]
                 keys = [key[at[i]:at[i] + (first[i] if n[i] else 0)].tobytes() for i in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("raw").slice(lo, hi - lo), pa.array(n.astype(np.int64)),
-                                                  pa.array(sig, pa.binary()), pa.array([p.tobytes() for p in points], pa.binary()), pa.array(keys, pa.binary())],
+                                                  pa.array(sig, pa.binary()), pa.array([pack_point(p) for p in points], pa.binary()), pa.array(keys, pa.binary())],
                                                  names=["doc_id", "raw", "n", "sig", "point", "keys"])
     return run
 
@@ -241,7 +255,7 @@ def _search_blocks(key, t):
     """Candidate pairs of some blocks, or of two chunks of a block."""
     t = t.sort_by([("lead", "ascending"), ("cls", "ascending")])
     lead, cls, comp, side = (t.column(c).to_numpy() for c in ("lead", "cls", "comp", "side"))
-    points = np.frombuffer(b"".join(t.column("point").to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64)
+    points = unpack_points(t.column("point").to_pylist()).astype(np.int64)
     across = key[1].as_py() != key[2].as_py()
     a, b = [], []
     at = np.append(np.unique(lead, return_index=True)[1], len(lead))
@@ -278,7 +292,7 @@ def _verify(batches):
 
 def _within_bound(batches):
     for batch in batches:
-        p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, GROUPS) for c in ("point_a", "point_b"))
+        p, q = (unpack_points(batch.column(c).to_pylist()) for c in ("point_a", "point_b"))
         ok = np.minimum(p, q).sum(1, dtype=np.int64) >= needed(p.sum(1, dtype=np.int64), q.sum(1, dtype=np.int64))
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], names=["a", "b"])
 

@@ -2,6 +2,7 @@
 import hashlib
 import collections
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,6 +105,14 @@ def test_rtree_returns_every_point_within_the_bound():
         assert set(want) <= set(got.tolist()) and (np.minimum(points[got], q).sum(1) >= J.needed(size[i], size[got])).all()
 
 
+def test_points_travel_packed():
+    r = np.random.default_rng(4)
+    points = np.concatenate([r.poisson(1, (50, J.GROUPS)), np.zeros((1, J.GROUPS), int), r.integers(0, 2**32, (2, J.GROUPS)), r.poisson(200, (2, J.GROUPS))]).astype(np.uint32)
+    packed = [J.pack_point(p) for p in points]
+    assert (J.unpack_points(packed) == points).all() and J.unpack_points([]).shape == (0, J.GROUPS)
+    assert max(map(len, packed[:50])) < 300  # 2,048 bytes before
+
+
 def test_drop_near_duplicates_keeps_one_of_each_component(docs, rows):
     out = J.drop_near_duplicates(docs)
     assert out.columns == docs.columns
