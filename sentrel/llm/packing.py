@@ -37,11 +37,12 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrel.llm.shared import Powers, Words, mix, text_buffer, written
+from sentrel.llm.shared import Powers, Words, arrow_bytes, looked_up, mix, text_buffer, written
 from sentrel.llm.token_counts import TokenCounter
 
 GRAIN = 32
@@ -65,21 +66,22 @@ class _Table:
 
     def __init__(self, units: int = KEPT_UNITS):
         slots = 1 << math.ceil(math.log2(2.5 * units))
-        self.keys, self.at, self.n = np.zeros(slots, np.uint64), np.zeros(slots, np.int64), np.zeros(slots, np.int32)
+        self.keys, self.number = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
+        self.at, self.n = np.zeros(units, np.int64), np.zeros(units, np.int32)  # by number: frequent units, which come early, lie together
         self.ids, self.used, self.units, self.room, self.mask = np.zeros(1 << 16, np.uint32), 0, 0, units, slots - 1
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """The slot of each hash (0 is no hash here), or -1."""
+        """The number of each hash's unit (0 is no hash here), or -1."""
         slot = (h & np.uint64(self.mask)).astype(np.int64)
         key = self.keys[slot]
-        out = np.where(key == h, slot, -1)
+        out = np.where(key == h, self.number[slot], -1)
         live = np.flatnonzero((key != h) & (key != 0))
         slot = slot[live]
         while len(live):
             slot = slot + 1 & self.mask
             key = self.keys[slot]
             hit = key == h[live]
-            out[live[hit]] = slot[hit]
+            out[live[hit]] = self.number[slot[hit]]
             on = ~hit & (key != 0)
             live, slot = live[on], slot[on]
         return out
@@ -90,13 +92,15 @@ class _Table:
         if self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids[:self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
         self.ids[self.used:self.used + len(ids)] = ids
+        number = np.arange(self.units, self.units + len(h), dtype=np.int32)
+        self.at[number], self.n[number] = at, n
         self.used, self.units = self.used + len(ids), self.units + len(h)
         live, slot = np.arange(len(h)), (h & np.uint64(self.mask)).astype(np.int64)
         while len(live):
             free = np.flatnonzero(self.keys[slot] == 0)
             place, first = np.unique(slot[free], return_index=True)  # one unit to a free slot
             who = live[free[first]]
-            self.keys[place], self.at[place], self.n[place] = h[who], at[who], n[who]
+            self.keys[place], self.number[place] = h[who], number[who]
             on = self.keys[slot] != h[live]
             live, slot = live[on], slot[on] + 1 & self.mask
 
@@ -114,6 +118,19 @@ _STRANGE = np.ones(256, bool)
 _STRANGE[[32, *range(9, 14), *range(33, 39), *range(40, 127), *range(128, 192), 0xC3]] = False
 
 
+def _runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of runs, one run after another."""
+    upto = np.cumsum(size)
+    return np.repeat(begin - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+
+
+def _lower(data: np.ndarray) -> np.ndarray:
+    """Bytes of plain words, those of ASCII in lower case already: the letters of U+00C0 to U+00DE in lower case."""
+    if (data > 127).any():
+        data[1:][(data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)] += 32
+    return data
+
+
 class _Encoder:
     """Ids of texts from those of their words or, in plain words, their pre-tokens ("units"), kept by the units'
     hashes. A Python worker serves many tasks; vocabulary and ids stay with it, in a module of their own."""
@@ -140,7 +157,7 @@ class _Encoder:
         data, n = words.data, len(words.data)
         if not self.plain or not len(words.h) or b"<|" in data.tobytes():
             return words.begin, words.end, np.zeros(len(words.h), bool)
-        kind, strange = _KIND[data], _STRANGE[data]
+        kind, strange = looked_up(_KIND, data), looked_up(_STRANGE, data)
         start = np.empty(n, bool)
         start[0], start[1:] = True, (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
         start &= kind > 0
@@ -163,23 +180,34 @@ class _Encoder:
         end[:-1] = np.minimum(end[:-1], begin[1:])
         return begin, end, single
 
-    def _encoded(self, units: list[str], single: list[bool]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of units, and how many each has."""
-        counter, parts, n, special = self.counter, [], [], {}
-        for i, (unit, one) in enumerate(zip(units, single, strict=True)):
-            if one:
-                own = [unit.lower()]
-            elif counter is None or counter.added is not None and counter.added.search(unit):
-                own, special[i] = [], np.array(self._library().encode(unit, add_special_tokens=False).ids, np.uint32)
+    def _encoded(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of units (byte ranges), and how many each has. Single pre-tokens are taken as bytes, the others as texts."""
+        counter, parts, special = self.counter, [], {}
+        n = single.astype(np.int64)  # pre-tokens of each unit
+        for i in np.flatnonzero(~single).tolist():
+            unit = data[begin[i]:end[i]].tobytes().decode("utf-8", "replace")
+            if counter is None or counter.added is not None and counter.added.search(unit):
+                special[i] = np.array(self._library().encode(unit, add_special_tokens=False).ids, np.uint32)
             else:
                 own = counter._split(unit)
-            parts += own
-            n.append(len(own))
-        ids, size = counter.merges.symbols([p.encode() for p in parts]) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)]).astype(np.int64)]
-        ids, size = ids.astype(np.uint32), np.diff(upto)
+                n[i] = len(own)
+                parts += [x.encode() for x in own]
+        size = (end - begin)[single]
+        plain = _lower(data[_runs(begin[single], size)])
+        if len(plain) or parts:
+            size = np.concatenate([size, np.fromiter(map(len, parts), np.int64, len(parts))])
+            ids, size = counter.merges.symbols(np.concatenate([plain, np.frombuffer(b"".join(parts), np.uint8)]), size)
+        else:
+            ids = np.zeros(0, np.int64)
+        upto = np.concatenate([[0], np.cumsum(size)])  # single ones come first
+        last = np.cumsum(n)
+        first, many = np.empty(len(n), np.int64), np.cumsum(single)
+        first[single], first[~single] = np.arange(single.sum()), (last - n - many + single.sum())[~single]
+        lo, size = upto[first], upto[first + n] - upto[first]
+        ids = ids[_runs(lo, size)].astype(np.uint32)
         if special:
-            ids = np.concatenate([special[i] if i in special else ids[upto[i]:upto[i + 1]] for i in range(len(units))])
+            cut = np.concatenate([[0], np.cumsum(size)])
+            ids = np.concatenate([special[i] if i in special else ids[cut[i]:cut[i + 1]] for i in range(len(n))])
             size[list(special)] = [len(x) for x in special.values()]
         return ids, size
 
@@ -206,14 +234,13 @@ class _Encoder:
             found = [table.find(h) for h in hashes]
         return [self._texts(w, begin, f, table) for w, (begin, _, _), f in zip(some, cut, found, strict=True)]
 
-    def _unknown(self, some: list[Words], cut: list, hashes: list, which: list) -> tuple[np.ndarray, list[str], list[bool]]:
-        """The distinct units among ``which``: hashes, texts, and whether they are single pre-tokens."""
-        h, slice_of = np.concatenate([x[k] for x, k in zip(hashes, which, strict=True)]), np.repeat(np.arange(len(some)), [int(k.sum()) for k in which])
-        begin, end, single = (np.concatenate([c[j][k] for c, k in zip(cut, which, strict=True)]) for j in range(3))
+    def _unknown(self, some: list[Words], cut: list, hashes: list, which: list) -> tuple[np.ndarray, ...]:
+        """The distinct units among ``which``: hashes, bytes of all slices, begins and ends in them, and whether they are single pre-tokens."""
+        h, base = np.concatenate([x[k] for x, k in zip(hashes, which, strict=True)]), np.cumsum([0, *[len(w.data) for w in some]])
+        begin, end = (np.concatenate([c[j][k] + at for c, k, at in zip(cut, which, base)]) for j in range(2))
+        single = np.concatenate([c[2][k] for c, k in zip(cut, which, strict=True)])
         h, first = np.unique(h, return_index=True)
-        data = [w.data.tobytes() for w in some]
-        texts = [data[s][i:j].decode("utf-8", "replace") for s, i, j in zip(slice_of[first].tolist(), begin[first].tolist(), end[first].tolist())]
-        return h, texts, single[first].tolist()
+        return h, np.concatenate([w.data for w in some]), begin[first], end[first], single[first]
 
     @staticmethod
     def _texts(words: Words, begin: np.ndarray, found: np.ndarray, table: _Table) -> tuple[np.ndarray, np.ndarray]:
@@ -262,13 +289,13 @@ def _together(column: pa.Array):
 
 def _checksums(ids: np.ndarray, begins: np.ndarray, length: int) -> tuple[list[int], list[bytes], list[bytes]]:
     """Each document's number of ids, checksums of its full windows and of its tail's prefixes."""
-    data, full_crcs, tail_crcs = memoryview(ids).cast("B"), [], []
+    data, full_crcs, tail_crcs, crc32 = memoryview(ids).cast("B"), [], [], zlib.crc32
     for i, j in zip((4 * begins).tolist(), (4 * begins[1:]).tolist()):
         full = (j - i) // (4 * length) * 4 * length
         full_crcs.append(array("I", [zlib.crc32(data[k:k + 4 * length]) for k in range(i, i + full, 4 * length)]).tobytes())
-        tail, at = [], 0
-        for k in range(i + full, j, 4 * GRAIN):
-            at = zlib.crc32(data[k:min(k + 4 * GRAIN, j)], at)
+        tail, at, left = [], 0, data[i + full:j]
+        for k in range(0, len(left), 4 * GRAIN):
+            at = crc32(left[k:k + 4 * GRAIN], at)
             tail.append(at)
         tail_crcs.append(array("I", tail).tobytes())
     return np.diff(begins).tolist(), full_crcs, tail_crcs
@@ -305,24 +332,31 @@ class Index:
     def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], k1: float = 1.2, b: float = 0.75):
         self.n = len(terms)
         sizes = np.array([len(t) for t in terms], np.int64)
-        doc = np.repeat(np.arange(self.n), sizes)
+        doc = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
         term = np.concatenate(terms) if self.n else np.zeros(0, np.uint32)
         tf = np.concatenate(counts).astype(np.float32) if self.n else np.zeros(0, np.float32)
-        order = (np.sort(term.astype(np.uint64) << np.uint64(32) | np.arange(len(term), dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        first = np.append(True, np.diff(term[order]) != 0)[:len(term)]
+        norm = np.bincount(doc, tf, self.n)
+        norm = (k1 * (1 - b + b * norm / max(norm.mean(), 1e-9) if self.n else norm)).astype(np.float32)
+        order = term.astype(np.uint64)  # arrays as long as the shard has terms: few at a time
+        order <<= np.uint64(32)
+        order |= np.arange(len(term), dtype=np.uint32)
+        order.sort()
+        order = order.astype(np.uint32)
+        term, self.doc, tf = term[order], doc[order], tf[order]
+        del doc
+        first = np.append(True, term[1:] != term[:-1])[:len(term)]
         begin = np.flatnonzero(first)
-        self.term, self.begin = term[order[begin]], np.append(begin, len(term))
+        self.term, self.begin = term[begin], np.append(begin, len(term))
+        del term
         df = np.diff(self.begin)
         idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        words = np.bincount(doc, tf, self.n)
-        norm = (k1 * (1 - b + b * words / max(words.mean(), 1e-9) if self.n else words)).astype(np.float32)
-        self.doc = doc[order]
-        self.weight = np.repeat(idf, df) * (tf[order] * np.float32(k1 + 1) / (tf[order] + norm[self.doc]))
-        self.number = np.empty(len(term), np.int64)  # of each tail's terms, one tail after another
-        self.number[order] = np.cumsum(first) - 1
-        self.at, self.live = np.concatenate([[0], np.cumsum(sizes)]), self.n
+        self.weight = np.repeat(idf, df)
+        self.weight *= tf * np.float32(k1 + 1) / (tf + norm[self.doc])
+        self.number = np.empty(len(order), np.int32)  # of each tail's terms, one tail after another
+        self.number[order] = np.cumsum(first, dtype=np.int32) - 1
+        self.at, self.live, self.on = np.concatenate([[0], np.cumsum(sizes)]), self.n, np.arange(self.n)
         common = np.flatnonzero(df > self.n / 4)  # their weights as rows over all tails, not as postings
-        self.row = np.full(len(df), -1, np.int64)
+        self.row = np.full(len(df), -1, np.int32)
         self.row[common] = np.arange(len(common))
         self.rows = np.zeros((len(common), self.n))
         for k, i, j in zip(range(len(common)), self.begin[common], self.begin[common + 1]):
@@ -334,9 +368,10 @@ class Index:
         self.doc, self.weight = self.doc[stay], self.weight[stay]
 
     def drop(self, used: np.ndarray) -> None:
-        """Leaves out the postings of used tails; the scores of the others stay."""
+        """Leaves out the postings and rows of used tails; the scores of the others stay."""
         self._keep(~used[self.doc])
-        self.live = self.n - int(used.sum())
+        self.rows, self.on = self.rows[:, ~used[self.on]], self.on[~used[self.on]]
+        self.live = len(self.on)
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
         return self._scores(np.searchsorted(self.term, terms))
@@ -354,7 +389,9 @@ class Index:
         row = self.row[number]
         on = np.zeros(len(self.rows))
         on[row[row >= 0]] = 1
-        return np.bincount(self.doc[where], self.weight[where], self.n) + on @ self.rows
+        out = np.bincount(self.doc[where], self.weight[where], self.n).astype(np.float64, copy=False)  # whole numbers if there are none
+        out[self.on] += on @ self.rows
+        return out
 
 
 def _ranked(free: np.ndarray, left: np.ndarray, scores: np.ndarray, some: int = 64):
@@ -425,30 +462,43 @@ def _near(terms: np.ndarray) -> int:
 
 REST = [("doc_id", pa.int64()), ("doc_tokens", pa.int64()), ("windows", pa.int64()), ("tail_crcs", pa.binary()), ("terms", pa.binary()), ("counts", pa.binary()),
         ("begin", pa.int64()), ("n", pa.int64()), ("near", pa.int64()), ("at", pa.int64())]
+#: The order of a shard's rows, and the rows of ``rest`` that go out at once.
+SORTED, TOGETHER_ROWS = ["doc_id", "doc_tokens", "at", "begin"], 256
 ROUND = f"{PIECES}, rest struct<{', '.join(f'{c}: {dict(int64='bigint', binary='binary')[str(t)]}' for c, t in REST)}>"
 
 
+def _arrays(column: pa.Array, kind: str) -> list[np.ndarray]:
+    """The packed arrays of a binary column, as views of its bytes; nulls are empty."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].tolist() if len(column) else [0]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8) if len(column) else np.zeros(0, np.uint8)
+    return [data[i:j].view(kind) for i, j in zip(offsets, offsets[1:])]
+
+
 def _packer(length: int, first: int, more: bool, near: float = 0):
     """Packs a shard's tails from ``begin`` on, and whole windows if ``full_crcs`` has them; with ``more``,
     what is to meet again in the next round comes in ``rest``."""
     def run(batches):
+        import sys
+        sys.modules.pop("sentrel_worker_state", None)  # a worker that has encoded texts needs room for a shard now
         shard = first + TaskContext.get().partitionId()
         t = [b for b in batches if b.num_rows]
         if not t:
             return
         t = pa.Table.from_batches(t)
-        t = t.sort_by([("doc_id", "ascending"), ("doc_tokens", "ascending"), ("at", "ascending"), ("begin", "ascending")])
-        col = {c: t.column(c).to_pylist() for c in t.column_names}
-        ids, total, windows = col["doc_id"], col["doc_tokens"], col["windows"]
-        read = lambda c, kind: [np.frombuffer(x, kind) for x in col[c]]
-        tail, terms, counts = read("tail_crcs", "<u4"), read("terms", np.uint32), read("counts", np.uint32)
+        t = t.take(pc.sort_indices(t.select(SORTED), [(c, "ascending") for c in SORTED]))
+        col = {c: t.column(c).combine_chunks() for c in t.column_names}
+        col = {c: x if isinstance(x, pa.Array) else x.chunk(0) for c, x in col.items()}
+        del t
+        ids, total, windows = (col[c].to_pylist() for c in ("doc_id", "doc_tokens", "windows"))
+        tail, terms = _arrays(col["tail_crcs"], "<u4"), _arrays(col["terms"], "<u4")
         out, sequence = [], 0
-        for i, crcs in enumerate(read("full_crcs", "<u4")):
+        for i, crcs in enumerate(_arrays(col["full_crcs"], "<u4")):
             for k, crc in enumerate(crcs):
                 out.append((ids[i], k * length, length, int(crc), total[i], shard << 32 | sequence, 0))
                 sequence += 1
         rest = [] if more else None
-        for pieces in fill_windows(np.array(col["n"], np.int64), Index(terms, counts), terms, length, np.array(col["begin"], np.int64), rest, near):
+        index = Index(terms, _arrays(col["counts"], "<u4"))
+        for pieces in fill_windows(col["n"].to_numpy(), index, terms, length, col["begin"].to_numpy(), rest, near):
             offset = 0
             for i, begin, n in pieces:
                 a = int(tail[i][begin // GRAIN - 1]) if begin else 0
@@ -456,13 +506,17 @@ def _packer(length: int, first: int, more: bool, near: float = 0):
                 out.append((ids[i], windows[i] * length + begin, n, crc, total[i], shard << 32 | sequence, offset))
                 offset += n
             sequence += 1
+        del index
         names = [x.split()[0] for x in PIECES.split(", ")]
+        columns = [pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))]
+        yield pa.RecordBatch.from_arrays(columns + [pa.nulls(len(out), pa.struct(REST))] * more, names=names + ["rest"] * more)
         again = _whole(rest or [])
-        columns = [pa.array([r[k] for r in out] + [None] * len(again), pa.int64()) for k in range(len(names))]
-        if more:
-            left = [{**{c: col[c][i] for c in ("doc_id", "doc_tokens", "windows", "tail_crcs", "terms", "counts", "at")}, "begin": begin, "n": n, "near": _near(terms[i])} for i, begin, n in again]
-            columns.append(pa.array([None] * len(out) + left, pa.struct(REST)))
-        yield pa.RecordBatch.from_arrays(columns, names=names + ["rest"] * more)
+        for at in range(0, len(again), TOGETHER_ROWS):
+            some = again[at:at + TOGETHER_ROWS]
+            which = pa.array([i for i, _, _ in some], pa.int64())
+            made = {"begin": [begin for _, begin, _ in some], "n": [n for *_, n in some], "near": [_near(terms[i]) for i, _, _ in some]}
+            left = pa.StructArray.from_arrays([pa.array(made[c], kind) if c in made else col[c].take(which) for c, kind in REST], fields=[pa.field(c, kind) for c, kind in REST])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.int64())] * len(names) + [left], names=names + ["rest"])
 
     return run
 
@@ -470,7 +524,9 @@ def _packer(length: int, first: int, more: bool, near: float = 0):
 def packed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 4096, tokenizer: str | None = None,
            shard_tokens: int = 3_000_000) -> DataFrame:
     """One row per piece (columns of ``PIECES``). ``tokenizer``: path of a tokenizer file; by default the public one."""
-    docs = written(tokenized(df, id_col, text_col, length, tokenizer), "tokens")
+    spark = df.sparkSession
+    with arrow_bytes(spark):
+        docs = written(tokenized(df, id_col, text_col, length, tokenizer), "tokens")
     total = docs.agg(F.sum(F.col("doc_tokens") % length)).first()[0] or 0
     shards = max(1, math.ceil(total / shard_tokens))
     rows = docs.withColumns({"windows": F.floor(F.col("doc_tokens") / length), "begin": F.lit(0).cast("bigint"), "n": F.col("doc_tokens") % length,
@@ -478,7 +534,8 @@ def packed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     dealt = lambda t, n: t.repartitionByRange(n, "near", "doc_id", "at")
     out = []
     for number, near in enumerate((NEAR, 0)):  # like tails, then all but what is left of a shard's last window
-        made = written(dealt(rows, shards).mapInArrow(_packer(length, number * SECOND, True, near), ROUND), "round")
+        with arrow_bytes(spark):
+            made = written(dealt(rows, shards).mapInArrow(_packer(length, number * SECOND, True, near), ROUND), "round")
         out.append(made.where("rest is null").drop("rest"))
         rows = made.where("rest is not null").select("rest.*").withColumn("full_crcs", F.lit(b""))
         shards = max(1, math.ceil((rows.agg(F.sum("n")).first()[0] or 0) / shard_tokens))

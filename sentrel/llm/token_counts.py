@@ -65,7 +65,7 @@ def _byte_characters() -> list[str]:
 
 
 class Merges:
-    """The merges of a byte-level BPE model, as sorted arrays."""
+    """The merges of a byte-level BPE model, as arrays."""
 
     def __init__(self, model: dict):
         for key in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"):
@@ -78,29 +78,56 @@ class Merges:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         left, right = (np.array([vocab[p[k]] for p in pairs], np.int64) for k in (0, 1))
         self.new = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        key = left << 32 | right
-        self.rank = np.argsort(key, kind="stable").astype(np.int32)
-        self.key = key[self.rank]
+        self._enter(left << 32 | right)
         used = np.full(max(vocab.values()) + 1, NO_RANK, np.int64)  # lowest rank that takes a symbol
         for side in (left, right):
             np.minimum.at(used, side, np.arange(len(pairs)))
         self.one_by_one = used[self.new] < np.arange(len(pairs))
 
+    def _enter(self, key: np.ndarray) -> None:
+        """The ranks of pairs by open addressing: a few slots each, a free one (-1) at the end of every search."""
+        self.shift = np.uint64(64 - max(4, (8 * len(key)).bit_length()))
+        slots = 1 << int(64 - self.shift)
+        self.key, self.rank = np.full(slots, -1, np.int64), np.full(slots, NO_RANK, np.int32)
+        live, slot = np.arange(len(key)), self._slot(key)
+        while len(live):
+            free = np.flatnonzero(self.key[slot] < 0)
+            place, first = np.unique(slot[free], return_index=True)  # one pair to a free slot
+            self.key[place], self.rank[place] = key[live[free[first]]], live[free[first]]
+            on = self.key[slot] != key[live]
+            live, slot = live[on], slot[on] + 1 & slots - 1
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[at] == key, self.rank[at], NO_RANK) if len(self.key) else np.full(len(key), NO_RANK, np.int32)
+        slot = self._slot(key)
+        found = self.key[slot]
+        out = self.rank[slot]
+        live = np.flatnonzero(found != key)
+        out[live] = NO_RANK
+        live = live[found[live] >= 0]
+        slot = slot[live]
+        while len(live):
+            slot = slot + 1 & len(self.key) - 1
+            found = self.key[slot]
+            hit = found == key[live]
+            out[live[hit]] = self.rank[slot[hit]]
+            on = ~hit & (found >= 0)
+            live, slot = live[on], slot[on]
+        return out
 
     def counts(self, tokens: list[bytes]) -> np.ndarray:
         """Symbols that are left of each (non-empty) pre-token."""
         out = np.zeros(len(tokens), np.int64)
-        for who, size, _, _ in self._merged(tokens):
+        for who, size, _, _ in self._merged(*_ragged(tokens)):
             out[who] = size
         return out
 
-    def symbols(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The symbols that are left of each (non-empty) pre-token, one after another, and how many each has."""
-        done = [(who, size, symbol[which]) for who, size, symbol, which in self._merged(tokens)]
+    def symbols(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols that are left of each (non-empty) pre-token (bytes of all, and how many each has), one after another, and how many each has."""
+        done = [(who, size, symbol[which]) for who, size, symbol, which in self._merged(data, size)]
         if not done:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         who, size, symbol = (np.concatenate(x) for x in zip(*done, strict=True))
@@ -108,12 +135,10 @@ class Merges:
         start, n = (np.cumsum(size) - size)[order], size[order]
         return symbol[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(len(symbol))], n
 
-    def _merged(self, tokens: list[bytes]):
+    def _merged(self, data: np.ndarray, size: np.ndarray):
         """Pre-tokens as they are done: their numbers, their numbers of symbols, all symbols, and which of these are theirs."""
-        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
         if not len(size):
             return
-        data = np.frombuffer(b"".join(tokens), np.uint8)
         symbol, end = self.first[data], np.cumsum(size) - 1
         symbol[end] = self.last[data[end]]
         rank = np.append(self.ranks(symbol[:-1], symbol[1:]), np.int32(NO_RANK))
@@ -155,6 +180,11 @@ class Merges:
             rank[before] = self.ranks(symbol[before], symbol[before + 1])
 
 
+def _ragged(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of tokens, and how many each has."""
+    return np.frombuffer(b"".join(tokens), np.uint8), np.fromiter(map(len, tokens), np.int64, len(tokens))
+
+
 class TokenCounter:
     """Numbers of tokens of texts, for a ``.json`` file of byte-level BPE."""
 

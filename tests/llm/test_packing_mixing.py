@@ -295,3 +295,47 @@ def test_used_tails_leave_the_index_and_scores_stay():
             plain[j] = len(np.intersect1d(t, terms[i]))
         scores = whole.scores(terms[i])
         assert (index.scores_for(i)[~used] == scores[~used]).all() and ((scores > 0) == (plain > 0)).all()
+
+
+def test_tasks_get_batches_of_some_bytes(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 1000).alias("text"))
+    with P.arrow_bytes(spark, 100_000):
+        got = [r["n"] for r in texts.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(got) == 3000 and max(got) < 200 and spark.conf.get(key) == before
+
+
+def test_a_shard_takes_few_bytes_for_each_term():
+    import tracemalloc
+    r = np.random.default_rng(8)
+    terms = [np.unique(r.zipf(1.2, 500) % 40_000).astype(np.uint32) for _ in range(1000)]
+    counts = [np.ones(len(t), np.uint32) for t in terms]
+    tracemalloc.start()
+    P.Index(terms, counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 55 * sum(map(len, terms))  # 72 before
+
+
+def test_a_shard_is_packed_without_the_encoders_tables(monkeypatch):
+    import sys
+    import types
+    monkeypatch.setattr(P, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setitem(sys.modules, "sentrel_worker_state", types.ModuleType("sentrel_worker_state"))
+    assert list(P._packer(4096, 0, True)(iter([]))) == [] and "sentrel_worker_state" not in sys.modules
+
+
+def test_plain_pre_tokens_are_encoded_from_bytes(monkeypatch):
+    import pyarrow as pa
+    texts = ["ÀÉÞ ßÿ Ünder x1 a,b", "plain words, and Été"]
+    encoder = P._Encoder(None)
+    encoder.kept["table"] = P._Table(300)
+    monkeypatch.setattr(encoder.counter, "_split", None)  # no text is cut or put into lower case by Python
+    got = [ids[i:j].tolist() for _, _, some in P._together(pa.array(texts)) for ids, begins in encoder.encode([own for _, own in some]) for i, j in zip(begins, begins[1:])]
+    assert got == [encoded(t).tolist() for t in texts] and encoder.counter.merges.symbols(np.frombuffer(b"ab", np.uint8), np.array([2]))[1].sum() >= 1
